@@ -98,9 +98,9 @@ def compute_features(bars: DataFrame, benchmark: DataFrame, p: IndicatorParams)
         "prior_high_long", (F.col("_atr") * 100).alias("atr_percent"))
 
 
-def mark_stale(quality: DataFrame) -> DataFrame:
+def mark_stale(quality: DataFrame, bars: DataFrame) -> DataFrame:
     """VALID rows older than the newest date of the run become STALE (TK10)."""
-    asof = quality.agg(F.max("last_date")).scalar()
+    asof = bars.agg(F.max("trading_date")).scalar()
     late = (F.col("status") == "VALID") & (F.col("last_date") < asof)
     reason = F.concat(F.lit("last observation "), F.col("last_date").cast("string"),
                       F.lit(", run as-of "), asof.cast("string"))
@@ -126,7 +126,7 @@ def feature_scan(universe: DataFrame, bars: DataFrame, benchmark: DataFrame, acq
     """The quality table of a scan: every universe member exactly once (AG4 checks it)."""
     held = bars.join(universe.select("symbol"), "symbol", "left_semi")
     missing = without_bars(universe, held, acquired)
-    return mark_stale(compute_features(held, benchmark, p)).unionByName(missing, allowMissingColumns=True)
+    return mark_stale(compute_features(held, benchmark, p), held).unionByName(missing, allowMissingColumns=True)
 
 
 def scan_summary(quality: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ Each function reads whole tables. The SQL twin of every table is in oracle_views
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from barlab.config import IndicatorParams
 from barlab.operators import features
@@ -130,3 +130,32 @@ def acquisition_results(spark: SparkSession, sf: str) -> DataFrame:
     return universe(spark, sf).select(
         "symbol", status.alias("status"),
         F.when(bal < 2000, F.concat(F.floor(bal).cast("string"), F.lit(" observations; 2000 required"))).alias("reason"))
+
+
+def arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars in arrival order, with one kind of defect planted per class of symbol."""
+    num = F.substring("symbol", 2, 9).cast("int")
+    kind = num % 10
+    k = num * 31 + F.datediff("trading_date", F.lit("1990-01-01").cast("date"))
+    hit = lambda cls, n: (kind == cls) & (k % n == 0)
+    b = bars(spark, sf)
+    copies = b.withColumn("copy", F.explode(F.when(hit(8, 101), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    place = F.when(kind == 0, -F.datediff("trading_date", F.lit("1990-01-01").cast("date"))) \
+        .otherwise(F.datediff("trading_date", F.lit("1990-01-01").cast("date")))
+    order = Window.partitionBy("symbol").orderBy(place, "copy")
+    return copies.withColumn("arrival", (F.row_number().over(order) - 1).cast("bigint")).select(
+        "symbol", "arrival", F.when(~hit(1, 97), F.col("trading_date")).alias("trading_date"),
+        F.when(~hit(2, 97), F.col("open")).alias("open"),
+        F.when(hit(5, 89), F.col("low")).otherwise(F.col("high")).alias("high"),
+        F.when(hit(5, 89), F.col("high")).otherwise(F.col("low")).alias("low"),
+        F.when(hit(3, 97), F.lit(float("nan"))).when(hit(4, 97), F.lit(-1.0)).otherwise(F.col("close")).alias("close"),
+        F.when(hit(6, 83), F.lit(-1.0)).when(hit(7, 71), F.lit(0.0)).otherwise(F.col("volume")).alias("volume"))
+
+
+def stamped_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Event times as text, with a Z, with the exchange offset, or without an offset."""
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    return table(spark, sf, "events").select(
+        "event_id", "event_type",
+        F.concat(text, F.when(F.col("event_type") == "click", "Z").when(F.col("event_type") == "view", "+05:30")
+                 .otherwise("")).alias("stamp"))

@@ -137,3 +137,50 @@ view("quality", """
 select * replace (case when status = 'VALID' and last_date < mx then 'STALE' else status end as status,
        case when status = 'VALID' and last_date < mx then concat('last observation ', cast(last_date as varchar), ', run as-of ', cast(mx as varchar)) else reason end as reason)
 from (select *, max(last_date) over () as mx from feat)""", "feat")
+
+# --- series with planted defects ---------------------------------------------------------
+view("arrived", """
+select symbol, row_number() over (partition by symbol order by case when kind = 0 then -dn else dn end, copy) - 1 as arrival,
+  case when kind = 1 and k % 97 = 0 then null else trading_date end as trading_date,
+  case when kind = 2 and k % 97 = 0 then null else open end as open,
+  case when kind = 5 and k % 89 = 0 then low else high end as high, case when kind = 5 and k % 89 = 0 then high else low end as low,
+  case when kind = 3 and k % 97 = 0 then 'nan'::double when kind = 4 and k % 97 = 0 then -1.0 else close end as close,
+  case when kind = 6 and k % 83 = 0 then -1.0 when kind = 7 and k % 71 = 0 then 0.0 else volume end as volume
+from (select *, num % 10 as kind, num * 31 + dn as k from
+   (select *, cast(substr(symbol, 2) as int) as num, trading_date - date '1990-01-01' as dn from bars)) b
+join (values (0), (1)) x(copy) on copy = 0 or (kind = 8 and k % 101 = 0)""", "bars")
+view("stored", """
+select symbol, trading_date, m(open) as open, m(high) as high, m(low) as low, m(close) as close, cast(volume as bigint) as volume from raw""".replace(
+    "m(open)", "cast(cast(cast(open as varchar) as decimal(38,10)) as decimal(18,2))").replace(
+    "m(high)", "cast(cast(cast(high as varchar) as decimal(38,10)) as decimal(18,2))").replace(
+    "m(low)", "cast(cast(cast(low as varchar) as decimal(38,10)) as decimal(18,2))").replace(
+    "m(close)", "cast(cast(cast(close as varchar) as decimal(38,10)) as decimal(18,2))"), "raw")
+view("checked", """
+select *, concat_ws(',', case when high < low then 'HIGH_LESS_THAN_LOW' end,
+   case when not (open between low and high) then 'OPEN_OUTSIDE_RANGE' end,
+   case when not (close between low and high) then 'CLOSE_OUTSIDE_RANGE' end,
+   case when open <= 0 then 'NON_POSITIVE_OPEN' end, case when high <= 0 then 'NON_POSITIVE_HIGH' end,
+   case when low <= 0 then 'NON_POSITIVE_LOW' end, case when close <= 0 then 'NON_POSITIVE_CLOSE' end,
+   case when volume < 0 then 'NEGATIVE_VOLUME' end) as found,
+   open is null or high is null or low is null or close is null or volume is null as missing,
+   sha256(concat(strftime(trading_date, '%Y-%m-%d'), '|', coalesce(cast(open as varchar), ''), '|', coalesce(cast(high as varchar), ''), '|',
+     coalesce(cast(low as varchar), ''), '|', coalesce(cast(close as varchar), ''), '|', coalesce(cast(volume as varchar), ''))) as content_hash
+from stored""", "stored")
+view("findings", """
+select symbol, arrival as position, 'ERROR' as severity, concat('Observation ', arrival, ': missing ', concat_ws(', ',
+   case when open is null then 'open' end, case when high is null then 'high' end, case when low is null then 'low' end,
+   case when close is null then 'close' end, case when volume is null then 'volume' end)) as message
+ from arrived where open is null or high is null or low is null or close is null or volume is null
+union all select symbol, arrival, 'ERROR', concat('Observation ', arrival, ': non-finite OHLCV value') from arrived
+ where isnan(close)
+union all select symbol, arrival, sev, concat('Observation ', arrival, ': ', msg) from
+ (select * from arrived where open is not null and not isnan(close)) a,
+ lateral (values ('ERROR', 'non-positive price', least(open, high, low, close) <= 0),
+   ('ERROR', 'high below open/close/low', high < greatest(open, close, low)),
+   ('ERROR', 'low above open/close/high', low > least(open, close, high)),
+   ('ERROR', 'negative volume', volume < 0), ('WARNING', 'zero volume', volume = 0)) t(sev, msg, hit) where hit
+union all select distinct symbol, -4, 'ERROR', 'Missing or invalid trading date' from arrived where trading_date is null
+union all select symbol, -3, 'ERROR', 'Duplicate trading dates' from arrived group by symbol having count(trading_date) <> count(distinct trading_date)
+union all select distinct symbol, -2, 'ERROR', 'Trading dates are not in ascending order' from
+ (select *, lag(trading_date) over (partition by symbol order by arrival) as p from arrived where trading_date is not null) where trading_date < p
+union all select distinct symbol, -1, 'ERROR', 'Future observation date' from arrived where trading_date > date '2001-11-03'""", "arrived")

@@ -181,7 +181,7 @@ def tk04(spark, sf):
 
 @query("tk10_stale_mark", sql("select symbol, status, reason from quality", "quality"))
 def tk10(spark, sf):
-    return FT.mark_stale(D.feature_quality(spark, sf)).select("symbol", "status", "reason")
+    return FT.mark_stale(D.feature_quality(spark, sf), D.bars(spark, sf)).select("symbol", "status", "reason")
 
 
 SCAN_VIEWS = """
