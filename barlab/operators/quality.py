@@ -92,8 +92,8 @@ def _row_findings(candles: DataFrame) -> DataFrame:
     strange = F.array(note(F.lit(True), "ERROR", "non-finite OHLCV value"))
     found = F.when(F.size("_missing") > 0, absent).when(odd, strange).otherwise(checks)
     return (candles.withColumn("_missing", missing)
-            .select("symbol", F.col("arrival").alias("position"), F.explode(found).alias("f"))
-            .select("symbol", "position", "f.severity", "f.message"))
+            .select("symbol", F.col("arrival").alias("position"), F.posexplode(found).alias("item", "f"))
+            .select("symbol", "position", "item", "f.severity", "f.message"))
 
 
 def _series_findings(candles: DataFrame, as_of: Column | None) -> DataFrame:
@@ -111,7 +111,7 @@ def _series_findings(candles: DataFrame, as_of: Column | None) -> DataFrame:
         note("no_date", -4, "Missing or invalid trading date"), note("twice", -3, "Duplicate trading dates"),
         note("back", -2, "Trading dates are not in ascending order"), note("late", -1, "Future observation date")))
     return (days.join(order, "symbol", "left").select("symbol", F.explode(found).alias("f"))
-            .select("symbol", "f.position", F.lit("ERROR").alias("severity"), "f.message"))
+            .select("symbol", "f.position", F.lit(0).alias("item"), F.lit("ERROR").alias("severity"), "f.message"))
 
 
 def series_findings(candles: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -126,7 +126,7 @@ def series_status(candles: DataFrame, as_of: Column | None = None) -> DataFrame:
     error, warning = F.col("severity") == "ERROR", F.col("severity") == "WARNING"
     found = series_findings(candles, as_of).groupBy("symbol").agg(
         F.count_if(error).alias("error_count"), F.count_if(warning).alias("warning_count"),
-        F.min_by("message", F.when(error, F.struct("position", "message"))).alias("first_error"))
+        F.min_by("message", F.when(error, F.struct("position", "item"))).alias("first_error"))
     held = candles.groupBy("symbol").agg(F.count(F.lit(1)).alias("observations"))
     n = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c)
     return (held.join(found, "symbol", "left")

@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
-from barlab.plans import q_indicators, q_quality  # noqa: F401
+from barlab.plans import q_calendar, q_indicators, q_quality, q_universe  # noqa: F401
 from barlab.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -7,7 +7,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from barlab.config import IndicatorParams
+from barlab.operators import classify as C
 from barlab.operators import features
+from barlab.operators import quality as Q
+from barlab.operators import universe as U
 
 # Parameters of the registered queries. The break band is narrower than a split's 0.5 / 2.0
 # because the derived closes move less.
@@ -159,3 +162,130 @@ def stamped_events(spark: SparkSession, sf: str) -> DataFrame:
         "event_id", "event_type",
         F.concat(text, F.when(F.col("event_type") == "click", "Z").when(F.col("event_type") == "view", "+05:30")
                  .otherwise("")).alias("stamp"))
+
+
+# --- calendars -----------------------------------------------------------------------------
+
+def span(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").agg(F.to_date(F.min("o_orderdate")).alias("first"),
+                                          F.to_date(F.max("o_orderdate")).alias("last"))
+
+
+def holidays(spark: SparkSession, sf: str) -> DataFrame:
+    """Days whose dearest order passes a price are holidays, described by its priority."""
+    top = F.max_by("o_orderpriority", F.struct("o_totalprice", "o_orderkey"))
+    p = F.col("p")
+    text = (F.when(p == "1-URGENT", "Diwali Laxmi Pujan*").when(p == "2-HIGH", "Union Budget").when(p == "3-MEDIUM", "Republic Day")
+            .when(p == "4-NOT SPECIFIED", "Dhanteras Trading").otherwise("Holi"))
+    return (table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("date"))
+            .agg(top.alias("p"), F.max("o_totalprice").alias("m")).filter("m >= 480000")
+            .select("date", text.alias("description")))
+
+
+def resolutions(spark: SparkSession, sf: str) -> DataFrame:
+    """Days whose cheapest order is under a price are ruled on by that order."""
+    row = F.min(F.struct("o_totalprice", "o_orderkey", "o_orderstatus", "o_custkey"))
+    open_day = F.col("r.o_orderstatus") != "F"
+    return (table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(row.alias("r"))
+            .filter("r.o_totalprice < 10000")
+            .select("date", F.when(open_day, "SESSION").otherwise("CLOSED").alias("status"),
+                    F.when(open_day, "SPECIAL_LIVE").otherwise("").alias("session_type"),
+                    F.concat(F.lit("C/"), F.col("r.o_orderkey")).alias("circulars"),
+                    F.concat(F.lit("note "), F.col("r.o_custkey")).alias("note")))
+
+
+def vendor_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return bars(spark, sf).select(F.col("symbol").alias("instrument"), "trading_date")
+
+
+def vendor_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """A known gap on the day after each fill of fifty."""
+    return fills(spark, sf).filter("l_quantity = 50").select(
+        F.date_add("trading_date", 1).alias("date"), symbol_of(F.col("l_suppkey")).alias("instrument")).distinct()
+
+
+def weekly_candles(spark: SparkSession, sf: str) -> DataFrame:
+    last = lambda c: F.max_by(c, "trading_date").alias(c)
+    return raw_candles(spark, sf).groupBy(
+        "symbol", F.to_date(F.date_trunc("week", "trading_date")).alias("week")).agg(
+        last("open"), F.max("high").alias("high"), F.min("low").alias("low"), last("close"),
+        F.sum("volume").alias("volume")).withColumnRenamed("week", "trading_date")
+
+
+def weeks(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessions of the weekly candles, straight from the fills."""
+    return fills(spark, sf).select(F.to_date(F.date_trunc("week", "trading_date")).alias("trading_date")).distinct()
+
+
+def reviews(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").select(
+        symbol_of(F.col("o_custkey")).alias("symbol"), F.to_date("o_orderdate").alias("effective_date"),
+        F.when(F.col("o_orderstatus") == "F", "RESOLVED").otherwise("OPEN").alias("review_state"))
+
+
+def fetch_failures(spark: SparkSession, sf: str) -> DataFrame:
+    return universe(spark, sf).filter("balance >= 6000 and balance < 6500").select(
+        "symbol", F.lit("TimeoutError: no answer").alias("error"))
+
+
+def companies(spark: SparkSession, sf: str) -> DataFrame:
+    seg = F.col("c_mktsegment")
+    return table(spark, sf, "customer").filter("c_acctbal < 7000").select(
+        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("symbol"), F.col("c_name").alias("company_name"),
+        F.when(seg != "HOUSEHOLD", F.concat(F.lit("INE"), F.col("c_custkey").cast("string"))).alias("isin"),
+        (seg != "FURNITURE").alias("is_active"))
+
+
+def listed_instruments(spark: SparkSession, sf: str) -> DataFrame:
+    """Provider rows for the company dimension: renamed, re-numbered, other exchanges, futures."""
+    seg, bal = F.col("c_mktsegment"), F.col("c_acctbal")
+    return table(spark, sf, "customer").filter("c_acctbal >= -500").select(
+        F.concat(F.when(bal > 9500, "").otherwise("NSE:"), F.lit("C"), F.col("c_custkey").cast("string")).alias("symbol"),
+        F.concat(F.lit(" "), F.col("c_name"), F.when(seg == "MACHINERY", " Ltd").otherwise("")).alias("name"),
+        F.when(bal < 0, "BSE").otherwise("NSE").alias("exchange"),
+        F.when((bal >= 1000) & (bal < 2000), "FUT").otherwise("EQ").alias("instrument_type"),
+        F.concat(F.lit("INE"), F.col("c_custkey").cast("string"), F.when(seg == "BUILDING", "X").otherwise("")).alias("isin"))
+
+
+def run_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders read as lifecycle events; a customer is a run."""
+    status = F.when(F.col("o_orderstatus") == "F", "COMPLETE").when(F.col("o_orderstatus") == "O", "RUNNING") \
+        .otherwise("ABORTED")
+    return table(spark, sf, "orders").select(
+        F.concat(F.lit("run"), F.col("o_custkey").cast("string")).alias("run_id"), F.col("o_orderdate").alias("at"),
+        F.col("o_orderkey").alias("seq"), status.alias("status"),
+        F.when(F.col("o_orderstatus") == "P", "CALENDAR_INVALID").alias("abort_reason"),
+        F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate")).alias("finished_at"),
+        F.when(F.col("o_orderpriority") != "1-URGENT", "u1").alias("universe_version"),
+        F.when(F.col("o_orderpriority") != "5-LOW", "v1").alias("review_version"))
+
+
+def acquisition_runs(spark: SparkSession, sf: str) -> DataFrame:
+    r = F.col("o_totalprice")
+    return table(spark, sf, "orders").select(
+        F.concat(F.lit("acq"), F.col("o_orderkey").cast("string")).alias("run_id"), F.col("o_orderdate").alias("started_at"),
+        F.when(F.col("o_orderstatus") == "F", "COMPLETE").otherwise("FAILED").alias("status"),
+        F.floor(r / 1000).alias("universe_count"), F.floor(r / 1000).alias("mapped_count"),
+        F.when(F.col("o_orderpriority") == "2-HIGH", F.lit(0)).otherwise(F.floor(r / 1000)).alias("requested_count"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "FAILED").otherwise("OK").alias("benchmark_status"))
+
+
+def mappings(spark: SparkSession, sf: str) -> DataFrame:
+    """Mapping of every constituent, placeholders included, in supplier order."""
+    u = universe(spark, sf)
+    mapped = U.map_constituents(U.eligible(u), instrument_master(spark, sf))
+    out = U.mark_placeholders(u).filter("excluded_reason is not null").select(
+        "symbol", "isin", F.lit("EXCLUDED_PLACEHOLDER").alias("mapping_status"),
+        F.lit("Placeholder row excluded from scan universe").alias("mapping_error"))
+    cols = ["symbol", "isin", "mapping_status", "mapping_error"]
+    return mapped.select(*cols).unionByName(out).withColumn("source_order", F.substring("isin", 4, 9).cast("bigint"))
+
+
+def acquisition_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    got = arrivals(spark, sf).join(universe(spark, sf).filter("balance < 6500").select("symbol"), "symbol", "left_semi")
+    fetched = got.groupBy("symbol").agg(F.count(F.lit(1)).alias("observations"))
+    checked = Q.series_status(got).select("symbol", F.col("status").alias("validation_status"), "first_error")
+    failures = fetch_failures(spark, sf).withColumn("is_auth", F.lit(False)).unionByName(
+        universe(spark, sf).filter("balance >= 9950").select("symbol", F.lit("AuthenticationError: 401").alias("error"),
+                                                            F.lit(True).alias("is_auth")))
+    return C.acquisition_outcomes(mappings(spark, sf), failures, fetched, checked, None, 530)

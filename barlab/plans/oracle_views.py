@@ -167,20 +167,128 @@ select *, concat_ws(',', case when high < low then 'HIGH_LESS_THAN_LOW' end,
      coalesce(cast(low as varchar), ''), '|', coalesce(cast(close as varchar), ''), '|', coalesce(cast(volume as varchar), ''))) as content_hash
 from stored""", "stored")
 view("findings", """
-select symbol, arrival as position, 'ERROR' as severity, concat('Observation ', arrival, ': missing ', concat_ws(', ',
+select symbol, arrival as position, 0 as item, 'ERROR' as severity, concat('Observation ', arrival, ': missing ', concat_ws(', ',
    case when open is null then 'open' end, case when high is null then 'high' end, case when low is null then 'low' end,
    case when close is null then 'close' end, case when volume is null then 'volume' end)) as message
  from arrived where open is null or high is null or low is null or close is null or volume is null
-union all select symbol, arrival, 'ERROR', concat('Observation ', arrival, ': non-finite OHLCV value') from arrived
+union all select symbol, arrival, 0, 'ERROR', concat('Observation ', arrival, ': non-finite OHLCV value') from arrived
  where isnan(close)
-union all select symbol, arrival, sev, concat('Observation ', arrival, ': ', msg) from
+union all select symbol, arrival, pos, sev, concat('Observation ', arrival, ': ', msg) from
  (select * from arrived where open is not null and not isnan(close)) a,
- lateral (values ('ERROR', 'non-positive price', least(open, high, low, close) <= 0),
-   ('ERROR', 'high below open/close/low', high < greatest(open, close, low)),
-   ('ERROR', 'low above open/close/high', low > least(open, close, high)),
-   ('ERROR', 'negative volume', volume < 0), ('WARNING', 'zero volume', volume = 0)) t(sev, msg, hit) where hit
-union all select distinct symbol, -4, 'ERROR', 'Missing or invalid trading date' from arrived where trading_date is null
-union all select symbol, -3, 'ERROR', 'Duplicate trading dates' from arrived group by symbol having count(trading_date) <> count(distinct trading_date)
-union all select distinct symbol, -2, 'ERROR', 'Trading dates are not in ascending order' from
+ lateral (values (1, 'ERROR', 'non-positive price', least(open, high, low, close) <= 0),
+   (2, 'ERROR', 'high below open/close/low', high < greatest(open, close, low)),
+   (3, 'ERROR', 'low above open/close/high', low > least(open, close, high)),
+   (4, 'ERROR', 'negative volume', volume < 0), (5, 'WARNING', 'zero volume', volume = 0)) t(pos, sev, msg, hit) where hit
+union all select distinct symbol, -4, 0, 'ERROR', 'Missing or invalid trading date' from arrived where trading_date is null
+union all select symbol, -3, 0, 'ERROR', 'Duplicate trading dates' from arrived group by symbol having count(trading_date) <> count(distinct trading_date)
+union all select distinct symbol, -2, 0, 'ERROR', 'Trading dates are not in ascending order' from
  (select *, lag(trading_date) over (partition by symbol order by arrival) as p from arrived where trading_date is not null) where trading_date < p
-union all select distinct symbol, -1, 'ERROR', 'Future observation date' from arrived where trading_date > date '2001-11-03'""", "arrived")
+union all select distinct symbol, -1, 0, 'ERROR', 'Future observation date' from arrived where trading_date > date '2001-11-03'""", "arrived")
+
+# --- calendars, classification, mapping -----------------------------------------------------
+view("span", "select cast(min(o_orderdate) as date) as first, cast(max(o_orderdate) as date) as last from orders")
+view("hol", """
+select date, case p when '1-URGENT' then 'Diwali Laxmi Pujan*' when '2-HIGH' then 'Union Budget' when '3-MEDIUM' then 'Republic Day'
+   when '4-NOT SPECIFIED' then 'Dhanteras Trading' else 'Holi' end as description
+from (select cast(o_orderdate as date) as date, o_orderpriority as p, o_totalprice,
+        row_number() over (partition by o_orderdate order by o_totalprice desc, o_orderkey desc) as z from orders)
+where z = 1 and o_totalprice >= 480000""")
+view("res", """
+select date, case when s <> 'F' then 'SESSION' else 'CLOSED' end as status, case when s <> 'F' then 'SPECIAL_LIVE' else '' end as session_type,
+  concat('C/', o_orderkey) as circulars, concat('note ', o_custkey) as note
+from (select cast(o_orderdate as date) as date, o_orderstatus as s, o_totalprice, o_orderkey, o_custkey,
+        row_number() over (partition by o_orderdate order by o_totalprice, o_orderkey) as z from orders)
+where z = 1 and o_totalprice < 10000""")
+view("days", "select cast(unnest(generate_series(first, last, interval 1 day)) as date) as date from span", "span")
+view("cal0", """
+select d.date, coalesce(h.description, '') as descr, r.status, r.session_type as rtype, r.circulars, r.note,
+  case when r.status is not null then r.status = 'SESSION'
+       when isodow(d.date) <= 5 then coalesce(h.description, '') = '' or h.description similar to '.*(\\*|Special Live Trading|Union Budget|Dhanteras Trading).*'
+       else coalesce(h.description similar to '.*(\\*|Special Live Trading|Union Budget|Dhanteras Trading).*', false) end as is_session
+from days d left join hol h on h.date = d.date left join res r on r.date = d.date""", "days", "hol", "res")
+view("cal", """
+select date, strftime(date, '%a') as weekday, is_session,
+  case when not is_session then '' when status is not null then rtype else 'REGULAR' end as session_type,
+  case when is_session then '' when status is not null then note when descr <> '' then descr else 'weekend' end as closure_reason,
+  descr as holiday_master, case when status is not null then concat('resolution:', circulars) when descr <> '' then 'nse_holiday_master' else 'weekday_rule' end as source
+from cal0""", "cal0")
+view("sess", "select date from cal where is_session", "cal")
+view("vend", "select distinct symbol as instrument, trading_date from bars", "bars")
+view("gaps", """
+select distinct d + 1 as date, concat('S', lpad(cast(l_suppkey as varchar), 6, '0')) as instrument from px where l_quantity = 50""", "px")
+view("diffs", """
+select instrument, trading_date as date, 'vendor bar on a closed day' as finding from vend, span
+ where trading_date between first and last and trading_date not in (select date from sess)
+union all select instrument, date, 'session without vendor bar' from (select distinct instrument from vend), sess
+ where (instrument, date) not in (select instrument, trading_date from vend)""", "vend", "sess", "span")
+view("wk", """
+select symbol, cast(date_trunc('week', trading_date) as date) as trading_date,
+  last(open order by trading_date) as open, max(high) as high, min(low) as low, last(close order by trading_date) as close, sum(volume) as volume
+from raw group by 1, 2""", "raw")
+view("wkq", """
+select symbol, trading_date, q(open) as open, q(high) as high, q(low) as low, q(close) as close, volume from wk""".replace(
+    "q(open)", "cast(cast(cast(open as varchar) as decimal(38,10)) as decimal(18,2))").replace(
+    "q(high)", "cast(cast(cast(high as varchar) as decimal(38,10)) as decimal(18,2))").replace(
+    "q(low)", "cast(cast(cast(low as varchar) as decimal(38,10)) as decimal(18,2))").replace(
+    "q(close)", "cast(cast(cast(close as varchar) as decimal(38,10)) as decimal(18,2))"), "wk")
+view("wkv", """
+select symbol, trading_date, close from wkq where open is not null and high >= low and open between low and high
+  and close between low and high and open > 0 and high > 0 and low > 0 and close > 0 and volume >= 0""", "wkq")
+view("weeks", "select distinct cast(date_trunc('week', d) as date) as trading_date from px", "px")
+view("lastc", "select max(trading_date) as last_closed from weeks where trading_date < date '2001-11-04'", "weeks")
+view("win", "select trading_date from weeks, lastc where trading_date <= last_closed order by 1 desc limit 100", "weeks", "lastc")
+view("cls", """
+select u.symbol, case when coalesce(available, 0) < 80 then 'INSUFFICIENT_HISTORY' when latest < last_closed then 'STALE' else 'VALID' end as status,
+  case when coalesce(available, 0) < 80 then printf('only %d valid candle(s) in the trailing %d-session window (need 80)', coalesce(available, 0), n)
+       when latest < last_closed then concat('latest valid candle (', cast(latest as varchar), ') is older than latest_closed_session (', cast(last_closed as varchar), ')') end as status_reason,
+  coalesce(available, 0) as available, n - coalesce(available, 0) as missing, n - coalesce(available, 0) > 0 as history_gaps
+from univ u left join (select symbol, count(*) filter (where trading_date in (select trading_date from win)) as available, max(trading_date) as latest from wkv group by 1) c using (symbol),
+ lastc, (select count(*) as n from win)""", "univ", "wkv", "win", "lastc")
+view("wkbrk", """
+select symbol, bool_or(prior <> 0 and (close < 0.80 * prior or close > 1.25 * prior)) as jump from
+(select symbol, close, lag(close) over (partition by symbol order by trading_date) as prior from wkv) group by 1""", "wkv")
+view("rev", """
+select concat('S', lpad(cast(o_custkey as varchar), 6, '0')) as symbol, cast(o_orderdate as date) as effective_date,
+  case when o_orderstatus = 'F' then 'RESOLVED' else 'OPEN' end as review_state from orders""")
+view("keys", """
+select isin, instrument_key from (select *, row_number() over (partition by isin order by case instrument_type when 'EQ' then 1 else 2 end, instrument_key) as z
+ from master where segment = 'NSE_EQ' and instrument_type in ('EQ', 'BE') and isin <> '') where z = 1""", "master")
+view("members", "select * from univ where symbol not like 'DUMMY%'", "univ")
+view("scanned", """
+select m.symbol, k.instrument_key, m.isin, m.series, company_name, sector,
+  case when f is not null then 'FAILED' else c.status end as status, case when f is not null then f else c.status_reason end as status_reason,
+  case when f is null then c.available end as available, case when f is null then c.missing end as missing,
+  f is null and c.history_gaps as history_gaps,
+  f is null and m.symbol in (select symbol from rev where review_state <> 'RESOLVED' and effective_date between date '2001-06-01' and date '2001-07-31') as corporate_action_review,
+  f is null and coalesce(jump, false) as price_break_detected, m.series <> 'EQ' as non_eq_series
+from members m left join keys k using (isin) join cls c on c.symbol = m.symbol left join wkbrk b on b.symbol = m.symbol,
+ lateral (select case when k.instrument_key is null then concat('no instrument-master match for ISIN ', m.isin)
+   when balance >= 6000 and balance < 6500 then 'TimeoutError: no answer' end as f)""", "members", "keys", "cls", "wkbrk", "rev")
+view("mapped", """
+select m.symbol, m.isin, balance, case when n > 1 then 'AMBIGUOUS' when n = 0 then 'UNMAPPED' when key like 'NSE_EQ|_%' then 'MAPPED' else 'INVALID_INSTRUMENT' end as mapping_status,
+  case when n > 1 then concat(n, ' NSE_EQ instruments matched by ', case when ni > 0 then 'ISIN' else 'symbol fallback' end)
+       when n = 0 then 'No NSE_EQ instrument matched by ISIN or exact symbol'
+       when key not like 'NSE_EQ|_%' then 'Matched instrument has invalid/missing instrument_key' end as mapping_error,
+  case when n = 1 and key like 'NSE_EQ|_%' then key end as instrument_key, case when n = 1 then typ end as instrument_type
+from (select u.*, ni, case when ni > 0 then ni else ns end as n, case when ni > 0 then ki else ks end as key, case when ni > 0 then ti else ts end as typ
+  from members u,
+  lateral (select count(*) as ni, min(instrument_key) as ki, min(instrument_type) as ti from master i where i.segment = 'NSE_EQ' and i.isin = u.isin),
+  lateral (select count(*) as ns, min(instrument_key) as ks, min(instrument_type) as ts from master i where i.segment = 'NSE_EQ' and i.trading_symbol = u.symbol)) m""", "members", "master")
+view("mapall", """
+select symbol, isin, mapping_status, mapping_error, cast(substr(isin, 4) as bigint) as source_order from mapped
+union all select symbol, isin, 'EXCLUDED_PLACEHOLDER', 'Placeholder row excluded from scan universe', cast(substr(isin, 4) as bigint) from univ where symbol like 'DUMMY%'""", "mapped", "univ")
+view("outcomes", """
+select symbol, mapping_status, status, requested, case status when 'EXCLUDED' then 'Placeholder excluded' when 'MAPPING_FAILED' then mapping_error
+   when 'NOT_REQUESTED' then 'Run stopped after authentication failure (HTTP 401)' when 'REQUEST_FAILED' then error when 'VALIDATION_FAILED' then first_error
+   when 'INSUFFICIENT_HISTORY' then printf('%d observations; 530 required', n) end as reason,
+  case when status = 'SUCCESS' then 530 when requested and status <> 'REQUEST_FAILED' then n else 0 end as observation_count,
+  case when status = 'SUCCESS' then 530 else 0 end as persisted_count
+from (select *, status in ('REQUEST_FAILED', 'NO_DATA', 'VALIDATION_FAILED', 'INSUFFICIENT_HISTORY', 'SUCCESS') as requested from
+ (select *, case when mapping_status = 'EXCLUDED_PLACEHOLDER' then 'EXCLUDED' when mapping_status <> 'MAPPED' then 'MAPPING_FAILED'
+    when source_order > stop then 'NOT_REQUESTED' when error is not null then 'REQUEST_FAILED' when n = 0 then 'NO_DATA'
+    when ne > 0 then 'VALIDATION_FAILED' when n < 530 then 'INSUFFICIENT_HISTORY' else 'SUCCESS' end as status
+  from (select m.*, case when balance >= 6000 and balance < 6500 then 'TimeoutError: no answer' when balance >= 9950 then 'AuthenticationError: 401' end as error,
+      case when balance < 6500 then coalesce(a.n, 0) else 0 end as n, e.ne, e.first_error, stop
+    from mapall m join univ u using (symbol) left join (select symbol, count(*) as n from arrived group by 1) a using (symbol)
+    left join (select symbol, count(*) as ne, (list(message order by position, item))[1] as first_error from findings where severity = 'ERROR' and message <> 'Future observation date' group by 1) e using (symbol),
+    (select min(source_order) as stop from mapall join univ using (symbol) where mapping_status = 'MAPPED' and balance >= 9950))))""", "mapall", "univ", "findings")

@@ -23,9 +23,9 @@ def _as_of():
     return F.lit("2001-11-03").cast("date")
 
 
-@query("flt05_series_findings", sql("select * from findings", "findings"))
+@query("flt05_series_findings", sql("select * exclude (item) from findings", "findings"))
 def flt05(spark, sf):
-    return Q.series_findings(D.arrivals(spark, sf), _as_of())
+    return Q.series_findings(D.arrivals(spark, sf), _as_of()).drop("item")
 
 
 @query("flt05_series_status", sql("""
@@ -33,7 +33,7 @@ select symbol, observations, coalesce(e, 0) as error_count, coalesce(w, 0) as wa
   case when e > 0 then 'INVALID' when w > 0 then 'VALID_WITH_WARNINGS' else 'VALID' end as status
 from (select symbol, count(*) as observations from arrived group by 1) left join
  (select symbol, count(*) filter (where severity = 'ERROR') as e, count(*) filter (where severity = 'WARNING') as w,
-   (list(message order by position, message) filter (where severity = 'ERROR'))[1] as first_error from findings group by 1) using (symbol)""", "findings"))
+   (list(message order by position, item) filter (where severity = 'ERROR'))[1] as first_error from findings group by 1) using (symbol)""", "findings"))
 def flt05_status(spark, sf):
     return Q.series_status(D.arrivals(spark, sf), _as_of())
 
