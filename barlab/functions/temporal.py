@@ -14,8 +14,8 @@ RELEASE_DATE_LAYOUTS = ("MMMM d yyyy", "MMM d yyyy", "d MMMM yyyy", "d MMM yyyy"
 def exchange_wall_time(text: Column) -> Column:
     """Text with an offset is moved to exchange time; text without one already is (FN8)."""
     has_offset = text.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
-    stamp = F.try_to_timestamp(text)
-    return F.when(has_offset, F.from_utc_timestamp(stamp, EXCHANGE_ZONE)).otherwise(stamp)
+    stamp = F.try_to_timestamp(text).cast("timestamp_ntz")
+    return F.when(has_offset, F.convert_timezone(None, F.lit(EXCHANGE_ZONE), stamp)).otherwise(stamp)
 
 
 def expected_session(now: Column, close_hour: int = SESSION_CLOSE_HOUR) -> Column:

@@ -225,16 +225,12 @@ def jn06(spark, sf):
 
 
 @query("tk06_explorer_sort", sql("""
-select s.symbol, round(distance_from_high, 6) as distance_from_high, row_number() over (order by distance_from_high desc nulls last, s.symbol) as place
-from scanned s left join feat f on f.symbol = s.symbol order by place limit 80""", "scanned", "feat"))
+select s.symbol, round(distance_from_high, 6) as distance_from_high, row_number() over (order by distance_from_high desc nulls last, s.symbol) - 1 as place
+from scanned s left join feat f on f.symbol = s.symbol""", "scanned", "feat"))
 def tk06(spark, sf):
     screen = X.Screen(sort="distance_from_high", direction="desc")
-    found = X.screen_rows(scan(spark, sf), D.feature_quality(spark, sf), screen)
-    top = found.orderBy(*X.screen_order(screen)).limit(80)
-    # the report is 80 rows long, so numbering it needs no more than one task
-    from pyspark.sql import Window
-    return tidy(top.withColumn("place", F.row_number().over(Window.orderBy(*X.screen_order(screen))))
-                .select("symbol", "distance_from_high", "place"))
+    found = X.screen_rows(scan(spark, sf), D.feature_quality(spark, sf), screen).select("symbol", "distance_from_high")
+    return tidy(RK.positions(found, X.screen_order(screen), "place"))
 
 
 @query("vw2_explorer_page", sql("""
