@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from barlab.session import materialize
+
 FOREVER = "9999-12-31"
 
 
@@ -196,3 +198,32 @@ def drift_states(line: DataFrame, snapshot: DataFrame) -> DataFrame:
     oldest = sized.agg(F.min_by("_drift", "effective_date").alias("drift")).filter("drift is not null") \
         .select(F.lit(None).cast("date").alias("since"), "drift")
     return later.unionByName(oldest)
+
+
+class Reconstruction:
+    """One study's membership. The settled changes and the states feed every audit step, so
+    they are kept in the shared folder once instead of being planned anew for each."""
+
+    def __init__(self, events: DataFrame, voids: DataFrame, aliases: DataFrame, snapshot: DataFrame, snap_date: Column):
+        self.snap_date = snap_date
+        self.snapshot = materialize(snapshot.select("symbol").distinct())
+        self.changes = materialize(settled(events, voids, aliases))
+        self.states = materialize(state_changes(self.changes, self.snapshot, snap_date))
+
+    def anomalies(self) -> DataFrame:
+        return anomalies(self.states)
+
+    def segments(self) -> DataFrame:
+        return segments(self.states, self.snapshot)
+
+    def intervals(self) -> DataFrame:
+        return intervals(self.states, self.snapshot, open_end(self.changes, self.snap_date).scalar())
+
+    def timeline(self) -> DataFrame:
+        return timeline(self.states, self.snapshot)
+
+    def anomaly_windows(self) -> DataFrame:
+        return anomaly_windows(self.changes, self.anomalies(), self.snapshot)
+
+    def drift_states(self) -> DataFrame:
+        return drift_states(self.timeline(), self.snapshot)

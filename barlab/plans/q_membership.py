@@ -54,35 +54,27 @@ def aliases(spark, sf):
 
 
 def coverage(spark, sf):
-    """First and last bar of the snapshot's symbols, from purchases."""
-    return dated(spark, sf).filter("event_type = 'purchase'").groupBy("symbol").agg(
-        F.min("date").alias("first_bar"), F.max("date").alias("last_bar")).join(snapshot(spark, sf), "symbol", "left_semi")
+    return covered(spark, sf, snapshot(spark, sf))
 
 
 def sessions(spark, sf):
     return dated(spark, sf).select(F.col("date").alias("trading_date")).distinct().filter(F.col("trading_date") <= day(LAST))
 
 
-def changes(spark, sf):
-    return M.settled(events(spark, sf), voids(spark, sf), aliases(spark, sf))
-
-
-def states(spark, sf):
-    return M.state_changes(changes(spark, sf), snapshot(spark, sf), day(SNAP))
-
+def study(spark, sf):
+    return M.Reconstruction(events(spark, sf), voids(spark, sf), aliases(spark, sf), snapshot(spark, sf), day(SNAP))
 
-def intervals(spark, sf):
-    end = M.open_end(changes(spark, sf), day(SNAP)).scalar()
-    return M.intervals(states(spark, sf), snapshot(spark, sf), end)
 
-
-def windows(spark, sf):
-    return M.anomaly_windows(changes(spark, sf), M.anomalies(states(spark, sf)), snapshot(spark, sf))
+def covered(spark, sf, found):
+    """First and last bar of the snapshot's symbols, from purchases."""
+    return dated(spark, sf).filter("event_type = 'purchase'").groupBy("symbol").agg(
+        F.min("date").alias("first_bar"), F.max("date").alias("last_bar")).join(found, "symbol", "left_semi")
 
 
 def classed(spark, sf):
-    samples = V.candidate_samples(coverage(spark, sf), sessions(spark, sf), day(LAST))
-    return V.classify_samples(samples, intervals(spark, sf), windows(spark, sf))
+    s = study(spark, sf)
+    samples = V.candidate_samples(covered(spark, sf, s.snapshot), sessions(spark, sf), day(LAST))
+    return V.classify_samples(samples, s.intervals(), s.anomaly_windows())
 
 
 view("dated", """
@@ -187,17 +179,17 @@ def jn10(spark, sf):
 
 @query("mem01_intervals", sql("select * from ivl", "ivl"))
 def mem01(spark, sf):
-    return intervals(spark, sf)
+    return study(spark, sf).intervals()
 
 
 @query("mem02_anomalies", sql("select * from anom", "anom"))
 def mem02(spark, sf):
-    return M.anomalies(states(spark, sf))
+    return study(spark, sf).anomalies()
 
 
 @query("mem03_timeline", sql("select * from tl", "tl"))
 def mem03(spark, sf):
-    return M.timeline(states(spark, sf), snapshot(spark, sf))
+    return study(spark, sf).timeline()
 
 
 @query("mem04_listed_not_applied", sql("""
@@ -214,7 +206,7 @@ def mem05(spark, sf):
 
 @query("mem06_anomaly_windows", sql("select * from wnd", "wnd"))
 def mem06(spark, sf):
-    return windows(spark, sf)
+    return study(spark, sf).anomaly_windows()
 
 
 @query("mem07_sample_classes", sql("select * from smpc", "smpc"))
@@ -224,22 +216,24 @@ def mem07(spark, sf):
 
 @query("mem08_drift_states", sql("select * from drift", "drift"))
 def mem08(spark, sf):
-    return M.drift_states(M.timeline(states(spark, sf), snapshot(spark, sf)), snapshot(spark, sf))
+    return study(spark, sf).drift_states()
 
 
 @query("set03_member_set", sql("""
 select symbol, before as before_first_event from (select symbol, before, row_number() over (partition by symbol order by effective_date) as z from stt) where z = 1""", "stt"))
 def set03(spark, sf):
-    opening = M.segments(states(spark, sf), snapshot(spark, sf)).filter("start is null")
-    touched = states(spark, sf).select("symbol").distinct()
+    s = study(spark, sf)
+    opening = s.segments().filter("start is null")
+    touched = s.states.select("symbol").distinct()
     return opening.join(touched, "symbol", "left_semi").select("symbol", F.col("member").alias("before_first_event"))
 
 
 @query("jn11_was_member", sql("""
 select symbol, trading_date, exists (select 1 from ivl i where i.symbol = s.symbol and (member_from is null or member_from <= trading_date) and trading_date < member_until) as member from smp s""", "smp", "ivl"))
 def jn11(spark, sf):
-    samples = V.candidate_samples(coverage(spark, sf), sessions(spark, sf), day(LAST))
-    return V.was_member(samples, intervals(spark, sf))
+    s = study(spark, sf)
+    samples = V.candidate_samples(covered(spark, sf, s.snapshot), sessions(spark, sf), day(LAST))
+    return V.was_member(samples, s.intervals())
 
 
 @query("jn12_candidate_samples", sql("select * from smp", "smp"))
@@ -247,13 +241,9 @@ def jn12(spark, sf):
     return V.candidate_samples(coverage(spark, sf), sessions(spark, sf), day(LAST))
 
 
-def drift(spark, sf):
-    return M.drift_states(M.timeline(states(spark, sf), snapshot(spark, sf)), snapshot(spark, sf))
-
-
 @query("jn13_drift_in_force", sql("select * from sdrift", "sdrift"))
 def jn13(spark, sf):
-    return V.drift_on(sessions(spark, sf), drift(spark, sf))
+    return V.drift_on(sessions(spark, sf), study(spark, sf).drift_states())
 
 
 @query("jn17_departed_names", sql("""
@@ -297,8 +287,8 @@ select symbol from mcov m where exists (select 1 from msess s where trading_date
  (exists (select 1 from wnd w where w.symbol = m.symbol and w.start <= trading_date and trading_date < w.until)
   or not exists (select 1 from ivl i where i.symbol = m.symbol and (member_from is null or member_from <= trading_date) and trading_date < member_until)))""", "mcov", "msess", "wnd", "ivl"))
 def ag18(spark, sf):
-    pieces = M.segments(states(spark, sf), snapshot(spark, sf))
-    return V.not_full_period(coverage(spark, sf), pieces, sessions(spark, sf), day(W1), day(LAST))
+    s = study(spark, sf)
+    return V.not_full_period(covered(spark, sf, s.snapshot), s.segments(), sessions(spark, sf), day(W1), day(LAST))
 
 
 @query("ag19_members_outside_universe", sql("""
@@ -309,17 +299,19 @@ m as (select trading_date, count(distinct symbol) as m, count(distinct symbol) f
 select year, count(*) as sessions_sampled, round(coalesce(sum(m), 0)::double / count(*), 1) as mean_members, round(coalesce(sum(absent), 0)::double / count(*), 1) as mean_not_in_universe,
   coalesce(round(sum(absent) * 100.0::double / nullif(sum(m), 0), 2), 0.0) as share_pct from pick left join m using (trading_date) group by 1""", "msess", "ivl").replace("\n, pick as", ", pick as", 1))
 def ag19(spark, sf):
-    return tidy(V.members_outside_universe(intervals(spark, sf), snapshot(spark, sf), sessions(spark, sf)))
+    s = study(spark, sf)
+    return tidy(V.members_outside_universe(s.intervals(), s.snapshot, sessions(spark, sf)))
 
 
 @query("ag20_drift_by_year", sql("select year(trading_date) as year, round(avg(drift), 2) as mean_drift, max(abs(drift)) as max_abs_drift from sdrift group by 1", "sdrift"))
 def ag20(spark, sf):
-    return tidy(V.drift_by_year(sessions(spark, sf), drift(spark, sf)))
+    return tidy(V.drift_by_year(sessions(spark, sf), study(spark, sf).drift_states()))
 
 
 @query("ag21_early_entries", sql("select symbol, member_from, first_bar from ivl join mcov using (symbol) where member_from < first_bar", "ivl", "mcov"))
 def ag21(spark, sf):
-    return V.early_entries(intervals(spark, sf), coverage(spark, sf))
+    s = study(spark, sf)
+    return V.early_entries(s.intervals(), covered(spark, sf, s.snapshot))
 
 
 @query("ag22_removed_coverage", sql("""
