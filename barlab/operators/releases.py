@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barlab.functions.temporal import release_date_text
+from barlab.functions.text import strip
 
 # Line shapes of the announcements.
 INDEX_HEADING = r"(?i)^\s*(?:\d{1,2}|[A-Za-z])[\.\)]\s*(?:S&P\s+)?(?:CNX\s+|NIFTY\s*)500(?:\s+Index)?\s*:?\s*$"
@@ -34,7 +35,7 @@ def _by_line() -> Window:
 def kept_lines(documents: DataFrame) -> DataFrame:
     """Non-empty lines of every document, as an array per document."""
     parts = F.split("text", r"\r\n|[\n\r\x0B\x0C]")
-    return documents.select("file", F.filter(parts, lambda l: F.trim(l) != "").alias("lines"))
+    return documents.select("file", F.filter(parts, lambda l: strip(l) != "").alias("lines"))
 
 
 def numbered_lines(documents: DataFrame) -> DataFrame:
@@ -58,7 +59,7 @@ def index_sections(lines: DataFrame) -> DataFrame:
 def section_rows(sections: DataFrame) -> DataFrame:
     """Companies listed under the action last named in their section; a numbered row without a
     readable symbol is reported, not repaired (TXT2)."""
-    s = F.trim("line")
+    s = strip(F.col("line"))
     is_row = s.rlike(COMPANY_ROW)
     said = F.coalesce(*[F.nullif(F.regexp_extract(s, ACTION_WORDS, i), F.lit("")) for i in (1, 2, 3)])
     names_action = F.when(said.isNotNull() & ~is_row, F.lower(said))
@@ -72,12 +73,12 @@ def section_rows(sections: DataFrame) -> DataFrame:
     return rows.filter(readable | numbered).select(
         "file", "section", "line_no", F.when(F.col("said") == "included", "INCLUDE").otherwise("EXCLUDE").alias("action"),
         F.when(readable, symbol).alias("symbol"),
-        F.when(readable, F.trim(F.regexp_extract("_s", COMPANY_ROW, 2))).otherwise(F.col("_s")).alias("name"))
+        F.when(readable, strip(F.regexp_extract("_s", COMPANY_ROW, 2))).otherwise(F.col("_s")).alias("name"))
 
 
 def remark_rows(lines: DataFrame) -> DataFrame:
     """Rows of the index in a remarks table; a revoked change becomes a cancellation (TXT3)."""
-    s = F.trim("line")
+    s = strip(F.col("line"))
     whole = Window.partitionBy("file")
     until_here = _by_line().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     titled = F.col("line").rlike("Remarks") & F.col("line").contains("Symbol")
@@ -92,7 +93,7 @@ def remark_rows(lines: DataFrame) -> DataFrame:
     revoked = F.regexp_extract("_s", REMARK_ROW, 4) != ""
     return inside.select("file", "line_no", F.when(revoked, F.concat(F.lit("CANCEL_"), kind)).otherwise(kind).alias("action"),
                          F.regexp_extract("_s", REMARK_ROW, 2).alias("symbol"),
-                         F.trim(F.regexp_extract("_s", REMARK_ROW, 1)).alias("name"))
+                         strip(F.regexp_extract("_s", REMARK_ROW, 1)).alias("name"))
 
 
 def release_dates(documents: DataFrame) -> DataFrame:

@@ -3,6 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from barlab.functions.text import strip
+
 # The shape of a symbol, the placeholder prefix and the equity segment's names.
 SYMBOL_PATTERN = r"^[A-Z0-9&._-]{1,32}$"
 PLACEHOLDER_PREFIX = "DUMMY"
@@ -15,7 +17,7 @@ SYNC_EXCHANGE = "NSE"
 
 def normalize_symbols(universe: DataFrame) -> DataFrame:
     """Trim and upper-case; a malformed symbol keeps its row with an error text (FLT1)."""
-    raw = F.trim(F.coalesce("symbol", F.lit("")))
+    raw = strip(F.coalesce("symbol", F.lit("")))
     symbol = F.upper(raw)
     error = F.concat(F.lit("Malformed symbol: "), raw)
     return universe.withColumn("normalization_error", F.when(~symbol.rlike(SYMBOL_PATTERN), error)) \
@@ -68,7 +70,7 @@ def accepted(instruments: DataFrame) -> DataFrame:
 
 
 def _clean(col: str) -> Column:
-    return F.upper(F.trim(F.coalesce(F.col(col), F.lit(""))))
+    return F.upper(strip(F.coalesce(F.col(col), F.lit(""))))
 
 
 def map_constituents(members: DataFrame, instruments: DataFrame) -> DataFrame:
@@ -144,7 +146,7 @@ def sync_candidates(instruments: DataFrame) -> DataFrame:
     keep = (F.col("exchange") == SYNC_EXCHANGE) & F.col("instrument_type").isin(*SYNC_TYPES)
     bare = F.when(F.contains("symbol", F.lit(":")), F.split_part("symbol", F.lit(":"), F.lit(2))).otherwise(F.col("symbol"))
     return instruments.select(
-        bare.alias("symbol"), F.trim(F.coalesce("name", F.lit(""))).alias("company_name"), "exchange", "isin",
+        bare.alias("symbol"), strip(F.coalesce("name", F.lit(""))).alias("company_name"), "exchange", "isin",
         F.coalesce(keep, F.lit(False)).alias("kept"))
 
 
