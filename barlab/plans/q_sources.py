@@ -117,11 +117,9 @@ def src7(spark, sf):
 
 @query("src8_newest_input", sql("select date, description from hol where year(date) = (select max(year(date)) from hol)", "hol"))
 def src8(spark, sf):
-    h = D.holidays(spark, sf)
     base = scratch_path(spark, "dated")
-    for year in [r["y"] for r in h.select(F.year("date").alias("y")).distinct().collect()]:  # one file per calendar year
-        h.filter(F.year("date") == year).coalesce(1).write.parquet(f"{base}/trading_{year}")
-    newest = files.newest_by_name(spark, f"{base}/trading_*")
+    D.holidays(spark, sf).withColumn("year", F.year("date")).write.partitionBy("year").parquet(base)
+    newest = files.newest_by_name(spark, f"{base}/year=*")
     return spark.read.parquet(newest.rsplit("/", 1)[0])
 
 

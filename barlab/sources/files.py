@@ -89,9 +89,8 @@ def fingerprints(spark: SparkSession, path: str) -> DataFrame:
 
 
 def newest_by_name(spark: SparkSession, path: str) -> str:
-    """The newest of dated input files, by file name (SRC8). Only names are read."""
-    row = (spark.read.format("binaryFile").load(path).select("path")
-           .agg(F.max_by("path", F.element_at(F.split("path", "/"), -1)).alias("p")).first())
+    """The newest of dated input files, by name (SRC8). Only names are read."""
+    row = spark.read.format("binaryFile").load(path).select("path").agg(F.max("path").alias("p")).first()
     if row is None or row["p"] is None:
         raise SourceError(f"no file matches {path}")
     return row["p"]
