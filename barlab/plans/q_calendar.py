@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barlab.operators import adjustment as A
 from barlab.operators import bars as B
 from barlab.operators import calendar as K
 from barlab.operators import classify as C
@@ -288,3 +289,18 @@ def vw5(spark, sf):
     paged = R.page(D.scan_runs(spark, sf), [F.desc("started_at"), F.asc("run_id")], 1, 25)
     return R.summarize(paged).select("run_id", "status", "scan_label",
                                      K.running_stale(F.col("status"), F.col("started_at"), at).alias("running_stale_warning"), "total")
+
+
+@query("jn14_across_ex_date", sql("""
+, e as (select concat('S', lpad(cast(o_custkey as varchar), 6, '0')) as symbol, cast(o_orderdate as date) as ex_date, case when o_orderpriority = '1-URGENT' then 2.0::double else 5.0::double end as price_divisor
+  from orders group by 1, 2, 3),
+x as (select e.*, (select max(trading_date) from bars b where b.symbol = e.symbol and trading_date < ex_date) as db, (select min(trading_date) from bars b where b.symbol = e.symbol and trading_date >= ex_date) as da from e)
+select x.symbol, ex_date, price_divisor, db as date_before, b.close as close_before, da as date_on_or_after, a.close as close_on_or_after, round(a.close / b.close, 6) as observed_ratio,
+  1 / price_divisor as unadjusted_expected_ratio, round(abs(a.close / b.close - 1), 6) as distance_to_adjusted, round(abs(a.close / b.close - 1 / price_divisor), 6) as distance_to_unadjusted,
+  a.close is not null and b.close is not null as conclusive
+from x left join bars b on b.symbol = x.symbol and b.trading_date = db left join bars a on a.symbol = x.symbol and a.trading_date = da""", "bars").replace("\n, e as", ", e as", 1))
+def jn14(spark, sf):
+    divisor = F.when(F.col("o_orderpriority") == "1-URGENT", 2.0).otherwise(5.0)
+    events = D.table(spark, sf, "orders").select(D.symbol_of(F.col("o_custkey")).alias("symbol"), F.to_date("o_orderdate").alias("ex_date"),
+                                                 divisor.alias("price_divisor")).distinct()
+    return tidy(A.compare_across_events(D.bars(spark, sf), events))
