@@ -86,6 +86,18 @@ def point_in_time_breaks(bars: DataFrame, low: float, high: float) -> DataFrame:
             .drop("_bar", "prior_close"))
 
 
+def with_jump(closes: DataFrame, low: float, high: float) -> DataFrame:
+    """Marks a 2dp close that jumps from the one before it; a prior of 0 is passed over.
+
+    Compared as close against threshold * prior, so no decimal quotient is rounded.
+    """
+    low_d, high_d = F.lit(str(low)).cast("decimal(18,6)"), F.lit(str(high)).cast("decimal(18,6)")
+    prior = F.col("_prior_2dp")
+    jump = (F.col("close_2dp") < low_d * prior) | (F.col("close_2dp") > high_d * prior)
+    return (closes.withColumn("_prior_2dp", F.lag("close_2dp").over(by_symbol()))
+            .withColumn("jump", F.coalesce(F.when(prior != 0, jump), F.lit(False))).drop("_prior_2dp"))
+
+
 def any_break(candles: DataFrame, low: float, high: float) -> DataFrame:
     """Per symbol, whether any two neighbouring valid 2dp closes jump (IND11).
 
@@ -93,13 +105,7 @@ def any_break(candles: DataFrame, low: float, high: float) -> DataFrame:
     """
     closes = (candles.filter("valid").groupBy("symbol", "trading_date")
               .agg(F.max("close_2dp").alias("close_2dp")))
-    prior = F.lag("close_2dp").over(by_symbol())
-    low_d, high_d = F.lit(str(low)).cast("decimal(18,6)"), F.lit(str(high)).cast("decimal(18,6)")
-    # compared as close against threshold * prior, so no decimal quotient is rounded
-    jump = (F.col("close_2dp") < low_d * F.col("prior")) | (F.col("close_2dp") > high_d * F.col("prior"))
-    return (closes.withColumn("prior", prior)
-            .groupBy("symbol")
-            .agg(F.coalesce(F.bool_or(F.when(F.col("prior") != 0, jump)), F.lit(False)).alias("price_break_detected")))
+    return with_jump(closes, low, high).groupBy("symbol").agg(F.bool_or("jump").alias("price_break_detected"))
 
 
 def last_n_if_enough(bars: DataFrame, n: int) -> DataFrame:

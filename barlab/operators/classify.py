@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barlab.functions.numeric import money2
-from barlab.operators.bars import any_break
+from barlab.operators.bars import with_jump
 from barlab.operators.quality import validate_candles
 
 STATUSES = ("VALID", "INSUFFICIENT_HISTORY", "STALE", "FAILED")
@@ -23,10 +23,19 @@ def classify(symbols: DataFrame, valid: DataFrame, window: DataFrame, last_close
     symbols: symbol; valid: symbol, trading_date; window: the trailing sessions, at most as
     many rows as its length, hence safe to broadcast.
     """
-    size = window.agg(F.count(F.lit(1))).scalar()
-    marks = F.broadcast(window.select("trading_date").withColumn("_in", F.lit(1)))
-    counts = (valid.select("symbol", "trading_date").distinct().join(marks, "trading_date", "left")
+    counts = (_marked(valid.select("symbol", "trading_date").distinct(), window)
               .groupBy("symbol").agg(F.count("_in").alias("available"), F.max("trading_date").alias("latest_valid")))
+    return _judge(symbols, counts, window, last_closed, required)
+
+
+def _marked(valid: DataFrame, window: DataFrame) -> DataFrame:
+    marks = F.broadcast(window.select("trading_date").withColumn("_in", F.lit(1)))
+    return valid.join(marks, "trading_date", "left")
+
+
+def _judge(symbols: DataFrame, counts: DataFrame, window: DataFrame, last_closed: Column, required: int) -> DataFrame:
+    size = window.agg(F.count(F.lit(1))).scalar()
+    carried = [c for c in counts.columns if c not in ("symbol", "available", "latest_valid")]
     rows = (symbols.join(counts, "symbol", "left")
             .withColumn("available", F.coalesce("available", F.lit(0).cast("bigint")))
             .withColumn("window_size", size).withColumn("last_closed", last_closed)
@@ -39,7 +48,7 @@ def classify(symbols: DataFrame, valid: DataFrame, window: DataFrame, last_close
     return rows.select(
         *symbols.columns, F.when(short, "INSUFFICIENT_HISTORY").when(late, "STALE").otherwise("VALID").alias("status"),
         F.when(short, few).when(late, old).alias("status_reason"), "available", "missing",
-        (F.col("missing") > 0).alias("history_gaps"))
+        (F.col("missing") > 0).alias("history_gaps"), *carried)
 
 
 def scan(members: DataFrame, keys: DataFrame, failures: DataFrame, candles: DataFrame, reviews: DataFrame,
@@ -54,11 +63,13 @@ def scan(members: DataFrame, keys: DataFrame, failures: DataFrame, candles: Data
     failed = (F.when(F.col("instrument_key").isNull(),
                      F.concat(F.lit("no instrument-master match for ISIN "), F.col("isin"))).otherwise(F.col("error")))
     known = known.withColumn("failed_reason", failed).withColumn("non_eq_series", F.col("series") != "EQ").drop("error")
-    checked = validate_candles(candles).select("symbol", "trading_date", F.col("status") == "VALID",
-                                               money2(F.col("close"))).toDF("symbol", "trading_date", "valid", "close_2dp")
-    valid = checked.filter("valid")
-    rows = classify(known, valid, window, last_closed, required)
-    rows = (rows.join(any_break(checked, low, high), "symbol", "left")
+    valid = (validate_candles(candles).filter("status = 'VALID'")
+             .groupBy("symbol", "trading_date").agg(F.max(money2(F.col("close"))).alias("close_2dp")))
+    # window marks and jumps come out of one pass over the valid candles of a symbol
+    counts = with_jump(_marked(valid, window), low, high).groupBy("symbol").agg(
+        F.count("_in").alias("available"), F.max("trading_date").alias("latest_valid"),
+        F.bool_or("jump").alias("price_break_detected"))
+    rows = (_judge(known, counts, window, last_closed, required)
             .join(under_review(reviews, fetch_first, fetch_last).withColumn("_review", F.lit(True)), "symbol", "left"))
     bad = F.col("failed_reason").isNotNull()
     flag = lambda c: F.when(bad, False).otherwise(F.coalesce(F.col(c), F.lit(False)))

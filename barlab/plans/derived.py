@@ -11,6 +11,7 @@ from barlab.operators import classify as C
 from barlab.operators import features
 from barlab.operators import quality as Q
 from barlab.operators import universe as U
+from barlab.session import materialize
 
 # Parameters of the registered queries. The break band is narrower than a split's 0.5 / 2.0
 # because the derived closes move less.
@@ -38,12 +39,16 @@ def fills(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bars(spark: SparkSession, sf: str) -> DataFrame:
-    """One bar per (symbol, day). First and last fill come from a map-side min and max, so a
-    supplier holding a third of all fills is reduced before the exchange."""
-    place = F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "p")
+    """One bar per (symbol, day). First and last fill come from a map-side minimum and maximum,
+    so a supplier holding a third of all fills is reduced before the exchange. The order of
+    fills (order, line, price in cents) is one decimal: a fixed-width key keeps the whole
+    aggregate hashed, where a struct would have it sorted.
+    """
+    line = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("decimal(20,0)")
+    place = line * F.lit(10 ** 11).cast("decimal(12,0)") + F.round(F.col("l_extendedprice") * 100).cast("decimal(11,0)")
     days = fills(spark, sf).groupBy("l_suppkey", "trading_date").agg(
-        F.min(place)["p"].alias("open"), F.max(F.col("p") * (1 + F.col("l_tax"))).alias("high"),
-        F.min(F.col("p") * (1 - F.col("l_discount"))).alias("low"), F.max(place)["p"].alias("close"),
+        F.min_by("p", place).alias("open"), F.max(F.col("p") * (1 + F.col("l_tax"))).alias("high"),
+        F.min(F.col("p") * (1 - F.col("l_discount"))).alias("low"), F.max_by("p", place).alias("close"),
         F.sum("l_quantity").alias("volume"))
     r4 = lambda c: F.round(c, 4).alias(c)
     return days.select(symbol_of(F.col("l_suppkey")).alias("symbol"), "trading_date",
@@ -56,17 +61,22 @@ def benchmark(spark: SparkSession, sf: str, daily: DataFrame | None = None) -> D
         (F.sum(F.col("close").cast("decimal(18,4)")).cast("double") / F.count(F.lit(1))).alias("close"))
 
 
+def stored_bars(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars written down once, for queries that read them several times."""
+    return materialize(bars(spark, sf), "bars")
+
+
 def weekly_bars(spark: SparkSession, sf: str) -> DataFrame:
     """Weeks serve as sessions where daily bars are too sparse for a calendar."""
     return bars(spark, sf).groupBy("symbol", F.to_date(F.date_trunc("week", "trading_date")).alias("trading_date")).agg(
         F.max_by("close", "trading_date").alias("close"), F.sum("volume").alias("volume"))
 
 
-def raw_candles(spark: SparkSession, sf: str) -> DataFrame:
+def raw_candles(spark: SparkSession, sf: str, daily: DataFrame | None = None) -> DataFrame:
     """Bars with planted defects: missing open, swapped high and low, a price that rounds to
     zero, negative and zero volume."""
     k = F.substring("symbol", 2, 9).cast("int") * 31 + F.datediff("trading_date", F.lit("1990-01-01").cast("date"))
-    b = bars(spark, sf).withColumn("k", k)
+    b = (bars(spark, sf) if daily is None else daily).withColumn("k", k)
     hit = lambda n: F.col("k") % n == 0
     return b.select(
         "symbol", "trading_date",
@@ -120,9 +130,9 @@ def scan_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_totalprice").alias("requested"))
 
 
-def feature_quality(spark: SparkSession, sf: str) -> DataFrame:
+def feature_quality(spark: SparkSession, sf: str, daily: DataFrame | None = None) -> DataFrame:
     """Features and quality of every symbol with bars, before the staleness pass."""
-    daily = bars(spark, sf)
+    daily = bars(spark, sf) if daily is None else daily
     return features.compute_features(daily, benchmark(spark, sf, daily), PARAMS)
 
 
@@ -204,9 +214,9 @@ def vendor_gaps(spark: SparkSession, sf: str) -> DataFrame:
         F.date_add("trading_date", 1).alias("date"), symbol_of(F.col("l_suppkey")).alias("instrument")).distinct()
 
 
-def weekly_candles(spark: SparkSession, sf: str) -> DataFrame:
+def weekly_candles(spark: SparkSession, sf: str, daily: DataFrame | None = None) -> DataFrame:
     last = lambda c: F.max_by(c, "trading_date").alias(c)
-    return raw_candles(spark, sf).groupBy(
+    return raw_candles(spark, sf, daily).groupBy(
         "symbol", F.to_date(F.date_trunc("week", "trading_date")).alias("week")).agg(
         last("open"), F.max("high").alias("high"), F.min("low").alias("low"), last("close"),
         F.sum("volume").alias("volume")).withColumnRenamed("week", "trading_date")

@@ -17,20 +17,22 @@ from barlab.plans.derived import PARAMS as P
 from barlab.plans.oracle_views import ema_sql, sql, view
 from barlab.plans.q_calendar import scan
 from barlab.plans.registry import query, tidy
+from barlab.session import materialize
 
 PERIODS = {"short": P.ema_short, "medium": P.ema_medium, "long": P.ema_long}
 view("frow", "select f.*, s.sector from feat f left join scanned s using (symbol)", "feat", "scanned")
 
 
-def rows(spark, sf):
-    return S.feature_rows(D.feature_quality(spark, sf), scan(spark, sf), D.bars(spark, sf))
+def rows(spark, sf, daily=None):
+    daily = D.stored_bars(spark, sf) if daily is None else daily
+    return S.feature_rows(D.feature_quality(spark, sf, daily), scan(spark, sf, daily), daily)
 
 
-def plain_rows(spark, sf):
+def plain_rows(spark, sf, daily=None):
     """Feature rows without the scan, where no sector is needed."""
-    daily = D.bars(spark, sf)
+    daily = D.stored_bars(spark, sf) if daily is None else daily
     closes = daily.groupBy("symbol", F.col("trading_date").alias("last_date")).agg(F.max("close").alias("close"))
-    return D.feature_quality(spark, sf).join(closes, ["symbol", "last_date"], "left")
+    return D.feature_quality(spark, sf, daily).join(closes, ["symbol", "last_date"], "left")
 
 
 @query("jn04_feature_rows", sql("""
@@ -43,9 +45,10 @@ def jn04(spark, sf):
 select symbol, last_date, close, break_date, round(break_ratio, 6) as break_ratio, round(rsi, 6) as rsi from feat
 where symbol in (select symbol from rev where review_state = 'OPEN')""", "feat", "rev"))
 def jn05(spark, sf):
-    f = D.feature_quality(spark, sf)
+    daily = D.stored_bars(spark, sf)
+    f = materialize(D.feature_quality(spark, sf, daily))
     wanted = D.reviews(spark, sf).filter("review_state = 'OPEN'")
-    out = S.features_of(wanted, f.drop("break_date", "break_ratio"), f, D.bars(spark, sf))
+    out = S.features_of(wanted, f.drop("break_date", "break_ratio"), f, daily)
     return tidy(out.select("symbol", "last_date", "close", "break_date", "break_ratio", "rsi"))
 
 
@@ -64,21 +67,21 @@ def ag06(spark, sf):
 
 @query("ag06_rsi_summary", sql('select count(rsi) as "of", round(median(rsi), 4) as median from feat', "feat"))
 def ag06_summary(spark, sf):
-    return S.rsi_summary(D.feature_quality(spark, sf))
+    return S.rsi_summary(materialize(D.feature_quality(spark, sf)))
 
 
 @query("ag07_roc_summary", sql("""
 select count(*) filter (where roc > 0) as positive, count(roc) as "of", round(median(roc), 4) as median,
   round(count(*) filter (where roc > 0) * 100.0::double / count(roc), 1) as pct from feat""", "feat"))
 def ag07(spark, sf):
-    return S.roc_summary(D.feature_quality(spark, sf))
+    return S.roc_summary(materialize(D.feature_quality(spark, sf)))
 
 
 @query("ag08_high_proximity", sql("""
 select count(distance_from_high) as "of", count(*) filter (where distance_from_high <= 0) as at_high,
  count(*) filter (where distance_from_high is null) as no_value, round(median(distance_from_high), 4) as median from feat""", "feat"))
 def ag08(spark, sf):
-    return S.high_proximity(D.feature_quality(spark, sf))
+    return S.high_proximity(materialize(D.feature_quality(spark, sf)))
 
 
 @query("ag08_distance_buckets", sql("""
@@ -98,7 +101,7 @@ select coalesce(sector, 'UNKNOWN') as sector, count(*) as n, count(*) filter (wh
 
 @query("ag09_sector_strength", sql(STRENGTH, "frow"))
 def ag09(spark, sf):
-    return S.sector_strength(rows(spark, sf))
+    return S.sector_strength(materialize(rows(spark, sf)))
 
 
 STATUS_PIVOT = """
@@ -128,9 +131,10 @@ where hit""".replace("coalesce(concat('; E4 break on ', nullif(bon, '')), '')",
      "scanned", "quality")
 
 
-def warned(spark, sf):
-    quality = FT.mark_stale(D.feature_quality(spark, sf), D.bars(spark, sf))
-    return S.warnings(scan(spark, sf), quality, "v1", P.high_window)
+def warned(spark, sf, daily=None):
+    daily = D.stored_bars(spark, sf) if daily is None else daily
+    quality = FT.mark_stale(D.feature_quality(spark, sf, daily), daily)
+    return S.warnings(scan(spark, sf, daily), quality, "v1", P.high_window)
 
 
 @query("ag11_warning_list", sql("select symbol, company_name, sector, status, code, message from warned", "warned"))
@@ -197,7 +201,8 @@ SCREEN = X.Screen(text="supplier", flag="history_gaps", ranges={"rsi": (30.0, 70
 select s.symbol, s.status, round(rsi, 6) as rsi from scanned s left join feat f on f.symbol = s.symbol
 where (s.symbol ilike '%supplier%' or company_name ilike '%supplier%') and history_gaps and rsi >= 30 and rsi <= 70 and relative_volume <= 5""", "scanned", "feat"))
 def flt17(spark, sf):
-    return tidy(X.screen_rows(scan(spark, sf), D.feature_quality(spark, sf), SCREEN).select("symbol", "status", "rsi"))
+    daily = D.stored_bars(spark, sf)
+    return tidy(X.screen_rows(scan(spark, sf, daily), D.feature_quality(spark, sf, daily), SCREEN).select("symbol", "status", "rsi"))
 
 
 @query("flt17_unknown_sector", sql("select symbol, status from scanned where sector is null", "scanned"))
@@ -221,7 +226,8 @@ def flt18(spark, sf):
 @query("jn06_explorer_join", sql("""
 select s.symbol, s.status, round(rsi, 6) as rsi, round(roc, 6) as roc from scanned s left join feat f on f.symbol = s.symbol""", "scanned", "feat"))
 def jn06(spark, sf):
-    return tidy(X.screen_rows(scan(spark, sf), D.feature_quality(spark, sf), X.Screen()).select("symbol", "status", "rsi", "roc"))
+    daily = D.stored_bars(spark, sf)
+    return tidy(X.screen_rows(scan(spark, sf, daily), D.feature_quality(spark, sf, daily), X.Screen()).select("symbol", "status", "rsi", "roc"))
 
 
 @query("tk06_explorer_sort", sql("""
@@ -229,7 +235,8 @@ select s.symbol, round(distance_from_high, 6) as distance_from_high, row_number(
 from scanned s left join feat f on f.symbol = s.symbol""", "scanned", "feat"))
 def tk06(spark, sf):
     screen = X.Screen(sort="distance_from_high", direction="desc")
-    found = X.screen_rows(scan(spark, sf), D.feature_quality(spark, sf), screen).select("symbol", "distance_from_high")
+    daily = D.stored_bars(spark, sf)
+    found = X.screen_rows(scan(spark, sf, daily), D.feature_quality(spark, sf, daily), screen).select("symbol", "distance_from_high")
     return tidy(RK.positions(found, X.screen_order(screen), "place"))
 
 
@@ -237,10 +244,11 @@ def tk06(spark, sf):
 select s.symbol, s.status, s.sector, round(rsi, 6) as rsi, f.close, f.break_date, count(*) over () as total from scanned s left join feat f on f.symbol = s.symbol
 where coalesce(s.sector, '') <> '' and rsi >= 20 and s.sector = 'ASIA' order by rsi nulls last, s.symbol limit 5 offset 5""", "scanned", "feat"))
 def vw2(spark, sf):
-    f = D.feature_quality(spark, sf)
+    daily = D.stored_bars(spark, sf)
+    f, results = materialize(D.feature_quality(spark, sf, daily)), materialize(scan(spark, sf, daily))
     screen = X.Screen(sector="ASIA", ranges={"rsi": (20.0, None)}, sort="rsi")
-    paged = X.explore(scan(spark, sf), f, screen, 2, 5).select("symbol", "status", "sector", "rsi", "total")
-    more = S.features_of(paged, f.select("symbol", "last_date"), f, D.bars(spark, sf)).select("symbol", "close", "break_date")
+    paged = X.explore(results, f, screen, 2, 5).select("symbol", "status", "sector", "rsi", "total")
+    more = S.features_of(paged, f.select("symbol", "last_date"), f, daily).select("symbol", "close", "break_date")
     return tidy(paged.join(more, "symbol", "left"))
 
 
@@ -299,8 +307,8 @@ def vw1(spark, sf):
                                                       value.cast("double").alias("value"))
     latest = R.latest_complete(D.scan_runs(spark, sf))
     at = F.lit("2001-08-01 20:00:00").cast("timestamp")
-    rows_ = plain_rows(spark, sf)
-    daily = D.bars(spark, sf)
+    daily = D.stored_bars(spark, sf)
+    rows_ = materialize(plain_rows(spark, sf, daily))
     depth = K.history_depth(daily, D.benchmark(spark, sf, daily))
     parts = [
         item(latest, "run", F.col("run_id"), F.col("requested")),
@@ -310,7 +318,7 @@ def vw1(spark, sf):
         item(S.high_proximity(rows_), "median", F.lit("distance_from_high"), F.col("median")),
         item(depth, "history", F.lit("sessions"), F.col("sessions")),
         item(depth, "history", F.lit("symbols"), F.col("symbols")),
-        item(S.warning_counts(warned(spark, sf)), "warnings", F.col("code"), F.col("n"))]
+        item(S.warning_counts(warned(spark, sf, daily)), "warnings", F.col("code"), F.col("n"))]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -320,8 +328,9 @@ def vw1(spark, sf):
 @query("vw3_sector_overview", sql(f"""
 , a as ({STATUS_PIVOT}), b as ({STRENGTH}) select a.*, n, above_pct, median_roc from a left join b using (sector)""", "frow", "scanned").replace("\n, a as", ", a as", 1))
 def vw3(spark, sf):
-    results = scan(spark, sf)
-    strength = S.sector_strength(S.feature_rows(D.feature_quality(spark, sf), results, D.bars(spark, sf)))
+    daily = D.stored_bars(spark, sf)
+    results = materialize(scan(spark, sf, daily))
+    strength = S.sector_strength(materialize(S.feature_rows(D.feature_quality(spark, sf, daily), results, daily)))
     return S.sector_status(results).join(strength.select("sector", "n", "above_pct", "median_roc"), "sector", "left")
 
 
@@ -333,13 +342,14 @@ select s.symbol, s.status, s.sector, s.instrument_key, s.isin, s.series, f.last_
   case when f.symbol is not null then 90 end as n_candles
 from scanned s left join feat f on f.symbol = s.symbol left join liv on liv.symbol = s.symbol""", "scanned", "feat", "warned", "brk").replace("\n, shown as", ", shown as", 1))
 def vw4(spark, sf):
-    daily, f = D.bars(spark, sf), D.feature_quality(spark, sf)
+    daily = D.stored_bars(spark, sf)
+    f = materialize(D.feature_quality(spark, sf, daily))
     breaks = B.last_breaks(daily, P.break_low_ratio, P.break_high_ratio)
     chart = I.chart_ema(daily, breaks, {"chart_ema_short": P.ema_short}, 400)
     chart = chart.groupBy("symbol").agg(F.max_by("chart_ema_short", "trading_date").alias("chart_ema_short"))
-    candles = S.latest_snapshots(Q.snapshots(D.raw_candles(spark, sf)), 90).groupBy("symbol").agg(
+    candles = S.latest_snapshots(Q.snapshots(D.raw_candles(spark, sf, daily)), 90).groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n_candles"))
     more = S.features_of(f, f.drop("break_date", "break_ratio"), f, daily).select("symbol", "last_date", "rsi", "close", "break_date")
-    w = warned(spark, sf).select("symbol", "status", "sector", "instrument_key", "isin", "series",
+    w = warned(spark, sf, daily).select("symbol", "status", "sector", "instrument_key", "isin", "series",
                                  F.size("warnings").alias("n_warnings"))
     return tidy(w.join(more, "symbol", "left").join(chart, "symbol", "left").join(candles, "symbol", "left"))
