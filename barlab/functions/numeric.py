@@ -19,13 +19,6 @@ def hash_of_fields(*fields: Column) -> Column:
     return F.sha2(F.concat_ws("|", *[F.coalesce(f, F.lit("")) for f in fields]), 256)
 
 
-def bar_hash(day: Column, o: Column, h: Column, l: Column, c: Column, volume: Column) -> Column:
-    return hash_of_fields(
-        F.date_format(day, "yyyy-MM-dd"), money_text(o), money_text(h), money_text(l), money_text(c),
-        volume.cast("bigint").cast("string"),
-    )
-
-
 def share_pct(part: Column, whole: Column, digits: int = 1) -> Column:
     """Percentage of whole; null when whole is 0 (FN5)."""
     return F.round(F.try_divide(part * F.lit(100.0), whole), digits)

@@ -16,10 +16,27 @@ def roc(close: Column, lookback: int) -> Column:
     return (F.try_divide(close, prior) - 1) * 100
 
 
-def rolling_extreme(values: Column, n: int, exclude_current: bool = False, pick=F.max) -> Column:
+def with_rolling_extreme(rows: DataFrame, value: str, n: int, name: str, *, exclude_current: bool = False,
+                         lowest: bool = False, keys: tuple[str, ...] = ("symbol",)) -> DataFrame:
+    """Adds the highest (or lowest) of the last n values, null with fewer than n rows (IND6).
+
+    A sliding frame would visit n rows for every row. Here each run of rows is cut into blocks
+    of n; a window of n rows is the tail of one block and the head of the next, so a running
+    extreme from either end of the blocks answers it at a cost that does not grow with n.
+    """
     positive("window", n)
-    frame = by_symbol().rowsBetween(-n, -1) if exclude_current else by_symbol().rowsBetween(-(n - 1), 0)
-    return F.when(F.count(F.lit(1)).over(frame) == n, pick(values).over(frame))
+    pick, join = (F.min, F.least) if lowest else (F.max, F.greatest)
+    line = Window.partitionBy(*keys).orderBy("trading_date")
+    running = lambda order: Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    out = (rows.withColumn("_i", F.row_number().over(line) - 1).withColumn("_block", F.floor(F.col("_i") / n))
+           .withColumn("_tail", pick(value).over(running(F.desc("trading_date"))))
+           .withColumn("_head", pick(value).over(running(F.asc("trading_date")))))
+    full = F.when(F.col("_i") >= n - 1, join(F.col("_head"), F.lag("_tail", n - 1).over(line)))
+    out = out.withColumn(name, full)
+    if exclude_current:
+        out = out.withColumn(name, F.lag(name, 1).over(line))
+    return out.drop("_i", "_block", "_tail", "_head")
 
 
 def distance_from_high(close: Column, high: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barlab.functions.numeric import share_pct
 from barlab.operators.bars import by_symbol, is_break, with_close_ratio
-from barlab.operators.indicators import true_range
+from barlab.operators.indicators import true_range, with_rolling_extreme
 
 
 @dataclass(frozen=True)
@@ -88,14 +88,16 @@ def features_v1(bars: DataFrame, benchmark: DataFrame, p: PointInTimeParams) ->
     close = F.col("close")
     back = lambda c, k: F.lag(c, k).over(_stretch())
     pct = lambda now, then: (F.try_divide(now, then) - 1) * 100
+    for name, column, lowest in (("_high", "high", False), ("_low", "low", True)):
+        rows = with_rolling_extreme(rows, column, p.high_window, name, lowest=lowest, keys=("symbol", "_stretch", "_at_break"))
     # a full window of n bars holds n - 1 steps inside the stretch
     step = F.ln(F.try_divide(close, back("close", 1)))
     rows = rows.withColumn("_step", step).withColumn("_tr", true_range(F.col("high"), F.col("low"), back("close", 1)))
     prior = _stretch().rowsBetween(-p.rvol_window, -1)
     own = {
         **{f"return_{k}": pct(close, back("close", k)) for k in p.returns},
-        "below_high": (lambda m: F.when(m > 0, (m - close) / m * 100))(_over(p.high_window, F.col("high"), F.max)),
-        "above_low": (lambda m: F.when(m > 0, (close - m) / m * 100))(_over(p.high_window, F.col("low"), F.min)),
+        "below_high": F.when(F.col("_high") > 0, (F.col("_high") - close) / F.col("_high") * 100),
+        "above_low": F.when(F.col("_low") > 0, (close - F.col("_low")) / F.col("_low") * 100),
         "volatility": _over(p.volatility_window, F.col("_step"), F.stddev_samp),
         "rvol": F.when(F.count("volume").over(prior) == p.rvol_window, F.try_divide("volume", F.avg("volume").over(prior))),
         **{f"relative_{k}": pct(close, back("close", k)) - pct(F.col("_bench"), back("_bench", k)) for k in p.relative},

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barlab.functions.numeric import bar_hash, hash_of_fields, money2, money_text
+from barlab.functions.numeric import hash_of_fields, money2
 from barlab.operators.bars import by_symbol
 
 PRICES = ("open", "high", "low", "close")
@@ -14,41 +14,55 @@ ARRIVAL_BLOCK = 65536
 
 
 def candle_codes(q: dict[str, Column], volume: Column) -> Column:
-    """Ordered error codes of one candle, on 2dp prices. A missing field hides all others (FLT4)."""
+    """Ordered error codes of one candle, on 2dp prices, as one text; empty when sound. A missing
+    field hides all others (FLT4)."""
     missing = volume.isNull()
     for value in q.values():
         missing = missing | value.isNull()
     outside = lambda v: ~v.between(q["low"], q["high"])
-    found = F.array_compact(F.array(
-        F.when(q["high"] < q["low"], F.lit("HIGH_LESS_THAN_LOW")),
+    # joined as text first: unlike a filtered array this stays inside generated code
+    found = F.concat_ws(
+        ",", F.when(q["high"] < q["low"], F.lit("HIGH_LESS_THAN_LOW")),
         F.when(outside(q["open"]), F.lit("OPEN_OUTSIDE_RANGE")),
         F.when(outside(q["close"]), F.lit("CLOSE_OUTSIDE_RANGE")),
         *[F.when(q[n] <= 0, F.lit(f"NON_POSITIVE_{n.upper()}")) for n in PRICES],
-        F.when(volume < 0, F.lit("NEGATIVE_VOLUME"))))
-    return F.when(missing, F.array(F.lit("MISSING_FIELD"))).otherwise(found)
+        F.when(volume < 0, F.lit("NEGATIVE_VOLUME")))
+    return F.when(missing, F.lit("MISSING_FIELD")).otherwise(found)
+
+
+def _quantized(candles: DataFrame) -> DataFrame:
+    """2dp prices as columns of their own, so that each is computed once."""
+    return candles.withColumns({f"_{n}": money2(F.col(n)) for n in PRICES}).withColumn(
+        "_codes", candle_codes({n: F.col(f"_{n}") for n in PRICES}, F.col("volume")))
+
+
+def _judged(quantized: DataFrame) -> DataFrame:
+    codes = F.col("_codes")
+    return quantized.withColumn("errors", F.when(codes == "", F.array().cast("array<string>")).otherwise(F.split(codes, ","))) \
+        .withColumn("status", F.when(codes == "", "VALID").otherwise("INVALID"))
 
 
 def validate_candles(candles: DataFrame) -> DataFrame:
     """Adds status and errors to every candle (FLT4)."""
-    codes = candle_codes({n: money2(F.col(n)) for n in PRICES}, F.col("volume"))
-    return (candles.withColumn("errors", codes)
-            .withColumn("status", F.when(F.size("errors") == 0, "VALID").otherwise("INVALID")))
+    return _judged(_quantized(candles)).drop(*[f"_{n}" for n in PRICES], "_codes")
+
+
+def stored_hash() -> Column:
+    """Hash of a stored row: the date, the 2dp price texts, the whole volume."""
+    return hash_of_fields(F.col("trading_date").cast("string"), *[F.col(n) for n in PRICES], F.col("volume").cast("string"))
 
 
 def snapshots(candles: DataFrame) -> DataFrame:
     """Candles as stored: 2dp price text, whole volume, status, codes, content hash (FN2, FN3)."""
-    checked = validate_candles(candles)
-    return checked.select(
-        "symbol", "trading_date", *[money_text(F.col(n)).alias(n) for n in PRICES],
-        F.col("volume").cast("bigint").alias("volume"), "status", "errors",
-        bar_hash(F.col("trading_date"), *[F.col(n) for n in PRICES], F.col("volume")).alias("content_hash"))
+    stored = _judged(_quantized(candles)).select(
+        "symbol", "trading_date", *[F.col(f"_{n}").cast("string").alias(n) for n in PRICES],
+        F.col("volume").cast("bigint").alias("volume"), "status", "errors")
+    return stored.withColumn("content_hash", stored_hash())
 
 
 def rehash(stored: DataFrame) -> DataFrame:
     """Hash of stored rows from their stored text, compared with the hash kept (FN4)."""
-    again = hash_of_fields(F.date_format("trading_date", "yyyy-MM-dd"), *[F.col(n) for n in PRICES],
-                           F.col("volume").cast("string"))
-    return stored.withColumn("hash_matches", again == F.col("content_hash"))
+    return stored.withColumn("hash_matches", stored_hash() == F.col("content_hash"))
 
 
 # --- whole-series validation --------------------------------------------------------------

@@ -123,15 +123,16 @@ def announced_changes(documents: DataFrame) -> DataFrame:
 def parse_report(documents: DataFrame) -> DataFrame:
     """Files with a section, without rows, unreadable rows, files without a date (TXT5)."""
     lines = numbered_lines(documents)
-    found = section_rows(index_sections(lines))
-    with_section = lines.filter(F.col("line").rlike(INDEX_HEADING)).select("file").distinct()
-    table = remark_rows(lines).select("file")
-    concerned = with_section.unionByName(table).distinct()
-    readable = found.filter("symbol is not null").select("file").unionByName(table).groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
-    bad = found.filter("symbol is null").groupBy("file").agg(F.count(F.lit(1)).alias("unreadable"))
-    per_file = (concerned.join(readable, "file", "left").join(bad, "file", "left").join(release_dates(documents), "file"))
+    headed = F.exists("lines", lambda l: l.rlike(INDEX_HEADING))
+    sections = kept_lines(documents).select("file", headed.alias("has_section"))
+    found = section_rows(index_sections(lines)).groupBy("file").agg(
+        F.count("symbol").alias("readable"), F.count_if(F.col("symbol").isNull()).alias("unreadable"))
+    table = remark_rows(lines).groupBy("file").agg(F.count(F.lit(1)).alias("remarks"))
+    per_file = sections.join(found, "file", "left").join(table, "file", "left").join(release_dates(documents), "file") \
+        .withColumn("rows", F.coalesce("readable", F.lit(0)) + F.coalesce("remarks", F.lit(0))) \
+        .filter(F.col("has_section") | (F.col("remarks") > 0))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
     return per_file.agg(
-        F.count(F.lit(1)).alias("files_with_section"), F.count_if(F.col("rows").isNull()).alias("no_rows"),
-        F.coalesce(F.sum("unreadable"), F.lit(0)).alias("unreadable_rows"),
-        F.count_if(F.col("effective_date").isNull()).alias("no_effective_date"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+        F.count(F.lit(1)).alias("files_with_section"), F.count_if(F.col("rows") == 0).alias("no_rows"),
+        total("unreadable").alias("unreadable_rows"), F.count_if(F.col("effective_date").isNull()).alias("no_effective_date"),
+        total("rows"))

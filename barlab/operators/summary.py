@@ -174,8 +174,8 @@ def short_histories(runs: DataFrame, outcomes: DataFrame) -> DataFrame:
 def latest_snapshots(snapshots: DataFrame, n: int, order: str = "trading_date") -> DataFrame:
     """The newest n snapshots of every symbol, in bulk (TK8).
 
-    Only (order, row) pairs enter the ranking, and each symbol's copies of a day within a
-    run are unique, so a symbol's group is bounded by days times runs.
+    Spark cuts a row_number filter down to n rows per symbol and task before the exchange, so
+    a symbol with very many snapshots sends at most n from each task.
     """
     newest = Window.partitionBy("symbol").orderBy(F.desc(order))
     return snapshots.withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") <= n).drop("_r")

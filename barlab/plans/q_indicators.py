@@ -3,7 +3,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barlab.functions import folds
 from barlab.operators import bars as B
 from barlab.operators import features as FT
 from barlab.operators import indicators as I
@@ -58,9 +57,8 @@ select symbol, trading_date,
 window a as (partition by symbol order by trading_date rows between 251 preceding and current row),
        b as (partition by symbol order by trading_date rows between 252 preceding and 1 preceding)""", "bars"))
 def ind06(spark, sf):
-    return tidy(D.bars(spark, sf).select(
-        "symbol", "trading_date", I.rolling_extreme(F.col("high"), P.high_window).alias("high_incl"),
-        I.rolling_extreme(F.col("high"), P.high_window, exclude_current=True).alias("high_excl")))
+    b = I.with_rolling_extreme(D.bars(spark, sf), "high", P.high_window, "high_incl")
+    return tidy(b.select("symbol", "trading_date", "high_incl", F.lag("high_incl").over(by_symbol()).alias("high_excl")))
 
 
 @query("ind07_distance_from_high", sql("""
@@ -68,7 +66,7 @@ select symbol, trading_date, round(case when mx > 0 then (mx - close) / mx * 100
 (select *, case when count(*) over a = 252 then max(high) over a end as mx from bars
  window a as (partition by symbol order by trading_date rows between 251 preceding and current row))""", "bars"))
 def ind07(spark, sf):
-    b = D.bars(spark, sf).withColumn("mx", I.rolling_extreme(F.col("high"), P.high_window))
+    b = I.with_rolling_extreme(D.bars(spark, sf), "high", P.high_window, "mx")
     return tidy(b.select("symbol", "trading_date",
                          I.distance_from_high(F.col("close"), F.col("mx")).alias("distance_from_high")))
 
@@ -168,8 +166,10 @@ select symbol, trading_date, case when count(*) over a = 20 then round(max(high)
 window a as (partition by symbol order by trading_date rows between 20 preceding and 1 preceding),
        b as (partition by symbol order by trading_date rows between 50 preceding and 1 preceding)""", "bars"))
 def ind18(spark, sf):
-    prior = lambda n: I.rolling_extreme(F.col("high"), n, exclude_current=True).alias(f"prior_high_{n}")
-    return tidy(D.bars(spark, sf).select("symbol", "trading_date", prior(20), prior(50)))
+    b = D.bars(spark, sf)
+    for n in (20, 50):
+        b = I.with_rolling_extreme(b, "high", n, f"prior_high_{n}", exclude_current=True)
+    return tidy(b.select("symbol", "trading_date", "prior_high_20", "prior_high_50"))
 
 
 @query("tk04_last_n", sql("""

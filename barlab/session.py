@@ -7,6 +7,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# A union of co-partitioned inputs may lose its partitioning while a plan is adapted at run
+# time, after its consumer was planned without an exchange; unions are kept plain instead.
+PLAIN_UNIONS = ("spark.sql.unionOutputPartitioning", "false")
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings that the jobs rely on, for a session made elsewhere."""
+    spark.conf.set(*PLAIN_UNIONS)
+    return spark
+
+
 def build_session(app: str = "barlab", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -20,7 +31,7 @@ def build_session(app: str = "barlab", master: str | None = None, **conf: str) -
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return prepare(builder.getOrCreate())
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -19,9 +19,9 @@ def candles(payloads: DataFrame) -> DataFrame:
     parsed = F.from_json("payload", schemas.CANDLE_PAYLOAD)["data"]["candles"]
     at = lambda row, i: F.try_element_at(row, F.lit(i + 1))
     names = ("open", "high", "low", "close", "volume", "open_interest")
-    typed = F.transform(parsed, lambda r: F.struct(
+    typed = F.transform(parsed, lambda r, i: F.struct(
         F.try_to_timestamp(at(r, 0)).isNull().alias("late"), F.try_to_timestamp(at(r, 0)).alias("timestamp"),
-        at(r, 0).alias("raw_time"), *[_number(at(r, i + 1)).alias(n) for i, n in enumerate(names)]))
+        i.alias("listed"), at(r, 0).alias("raw_time"), *[_number(at(r, k)).alias(n) for k, n in enumerate(names, 1)]))
     return payloads.select("symbol", F.posexplode(F.array_sort(typed)).alias("place", "c")) \
         .select("symbol", "place", "c.raw_time", "c.timestamp", *[f"c.{n}" for n in names])
 

@@ -65,8 +65,8 @@ def test_window_indicators(spark):
     last = bars.select("trading_date", I.roc(F.col("close"), 10).alias("roc")).orderBy(F.desc("trading_date")).first()
     assert last["roc"] == pytest.approx(10.0)
     highs = spark.createDataFrame([("A", d, h) for d, h in zip(weekdays(4), [1.0, 2.0, 3.0, 100.0])], "symbol string, trading_date date, high double")
-    got = highs.select("trading_date", I.rolling_extreme(F.col("high"), 3, exclude_current=True).alias("x"),
-                       I.rolling_extreme(F.col("high"), 3).alias("i")).orderBy(F.desc("trading_date")).first()
+    got = I.with_rolling_extreme(I.with_rolling_extreme(highs, "high", 3, "i"), "high", 3, "x", exclude_current=True)
+    got = got.orderBy(F.desc("trading_date")).first()
     assert (got["x"], got["i"]) == (3.0, 100.0)
     d = spark.createDataFrame([(90.0, 100.0), (1.0, 0.0), (1.0, None)], "c double, h double")
     assert [r[0] for r in d.select(I.distance_from_high(F.col("c"), F.col("h"))).collect()] == [10.0, None, None]
@@ -77,6 +77,17 @@ def test_window_indicators(spark):
     assert {r["symbol"]: r["r"] for r in got.collect()} == {"A": 2.0, "N": None, "Z": None}
 
 
+def test_rolling_extremes_equal_sliding_ones(spark):
+    rng = random.Random(8)
+    values = [rng.choice([None, rng.random()]) if i % 9 == 0 else rng.random() for i in range(57)]
+    rows = spark.createDataFrame([("A", d, v) for d, v in zip(weekdays(57), values)], "symbol string, trading_date date, v double")
+    for n in (1, 2, 5, 20, 57, 58):
+        got = I.with_rolling_extreme(I.with_rolling_extreme(rows, "v", n, "hi"), "v", n, "lo", lowest=True).orderBy("trading_date").collect()
+        for i, r in enumerate(got):
+            held = [v for v in values[i - n + 1:i + 1] if v is not None] if i >= n - 1 else []
+            assert (r["hi"], r["lo"]) == ((max(held), min(held)) if held else (None, None))
+
+
 def test_relative_return(spark):
     r = spark.createDataFrame([(100.0, 110.0, 100.0, 105.0), (0.0, 1.0, 1.0, 1.0)], "a double, b double, c double, d double")
     got = [x[0] for x in r.select(I.relative_return(*[F.col(c) for c in "abcd"])).collect()]
