@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlab.llm import decontam, pii
+from barlab.llm import decontam, fingerprint, pii
 from barlab.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+@query("op4_fingerprint", fingerprint.ORACLE)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.report(documents(spark, sf_dir))
+
+
 @query("op7_benchmark_decontamination", decontam.ORACLE)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
