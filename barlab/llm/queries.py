@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlab.llm import decontam, fingerprint, pii
+from barlab.llm import decontam, fingerprint, langid, pieces, pii, transducer
 from barlab.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(documents(spark, sf_dir))
+
+
 @query("op4_fingerprint", fingerprint.ORACLE)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.report(documents(spark, sf_dir))
@@ -35,3 +40,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_pii")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
+
+
+@query("op9_sentencepiece")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.encode(documents(spark, sf_dir), pieces.load(spark))
