@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlab.llm import decontam, fingerprint, langid, pieces, pii, transducer
+from barlab.llm import decontam, extract, fingerprint, langid, pieces, pii, secrets, transducer
 from barlab.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +45,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_sentencepiece")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.encode(documents(spark, sf_dir), pieces.load(spark))
+
+
+@query("op6_secrets")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find(documents(spark, sf_dir))
+
+
+@query("op3_html_extraction")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
