@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlab.llm import decontam, extract, fingerprint, langid, pieces, pii, secrets, transducer
+from barlab.llm import decontam, extract, fingerprint, langid, neardup, pieces, pii, secrets, transducer
 from barlab.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_html_extraction")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("op10_minhash_near_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.report(documents(spark, sf_dir))
