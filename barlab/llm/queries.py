@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlab.llm import decontam, extract, fingerprint, langid, neardup, pieces, pii, secrets, transducer
+from barlab.llm import decontam, extract, fingerprint, langid, lmscore, neardup, pieces, pii, secrets, transducer
 from barlab.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_minhash_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.report(documents(spark, sf_dir))
+
+
+@query("op5_lm_scoring")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score(documents(spark, sf_dir))
