@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlab.llm import decontam, extract, fingerprint, langid, lmscore, neardup, pieces, pii, secrets, transducer
+from barlab.llm import decontam, extract, fingerprint, langid, lmscore, neardup, pieces, pii, repeats, secrets, transducer
 from barlab.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_lm_scoring")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score(documents(spark, sf_dir))
+
+
+@query("op1_suffix_array_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(documents(spark, sf_dir))
