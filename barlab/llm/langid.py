@@ -106,14 +106,15 @@ class LanguageModel:
         """Log probability of each word in each language: the forward algorithm over all segmentations."""
         out = np.zeros((len(words), len(self.languages)))
         by_piece = np.ascontiguousarray(self.pieces.T)
+        by_piece[0] = UNKNOWN  # a character that is no piece
         for rows, codes, sizes in by_width(words):
             n, wide = codes.shape
             h = vocab.prefixes(codes)
             forward = [np.ones((n, len(self.languages)))]
             scale = np.zeros(n)  # log of what the kept rows were divided by
             for end in range(1, wide + 1):
-                total = UNKNOWN * forward[-1]
-                for size in range(1, min(end, vocab.longest) + 1):
+                total = forward[-1] * by_piece[vocab.ending(h, end, 1)]
+                for size in range(2, min(end, vocab.longest) + 1):
                     k = vocab.ending(h, end, size)
                     if (hit := np.flatnonzero(k)).size:
                         total[hit] += forward[-size][hit] * by_piece[k[hit]]
