@@ -53,6 +53,18 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[list[dict]], list[dict]
     return df.mapInArrow(run, schema)
 
 
+def runs(texts: list[str], most: int):
+    """(start, end) of runs of texts of about `most` characters; a longer text is a run of its own."""
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) <= most):
+            size += len(texts[end])
+            end += 1
+        yield at, end
+        at = end
+
+
 def split_by_bytes(total_bytes: int, each: int, least: int = 1) -> int:
     """Into how many parts some bytes go, if a part is to hold about `each`."""
     return max(least, math.ceil(total_bytes / each))

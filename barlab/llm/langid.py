@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from barlab.llm.common import need
+from barlab.llm.common import need, runs
 from barlab.llm.pieces import NORMAL, PIECE_MODEL, SPACE, PieceModel, load
 
 # Expected characters of the sample that a language's piece probabilities are fitted on.
@@ -25,6 +25,7 @@ SMOOTH = 0.02  # added to every piece's expected count
 LONGEST = 16  # characters of the longest piece used
 UNKNOWN = 1e-7  # a character outside the vocabulary, in any language
 UNDECIDED = "und"
+CHUNK = 4_000_000  # characters worked on at once
 KEEP_SCORE = 0.5  # the pipeline keeps what is at least this sure
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -212,6 +213,16 @@ def totals(model: LanguageModel, vocab: Vocabulary, found: list[list[str]]) -> t
     return best, score
 
 
+def judged(model: LanguageModel, vocab: Vocabulary, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best language, its probability and the number of words of each text."""
+    parts = []
+    whole = [(t or "").lower() for t in texts]
+    for at, end in runs(whole, CHUNK):
+        found = [LETTERS.findall(t) for t in whole[at:end]]
+        parts.append((*totals(model, vocab, found), np.fromiter(map(len, found), np.int64, len(found))))
+    return tuple(np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, int), np.zeros(0), np.zeros(0, np.int64))
+
+
 def predict(docs: DataFrame, model_path: str = PIECE_MODEL) -> DataFrame:
     """doc_id, held_out, lang_pred, score and n_words of every document.
 
@@ -225,12 +236,10 @@ def predict(docs: DataFrame, model_path: str = PIECE_MODEL) -> DataFrame:
     def run(batches):
         vocab = Vocabulary(pieces)
         for batch in batches:
-            found = [LETTERS.findall((t or "").lower()) for t in batch.column(1).to_pylist()]
-            best, score = totals(model, vocab, found)
+            best, score, n = judged(model, vocab, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(2),
-                pa.array([model.languages[b] if b >= 0 else UNDECIDED for b in best], pa.string()),
-                pa.array(score), pa.array([len(f) for f in found], pa.int64())], names=["doc_id", "held_out", "lang_pred", "score", "n_words"])
+                pa.array([model.languages[b] if b >= 0 else UNDECIDED for b in best], pa.string()), pa.array(score), pa.array(n)], names=["doc_id", "held_out", "lang_pred", "score", "n_words"])
 
     rows = need(docs, "doc_id", "text").withColumn("held_out", held_out(F.col("doc_id")))
     return rows.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double, n_words bigint")
@@ -248,8 +257,7 @@ def keep_known(docs: DataFrame, model_path: str = PIECE_MODEL) -> DataFrame:
     def run(batches):
         vocab = Vocabulary(pieces)
         for batch in batches:
-            found = [LETTERS.findall((t or "").lower()) for t in batch.column(at).to_pylist()]
-            best, score = totals(model, vocab, found)
+            best, score, _ = judged(model, vocab, batch.column(at).to_pylist())
             yield batch.filter(pa.array((best >= 0) & (score >= KEEP_SCORE)))
 
     return docs.mapInArrow(run, docs.schema)

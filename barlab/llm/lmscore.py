@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barlab.llm.bilinear import END, OTHER, Bilinear, Tables
-from barlab.llm.common import UPPER, need
+from barlab.llm.common import UPPER, need, runs
 from barlab.session import materialize
 
 VOCABULARY = 2_000  # words of the model
@@ -79,18 +79,6 @@ def sequences(codes: np.ndarray, numbers: np.ndarray, n: np.ndarray) -> tuple[np
     return one, two, token
 
 
-def pieces(texts: list[str]):
-    """Runs of texts of about CHUNK characters."""
-    at = 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end]) <= CHUNK):
-            size += len(texts[end])
-            end += 1
-        yield at, end
-        at = end
-
-
 def _learn(model: Bilinear, words: Words, texts: list[str], share: int, seed: int) -> int:
     codes, unique, n = split(texts)
     numbers = np.fromiter((words.number.get(w, OTHER) for w in unique), np.int32, len(unique))
@@ -124,12 +112,12 @@ def fit(docs: DataFrame) -> tuple[DataFrame, Words, Bilinear]:
         own, n = model.unpack(model.pack()), 0
         for i, batch in enumerate(batches):
             texts = batch.column(0).to_pylist()
-            for at, end in pieces(texts):
+            for at, end in runs(texts, CHUNK):
                 n += _learn(own, words, texts[at:end], TRAIN_SHARE, at + i)
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([own.pack()], pa.binary())], names=["n", "model"])
 
-    def average(_, frame: pd.DataFrame) -> pd.DataFrame:
+    def average(frame: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(m, np.float32).astype(float) * n for n, m in zip(frame["n"], frame["model"]))
         return pd.DataFrame({"n": [frame["n"].sum()], "model": [(total / frame["n"].sum()).astype(np.float32).tobytes()]})
 
@@ -139,7 +127,7 @@ def fit(docs: DataFrame) -> tuple[DataFrame, Words, Bilinear]:
         models = materialize(models.groupBy(F.pmod(F.xxhash64("id"), F.lit(groups)).alias("g")).applyInPandas(average, "n bigint, model binary")
                              .withColumn("id", F.monotonically_increasing_id()), "models")
     rows = models.orderBy("id").toPandas()
-    return counts, words, model.unpack(average(None, rows)["model"][0]) if len(rows) else model
+    return counts, words, model.unpack(average(rows)["model"][0]) if len(rows) else model
 
 
 _TABLES: dict[str, Tables] = {}
@@ -168,7 +156,7 @@ def score(docs: DataFrame) -> DataFrame:
         end_base = math.log10(words.texts + 0.5)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for at, stop in pieces(texts):
+            for at, stop in runs(texts, CHUNK):
                 codes, unique, n = split(texts[at:stop])
                 numbers = np.fromiter((words.number.get(w, OTHER) for w in unique), np.int32, len(unique))
                 count = np.fromiter((words.count.get(w, 0) for w in unique), np.float64, len(unique))
