@@ -9,17 +9,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from barlab.operators.ranking import group_positions
 from barlab.session import materialize
 
 FOREVER = "9999-12-31"
 
 
 def apply_voids(events: DataFrame, voids: DataFrame) -> DataFrame:
-    """Drop announcements declared void; symbol '*' voids the whole file and date (JN8)."""
-    whole = voids.filter("symbol = '*'").select("file", "effective_date").distinct()
-    single = voids.filter("symbol <> '*'").select("file", "effective_date", "symbol").distinct()
-    return (events.join(whole, ["file", "effective_date"], "left_anti")
-            .join(single, ["file", "effective_date", "symbol"], "left_anti"))
+    """Drop announcements declared void; symbol '*' voids the whole file and date (JN8). A void
+    without a date meets announcements without one."""
+    v = voids.select(F.col("file").alias("_file"), F.col("effective_date").alias("_date"), F.col("symbol").alias("_symbol")).distinct()
+    here = (F.col("file") == F.col("_file")) & F.col("effective_date").eqNullSafe(F.col("_date"))
+    return (events.join(v.filter("_symbol = '*'"), here, "left_anti")
+            .join(v.filter("_symbol <> '*'"), here & (F.col("symbol") == F.col("_symbol")), "left_anti"))
+
+
+CHANGE = ["kind", "symbol", "_day"]  # an undated change has the empty day
 
 
 def _without_last(files: Column, hit: Column) -> Column:
@@ -28,47 +33,60 @@ def _without_last(files: Column, hit: Column) -> Column:
                     F.filter(files, lambda x: x > hit))
 
 
-def match_cancellations(events: DataFrame) -> DataFrame:
-    """Per change (kind, symbol, date): files still standing and each cancel with what it hit (JN9).
-
-    Cancels are taken in file order; each removes the last-listed matching announcement of
-    another file. Copies of a statement are counted first and kept up to one more than the
-    cancels that could remove them, which is all the fold can ever need.
-    """
-    cancel = F.startswith("action", F.lit("CANCEL_"))
-    kind = F.regexp_replace("action", "^CANCEL_", "")
-    per_file = (events.withColumn("kind", kind).withColumn("_cancel", cancel)
-                .groupBy("kind", "symbol", "effective_date", "file", "_cancel").agg(F.count(F.lit(1)).alias("n")))
-    change = ["kind", "symbol", "effective_date"]
-    entry = F.struct("file", "n")
-    grouped = per_file.groupBy(*change).agg(
-        F.sort_array(F.collect_list(F.when(~F.col("_cancel"), entry))).alias("a"),
-        F.sort_array(F.collect_list(F.when(F.col("_cancel"), entry))).alias("c"),
-        F.coalesce(F.sum(F.when(F.col("_cancel"), F.col("n"))), F.lit(0)).alias("cancels"))
-    listed = F.flatten(F.transform("a", lambda e: F.array_repeat(
-        e["file"], F.least(e["n"], F.col("cancels") + 1).cast("int"))))
-    wanted = F.flatten(F.transform("c", lambda e: F.array_repeat(e["file"], e["n"].cast("int"))))
-    grouped = grouped.withColumn("listed", listed).withColumn("wanted", wanted)
-    none = F.array().cast("array<struct<cancelling_file:string,cancelled_file:string>>")
+def _folded(rows: DataFrame) -> DataFrame:
+    """Changes of which some file both announces and cancels: cancels taken one by one. Such a
+    change is one company's in a few files, so it is folded as a list."""
+    grouped = rows.groupBy(*CHANGE).agg(F.sort_array(F.collect_list(F.when(~F.col("cancels"), F.col("file")))).alias("listed"),
+                                        F.sort_array(F.collect_list(F.when(F.col("cancels"), F.col("file")))).alias("wanted"))
+    none = F.array().cast("array<struct<file:string,cancels:boolean,other:string>>")
 
     def step(acc: Column, c: Column) -> Column:
         hit = F.try_element_at(F.filter(acc["left"], lambda x: x != c), F.lit(-1))
         left = F.when(hit.isNull(), acc["left"]).otherwise(_without_last(acc["left"], hit))
-        said = F.struct(c.alias("cancelling_file"), hit.alias("cancelled_file"))
-        return F.struct(left.alias("left"), F.array_append(acc["said"], said).alias("said"))
+        return F.struct(left.alias("left"), F.array_append(acc["said"], F.struct(c.alias("file"), F.lit(True).alias("cancels"), hit.alias("other"))).alias("said"))
+
+    folded = grouped.select(*CHANGE, F.aggregate("wanted", F.struct(F.col("listed").alias("left"), none.alias("said")), step).alias("f"))
+    stands = F.transform("f.left", lambda x: F.struct(x.alias("file"), F.lit(False).alias("cancels"), F.lit(None).cast("string").alias("other")))
+    return folded.select(*CHANGE, F.explode(F.concat("f.said", stands)).alias("r")).select(*CHANGE, "r.*")
 
-    folded = F.aggregate("wanted", F.struct(F.col("listed").alias("left"), none.alias("said")), step)
-    return grouped.select(*change, folded.alias("f")).select(*change, F.col("f.left").alias("standing"), F.col("f.said").alias("said"))
+
+def match_cancellations(events: DataFrame) -> DataFrame:
+    """Every cancel with the file it hit, and every announcement that stands (JN9).
+
+    Rows: kind, symbol, effective_date, file, cancels, other (of a cancel the cancelled file,
+    null when it matched nothing). Cancels are taken in file order; each removes the last-listed
+    matching announcement of another file. Where no file does both, the n-th cancel meets the
+    n-th announcement from the end: both are numbered by a distributed sort and joined, so a
+    change announced in very many files is never gathered. Every copy of a statement counts.
+    """
+    rows = events.select(F.regexp_replace("action", "^CANCEL_", "").alias("kind"), "symbol", "file",
+                         F.coalesce(F.col("effective_date").cast("string"), F.lit("")).alias("_day"),
+                         F.startswith("action", F.lit("CANCEL_")).alias("cancels"))
+    per_file = rows.groupBy(*CHANGE, "file").agg(F.count_if("cancels").alias("c"), F.count(F.lit(1)).alias("n"))
+    facts = per_file.groupBy(*CHANGE).agg(F.sum("c").alias("_c"), F.bool_or((F.col("c") > 0) & (F.col("c") < F.col("n"))).alias("_both"))
+    rows = materialize(rows.join(facts, CHANGE))
+    nothing = F.lit(None).cast("string").alias("other")
+    columns = [*CHANGE, "file", "cancels", "other"]
+    lined = rows.filter("_c > 0 and not _both").drop("_c", "_both")
+    announced = group_positions(lined.filter("not cancels"), CHANGE, [F.desc("file")], "_at").drop("group_size")
+    cancels = group_positions(lined.filter("cancels"), CHANGE, [F.asc("file")], "_at").drop("group_size")
+    met = [*CHANGE, "_at"]
+    stands = announced.join(cancels.select(*met), met, "left_anti").withColumn("other", nothing)
+    hits = cancels.join(announced.select(*met, F.col("file").alias("other")), met, "left")
+    out = rows.filter("_c = 0").withColumn("other", nothing).select(*columns)
+    for part in (stands, hits, _folded(rows.filter("_both"))):
+        out = out.unionByName(part.select(*columns))
+    return out.withColumn("effective_date", F.to_date(F.nullif("_day", F.lit("")))).drop("_day")
 
 
 def cancellations(matched: DataFrame) -> DataFrame:
     """Every cancel with the file it cancelled; null when it matched nothing."""
-    return matched.select("kind", "symbol", "effective_date", F.explode("said").alias("s")) \
-        .select("s.cancelling_file", "s.cancelled_file", "symbol", "kind", "effective_date")
+    return matched.filter("cancels").select(F.col("file").alias("cancelling_file"), F.col("other").alias("cancelled_file"),
+                                            "symbol", "kind", "effective_date")
 
 
 def standing_events(matched: DataFrame) -> DataFrame:
-    return matched.select(F.explode("standing").alias("file"), "effective_date", F.col("kind").alias("action"), "symbol")
+    return matched.filter("not cancels").select("file", "effective_date", F.col("kind").alias("action"), "symbol")
 
 
 def rename(events: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -163,20 +181,24 @@ def intervals(states: DataFrame, snapshot: DataFrame, end: Column) -> DataFrame:
 
 
 def timeline(states: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Size of the set just before every event date, with the files of that date (MEM3).
+    """Size of the set just before every event date, with the number of files of that date (MEM3).
 
     The running sum goes over distinct event dates, at most one row per calendar day.
     """
     size = snapshot.agg(F.count_distinct("symbol")).scalar()
-    daily = states.groupBy("effective_date").agg(
-        F.sum(F.col("before").cast("int") - F.col("after").cast("int")).alias("delta"),
-        F.array_union(F.collect_set("inc"), F.collect_set("exc")).alias("files"))
+    daily = states.groupBy("effective_date").agg(F.sum(F.col("before").cast("int") - F.col("after").cast("int")).alias("delta"))
+    named = timeline_files(states).groupBy("effective_date").agg(F.count(F.lit(1)).alias("n_files"))
     back = Window.orderBy(F.desc("effective_date")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return daily.select("effective_date", F.array_join(F.array_sort("files"), ",").alias("files"),
-                        F.sum("delta").over(back).alias("_d")) \
+    return daily.join(named, "effective_date").select("effective_date", "n_files", F.sum("delta").over(back).alias("_d")) \
         .withColumn("size_before", size + F.col("_d")).drop("_d")
 
 
+def timeline_files(states: DataFrame) -> DataFrame:
+    """The files behind every event date, one row each (MEM3)."""
+    both = F.array_compact(F.array("inc", "exc"))
+    return states.select("effective_date", F.explode(both).alias("file")).distinct()
+
+
 def anomaly_windows(changes: DataFrame, found: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Per failed check of a snapshot symbol: from its date to the symbol's next event (MEM6)."""
     line = Window.partitionBy("symbol").orderBy("effective_date")
@@ -222,6 +244,9 @@ class Reconstruction:
     def timeline(self) -> DataFrame:
         return timeline(self.states, self.snapshot)
 
+    def timeline_files(self) -> DataFrame:
+        return timeline_files(self.states)
+
     def anomaly_windows(self) -> DataFrame:
         return anomaly_windows(self.changes, self.anomalies(), self.snapshot)
 

@@ -1,7 +1,7 @@
 """Universe rows, instrument mapping and the company dimension."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barlab.functions.text import strip
 
@@ -142,32 +142,39 @@ def departed(events: DataFrame, snapshot: DataFrame, instruments: DataFrame, sin
 # --- company dimension ------------------------------------------------------------------------
 
 def sync_candidates(instruments: DataFrame) -> DataFrame:
-    """Instruments normalized for the company dimension, with those to skip marked (FLT15)."""
+    """Instruments normalized for the company dimension, with those to skip marked (FLT15).
+    `listed` is a row's place in what the provider sent."""
     keep = (F.col("exchange") == SYNC_EXCHANGE) & F.col("instrument_type").isin(*SYNC_TYPES)
     bare = F.when(F.contains("symbol", F.lit(":")), F.split_part("symbol", F.lit(":"), F.lit(2))).otherwise(F.col("symbol"))
     return instruments.select(
         bare.alias("symbol"), strip(F.coalesce("name", F.lit(""))).alias("company_name"), "exchange", "isin",
-        F.coalesce(keep, F.lit(False)).alias("kept"))
+        F.coalesce(keep, F.lit(False)).alias("kept"), "listed")
 
 
 def upsert_companies(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """The new dimension with what was done to each company (JN18).
 
-    Name, ISIN and the active mark change only where they differ; companies that are not in
-    the incoming list stay as they are.
+    Rows of one symbol are taken in the order listed: the first inserts a company that is not
+    held, every later one updates it where it differs, and the last one's values stay. `updates`
+    counts the rows that changed something. Companies that are not in the list stay as they are.
     """
-    e = existing.select("symbol", *[F.col(c).alias(f"e_{c}") for c in ("company_name", "isin", "is_active")],
-                        F.lit(True).alias("in_e"))
-    i = incoming.select("symbol", *[F.col(c).alias(f"i_{c}") for c in ("company_name", "isin")], F.lit(True).alias("in_i"))
-    changed = (~F.col("e_company_name").eqNullSafe(F.col("i_company_name")) | ~F.col("e_isin").eqNullSafe(F.col("i_isin"))
-               | ~F.coalesce("e_is_active", F.lit(False)))
-    action = (F.when(F.col("in_e").isNull(), "INSERTED").when(F.col("in_i").isNull(), "UNTOUCHED")
-              .when(changed, "UPDATED").otherwise("UNCHANGED"))
-    seen = F.col("in_i").isNotNull()
-    return e.join(i, "symbol", "full_outer").select(
-        "symbol", F.when(seen, F.col("i_company_name")).otherwise(F.col("e_company_name")).alias("company_name"),
-        F.when(seen, F.col("i_isin")).otherwise(F.col("e_isin")).alias("isin"),
-        F.when(seen, F.lit(True)).otherwise(F.col("e_is_active")).alias("is_active"), action.alias("action"))
+    values = ("company_name", "isin")
+    e = existing.select("symbol", *[F.col(c).alias(f"e_{c}") for c in (*values, "is_active")], F.lit(True).alias("in_e"))
+    line = Window.partitionBy("symbol").orderBy("listed")  # rows of one company
+    i = incoming.select("symbol", *[F.col(c).alias(f"i_{c}") for c in values], "listed", F.row_number().over(line).alias("nth"),
+                        *[F.lag(c).over(line).alias(f"p_{c}") for c in values])
+    rows = i.join(e, "symbol", "left")
+    first = F.col("nth") == 1
+    differs = F.lit(False)
+    for c in values:
+        differs = differs | ~F.when(first, F.col(f"e_{c}")).otherwise(F.col(f"p_{c}")).eqNullSafe(F.col(f"i_{c}"))
+    updates = F.when(first, F.col("in_e").isNotNull() & (differs | ~F.coalesce("e_is_active", F.lit(False)))).otherwise(differs)
+    seen = rows.groupBy("symbol").agg(F.count_if(updates).alias("updates"), F.bool_or("in_e").alias("held"),
+                                      F.max_by(F.struct(*[f"i_{c}" for c in values]), "listed").alias("last"))
+    taken = seen.select("symbol", *[F.col(f"last.i_{c}").alias(c) for c in values], F.lit(True).alias("is_active"),
+                        F.when(F.col("held").isNull(), "INSERTED").when(F.col("updates") > 0, "UPDATED").otherwise("UNCHANGED").alias("action"), "updates")
+    rest = existing.join(incoming.select("symbol"), "symbol", "left_anti")
+    return taken.unionByName(rest.select("symbol", *values, "is_active", F.lit("UNTOUCHED").alias("action"), F.lit(0).cast("bigint").alias("updates")))
 
 
 def sync_metrics(candidates: DataFrame, dimension: DataFrame) -> DataFrame:
@@ -175,6 +182,6 @@ def sync_metrics(candidates: DataFrame, dimension: DataFrame) -> DataFrame:
     received = candidates.agg(F.count(F.lit(1))).scalar()
     skipped = candidates.agg(F.count_if(~F.col("kept"))).scalar()
     return dimension.agg(
-        F.count_if(F.col("action") == "INSERTED").alias("inserted"), F.count_if(F.col("action") == "UPDATED").alias("updated"),
+        F.count_if(F.col("action") == "INSERTED").alias("inserted"), F.sum("updates").alias("updated"),
         F.count_if(F.col("symbol").isNull() | (F.col("symbol") == "")).alias("failed")) \
         .withColumn("total_received", received).withColumn("skipped", skipped)

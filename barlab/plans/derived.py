@@ -247,14 +247,18 @@ def companies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def listed_instruments(spark: SparkSession, sf: str) -> DataFrame:
-    """Provider rows for the company dimension: renamed, re-numbered, other exchanges, futures."""
+    """Provider rows for the company dimension: renamed, re-numbered, other exchanges, futures;
+    some companies are listed twice, the second time under another name."""
     seg, bal = F.col("c_mktsegment"), F.col("c_acctbal")
-    return table(spark, sf, "customer").filter("c_acctbal >= -500").select(
+    again = (seg == "AUTOMOBILE") & (bal >= 5000)
+    rows = table(spark, sf, "customer").filter("c_acctbal >= -500").withColumn("nth", F.explode(F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    return rows.select(
         F.concat(F.when(bal > 9500, "").otherwise("NSE:"), F.lit("C"), F.col("c_custkey").cast("string")).alias("symbol"),
-        F.concat(F.lit(" "), F.col("c_name"), F.when(seg == "MACHINERY", " Ltd").otherwise("")).alias("name"),
+        F.concat(F.lit(" "), F.col("c_name"), F.when(seg == "MACHINERY", " Ltd").when(F.col("nth") == 1, " Again").otherwise("")).alias("name"),
         F.when(bal < 0, "BSE").otherwise("NSE").alias("exchange"),
         F.when((bal >= 1000) & (bal < 2000), "FUT").otherwise("EQ").alias("instrument_type"),
-        F.concat(F.lit("INE"), F.col("c_custkey").cast("string"), F.when(seg == "BUILDING", "X").otherwise("")).alias("isin"))
+        F.concat(F.lit("INE"), F.col("c_custkey").cast("string"), F.when(seg == "BUILDING", "X").otherwise("")).alias("isin"),
+        (F.col("c_custkey") * 2 + F.col("nth")).alias("listed"))
 
 
 def run_events(spark: SparkSession, sf: str) -> DataFrame:

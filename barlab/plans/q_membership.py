@@ -27,11 +27,14 @@ def dated(spark, sf):
 
 
 def events(spark, sf):
-    """Signups include, errors exclude, clicks revoke an inclusion; a quarter hour is a release."""
+    """Signups include, errors exclude, clicks revoke an inclusion; a quarter hour is a release.
+    Some signups are stated three times over."""
     d = dated(spark, sf).filter(F.col("event_type").isin("signup", "error", "click"))
     action = F.when(F.col("event_type") == "signup", "INCLUDE").when(F.col("event_type") == "error", "EXCLUDE").otherwise("CANCEL_INCLUDE")
-    return d.select("part", F.when(F.col("value") < 200, F.col("date")).alias("effective_date"), action.alias("action"), "symbol", "date") \
-        .select(F.concat(F.col("part"), F.lit("-"), F.col("date").cast("string")).alias("file"), "effective_date", "action", "symbol").distinct()
+    return d.select("part", F.when(F.col("value") < 200, F.col("date")).alias("effective_date"), action.alias("action"), "symbol", "date",
+                    F.when((F.col("event_type") == "signup") & F.col("value").between(150, 230), 3).otherwise(1).alias("times")) \
+        .select(F.concat(F.col("part"), F.lit("-"), F.col("date").cast("string")).alias("file"), "effective_date", "action", "symbol", "times") \
+        .withColumn("_", F.explode(F.sequence(F.lit(1), "times"))).drop("_", "times")
 
 
 def snapshot(spark, sf):
@@ -40,10 +43,10 @@ def snapshot(spark, sf):
 
 
 def voids(spark, sf):
-    """Releases whose dearest view passes a value are void, wholly or for that user."""
+    """Releases whose dearest view passes a value are void, wholly or for that user, some without a date."""
     v = dated(spark, sf).filter("event_type = 'view' and value > 150")
     return v.select(F.concat(F.col("part"), F.lit("-"), F.col("date").cast("string")).alias("file"),
-                    F.col("date").alias("effective_date"),
+                    F.when((F.col("value") < 200) | (F.col("value") >= 260), F.col("date")).alias("effective_date"),
                     F.when(F.col("value") > 300, "*").otherwise(F.col("symbol")).alias("symbol")).distinct()
 
 
@@ -82,22 +85,23 @@ select event_type, value, concat('U', user_id) as symbol, date '2011-01-03' + ca
   concat('rel', cast(floor(minute(ts) / 15) as int)) as part from events
 """.replace("epoch_us(ts - timestamp '2024-01-01')", "(epoch_us(ts) - epoch_us(timestamp '2024-01-01'))"))
 view("mev", """
-select distinct concat(part, '-', cast(date as varchar)) as file, case when value < 200 then date end as effective_date,
-  case event_type when 'signup' then 'INCLUDE' when 'error' then 'EXCLUDE' else 'CANCEL_INCLUDE' end as action, symbol from dated
+select concat(part, '-', cast(date as varchar)) as file, case when value < 200 then date end as effective_date,
+  case event_type when 'signup' then 'INCLUDE' when 'error' then 'EXCLUDE' else 'CANCEL_INCLUDE' end as action, symbol from dated,
+  lateral (select unnest(range(case when event_type = 'signup' and value between 150 and 230 then 3 else 1 end)))
 where event_type in ('signup', 'error', 'click')""", "dated")
 view("snap", """
 select symbol from dated group by 1 having coalesce(sum(cast(value as decimal(18,2))) filter (where event_type = 'purchase'), 0)
   > coalesce(sum(cast(value as decimal(18,2))) filter (where event_type = 'view'), 0)""", "dated")
 view("voided", """
-select distinct concat(part, '-', cast(date as varchar)) as file, date as effective_date, case when value > 300 then '*' else symbol end as symbol
+select distinct concat(part, '-', cast(date as varchar)) as file, case when value < 200 or value >= 260 then date end as effective_date, case when value > 300 then '*' else symbol end as symbol
 from dated where event_type = 'view' and value > 150""", "dated")
 view("alias", """
 select symbol as old_symbol, concat(symbol, 'N') as new_symbol from (select symbol, event_type, row_number() over (partition by symbol order by value desc, event_type desc) as z from dated)
 where z = 1 and event_type = 'view'""", "dated")
 view("unvoid", """
-select * from mev e where not exists (select 1 from voided v where v.file = e.file and v.effective_date = e.effective_date and v.symbol in ('*', e.symbol))""", "mev", "voided")
-# Files of a date are distinct here, so a cancel list meets an announcement list; the greedy walk
-# over both is a recursion on the number of cancels taken.
+select * from mev e where not exists (select 1 from voided v where v.file = e.file and v.effective_date is not distinct from e.effective_date and v.symbol in ('*', e.symbol))""", "mev", "voided")
+# A cancel list meets an announcement list; the greedy walk over both is a recursion on the number of
+# cancels taken, each removing one copy.
 view("lists", """
 select replace(action, 'CANCEL_', '') as kind, symbol, effective_date,
   coalesce(list(file order by file) filter (where action not like 'CANCEL%'), []) as a,
@@ -106,7 +110,7 @@ view("walk", """
 select * from (with recursive w(kind, symbol, effective_date, a, c, i, canceller, hit) as (
   select kind, symbol, effective_date, a, c, 0, cast(null as varchar), cast(null as varchar) from lists
   union all
-  select kind, symbol, effective_date, case when h is null then a else list_filter(a, lambda x: x <> h) end, c, i + 1, c[i + 1], h
+  select kind, symbol, effective_date, case when h is null then a else list_concat(a[:list_position(a, h) - 1], a[list_position(a, h) + 1:]) end, c, i + 1, c[i + 1], h
   from (select *, list_filter(a, lambda x: x <> c[i + 1])[-1] as h from w where i < len(c)))
 select * from w)""", "lists")
 view("stand", """
@@ -134,9 +138,10 @@ select symbol, case when bool_or(start is null) then null else min(start) end as
 from (select *, sum(case when included or not coalesce(pm, false) then 1 else 0 end) over (partition by symbol order by start nulls first) as island
   from (select seg.*, coalesce(lead(start) over w, e) as until, lag(member) over w as pm from seg, endx window w as (partition by symbol order by start nulls first)) where member)
 group by symbol, island""", "seg", "endx", "snap", "anom")
+view("tlf", "select distinct effective_date, inc as file from stt where inc is not null union select distinct effective_date, exc from stt where exc is not null", "stt")
 view("tl", """
-select effective_date, array_to_string(list_sort(list_distinct(list_concat(coalesce(list(inc) filter (where inc is not null), []), coalesce(list(exc) filter (where exc is not null), [])))), ',') as files,
-  cast((select count(*) from snap) + sum(sum(cast(before as int) - cast(after as int))) over (order by effective_date desc) as bigint) as size_before from stt group by 1""", "stt", "snap")
+select effective_date, (select count(*) from tlf where tlf.effective_date = stt.effective_date) as n_files,
+  cast((select count(*) from snap) + sum(sum(cast(before as int) - cast(after as int))) over (order by effective_date desc) as bigint) as size_before from stt group by 1""", "stt", "snap", "tlf")
 view("drift", """
 select effective_date as since, coalesce(lead(size_before) over (order by effective_date) - (select count(*) from snap), 0) as drift from tl
 union all select null, (list(size_before order by effective_date))[1] - (select count(*) from snap) from tl having count(*) > 0""", "tl", "snap")
@@ -192,6 +197,11 @@ def mem03(spark, sf):
     return study(spark, sf).timeline()
 
 
+@query("mem03_timeline_files", sql("select * from tlf", "tlf"))
+def mem03_files(spark, sf):
+    return study(spark, sf).timeline_files()
+
+
 @query("mem04_listed_not_applied", sql("""
 select file, effective_date, action, symbol from stand where effective_date is null or effective_date > date '2022-12-31'""", "stand"))
 def mem04(spark, sf):

@@ -130,27 +130,27 @@ def _num(c):
 
 
 def candle_payloads(spark, sf):
-    """Each order as a payload of three candles: a later one first, then one whose high is no
-    number, then one with a broken time."""
+    """Each order as a payload of five candles: a later one first, then one whose high is no
+    number, one with a broken time, a bare number and a null."""
     day = F.to_date("o_orderdate")
     row = lambda d, h, rest: F.concat(F.lit('["'), d, F.lit('",'), _num("o_totalprice"), F.lit(","), h, F.lit(","), rest, F.lit("]"))
     stamp = lambda d: F.concat(d.cast("string"), F.lit("T00:00:00+05:30"))
     text = F.concat(F.lit('{"data":{"candles":['),
                     row(stamp(F.date_add(day, 1)), _num("o_totalprice"), F.concat(_num("o_totalprice"), F.lit(",1.5,100,7"))), F.lit(","),
                     row(stamp(day), F.lit('"n/a"'), F.lit("null,2.5,200")), F.lit(","),
-                    row(F.lit("not a time"), F.lit("3"), F.lit("4")), F.lit("]}}"))
+                    row(F.lit("not a time"), F.lit("3"), F.lit("4")), F.lit(",5,null]}}"))
     return D.table(spark, sf, "orders").select(F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("symbol"), text.alias("payload"))
 
 
 CANDLES = """
-select concat('O', o_orderkey) as symbol, x.place, cast(o_orderdate as date) + x.place as trading_date, cast(cast(o_totalprice as decimal(18,2)) as double) as open,
-  case x.place when 0 then null when 1 then cast(cast(o_totalprice as decimal(18,2)) as double) else 3.0 end as high,
-  case x.place when 0 then null when 1 then cast(cast(o_totalprice as decimal(18,2)) as double) else 4.0 end as low,
+select concat('O', o_orderkey) as symbol, x.place, cast(o_orderdate as date) + x.place as trading_date, case when x.place < 3 then cast(cast(o_totalprice as decimal(18,2)) as double) end as open,
+  case x.place when 1 then cast(cast(o_totalprice as decimal(18,2)) as double) when 2 then 3.0 end as high,
+  case x.place when 1 then cast(cast(o_totalprice as decimal(18,2)) as double) when 2 then 4.0 end as low,
   case x.place when 0 then 2.5 when 1 then 1.5 end as close, case x.place when 0 then 200.0 when 1 then 100.0 end as volume,
-  case x.place when 1 then 7.0 end as open_interest from orders, (values (0), (1), (2)) x(place)"""
+  case x.place when 1 then 7.0 end as open_interest from orders, (values (0), (1), (2), (3), (4)) x(place)"""
 
 
-@query("src9_candle_payloads", f"select symbol, place, open, high, low, close, volume, open_interest, place = 2 as no_time from ({CANDLES})")
+@query("src9_candle_payloads", f"select symbol, place, open, high, low, close, volume, open_interest, place >= 2 as no_time from ({CANDLES})")
 def src9(spark, sf):
     rows = payloads.candles(candle_payloads(spark, sf))
     return tidy(rows.withColumn("no_time", F.col("timestamp").isNull()).drop("timestamp", "raw_time"))
@@ -172,19 +172,22 @@ def src11(spark, sf):
                     F.when(seg == "FURNITURE", "").otherwise(pair("tradingsymbol", F.concat(F.lit("C"), key))),
                     pair("name", F.col("c_name")), pair("instrument_token", F.when(seg == "MACHINERY", "").otherwise(key)),
                     pair("instrument_key", F.concat(F.lit("K|"), key)), pair("instrument_type", F.lit("EQ")),
-                    F.lit('"tick_size":0.05,"lot_size":'), F.col("c_nationkey").cast("string"), F.lit("}]}"))
+                    F.lit('"tick_size":0.05,"lot_size":'), F.col("c_nationkey").cast("string"),
+                    F.when(seg == "BUILDING", ".0").otherwise(""), F.lit("}]}"))
     return payloads.instruments(D.table(spark, sf, "customer").select(text.alias("payload")), "NSE")
 
 
 @query("src12_quotes", """
 select concat('NSE:C', c_custkey) as symbol, cast(cast(c_acctbal as decimal(18,2)) as double) as last_price, 1.5::double as high, 0.0::double as low, 0.0::double as open, 0.0::double as close,
-  0.0::double as bid_price, 0.0::double as ask_price, c_nationkey::bigint as volume, 0::bigint as bid_quantity, 0::bigint as ask_quantity from customer where c_mktsegment not in ('FURNITURE', 'MACHINERY')""")
+  0.0::double as bid_price, 0.0::double as ask_price, c_nationkey::bigint as volume, 0::bigint as bid_quantity, 0::bigint as ask_quantity,
+  case when c_mktsegment = 'BUILDING' then timestamp '2024-01-05 10:00:00' end as timestamp from customer where c_mktsegment not in ('FURNITURE', 'MACHINERY') and not (c_mktsegment = 'HOUSEHOLD' and c_acctbal < 0)""")
 def src12(spark, sf):
     key = F.col("c_custkey").cast("string")
     seg = F.col("c_mktsegment")
     high = F.when(seg == "FURNITURE", '"high"').when(seg == "MACHINERY", "null").otherwise("1.5")
     text = F.concat(F.lit('{"data":{"NSE:C'), key, F.lit('":{"ltp":'), _num("c_acctbal"), F.lit(',"high":'), high,
-                    F.lit(',"volume":'), F.col("c_nationkey").cast("string"), F.lit("}}}"))
+                    F.when(seg == "BUILDING", ',"timestamp":"2024-01-05T10:00:00Z"').when((seg == "HOUSEHOLD") & (F.col("c_acctbal") < 0), ',"timestamp":"today"').otherwise(""),
+                    F.lit(',"volume":'), F.col("c_nationkey").cast("string"), F.when(seg == "BUILDING", ".0").otherwise(""), F.lit("}}}"))
     return payloads.quotes(D.table(spark, sf, "customer").select(text.alias("payload")))
 
 

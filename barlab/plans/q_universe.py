@@ -39,9 +39,10 @@ def flt14(spark, sf):
 
 
 CAND = """
-select concat('C', c_custkey) as symbol, trim(c_name || case when c_mktsegment = 'MACHINERY' then ' Ltd' else '' end) as company_name,
+select concat('C', c_custkey) as symbol, trim(c_name || case when c_mktsegment = 'MACHINERY' then ' Ltd' when nth = 1 then ' Again' else '' end) as company_name,
   case when c_acctbal < 0 then 'BSE' else 'NSE' end as exchange, concat('INE', c_custkey, case when c_mktsegment = 'BUILDING' then 'X' else '' end) as isin,
-  c_acctbal >= 0 and not (c_acctbal >= 1000 and c_acctbal < 2000) as kept from customer where c_acctbal >= -500"""
+  c_acctbal >= 0 and not (c_acctbal >= 1000 and c_acctbal < 2000) as kept, c_custkey * 2 + nth as listed
+from customer, (values (0), (1)) x(nth) where c_acctbal >= -500 and (nth = 0 or c_mktsegment = 'AUTOMOBILE' and c_acctbal >= 5000)"""
 
 
 @query("flt15_sync_candidates", CAND)
@@ -82,12 +83,12 @@ def jn03_report(spark, sf):
 
 DIM = """WITH e as (select concat('C', c_custkey) as symbol, c_name as company_name, case when c_mktsegment <> 'HOUSEHOLD' then concat('INE', c_custkey) end as isin,
   c_mktsegment <> 'FURNITURE' as is_active from customer where c_acctbal < 7000),
-c as (""" + CAND + """), i as (select * from c where kept),
-dim as (select coalesce(e.symbol, i.symbol) as symbol, case when i.symbol is not null then i.company_name else e.company_name end as company_name,
-  case when i.symbol is not null then i.isin else e.isin end as isin, case when i.symbol is not null then true else e.is_active end as is_active,
-  case when e.symbol is null then 'INSERTED' when i.symbol is null then 'UNTOUCHED'
-       when e.company_name is distinct from i.company_name or e.isin is distinct from i.isin or not e.is_active then 'UPDATED' else 'UNCHANGED' end as action
-from e full outer join i on e.symbol = i.symbol)
+c as (""" + CAND + """), k as (select c.*, e.symbol is not null as held, e.is_active, row_number() over w as nth, case when row_number() over w = 1 then e.company_name else lag(c.company_name) over w end as pn,
+  case when row_number() over w = 1 then e.isin else lag(c.isin) over w end as pi from c left join e on e.symbol = c.symbol where kept window w as (partition by c.symbol order by c.listed)),
+i as (select symbol, arg_max(company_name, listed) as company_name, arg_max(isin, listed) as isin, bool_or(held) as held,
+  count(*) filter (where (pn is distinct from company_name or pi is distinct from isin or nth = 1 and not is_active) and (nth > 1 or held)) as updates from k group by 1),
+dim as (select symbol, company_name, isin, true as is_active, case when not held then 'INSERTED' when updates > 0 then 'UPDATED' else 'UNCHANGED' end as action, updates from i
+ union all select symbol, company_name, isin, is_active, 'UNTOUCHED', 0 from e where symbol not in (select symbol from i))
 """
 
 
@@ -102,7 +103,7 @@ def jn18(spark, sf):
 
 
 @query("ag24_sync_metrics", DIM + """
-select count(*) filter (where action = 'INSERTED') as inserted, count(*) filter (where action = 'UPDATED') as updated, 0::bigint as failed,
+select count(*) filter (where action = 'INSERTED') as inserted, cast(sum(updates) as bigint) as updated, 0::bigint as failed,
   (select count(*) from c) as total_received, (select count(*) from c where not kept) as skipped from dim""")
 def ag24(spark, sf):
     return U.sync_metrics(U.sync_candidates(D.listed_instruments(spark, sf)), dimension(spark, sf))

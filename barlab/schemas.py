@@ -14,7 +14,7 @@ RESOLUTION_CSV = texts("date", "status", "session_type", "circulars", "note")
 INSTRUMENT = texts("segment", "name", "exchange", "isin", "instrument_type", "instrument_key", "trading_symbol", "_corrupt")
 HOLIDAY_MASTER = StructType([StructField("CM", ArrayType(texts("tradingDate", "description"))), StructField("_corrupt", StringType())])
 
-CANDLE_PAYLOAD = StructType([StructField("data", StructType([StructField("candles", ArrayType(ArrayType(StringType())))]))])
+CANDLE_PAYLOAD = StructType([StructField("data", StructType([StructField("candles", ArrayType(StringType()))]))])  # rows as text: one that is no array must not spoil the rest
 QUOTE_PAYLOAD = StructType([StructField("data", MapType(StringType(), MapType(StringType(), StringType())))])
 INSTRUMENT_PAYLOAD = StructType([StructField("data", ArrayType(MapType(StringType(), StringType())))])
 LEG = texts("instrument_key")

@@ -10,13 +10,21 @@ def _number(text: Column) -> Column:
     return text.try_cast("double")
 
 
+def _count(text: Column) -> Column:
+    """A whole number; a JSON number such as 75.0 is one too."""
+    number = text.try_cast("double")
+    return F.coalesce(text.try_cast("bigint"), F.when(F.abs(number) < 1e18, number.cast("bigint")))
+
+
 def candles(payloads: DataFrame) -> DataFrame:
     """Arrays [time, o, h, l, c, v, oi] as typed rows, oldest first inside a payload, bad
-    times last. A bad number or time becomes null; a malformed row stays (SRC9).
+    times last. A bad number or time becomes null; a malformed row stays, also one that is no
+    array or null (SRC9).
 
     payloads: symbol, payload.
     """
-    parsed = F.from_json("payload", schemas.CANDLE_PAYLOAD)["data"]["candles"]
+    listed = F.from_json("payload", schemas.CANDLE_PAYLOAD)["data"]["candles"]
+    parsed = F.transform(listed, lambda row: F.from_json(row, "array<string>"))
     at = lambda row, i: F.try_element_at(row, F.lit(i + 1))
     names = ("open", "high", "low", "close", "volume", "open_interest")
     typed = F.transform(parsed, lambda r, i: F.struct(
@@ -44,7 +52,7 @@ def instruments(payloads: DataFrame, exchange: str | None = None) -> DataFrame:
     return rows.select(
         F.concat(get("exchange"), F.lit(":"), get("tradingsymbol")).alias("symbol"), F.coalesce(get("name"), F.lit("")).alias("name"),
         get("exchange").alias("exchange"), F.coalesce(get("instrument_type"), F.lit("")).alias("instrument_type"),
-        F.coalesce(get("lot_size").try_cast("bigint"), F.lit(0)).alias("lot_size"),
+        F.coalesce(_count(get("lot_size")), F.lit(0).cast("bigint")).alias("lot_size"),
         F.coalesce(_number(get("tick_size")), F.lit(0.0)).alias("tick_size"),
         F.coalesce(F.nullif(get("instrument_token"), F.lit("")), get("instrument_key"), F.lit("")).alias("instrument_token"),
         get("isin").alias("isin"))
@@ -56,16 +64,17 @@ QUOTE_COUNTS = ("volume", "bid_quantity", "ask_quantity")
 
 
 def quotes(payloads: DataFrame) -> DataFrame:
-    """Quotes keyed by symbol; an absent field is 0, a row with a field that does not parse
-    is dropped (SRC12)."""
+    """Quotes keyed by symbol; an absent number is 0 and an absent time null. A row with a
+    number or a time that does not parse is dropped (SRC12)."""
     rows = payloads.select(F.explode(F.from_json("payload", schemas.QUOTE_PAYLOAD)["data"]).alias("symbol", "q"))
 
-    def field(key: str, kind: str) -> Column:
-        absent = ~F.map_contains_key("q", key)
-        return F.when(absent, F.lit(0).cast(kind)).otherwise(F.try_element_at("q", F.lit(key)).try_cast(kind))
-
-    typed = rows.select("symbol", *[field(key, "double").alias(name) for name, key in QUOTE_NUMBERS.items()],
-                        *[field(key, "bigint").alias(key) for key in QUOTE_COUNTS])
+    absent = lambda key: ~F.map_contains_key("q", key)
+    value = lambda key: F.try_element_at("q", F.lit(key))
+    number = lambda key: F.when(absent(key), F.lit(0.0)).otherwise(_number(value(key)))
+    count = lambda key: F.when(absent(key), F.lit(0).cast("bigint")).otherwise(_count(value(key)))
+    at = F.try_to_timestamp(value("timestamp"))
+    typed = rows.filter(absent("timestamp") | at.isNotNull()).select(
+        "symbol", *[number(key).alias(name) for name, key in QUOTE_NUMBERS.items()], *[count(key).alias(key) for key in QUOTE_COUNTS], at.alias("timestamp"))
     return typed.dropna(subset=[*QUOTE_NUMBERS, *QUOTE_COUNTS])
 
 
