@@ -28,6 +28,6 @@ def expected_session(now: Column, close_hour: int = SESSION_CLOSE_HOUR) -> Colum
 def release_date_text(text: Column) -> Column:
     """Strip ordinals, commas and dots, then try each month-name layout (FN9)."""
     plain = F.regexp_replace(text, r"(\d)(st|nd|rd|th)", "$1")
-    plain = F.trim(F.regexp_replace(F.regexp_replace(plain, r"[,.]", " "), r"\s+", " "))
+    plain = F.trim(F.regexp_replace(F.regexp_replace(plain, r"[,.]", " "), r"(?U)\s+", " "))
     plain = F.initcap(plain)
     return F.coalesce(*[F.to_date(F.try_to_timestamp(plain, F.lit(layout))) for layout in RELEASE_DATE_LAYOUTS])

@@ -1,16 +1,21 @@
 """Index changes out of the text of announcements.
 
-A document is one row (file, text); its lines are one row's content, so a window over a
-file's lines is bounded by one document.
+A document is one row (file, text) and stays one while it is parsed: headings, actions and rows are
+found inside the array of its lines, so nothing is exchanged between documents. White space and
+digits are those of Unicode text.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from barlab.functions.temporal import release_date_text
-from barlab.functions.text import strip
+from barlab.functions.text import strip, unicode_pattern as U
 
-# Line shapes of the announcements.
+# Line shapes of the announcements, and what ends a line.
+LINE_ENDS = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
+INDEX_NUMBER = "500"  # in every heading and table row of the index
 INDEX_HEADING = r"(?i)^\s*(?:\d{1,2}|[A-Za-z])[\.\)]\s*(?:S&P\s+)?(?:CNX\s+|NIFTY\s*)500(?:\s+Index)?\s*:?\s*$"
 ANY_HEADING = r"^\s*(?:\d{1,2}|[A-Za-z])[\.\)]\s+\S"
 EFFECTIVE_PHRASE = (
@@ -27,73 +32,121 @@ ACTION_WORDS = (r"(?i)\b(?:being|are|is)\s+(excluded|included)\b|\b(excluded|inc
 RELEASE_FILE = r"ind_prs(\d{8})"
 OPENING_LINES = 40
 
-
-def _by_line() -> Window:
-    return Window.partitionBy("file").orderBy("line_no")
+SECTION, TABLE = "SECTION", "TABLE"
 
 
 def kept_lines(documents: DataFrame) -> DataFrame:
     """Non-empty lines of every document, as an array per document."""
-    parts = F.split("text", r"\r\n|[\n\r\x0B\x0C]")
-    return documents.select("file", F.filter(parts, lambda l: strip(l) != "").alias("lines"))
+    return documents.select("file", F.filter(F.split("text", LINE_ENDS), lambda l: strip(l) != "").alias("lines"))
+
+
+def _marks(value: Callable[[Column], Column]) -> Column:
+    """Places of the lines for which a value is given."""
+    return F.filter(F.transform("lines", lambda l, i: F.struct(i.alias("at"), value(l).alias("value"))), lambda m: m["value"].isNotNull())
+
+
+def _turns(marks: str) -> Column:
+    """Of marks that open (true) and close (false) those that change something."""
+    return F.filter(marks, lambda m, k: m["value"] != F.coalesce(F.get(marks, k - 1)["value"], F.lit(False)))
+
+
+def _pieces(marks: str) -> Column:
+    """What each mark is followed by, up to the next mark: value, place of its first line, lines."""
+    def piece(m: Column, k: Column) -> Column:
+        until = F.coalesce(F.get(marks, k + 1)["at"], F.size("lines"))
+        return F.struct(m["value"].alias("value"), (m["at"] + 1).alias("first"), F.slice("lines", m["at"] + 2, until - m["at"] - 1).alias("lines"))
+    return F.transform(marks, piece)
 
 
-def numbered_lines(documents: DataFrame) -> DataFrame:
-    return kept_lines(documents).select("file", F.posexplode("lines").alias("line_no", "line"))
+def _heading(line: Column) -> Column:
+    return F.when(line.rlike(U(INDEX_HEADING)), F.lit(True)).when(line.rlike(U(ANY_HEADING)), F.lit(False))
 
 
-def index_sections(lines: DataFrame) -> DataFrame:
+def _table_row(line: Column) -> Column:
+    s = strip(line)
+    return F.when(s.rlike(U(INDEX_ROW)), F.lit(True)).when(s.rlike(U(NEXT_INDEX)) & ~s.rlike(U(REMARK_ROW)), F.lit(False))
+
+
+def _parts(rows: DataFrame) -> DataFrame:
+    """One row for each section of the index and each stretch of a remarks table: kind, number, first,
+    lines; a document without any gives one row of nulls. rows: file, lines, ..."""
+    titled = F.exists("lines", lambda l: l.rlike("Remarks") & l.contains("Symbol"))
+    rows = rows.withColumns({"_h": _marks(_heading), "_t": F.when(titled, _marks(_table_row)).otherwise(F.array())})
+    rows = rows.withColumns({"_h": _turns("_h"), "_t": _turns("_t")})
+    rows = rows.withColumns({"_h": F.filter(_pieces("_h"), lambda p: p["value"]), "_t": F.filter(_pieces("_t"), lambda p: p["value"])})
+    tagged = lambda column, kind: F.transform(column, lambda p, k: F.struct(
+        F.lit(kind).alias("kind"), (k + 1).alias("section"), p["first"].alias("first"), p["lines"].alias("lines")))
+    rest = [c for c in rows.columns if c not in ("lines", "_h", "_t")]
+    return rows.select(*rest, F.explode_outer(F.concat(tagged("_h", SECTION), tagged("_t", TABLE))).alias("p")).select(*rest, "p.*")
+
+
+def _said(line: Column) -> Column:
+    """The action a line names, unless it is a company's row."""
+    s = strip(line)
+    word = F.coalesce(*[F.nullif(F.regexp_extract(s, U(ACTION_WORDS), i), F.lit("")) for i in (1, 2, 3)])
+    return F.when(~s.rlike(U(COMPANY_ROW)), F.lower(word))
+
+
+def _rows(parts: DataFrame) -> DataFrame:
+    """The lines of all parts under the action named last, with what each says; `listed` marks rows of
+    the index (readable or not). A part without lines keeps one row."""
+    whole = F.array(F.struct(F.lit(-1).alias("at"), F.lit("").alias("value")))
+    rest = [c for c in parts.columns if c not in ("first", "lines")]
+    rows = parts.withColumn("_m", F.when(F.col("kind") == SECTION, _marks(_said)).otherwise(whole)).withColumn("_p", _pieces("_m"))
+    rows = rows.select(*rest, "first", F.explode_outer("_p").alias("p"))
+    rows = rows.select(*rest, (F.col("first") + F.col("p.first")).alias("_from"), F.col("p.value").alias("said"), F.posexplode_outer("p.lines").alias("k", "line"))
+    s = strip(F.col("line"))
+    symbol = F.regexp_extract("_s", U(COMPANY_ROW), 3)
+    readable = F.col("_s").rlike(U(COMPANY_ROW)) & ~symbol.rlike(U(r"^\d+$")) & ~symbol.rlike(U(NAME_ENDING))
+    numbered = F.col("_s").rlike(U(NUMBERED_ROW))
+    remark = F.col("_s").rlike(U(REMARK_ROW)) & ~F.col("_s").rlike(U(INDEX_ROW))
+    change = F.when(F.upper(F.regexp_extract("_s", U(REMARK_ROW), 3)) == "INCLUSION", "INCLUDE").otherwise("EXCLUDE")
+    revoked = F.regexp_extract("_s", U(REMARK_ROW), 4) != ""
+    in_table = F.col("kind") == TABLE
+    rows = rows.withColumn("_s", s)
+    return rows.select(
+        *rest, (F.col("_from") + F.col("k")).alias("line_no"), F.coalesce(F.when(in_table, remark).otherwise(readable | numbered), F.lit(False)).alias("listed"),
+        F.when(in_table, F.when(revoked, F.concat(F.lit("CANCEL_"), change)).otherwise(change))
+        .otherwise(F.when(F.col("said") == "included", "INCLUDE").otherwise("EXCLUDE")).alias("action"),
+        F.when(in_table, F.regexp_extract("_s", U(REMARK_ROW), 2)).when(readable, symbol).alias("symbol"),
+        F.when(in_table, strip(F.regexp_extract("_s", U(REMARK_ROW), 1)))
+        .otherwise(F.when(readable, strip(F.regexp_extract("_s", U(COMPANY_ROW), 2))).otherwise(F.col("_s"))).alias("name"))
+
+
+def _of_index(documents: DataFrame) -> DataFrame:
+    """Documents that can hold a section or a table of the index."""
+    return documents.filter(F.contains("text", F.lit(INDEX_NUMBER)))
+
+
+def index_sections(documents: DataFrame) -> DataFrame:
     """Lines inside the sections of the index: its heading opens one, the next heading of
     another index closes it (TXT1)."""
-    opens, heading = F.col("line").rlike(INDEX_HEADING), F.col("line").rlike(ANY_HEADING)
-    mark = F.when(opens, F.lit(True)).when(heading, F.lit(False))
-    until_here = _by_line().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = _by_line().rowsBetween(Window.unboundedPreceding, -1)
-    state = lambda frame: F.coalesce(F.last("_mark", ignorenulls=True).over(frame), F.lit(False))
-    rows = (lines.withColumn("_mark", mark).withColumn("_inside", state(until_here)).withColumn("_was", state(before))
-            .withColumn("_opens", F.col("_mark").eqNullSafe(True) & ~F.col("_was")))
-    return (rows.withColumn("section", F.sum(F.col("_opens").cast("int")).over(until_here))
-            .filter(F.col("_inside") & ~F.col("_opens")).select("file", "section", "line_no", "line"))
-
-
-def section_rows(sections: DataFrame) -> DataFrame:
+    parts = _parts(kept_lines(_of_index(documents))).filter(F.col("kind") == SECTION)
+    return parts.select("file", "section", "first", F.posexplode("lines").alias("k", "line")).select(
+        "file", "section", (F.col("first") + F.col("k")).alias("line_no"), "line")
+
+
+def section_rows(documents: DataFrame) -> DataFrame:
     """Companies listed under the action last named in their section; a numbered row without a
     readable symbol is reported, not repaired (TXT2)."""
-    s = strip(F.col("line"))
-    is_row = s.rlike(COMPANY_ROW)
-    said = F.coalesce(*[F.nullif(F.regexp_extract(s, ACTION_WORDS, i), F.lit("")) for i in (1, 2, 3)])
-    names_action = F.when(said.isNotNull() & ~is_row, F.lower(said))
-    carried = Window.partitionBy("file", "section").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = (sections.withColumn("_s", s).withColumn("_says", names_action)
-            .withColumn("said", F.last("_says", ignorenulls=True).over(carried))
-            .filter(F.col("_says").isNull() & F.col("said").isNotNull()))
-    symbol = F.regexp_extract("_s", COMPANY_ROW, 3)
-    readable = F.col("_s").rlike(COMPANY_ROW) & ~symbol.rlike(r"^\d+$") & ~symbol.rlike(NAME_ENDING)
-    numbered = F.col("_s").rlike(NUMBERED_ROW)
-    return rows.filter(readable | numbered).select(
-        "file", "section", "line_no", F.when(F.col("said") == "included", "INCLUDE").otherwise("EXCLUDE").alias("action"),
-        F.when(readable, symbol).alias("symbol"),
-        F.when(readable, strip(F.regexp_extract("_s", COMPANY_ROW, 2))).otherwise(F.col("_s")).alias("name"))
-
-
-def remark_rows(lines: DataFrame) -> DataFrame:
+    parts = _parts(kept_lines(_of_index(documents))).filter(F.col("kind") == SECTION)
+    return _rows(parts).filter("listed").select("file", "section", "line_no", "action", "symbol", "name")
+
+
+def remark_rows(documents: DataFrame) -> DataFrame:
     """Rows of the index in a remarks table; a revoked change becomes a cancellation (TXT3)."""
-    s = strip(F.col("line"))
-    whole = Window.partitionBy("file")
-    until_here = _by_line().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    titled = F.col("line").rlike("Remarks") & F.col("line").contains("Symbol")
-    starts, row = s.rlike(INDEX_ROW), s.rlike(REMARK_ROW)
-    mark = F.when(starts, F.lit(True)).when(s.rlike(NEXT_INDEX) & ~row, F.lit(False))
-    inside = (lines.withColumn("_s", s).withColumn("_mark", mark)
-              .withColumn("_table", F.bool_or(titled).over(whole))
-              .withColumn("_in", F.coalesce(F.last("_mark", ignorenulls=True).over(until_here), F.lit(False)))
-              .filter(F.col("_table") & F.col("_in") & row & ~starts))
-    word = F.upper(F.regexp_extract("_s", REMARK_ROW, 3))
-    kind = F.when(word == "INCLUSION", "INCLUDE").otherwise("EXCLUDE")
-    revoked = F.regexp_extract("_s", REMARK_ROW, 4) != ""
-    return inside.select("file", "line_no", F.when(revoked, F.concat(F.lit("CANCEL_"), kind)).otherwise(kind).alias("action"),
-                         F.regexp_extract("_s", REMARK_ROW, 2).alias("symbol"),
-                         strip(F.regexp_extract("_s", REMARK_ROW, 1)).alias("name"))
+    parts = _parts(kept_lines(_of_index(documents))).filter(F.col("kind") == TABLE)
+    return _rows(parts).filter("listed").select("file", "line_no", "action", "symbol", "name")
+
+
+def _dated(rows: DataFrame) -> DataFrame:
+    """Adds release and effective date (TXT4). rows: file, lines, ..."""
+    opening = F.array_join(F.slice("lines", 1, OPENING_LINES), " ")
+    whole = F.array_join("lines", " ")
+    last = F.try_element_at(F.regexp_extract_all(opening, F.lit(U(EFFECTIVE_PHRASE)), F.lit(1)), F.lit(-1))
+    phrase = F.coalesce(last, F.nullif(F.regexp_extract(whole, U(EFFECTIVE_PHRASE), 1), F.lit("")))
+    named = F.nullif(F.regexp_extract("file", RELEASE_FILE, 1), F.lit(""))
+    return rows.withColumns({"release_date": F.to_date(F.try_to_timestamp(named, F.lit("ddMMyyyy"))), "effective_date": release_date_text(phrase)})
 
 
 def release_dates(documents: DataFrame) -> DataFrame:
@@ -101,38 +154,26 @@ def release_dates(documents: DataFrame) -> DataFrame:
 
     The last phrase of the opening lines counts, else the first of the whole text.
     """
-    rows = kept_lines(documents)
-    opening = F.array_join(F.slice("lines", 1, OPENING_LINES), " ")
-    whole = F.array_join("lines", " ")
-    last = F.try_element_at(F.regexp_extract_all(opening, F.lit(EFFECTIVE_PHRASE), F.lit(1)), F.lit(-1))
-    phrase = F.coalesce(last, F.nullif(F.regexp_extract(whole, EFFECTIVE_PHRASE, 1), F.lit("")))
-    named = F.nullif(F.regexp_extract("file", RELEASE_FILE, 1), F.lit(""))
-    return rows.select("file", F.to_date(F.try_to_timestamp(named, F.lit("ddMMyyyy"))).alias("release_date"),
-                       release_date_text(phrase).alias("effective_date"))
+    return _dated(kept_lines(documents)).select("file", "release_date", "effective_date")
 
 
 def announced_changes(documents: DataFrame) -> DataFrame:
-    """Every readable change with its dates (TXT1 to TXT4 together)."""
-    lines = numbered_lines(documents)
-    columns = ["file", "action", "symbol", "name"]
-    rows = section_rows(index_sections(lines)).filter("symbol is not null").select(*columns) \
-        .unionByName(remark_rows(lines).select(*columns))
-    return rows.join(release_dates(documents), "file")
+    """Every readable change with its dates (TXT1 to TXT4 together), in one pass."""
+    rows = _rows(_parts(_dated(kept_lines(_of_index(documents)))))
+    return rows.filter("listed and symbol is not null").select("file", "action", "symbol", "name", "release_date", "effective_date")
 
 
 def parse_report(documents: DataFrame) -> DataFrame:
-    """Files with a section, without rows, unreadable rows, files without a date (TXT5)."""
-    lines = numbered_lines(documents)
-    headed = F.exists("lines", lambda l: l.rlike(INDEX_HEADING))
-    sections = kept_lines(documents).select("file", headed.alias("has_section"))
-    found = section_rows(index_sections(lines)).groupBy("file").agg(
-        F.count("symbol").alias("readable"), F.count_if(F.col("symbol").isNull()).alias("unreadable"))
-    table = remark_rows(lines).groupBy("file").agg(F.count(F.lit(1)).alias("remarks"))
-    per_file = sections.join(found, "file", "left").join(table, "file", "left").join(release_dates(documents), "file") \
-        .withColumn("rows", F.coalesce("readable", F.lit(0)) + F.coalesce("remarks", F.lit(0))) \
-        .filter(F.col("has_section") | (F.col("remarks") > 0))
+    """Files with a section, without rows, unreadable rows, files without a date (TXT5).
+
+    The counts of a file are summed up before anything is exchanged.
+    """
+    headed = F.exists("lines", lambda l: l.rlike(U(INDEX_HEADING)))
+    rows = _rows(_parts(_dated(kept_lines(_of_index(documents)).withColumn("has_section", headed))))
+    per_file = rows.groupBy("file", "has_section", "effective_date").agg(
+        F.count_if(F.col("listed") & F.col("symbol").isNotNull()).alias("rows"), F.count_if(F.col("listed") & F.col("symbol").isNull()).alias("unreadable_rows"),
+        F.count_if(F.col("listed") & (F.col("kind") == TABLE)).alias("remarks")).filter(F.col("has_section") | (F.col("remarks") > 0))
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
     return per_file.agg(
-        F.count(F.lit(1)).alias("files_with_section"), F.count_if(F.col("rows") == 0).alias("no_rows"),
-        total("unreadable").alias("unreadable_rows"), F.count_if(F.col("effective_date").isNull()).alias("no_effective_date"),
-        total("rows"))
+        F.count(F.lit(1)).alias("files_with_section"), F.count_if(F.col("rows") == 0).alias("no_rows"), total("unreadable_rows"),
+        F.count_if(F.col("effective_date").isNull()).alias("no_effective_date"), total("rows"))

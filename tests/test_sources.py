@@ -123,7 +123,7 @@ def test_release_text(spark):
         "1) Nifty Bank", "1 Alpha Ltd ALPHA", "2) NIFTY 500 Index", "1 Ignored Before Action X", "The following are being excluded:",
         "1 Good Goods Ltd GOOD", "2 Broken Name Limited", "3 Numbers 12345", "Companies being included", " 10 M&M Motors M&M-DVR ", "3. Nifty Next 50", "1 Delta DELTA"])
     docs = spark.createDataFrame([("ind_prs05032014_1.pdf", text), ("other.pdf", "nothing here\n")], "file string, text string")
-    got = [tuple(r) for r in T.section_rows(T.index_sections(T.numbered_lines(docs))).orderBy("line_no").select("action", "symbol", "name").collect()]
+    got = [tuple(r) for r in T.section_rows(docs).orderBy("line_no").select("action", "symbol", "name").collect()]
     assert got == [("EXCLUDE", "GOOD", "Good Goods Ltd"), ("EXCLUDE", None, "2 Broken Name Limited"), ("EXCLUDE", None, "3 Numbers 12345"),
                    ("INCLUDE", "M&M-DVR", "M&M Motors")]
     dated = {r["file"]: r for r in T.release_dates(docs).collect()}
