@@ -5,8 +5,9 @@ from pyspark.sql import Column, functions as F
 
 
 def money2(value: Column) -> Column:
-    """Two decimals, half up, taken from the decimal text of the number (FN1)."""
-    return F.round(value.cast("string").try_cast("decimal(38,10)"), 2).cast("decimal(18,2)")
+    """Two decimals, half up, taken from the decimal text of the number and rounded once (FN1). A
+    number beyond sixteen digits before the point has none: null."""
+    return F.round(value.cast("string").try_cast("decimal(38,20)"), 2).try_cast("decimal(18,2)")
 
 
 def money_text(value: Column) -> Column:

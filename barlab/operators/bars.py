@@ -108,6 +108,13 @@ def any_break(candles: DataFrame, low: float, high: float) -> DataFrame:
     return with_jump(closes, low, high).groupBy("symbol").agg(F.bool_or("jump").alias("price_break_detected"))
 
 
+def once_a_day(bars: DataFrame) -> DataFrame:
+    """The bars as they are; a day that a symbol holds twice raises when it is read."""
+    again = F.lag("trading_date").over(by_symbol()).eqNullSafe(F.col("trading_date"))
+    checked = F.when(again & F.col("trading_date").isNotNull(), F.raise_error(F.concat(F.lit("two bars on one day of "), F.col("symbol"))).cast("date"))
+    return bars.withColumn("trading_date", checked.otherwise(F.col("trading_date")))
+
+
 def last_n_if_enough(bars: DataFrame, n: int) -> DataFrame:
     """The last n bars of each symbol that holds at least n (TK4)."""
     newest_first = Window.partitionBy("symbol").orderBy(F.desc("trading_date"))

@@ -96,7 +96,7 @@ def acquisition_outcomes(mappings: DataFrame, failures: DataFrame, fetched: Data
 
     mappings: symbol, source_order, mapping_status, mapping_error; failures: symbol, error,
     is_auth; fetched: symbol, observations, first_date, last_date; validation: symbol,
-    validation_status, first_error. Nothing is requested after the benchmark failed or after
+    validation_status, error_count, first_error (all of them: quality.series_findings). Nothing is requested after the benchmark failed or after
     the first authentication failure in source order.
     """
     mapped = F.col("mapping_status") == "MAPPED"
@@ -115,7 +115,7 @@ def acquisition_outcomes(mappings: DataFrame, failures: DataFrame, fetched: Data
     s = F.col("status")
     reason = (F.when(s == "EXCLUDED", "Placeholder excluded").when(s == "MAPPING_FAILED", F.col("mapping_error"))
               .when(s == "NOT_REQUESTED", stop_text).when(s == "REQUEST_FAILED", F.col("error"))
-              .when(s == "VALIDATION_FAILED", F.col("first_error"))
+              .when(s == "VALIDATION_FAILED", F.concat(F.col("error_count").cast("string"), F.lit(" validation error(s), first: "), F.col("first_error")))
               .when(s == "INSUFFICIENT_HISTORY", F.format_string("%d observations; %d required", n, F.lit(required))))
     asked = s.isin("REQUEST_FAILED", "NO_DATA", "VALIDATION_FAILED", "INSUFFICIENT_HISTORY", "SUCCESS")
     kept = F.when(s == "SUCCESS", F.lit(required)).when(asked, n).otherwise(0)

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barlab.operators.asof import in_force
+from barlab.operators.asof import in_force_by_day
 from barlab.operators.ranking import average_ranks, decile_bins
 
 CLIP = 1e-6  # fixed value: probabilities are kept this far from 0 and 1 in the log loss
@@ -23,7 +23,7 @@ def baseline(samples: DataFrame, folds: DataFrame) -> DataFrame:
     daily = samples.groupBy("idx").agg(F.count(F.lit(1)).alias("n"), F.sum("positive").alias("y"), F.sum("forward_return").alias("r"))
     upto = Window.orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one row per session
     sums = daily.select("idx", F.struct(*[F.sum(c).over(upto).alias(c) for c in ("n", "y", "r")]).alias("s"))
-    at = in_force(folds.withColumn("_t", F.col("train_last").cast("int")), sums.withColumn("idx", F.col("idx").cast("int")), [], "_t", "idx", "s")
+    at = in_force_by_day(folds.withColumn("_t", F.col("train_last").cast("int")), sums.withColumn("idx", F.col("idx").cast("int")), "_t", "idx", "s")
     return at.select("fold", "train_last", "test_first", "test_last", F.col("s.n").alias("n_train"),
                      F.try_divide("s.y", "s.n").alias("base_share"), F.try_divide("s.r", "s.n").alias("base_return"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from barlab.config import IndicatorParams
 from barlab.functions import folds
 from barlab.operators import indicators as ind
-from barlab.operators.bars import by_symbol, is_break, with_close_ratio
+from barlab.operators.bars import by_symbol, is_break, once_a_day, with_close_ratio
 
 FEATURE_COLUMNS = ("ema_short", "ema_medium", "ema_long", "rsi", "roc", "relative_return", "relative_volume",
                    "distance_from_high", "prior_high_long", "atr_percent")
@@ -16,7 +16,7 @@ def _marked(bars: DataFrame, p: IndicatorParams) -> DataFrame:
     whole = Window.partitionBy("symbol")
     bad = sum(F.when(F.col(c).isNull() | (F.col(c) <= 0), 1).otherwise(0) for c in ("close", "high", "low"))
     broken = is_break(F.col("close_ratio"), p.break_low_ratio, p.break_high_ratio)
-    return (with_close_ratio(bars)
+    return (with_close_ratio(once_a_day(bars))
             .withColumn("bad_values", F.sum(bad).over(whole))
             .withColumn("n_all", F.count(F.lit(1)).over(whole))
             .withColumn("break_date", F.max(F.when(broken, F.col("trading_date"))).over(whole))
@@ -27,7 +27,8 @@ def compute_features(bars: DataFrame, benchmark: DataFrame, p: IndicatorParams)
     """Quality and features of every symbol holding at least one bar.
 
     One exchange on symbol serves the windows and the grouping; the benchmark is joined on
-    the two dates it is needed at, after the bars are reduced to one row per symbol.
+    the two dates it is needed at, after the bars are reduced to one row per symbol. A day that a
+    symbol holds twice is an error: copies are collapsed before (bars.one_per_day).
     """
     post = _marked(bars, p).filter((F.col("bad_values") > 0) | F.col("break_date").isNull()
                                    | (F.col("trading_date") >= F.col("break_date")))
@@ -118,7 +119,8 @@ def without_bars(universe: DataFrame, bars: DataFrame, acquired: DataFrame) -> D
                     F.when(got == "INSUFFICIENT_HISTORY", got).otherwise("FAILED").alias("status"),
                     F.concat(F.lit("acquisition "), got,
                              F.when(F.col("acq_reason") != "", F.concat(F.lit(": "), F.col("acq_reason")))
-                             .otherwise("")).alias("reason")))
+                             .otherwise("")).alias("reason"),
+                    F.lit(0).alias("n_bars"), F.lit(False).alias("w52_complete")))
 
 
 def feature_scan(universe: DataFrame, bars: DataFrame, benchmark: DataFrame, acquired: DataFrame,

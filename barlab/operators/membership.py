@@ -238,8 +238,11 @@ class Reconstruction:
     def segments(self) -> DataFrame:
         return segments(self.states, self.snapshot)
 
+    def end(self) -> Column:
+        return open_end(self.changes, self.snap_date).scalar()
+
     def intervals(self) -> DataFrame:
-        return intervals(self.states, self.snapshot, open_end(self.changes, self.snap_date).scalar())
+        return intervals(self.states, self.snapshot, self.end())
 
     def timeline(self) -> DataFrame:
         return timeline(self.states, self.snapshot)

@@ -86,8 +86,15 @@ def exact_medians(df: DataFrame, groups: list[str], values: list[str], digits: i
     tally = (long.join(sketch, keys).filter(F.col("v") <= F.col("_b")[1])
              .groupBy(*keys, "_n", F.when(F.col("v") >= F.col("_b")[0], F.col("v")).alias("at"))
              .agg(F.count(F.lit(1)).alias("c")))
-    upto = F.sum("c").over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first("at")))
-    tally = tally.withColumn("_to", upto).withColumn("_from", F.col("_to") - F.col("c"))
+    # a prefix sum over range-sorted tasks, as in average_ranks: no task orders a whole group
+    placed = materialize(tally.orderBy(*[F.col(k).asc() for k in keys], F.asc_nulls_first("at")).withColumn("_id", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_task", F.shiftright("_id", 33))
+    sizes = placed.groupBy(*keys, "_task").agg(F.sum("c").alias("_s"))
+    earlier = Window.partitionBy(*keys).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "_task", F.coalesce(F.sum("_s").over(earlier), F.lit(0).cast("bigint")).alias("_before"))
+    inside = Window.partitionBy(*keys, "_task").orderBy(F.asc_nulls_first("at"))
+    tally = placed.withColumn("_in", F.sum("c").over(inside)).join(offsets, [*keys, "_task"]).withColumn("_to", F.col("_before") + F.col("_in"))
+    tally = tally.withColumn("_from", F.col("_to") - F.col("c"))
 
     def covering(rank: Column) -> Column:
         return F.max(F.when((F.col("_from") < rank) & (rank <= F.col("_to")), F.col("at")))

@@ -89,9 +89,14 @@ def distance_buckets(rows: DataFrame) -> DataFrame:
     return one.select(F.explode(bins).alias("x")).select("x.*")
 
 
+def named_sector() -> Column:
+    """The sector; null and empty are unknown."""
+    return F.coalesce(F.nullif("sector", F.lit("")), F.lit(UNKNOWN_SECTOR))
+
+
 def sector_strength(rows: DataFrame) -> DataFrame:
     """Per sector: size, share above the medium EMA, medians; alphabetical (AG9)."""
-    rows = rows.withColumn("sector", F.coalesce("sector", F.lit(UNKNOWN_SECTOR)))
+    rows = rows.withColumn("sector", named_sector())
     both = F.col("ema_medium").isNotNull() & F.col("close").isNotNull()
     counts = rows.groupBy("sector").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(both & (F.col("close") > F.col("ema_medium"))).alias("above"),
@@ -102,7 +107,7 @@ def sector_strength(rows: DataFrame) -> DataFrame:
 
 def sector_status(results: DataFrame) -> DataFrame:
     """Status counts per sector with a total (AG10)."""
-    wide = (results.groupBy(F.coalesce("sector", F.lit(UNKNOWN_SECTOR)).alias("sector"))
+    wide = (results.groupBy(named_sector().alias("sector"))
             .pivot("status", list(STATUSES)).agg(F.count(F.lit(1))))
     counts = [F.coalesce(F.col(s), F.lit(0)).alias(s.lower()) for s in STATUSES]
     return wide.select("sector", *counts).withColumn("total", sum((F.col(s.lower()) for s in STATUSES), F.lit(0)))

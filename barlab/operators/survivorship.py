@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barlab.functions.numeric import share_pct_or_zero
-from barlab.operators.asof import in_force
+from barlab.operators.asof import in_force, in_force_by_day
 
 MEMBER, NOT_MEMBER, UNCERTAIN = "MEMBER_RECONSTRUCTED", "NOT_MEMBER_RECONSTRUCTED", "UNCERTAIN_CHAIN"
 CLASSES = (MEMBER, NOT_MEMBER, UNCERTAIN)
@@ -65,11 +65,12 @@ def samples_by_symbol(classed: DataFrame) -> DataFrame:
     return classed.groupBy("symbol").agg(*_class_counts(), F.count(F.lit(1)).alias("samples"))
 
 
-def not_full_period(symbols: DataFrame, pieces: DataFrame, sessions: DataFrame, first: Column, last: Column) -> DataFrame:
+def not_full_period(symbols: DataFrame, pieces: DataFrame, sessions: DataFrame, first: Column, last: Column, end: Column) -> DataFrame:
     """Symbols without evidence of membership on all sessions of [first, last] (AG18).
 
-    pieces: the segments of membership. A symbol fails when some session falls into a
-    segment where it is no member or the chain is uncertain, or when it has no segment.
+    pieces: the segments of membership; end: the first change after the snapshot, where open
+    segments end. A symbol fails when some session falls into a segment where it is no member
+    or the chain is uncertain, lies at or beyond the end, or when it has no segment.
     """
     line = Window.partitionBy("symbol").orderBy(F.asc_nulls_first("start"))
     days = sessions.filter(F.col("trading_date").between(first, last)).agg(F.collect_set("trading_date")).scalar()
@@ -79,6 +80,9 @@ def not_full_period(symbols: DataFrame, pieces: DataFrame, sessions: DataFrame,
                    & (F.col("_until").isNull() | (d < F.col("_until"))))
     failed = doubtful.filter(hit).select("symbol").distinct()
     known = pieces.select("symbol").distinct()
+    # past the end there is no evidence of anything
+    beyond = sessions.filter(F.col("trading_date").between(first, last)).agg(F.coalesce(F.max("trading_date") >= end, F.lit(False))).scalar()
+    failed = failed.unionByName(known.filter(beyond)).distinct()
     return (symbols.select("symbol").distinct().join(failed, "symbol", "left_semi")
             .unionByName(symbols.select("symbol").distinct().join(known, "symbol", "left_anti")))
 
@@ -111,7 +115,7 @@ def members_outside_universe(intervals: DataFrame, snapshot: DataFrame, sessions
 
 def drift_on(sessions: DataFrame, states: DataFrame) -> DataFrame:
     """Drift in force on every session, 0 where no state has begun (JN13)."""
-    return in_force(sessions.select("trading_date").distinct(), states, [], "trading_date", "since", "drift") \
+    return in_force_by_day(sessions.select("trading_date").distinct(), states, "trading_date", "since", "drift") \
         .withColumn("drift", F.coalesce("drift", F.lit(0)))
 
 

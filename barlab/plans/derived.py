@@ -105,17 +105,20 @@ def universe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def instrument_master(spark: SparkSession, sf: str) -> DataFrame:
-    """Equity rows for most members, trade-for-trade rows for some, a future for each."""
-    u = universe(spark, sf)
+    """Equity rows for most members, some listed twice under two keys, trade-for-trade rows for
+    some, a future for each. `listed` is a row's place in the file."""
+    u = universe(spark, sf).withColumn("n", F.substring("isin", 4, 9).cast("bigint") * 8)
     bal = F.col("balance")
     eq = u.filter(bal < 8000).select(
         F.lit("NSE_EQ").alias("segment"), F.lit("NSE").alias("exchange"), F.lit("EQ").alias("instrument_type"),
         F.when((bal < 3000) | (bal >= 3500), F.col("isin")).alias("isin"), F.col("symbol").alias("trading_symbol"),
-        F.concat(F.lit("NSE_EQ|"), F.when(bal < 7500, F.col("isin")).otherwise("")).alias("instrument_key"))
+        F.concat(F.lit("NSE_EQ|"), F.when(bal < 7500, F.col("isin")).otherwise("")).alias("instrument_key"), (F.col("n") + 1).alias("listed"))
+    again = u.filter((bal >= 6500) & (bal < 7000)).select(
+        F.lit("NSE_EQ"), F.lit("NSE"), F.lit("EQ"), "isin", "symbol", F.concat(F.lit("NSE_EQ|Z"), "isin"), "n")
     be = u.filter((bal >= 4000) & (bal < 5500) | (bal >= 8000) & (bal < 8500)).select(
-        F.lit("NSE_EQ"), F.lit("NSE"), F.lit("BE"), "isin", "symbol", F.concat(F.lit("NSE_EQ|B"), "isin"))
-    fut = u.select(F.lit("NSE_FO"), F.lit("NSE"), F.lit("FUT"), "isin", "symbol", F.concat(F.lit("NSE_FO|"), "isin"))
-    return eq.union(be).union(fut)
+        F.lit("NSE_EQ"), F.lit("NSE"), F.lit("BE"), "isin", "symbol", F.concat(F.lit("NSE_EQ|B"), "isin"), F.col("n") + 2)
+    fut = u.select(F.lit("NSE_FO"), F.lit("NSE"), F.lit("FUT"), "isin", "symbol", F.concat(F.lit("NSE_FO|"), "isin"), F.col("n") + 3)
+    return eq.union(again).union(be).union(fut)
 
 
 def scan_runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -298,7 +301,7 @@ def mappings(spark: SparkSession, sf: str) -> DataFrame:
 def acquisition_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     got = arrivals(spark, sf).join(universe(spark, sf).filter("balance < 6500").select("symbol"), "symbol", "left_semi")
     fetched = got.groupBy("symbol").agg(F.count(F.lit(1)).alias("observations"))
-    checked = Q.series_status(got).select("symbol", F.col("status").alias("validation_status"), "first_error")
+    checked = Q.series_status(got).select("symbol", F.col("status").alias("validation_status"), "error_count", "first_error")
     failures = fetch_failures(spark, sf).withColumn("is_auth", F.lit(False)).unionByName(
         universe(spark, sf).filter("balance >= 9950").select("symbol", F.lit("AuthenticationError: 401").alias("error"),
                                                             F.lit(True).alias("is_auth")))

@@ -61,10 +61,11 @@ from supplier join nation on s_nationkey = n_nationkey join region on n_regionke
 view("master", """
 select 'NSE_EQ' as segment, 'NSE' as exchange, 'EQ' as instrument_type,
        case when balance < 3000 or balance >= 3500 then isin end as isin, symbol as trading_symbol,
-       concat('NSE_EQ|', case when balance < 7500 then isin else '' end) as instrument_key from univ where balance < 8000
-union all select 'NSE_EQ', 'NSE', 'BE', isin, symbol, concat('NSE_EQ|B', isin) from univ
+       concat('NSE_EQ|', case when balance < 7500 then isin else '' end) as instrument_key, cast(substr(isin, 4) as bigint) * 8 + 1 as listed from univ where balance < 8000
+union all select 'NSE_EQ', 'NSE', 'EQ', isin, symbol, concat('NSE_EQ|Z', isin), cast(substr(isin, 4) as bigint) * 8 from univ where balance >= 6500 and balance < 7000
+union all select 'NSE_EQ', 'NSE', 'BE', isin, symbol, concat('NSE_EQ|B', isin), cast(substr(isin, 4) as bigint) * 8 + 2 from univ
   where balance >= 4000 and balance < 5500 or balance >= 8000 and balance < 8500
-union all select 'NSE_FO', 'NSE', 'FUT', isin, symbol, concat('NSE_FO|', isin) from univ""", "univ")
+union all select 'NSE_FO', 'NSE', 'FUT', isin, symbol, concat('NSE_FO|', isin), cast(substr(isin, 4) as bigint) * 8 + 3 from univ""", "univ")
 view("runs", """
 select concat('run', cast(o_orderkey as varchar)) as run_id, o_orderdate as started_at,
        case o_orderstatus when 'F' then 'COMPLETE' when 'O' then 'RUNNING' else 'ABORTED' end as status,
@@ -151,10 +152,10 @@ from (select *, num % 10 as kind, num * 31 + dn as k from
 join (values (0), (1)) x(copy) on copy = 0 or (kind = 8 and k % 101 = 0)""", "bars")
 view("stored", """
 select symbol, trading_date, m(open) as open, m(high) as high, m(low) as low, m(close) as close, cast(volume as bigint) as volume from raw""".replace(
-    "m(open)", "cast(cast(cast(open as varchar) as decimal(38,10)) as decimal(18,2))").replace(
-    "m(high)", "cast(cast(cast(high as varchar) as decimal(38,10)) as decimal(18,2))").replace(
-    "m(low)", "cast(cast(cast(low as varchar) as decimal(38,10)) as decimal(18,2))").replace(
-    "m(close)", "cast(cast(cast(close as varchar) as decimal(38,10)) as decimal(18,2))"), "raw")
+    "m(open)", "try_cast(try_cast(cast(open as varchar) as decimal(38,20)) as decimal(18,2))").replace(
+    "m(high)", "try_cast(try_cast(cast(high as varchar) as decimal(38,20)) as decimal(18,2))").replace(
+    "m(low)", "try_cast(try_cast(cast(low as varchar) as decimal(38,20)) as decimal(18,2))").replace(
+    "m(close)", "try_cast(try_cast(cast(close as varchar) as decimal(38,20)) as decimal(18,2))"), "raw")
 view("checked", """
 select *, concat_ws(',', case when high < low then 'HIGH_LESS_THAN_LOW' end,
    case when not (open between low and high) then 'OPEN_OUTSIDE_RANGE' end,
@@ -227,10 +228,10 @@ select symbol, cast(date_trunc('week', trading_date) as date) as trading_date,
 from raw group by 1, 2""", "raw")
 view("wkq", """
 select symbol, trading_date, q(open) as open, q(high) as high, q(low) as low, q(close) as close, volume from wk""".replace(
-    "q(open)", "cast(cast(cast(open as varchar) as decimal(38,10)) as decimal(18,2))").replace(
-    "q(high)", "cast(cast(cast(high as varchar) as decimal(38,10)) as decimal(18,2))").replace(
-    "q(low)", "cast(cast(cast(low as varchar) as decimal(38,10)) as decimal(18,2))").replace(
-    "q(close)", "cast(cast(cast(close as varchar) as decimal(38,10)) as decimal(18,2))"), "wk")
+    "q(open)", "try_cast(try_cast(cast(open as varchar) as decimal(38,20)) as decimal(18,2))").replace(
+    "q(high)", "try_cast(try_cast(cast(high as varchar) as decimal(38,20)) as decimal(18,2))").replace(
+    "q(low)", "try_cast(try_cast(cast(low as varchar) as decimal(38,20)) as decimal(18,2))").replace(
+    "q(close)", "try_cast(try_cast(cast(close as varchar) as decimal(38,20)) as decimal(18,2))"), "wk")
 view("wkv", """
 select symbol, trading_date, close from wkq where open is not null and high >= low and open between low and high
   and close between low and high and open > 0 and high > 0 and low > 0 and close > 0 and volume >= 0""", "wkq")
@@ -251,7 +252,7 @@ view("rev", """
 select concat('S', lpad(cast(o_custkey as varchar), 6, '0')) as symbol, cast(o_orderdate as date) as effective_date,
   case when o_orderstatus = 'F' then 'RESOLVED' else 'OPEN' end as review_state from orders""")
 view("keys", """
-select isin, instrument_key from (select *, row_number() over (partition by isin order by case instrument_type when 'EQ' then 1 else 2 end, instrument_key) as z
+select isin, instrument_key from (select *, row_number() over (partition by isin order by case instrument_type when 'EQ' then 1 else 2 end, listed) as z
  from master where segment = 'NSE_EQ' and instrument_type in ('EQ', 'BE') and isin <> '') where z = 1""", "master")
 view("members", "select * from univ where symbol not like 'DUMMY%'", "univ")
 view("scanned", """
@@ -279,7 +280,7 @@ select symbol, isin, mapping_status, mapping_error, cast(substr(isin, 4) as bigi
 union all select symbol, isin, 'EXCLUDED_PLACEHOLDER', 'Placeholder row excluded from scan universe', cast(substr(isin, 4) as bigint) from univ where symbol like 'DUMMY%'""", "mapped", "univ")
 view("outcomes", """
 select symbol, mapping_status, status, requested, case status when 'EXCLUDED' then 'Placeholder excluded' when 'MAPPING_FAILED' then mapping_error
-   when 'NOT_REQUESTED' then 'Run stopped after authentication failure (HTTP 401)' when 'REQUEST_FAILED' then error when 'VALIDATION_FAILED' then first_error
+   when 'NOT_REQUESTED' then 'Run stopped after authentication failure (HTTP 401)' when 'REQUEST_FAILED' then error when 'VALIDATION_FAILED' then concat(ne, ' validation error(s), first: ', first_error)
    when 'INSUFFICIENT_HISTORY' then printf('%d observations; 530 required', n) end as reason,
   case when status = 'SUCCESS' then 530 when requested and status <> 'REQUEST_FAILED' then n else 0 end as observation_count,
   case when status = 'SUCCESS' then 530 else 0 end as persisted_count

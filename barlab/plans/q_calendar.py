@@ -168,7 +168,7 @@ def cls01(spark, sf):
 
 def scan(spark, sf, daily=None):
     master = D.instrument_master(spark, sf)
-    return C.scan(U.eligible(D.universe(spark, sf)), U.isin_keys(master, F.col("instrument_key")), D.fetch_failures(spark, sf),
+    return C.scan(U.eligible(D.universe(spark, sf)), U.isin_keys(master, F.col("listed")), D.fetch_failures(spark, sf),
                   D.weekly_candles(spark, sf, daily), D.reviews(spark, sf), window(spark, sf), last_closed(spark, sf),
                   day(FETCHED[0]), day(FETCHED[1]), REQUIRED, P.break_low_ratio, P.break_high_ratio)
 

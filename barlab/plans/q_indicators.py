@@ -206,7 +206,7 @@ def _scan(spark, sf):
 
 
 @query("cls03_symbols_without_bars", scan_sql("""
-select symbol, status, reason from scan where last_date is null"""))
+select symbol, status, reason, 0 as n_bars, false as w52_complete from scan where last_date is null"""))
 def cls03(spark, sf):
     return FT.without_bars(D.universe(spark, sf), D.bars(spark, sf), D.acquisition_results(spark, sf))
 

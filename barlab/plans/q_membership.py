@@ -298,7 +298,16 @@ select symbol from mcov m where exists (select 1 from msess s where trading_date
   or not exists (select 1 from ivl i where i.symbol = m.symbol and (member_from is null or member_from <= trading_date) and trading_date < member_until)))""", "mcov", "msess", "wnd", "ivl"))
 def ag18(spark, sf):
     s = study(spark, sf)
-    return V.not_full_period(covered(spark, sf, s.snapshot), s.segments(), sessions(spark, sf), day(W1), day(LAST))
+    return V.not_full_period(covered(spark, sf, s.snapshot), s.segments(), sessions(spark, sf), day(W1), day(LAST), s.end())
+
+
+@query("ag18_beyond_the_end", sql("""
+select symbol from mcov m where exists (select 1 from (select distinct date as trading_date from dated) s where trading_date between date '2022-06-27' and date '2023-12-25' and
+ (exists (select 1 from wnd w where w.symbol = m.symbol and w.start <= trading_date and trading_date < w.until)
+  or not exists (select 1 from ivl i where i.symbol = m.symbol and (member_from is null or member_from <= trading_date) and trading_date < member_until)))""", "mcov", "dated", "wnd", "ivl"))
+def ag18_beyond(spark, sf):
+    s = study(spark, sf)
+    return V.not_full_period(covered(spark, sf, s.snapshot), s.segments(), dated(spark, sf).select(F.col("date").alias("trading_date")).distinct(), day("2022-06-27"), day("2023-12-25"), s.end())
 
 
 @query("ag19_members_outside_universe", sql("""

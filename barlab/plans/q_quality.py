@@ -100,6 +100,14 @@ def fn01(spark, sf):
                                            money2(F.col("close")).cast("double").alias("close"))
 
 
+@query("fn01_hard_numbers", """
+select o_orderkey, case o_orderstatus when 'F' then 0.0::double when 'O' then null else 0.01::double end as money from orders""")
+def fn01_hard(spark, sf):
+    """Just under a half cent, beyond what a price can hold, exactly a half cent."""
+    n = F.when(F.col("o_orderstatus") == "F", F.lit(0.00499999999995)).when(F.col("o_orderstatus") == "O", F.lit(1e17)).otherwise(F.lit(0.005))
+    return D.table(spark, sf, "orders").select("o_orderkey", money2(n).cast("double").alias("money"))
+
+
 @query("fn02_price_text", sql("""
 select symbol, trading_date, cast(open as varchar) as open, cast(close as varchar) as close from stored""", "stored"))
 def fn02(spark, sf):
@@ -112,9 +120,12 @@ def fn03(spark, sf):
     return Q.snapshots(D.raw_candles(spark, sf)).select("symbol", "trading_date", "content_hash")
 
 
-@query("fn04_rehash", sql("select symbol, trading_date, true as hash_matches from checked", "checked"))
+@query("fn04_rehash", sql("select symbol, trading_date, coalesce(volume % 7, 1) <> 0 as hash_matches from stored", "stored"))
 def fn04(spark, sf):
-    return Q.rehash(Q.snapshots(D.raw_candles(spark, sf))).select("symbol", "trading_date", "hash_matches")
+    """Rows with a volume of whole sevens were altered after they were stored."""
+    kept = Q.snapshots(D.raw_candles(spark, sf))
+    altered = kept.withColumn("volume", F.when(F.col("volume") % 7 == 0, F.col("volume") + 1).otherwise(F.col("volume")))
+    return Q.rehash(altered).select("symbol", "trading_date", "hash_matches")
 
 
 @query("fn05_share", """

@@ -11,6 +11,7 @@ from barlab.plans import derived as D
 from barlab.plans.oracle_views import sql
 from barlab.plans.registry import query, tidy
 from barlab.session import scratch_path
+from barlab.operators import universe
 from barlab.sources import files, payloads, tables
 from barlab.streaming import ingest
 
@@ -43,14 +44,24 @@ def one_json_per(rows, key, text, spark, label):
     return path
 
 
-@query("src3_instrument_master", sql("select segment, exchange, instrument_type, isin, trading_symbol, instrument_key from master", "master"))
-def src3(spark, sf):
+def master_file(spark, sf):
     m = D.instrument_master(spark, sf).withColumn("part", F.floor(F.regexp_extract("trading_symbol", r"(\d+)", 1).cast("bigint") / 1000))
     # a part holds the instruments of a thousand members
-    packed = m.groupBy("part").agg(F.collect_list(F.struct(*[c for c in m.columns if c != "part"])).alias("rows"))
+    row = F.struct("listed", *[c for c in m.columns if c not in ("part", "listed")])
+    packed = m.groupBy("part").agg(F.sort_array(F.collect_list(row)).alias("rows"))
     path = one_json_per(packed, "part", F.to_json("rows"), spark, "master")
-    out = files.read_instrument_master(spark, f"{path}/*/*.gz")
-    return out.select("segment", "exchange", "instrument_type", "isin", "trading_symbol", "instrument_key")
+    return files.read_instrument_master(spark, f"{path}/*/*.gz")
+
+
+@query("src3_instrument_master", sql("select segment, exchange, instrument_type, isin, trading_symbol, instrument_key from master", "master"))
+def src3(spark, sf):
+    return master_file(spark, sf).select("segment", "exchange", "instrument_type", "isin", "trading_symbol", "instrument_key")
+
+
+@query("src3_first_rows_of_file", sql("select * from keys", "keys"))
+def src3_keys(spark, sf):
+    """One key per ISIN by the order of the file's rows."""
+    return universe.isin_keys(master_file(spark, sf), F.col("source_order"))
 
 
 @query("src4_reviews", sql("""

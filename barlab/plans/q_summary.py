@@ -99,9 +99,14 @@ select coalesce(sector, 'UNKNOWN') as sector, count(*) as n, count(*) filter (wh
   round(median(distance_from_high), 4) as median_distance_from_high from frow group by 1"""
 
 
-@query("ag09_sector_strength", sql(STRENGTH, "frow"))
+def unnamed(df):
+    """A sector that the files leave empty."""
+    return df.withColumn("sector", F.when(F.col("sector") == "AFRICA", "").otherwise(F.col("sector")))
+
+
+@query("ag09_sector_strength", sql(STRENGTH.replace("coalesce(sector, 'UNKNOWN')", "coalesce(nullif(sector, 'AFRICA'), 'UNKNOWN')"), "frow"))
 def ag09(spark, sf):
-    return S.sector_strength(materialize(rows(spark, sf)))
+    return S.sector_strength(materialize(unnamed(rows(spark, sf))))
 
 
 STATUS_PIVOT = """
@@ -109,9 +114,9 @@ select coalesce(sector, 'UNKNOWN') as sector, count(*) filter (where status = 'V
   count(*) filter (where status = 'STALE') as stale, count(*) filter (where status = 'FAILED') as failed, count(*) as total from scanned group by 1"""
 
 
-@query("ag10_sector_status", sql(STATUS_PIVOT, "scanned"))
+@query("ag10_sector_status", sql(STATUS_PIVOT.replace("coalesce(sector, 'UNKNOWN')", "coalesce(nullif(sector, 'AFRICA'), 'UNKNOWN')"), "scanned"))
 def ag10(spark, sf):
-    return S.sector_status(scan(spark, sf))
+    return S.sector_status(unnamed(scan(spark, sf)))
 
 
 view("warned", """

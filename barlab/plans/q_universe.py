@@ -65,12 +65,12 @@ def jn01(spark, sf):
 
 @query("jn02_isin_keys", sql("select * from keys", "keys"))
 def jn02(spark, sf):
-    return U.isin_keys(D.instrument_master(spark, sf), F.col("instrument_key"))
+    return U.isin_keys(D.instrument_master(spark, sf), F.col("listed"))
 
 
 @query("jn03_unmatched_isins", sql("select distinct isin from univ where isin not in (select isin from keys)", "univ", "keys"))
 def jn03(spark, sf):
-    return U.unmatched_isins(D.universe(spark, sf), U.isin_keys(D.instrument_master(spark, sf), F.col("instrument_key")))
+    return U.unmatched_isins(D.universe(spark, sf), U.isin_keys(D.instrument_master(spark, sf), F.col("listed")))
 
 
 @query("jn03_mapping_report", sql("""
@@ -78,7 +78,7 @@ select count(distinct isin) filter (where isin in (select isin from keys)) as ma
   (select count(*) from master) as total_instruments, (select count(*) from master where segment = 'NSE_EQ') as accepted from univ""", "univ", "keys", "master"))
 def jn03_report(spark, sf):
     master = D.instrument_master(spark, sf)
-    return U.mapping_report(D.universe(spark, sf), master, U.isin_keys(master, F.col("instrument_key")))
+    return U.mapping_report(D.universe(spark, sf), master, U.isin_keys(master, F.col("listed")))
 
 
 DIM = """WITH e as (select concat('C', c_custkey) as symbol, c_name as company_name, case when c_mktsegment <> 'HOUSEHOLD' then concat('INE', c_custkey) end as isin,

@@ -1,6 +1,8 @@
 """Reference files: universe, reviews, instrument master, holidays, resolutions."""
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -13,8 +15,13 @@ class SourceError(ValueError):
 
 
 def _csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A CSV with a header holding at least the schema's columns. A header alone is valid."""
-    rows = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    """A CSV with a header holding at least the schema's columns. A header alone is valid.
+
+    Of several files every header is checked against the first; another order of columns is an
+    error instead of a shifted table. Fields may hold line breaks, so a file is one task: these
+    are reference lists of at most some thousand rows.
+    """
+    rows = spark.read.option("header", True).option("escape", '"').option("multiLine", True).option("enforceSchema", False).csv(path)
     missing = [n for n in schema.names if n not in [c.lstrip("﻿") for c in rows.columns]]
     if missing:
         raise SourceError(f"{path} lacks required column(s): {missing}")
@@ -39,14 +46,15 @@ def read_scan_universe(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_instrument_master(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array per file, gzip or plain; another root or broken JSON is an error (SRC3)."""
+    """A JSON array per file, gzip or plain; another root or broken JSON is an error. source_order
+    keeps the order of a file's rows (SRC3)."""
     opening = spark.read.text(path, wholetext=True).select(F.substring(F.ltrim("value"), 1, 1).alias("c"))
     if not opening.filter("c <> '['").isEmpty():
         raise SourceError(f"{path}: the instrument master must be a JSON array")
     rows = (spark.read.schema(schemas.INSTRUMENT).option("multiLine", True).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt").json(path))
     broken = F.when(F.col("_corrupt").isNotNull(), F.raise_error(F.lit("broken instrument master")).cast("string"))
-    return rows.withColumn("segment", F.coalesce(broken, "segment")).drop("_corrupt")
+    return rows.withColumn("segment", F.coalesce(broken, "segment")).drop("_corrupt").withColumn("source_order", F.monotonically_increasing_id())
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
@@ -54,9 +62,10 @@ def read_reviews(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark, path, schemas.REVIEW_CSV).withColumn("effective_date", F.expr("try_cast(effective_date as date)"))
 
 
-def read_holidays(spark: SparkSession, path: str) -> DataFrame:
-    """Exchange holidays, one JSON per year; a year without entries is an error. Of several
-    entries for a date the last one wins (SRC5)."""
+def read_holidays(spark: SparkSession, path: str, wanted: Iterable[int] = ()) -> DataFrame:
+    """Exchange holidays, one JSON per year; a year without entries is an error, and so is one
+    of the wanted years of which no file holds a date. Of several entries for a date the last
+    one wins (SRC5)."""
     years = (spark.read.schema(schemas.HOLIDAY_MASTER).option("multiLine", True)
              .option("columnNameOfCorruptRecord", "_corrupt").json(path)
              .withColumn("file", F.col("_metadata.file_path")))
@@ -64,8 +73,13 @@ def read_holidays(spark: SparkSession, path: str) -> DataFrame:
     checked = years.withColumn("CM", F.when(empty, F.raise_error(F.concat(F.lit("no holiday entries in "), F.col("file")))
                                             .cast(schemas.HOLIDAY_MASTER["CM"].dataType)).otherwise(F.col("CM")))
     rows = checked.select("file", F.posexplode("CM").alias("place", "e"))
-    return (rows.select(F.to_date("e.tradingDate", "dd-MMM-yyyy").alias("date"), strip(F.col("e.description")).alias("description"), "file", "place")
-            .groupBy("date").agg(F.max_by("description", F.struct("file", "place")).alias("description")))
+    found = (rows.select(F.to_date("e.tradingDate", "dd-MMM-yyyy").alias("date"), strip(F.col("e.description")).alias("description"), "file", "place")
+             .groupBy("date").agg(F.max_by("description", F.struct("file", "place")).alias("description")))
+    if wanted := set(wanted):  # one row per year
+        missing = wanted - {r["y"] for r in found.select(F.year("date").alias("y")).distinct().collect()}
+        if missing:
+            raise SourceError(f"{path} has no holidays of {sorted(missing)}")
+    return found
 
 
 def resolution_violations(resolutions: DataFrame) -> DataFrame:

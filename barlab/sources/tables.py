@@ -29,7 +29,8 @@ def replace_rows(rows: DataFrame, path: str, key: list[str], order: Column) -> N
         both = merged.unionByName(touched.withColumn("_new", F.lit(0)))
         # the table is read and rewritten, so the merged rows are put down first
         merged = materialize(latest_copy(both, key, F.col("_new")))
-    (merged.drop("_new").repartition("run_id", F.pmod(F.hash(*key), F.lit(16))).sortWithinPartitions(*key)
+    # balanced by size: a run of any size is written by as many tasks as it needs
+    (merged.drop("_new").hint("rebalance", "run_id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
 
 
