@@ -204,7 +204,9 @@ def labelled(rng: random.Random, long: list[str], short: list[str]) -> tuple[lis
 
 def fit(pages: DataFrame, n: int = LABELLED_PAGES, seed: int = 1) -> Chain:
     """The field's weights. Without any given text the layouts hold filler words."""
-    sample = need(pages, "html").where("html is not null").orderBy(F.xxhash64("html")).limit(SAMPLE_PAGES).collect()
+    given = need(pages, "html").where("html is not null")
+    share = min(1.0, 3 * SAMPLE_PAGES / max(1, given.count()))  # so that no task sends many
+    sample = given.where(F.pmod(F.xxhash64("html"), F.lit(1_000_003)) < F.lit(int(share * 1_000_003) + 1)).orderBy(F.xxhash64("html", F.lit(1))).limit(SAMPLE_PAGES).collect()
     texts = sorted({b.text.replace(MARK, "") for r in sample for b in blocks(r["html"])} - {""})
     long = [t for t in texts if len(t) > 60][:2000] or ["Some words that make a sentence, and some more of them to go on."]
     short = [t for t in texts if len(t) <= 60][:2000] or ["Some words"]

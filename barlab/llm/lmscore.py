@@ -19,7 +19,7 @@ from barlab.llm.common import UPPER, need, runs
 from barlab.session import materialize
 
 VOCABULARY = 2_000  # words of the model
-FREQUENT = 200_000  # words whose counts go with the tasks: about 10 MB
+FREQUENT = 200_000  # words at most whose counts go with the tasks: about 10 MB
 DIMENSION = 24
 TRAIN_SHARE = 8  # every eighth run of RUN tokens of every training partition trains the model
 RUN = 64
@@ -89,6 +89,24 @@ def _learn(model: Bilinear, words: Words, texts: list[str], share: int, seed: in
     return int(keep.sum())
 
 
+def _frequent(counts: DataFrame) -> list[tuple[str, int]]:
+    """The most frequent words with their counts, at most FREQUENT, in order of count, then word.
+
+    Eighths of powers of two of the counts are tallied first; the words above the lowest eighth that still
+    fits come to the driver, so no task sends more than that.
+    """
+    eighth = F.floor(F.log2("c") * 8)
+    room, least = FREQUENT, None
+    for r in counts.groupBy(eighth.alias("e")).agg(F.count("*").alias("n")).orderBy(F.desc("e")).collect():
+        if (room := room - r["n"]) < 0:
+            break
+        least = r["e"]
+    if least is None:
+        return []
+    got = counts.where(eighth >= least).select("word", "c").toArrow()
+    return sorted(zip(got["word"].to_pylist(), got["c"].to_pylist()), key=lambda x: (-x[1], x[0]))
+
+
 def fit(docs: DataFrame) -> tuple[DataFrame, Words, Bilinear]:
     """Counts of all training tokens as a table, the bounded word list, and the model.
 
@@ -99,7 +117,7 @@ def fit(docs: DataFrame) -> tuple[DataFrame, Words, Bilinear]:
     counts = materialize(train.select(F.explode(tokens(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("c")), "counts")
     size = train.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).first()
     seen = counts.agg(F.count("*").alias("v"), F.sum("c").alias("n")).first()
-    frequent = [(r["word"], r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()]
+    frequent = _frequent(counts)
     words = Words(frequent, (seen["n"] or 0) + size["n"], seen["v"] + (size["n"] > 0), size["n"])
     model = Bilinear.start(words.frequency, DIMENSION)
     if not size["n"]:
