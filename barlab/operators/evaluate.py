@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barlab.operators.asof import in_force_by_day
 from barlab.operators.ranking import average_ranks, decile_bins
+from barlab.session import materialize
 
 CLIP = 1e-6  # fixed value: probabilities are kept this far from 0 and 1 in the log loss
 
@@ -116,15 +117,98 @@ def rank_correlation(rows: DataFrame, a: str, b: str) -> DataFrame:
     return ranked.groupBy("trading_date").agg(F.count(F.lit(1)).alias("n"), F.corr("_ra", "_rb").alias("ic"))
 
 
-def logistic_tier(train: DataFrame, score: DataFrame, features: list[str], regularization: float) -> DataFrame:
-    """Tier-1 probabilities: scaler and model are fitted on the training rows only (ML14)."""
+class NotConverged(RuntimeError):
+    """A fit that stopped at its limit of iterations."""
+
+
+def logistic_tier(train: DataFrame, validation: DataFrame, score: DataFrame, features: list[str], regularizations: list[float],
+                  max_iter: int, tolerance: float = 1e-10) -> DataFrame:
+    """Tier-1 probabilities (ML14): scaler and model are fitted on the training rows only, the
+    regularization with the lowest log loss on VALIDATION is taken (of equals the largest).
+
+    Rows of `score` with a missing feature stay, with a null p and the reason; rows without all
+    features are left out of fitting and choosing. Adds p, p_reason and regularization.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import StandardScaler, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    stages = [VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="skip"),
-              StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True),
-              LogisticRegression(featuresCol="_x", labelCol="positive", regParam=regularization, probabilityCol="_p", maxIter=50)]
-    model = Pipeline(stages=stages).fit(train)
-    return model.transform(score).withColumn("p", vector_to_array("_p")[1]).drop("_raw", "_x", "_p", "rawPrediction", "prediction")
+    def whole(df: DataFrame) -> DataFrame:
+        return df.dropna(subset=features)
+
+    shape = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="error"),
+                             StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True)]).fit(whole(train))
+    ready, checked = materialize(shape.transform(whole(train)).select("_x", "positive")), shape.transform(whole(validation))
+    tried = []
+    for penalty in sorted(regularizations, reverse=True):  # the caller's list
+        fitted = LogisticRegression(featuresCol="_x", labelCol="positive", regParam=penalty, probabilityCol="_p", maxIter=max_iter, tol=tolerance).fit(ready)
+        if fitted.summary.totalIterations >= max_iter:
+            raise NotConverged(f"regularization {penalty}: not converged after {max_iter} iterations")
+        loss = fitted.transform(checked).agg(F.avg(log_loss(vector_to_array("_p")[1], F.col("positive"))).alias("l")).first()["l"]
+        tried.append((float("inf") if loss is None else loss, penalty, fitted))
+    _, penalty, model = min(tried, key=lambda t: t[0])
+    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in features])
+    done = model.transform(shape.transform(whole(score))).withColumn("p", vector_to_array("_p")[1]) \
+        .drop("_raw", "_x", "_p", "rawPrediction", "prediction").withColumn("p_reason", F.lit(None).cast("string"))
+    left = score.withColumn("p_reason", missing).filter("p_reason <> ''").withColumn("p", F.lit(None).cast("double")) \
+        .withColumn("p_reason", F.concat(F.lit("MISSING_FEATURE:"), "p_reason"))
+    return done.unionByName(left).withColumn("regularization", F.lit(penalty))
+
+
+# --- intervals that resample whole dates ------------------------------------------------------
+
+def date_draws(dates: DataFrame, replicates: int, seed: str) -> DataFrame:
+    """How often each date is drawn in each replicate: (replicate, trading_date, times). As many
+    dates are drawn as there are; replicates times dates rows whatever the sample size."""
+    numbered = dates.select("trading_date").distinct().withColumn("_i", F.row_number().over(Window.orderBy("trading_date")) - 1)  # one row per day
+    total = numbered.agg(F.count(F.lit(1))).scalar()
+    draws = dates.sparkSession.range(replicates).withColumn("_total", total).select(
+        F.col("id").alias("replicate"), "_total", F.explode(F.sequence(F.lit(0), (F.col("_total") - 1).cast("int"))).alias("_k"))
+    bits = F.md5(F.concat_ws(":", F.lit(seed), F.col("replicate").cast("string"), F.col("_k").cast("string")))
+    draws = draws.select("replicate", (F.conv(F.substring(bits, 1, 8), 16, 10).cast("bigint") % F.col("_total")).cast("int").alias("_i"))
+    return draws.groupBy("replicate", "_i").agg(F.count(F.lit(1)).alias("times")).join(numbered, "_i").select("replicate", "trading_date", "times")
+
+
+def ratio_bootstrap(rows: DataFrame, above: Column, below: Column, replicates: int, seed: str) -> DataFrame:
+    """Sum of `above` over sum of `below` in each replicate; rows are summed per date first (ML11)."""
+    daily = rows.groupBy("trading_date").agg(F.sum(above).alias("a"), F.sum(below).alias("b"))
+    return date_draws(daily, replicates, seed).join(daily, "trading_date").groupBy("replicate").agg(
+        F.try_divide(F.sum(F.col("times") * F.col("a")), F.sum(F.col("times") * F.col("b"))).alias("estimate"))
+
+
+def auc_bootstrap(rows: DataFrame, replicates: int, seed: str, cells: int = 100) -> DataFrame:
+    """Area under the ROC curve in each replicate (ML11). Scores are counted per date and cell of
+    equal width, so a replicate reads dates times cells counts and never a row; scores of one cell
+    are ties."""
+    cell = F.least(F.floor(F.col("p") * cells), F.lit(cells - 1)).cast("int")
+    daily = rows.groupBy("trading_date", cell.alias("cell")).agg(F.sum("positive").alias("n1"), F.sum(1 - F.col("positive")).alias("n0"))
+    drawn = date_draws(daily, replicates, seed).join(daily, "trading_date").groupBy("replicate", "cell").agg(
+        F.sum(F.col("times") * F.col("n1")).alias("n1"), F.sum(F.col("times") * F.col("n0")).alias("n0"))
+    below = Window.partitionBy("replicate").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # at most `cells` rows
+    ranked = drawn.withColumn("_u", F.col("n1") * (F.coalesce(F.sum("n0").over(below), F.lit(0)) + F.col("n0") / 2))
+    return ranked.groupBy("replicate").agg(F.try_divide(F.sum("_u"), (F.sum("n1") * F.sum("n0")).cast("double")).alias("estimate"))
+
+
+def evidence_gate(rows: DataFrame, limits: dict[str, float], replicates: int, seed: str, minimum: int, fraction: float) -> DataFrame:
+    """The criteria a tier must meet on its test rows, one row each: value, limit, passes (ML16).
+
+    rows: scored test rows. limits: auc, improvement (lower bounds of 95 % intervals must exceed
+    them), folds_beaten (least share), calibration_error and concentration (most). Concentration
+    also needs at least three folds.
+    """
+    lower = lambda estimates: bootstrap_interval(estimates).select("low")
+    folds = metrics(rows, ["fold"])
+    beaten = folds.agg(F.avg((F.col("log_loss") < F.col("base_log_loss")).cast("double")).alias("v"))
+    parts = concentration(rows, limits["concentration"], minimum, fraction)
+    spread = parts.agg(F.max("share").alias("v"), (F.bool_and("passes") & (F.count_if(F.col("kind") == "FOLD") >= 3)).alias("ok"))
+    one = lambda name, df, value, passes: df.select(F.lit(name).alias("criterion"), value.cast("double").alias("value"),
+                                                    F.lit(limits[name]).alias("limit"), F.coalesce(passes, F.lit(False)).alias("passes"))
+    low, v = F.col("low"), F.col("v")
+    out = one("auc", lower(auc_bootstrap(rows, replicates, seed)), low, low > limits["auc"])
+    for part in (one("improvement", lower(ratio_bootstrap(rows, F.col("improvement"), F.lit(1), replicates, seed)), low, low > limits["improvement"]),
+                 one("folds_beaten", beaten, v, v >= limits["folds_beaten"]),
+                 one("calibration_error", calibration_error(calibration(rows)), F.col("mace"), F.col("mace") <= limits["calibration_error"]),
+                 one("concentration", spread, v, F.col("ok"))):
+        out = out.unionByName(part)
+    return out

@@ -56,12 +56,17 @@ def usable_acquisition(runs: DataFrame, minimum_universe: int, run_id: str | Non
     return ok.filter(full).orderBy(F.desc("started_at"), F.asc("run_id")).limit(1)
 
 
+# Columns of a run kept as JSON text, and what they hold.
+JSON_COLUMNS = {"status_counts": "map<string,bigint>", "flag_counts": "map<string,bigint>", "excluded_symbols": "array<string>",
+                "errors": "array<string>", "calendar_dates": "array<string>", "symbols_filter": "array<string>"}
+
+
 def summarize(runs: DataFrame) -> DataFrame:
-    """Parsed symbol filter and the label FULL or SMOKE (RUN3)."""
-    n = F.size(F.from_json("symbols_filter_json", "array<string>"))
-    label = F.when(n > 0, F.format_string("SMOKE (%d symbols)", n)).otherwise("FULL")
-    return runs.withColumn("symbols_filter", F.from_json("symbols_filter_json", "array<string>")) \
-        .withColumn("scan_label", label).drop("symbols_filter_json")
+    """JSON columns parsed (null stays null), and the label FULL or SMOKE (RUN3)."""
+    held = [name for name in JSON_COLUMNS if f"{name}_json" in runs.columns]
+    parsed = runs.withColumns({name: F.from_json(f"{name}_json", JSON_COLUMNS[name]) for name in held}).drop(*[f"{name}_json" for name in held])
+    n = F.size("symbols_filter")
+    return parsed.withColumn("scan_label", F.when(n > 0, F.format_string("SMOKE (%d symbols)", n)).otherwise("FULL"))
 
 
 def feature_context(scans: DataFrame, runs: DataFrame) -> DataFrame:

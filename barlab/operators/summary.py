@@ -189,3 +189,20 @@ def latest_snapshots(snapshots: DataFrame, n: int, order: str = "trading_date")
 def symbol_snapshots(snapshots: DataFrame, symbol: str, n: int, order: str = "trading_date") -> DataFrame:
     """The newest n snapshots of one symbol (TK8)."""
     return snapshots.filter(F.col("symbol") == symbol).orderBy(F.desc(order)).limit(n)
+
+
+def fetch_history(snapshots: DataFrame, limit: int) -> DataFrame:
+    """The latest `limit` fetches of every symbol across all runs, newest first (VW4). snapshots:
+    symbol, run_id, trading_date, fetched_at, status, ..."""
+    newest = Window.partitionBy("symbol").orderBy(F.desc("fetched_at"), F.desc("run_id"), F.desc("trading_date"))
+    return snapshots.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= limit).drop("_rank")
+
+
+def provenance(results: DataFrame, run: DataFrame, quality: DataFrame) -> DataFrame:
+    """Where a symbol's result comes from: its instrument, the run (one row) and the state of its
+    features (VW4)."""
+    of_run = run.agg(F.first(F.struct("run_id", "latest_closed_session"))).scalar()
+    rows = results.select("symbol", "instrument_key", "isin", "series").withColumn("_run", of_run)
+    judged = quality.select("symbol", F.col("status").alias("quality_status"), F.col("reason").alias("quality_reason"))
+    return rows.join(judged, "symbol", "left").select(
+        "symbol", "instrument_key", "isin", "series", "_run.run_id", "_run.latest_closed_session", "quality_status", "quality_reason")

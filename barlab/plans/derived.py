@@ -130,7 +130,12 @@ def scan_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit('["S000001","S000002"]')).alias("symbols_filter_json"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.date_sub(F.to_date("o_orderdate"), 1))
         .alias("latest_closed_session"),
-        F.col("o_totalprice").alias("requested"))
+        F.col("o_totalprice").alias("requested"),
+        F.format_string('{"VALID": %d, "FAILED": %d}', F.floor(F.col("o_totalprice") / 1000), F.col("o_custkey")).alias("status_counts_json"),
+        F.when(F.col("o_orderstatus") != "P", F.format_string('{"history_gaps": %d}', F.col("o_custkey") % 10)).alias("flag_counts_json"),
+        F.when(F.col("o_orderpriority") == "2-HIGH", F.lit('["DUMMY1", "DUMMY2"]')).alias("excluded_symbols_json"),
+        F.when(F.col("o_orderstatus") == "P", F.lit('["calendar: closed"]')).alias("errors_json"),
+        F.format_string('["%s"]', F.to_date("o_orderdate").cast("string")).alias("calendar_dates_json"))
 
 
 def feature_quality(spark: SparkSession, sf: str, daily: DataFrame | None = None) -> DataFrame:
@@ -236,6 +241,15 @@ def reviews(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", "RESOLVED").otherwise("OPEN").alias("review_state"))
 
 
+def corporate_actions(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order of a customer as an announced action of the like-numbered symbol; the urgent ones that
+    are in process are confirmed."""
+    confirmed = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
+    return table(spark, sf, "orders").select(
+        symbol_of(F.col("o_custkey")).alias("symbol"), F.to_date("o_orderdate").alias("effective_date"),
+        F.when(confirmed, "CONFIRMED").otherwise("RUMOURED").alias("status"))
+
+
 def fetch_failures(spark: SparkSession, sf: str) -> DataFrame:
     return universe(spark, sf).filter("balance >= 6000 and balance < 6500").select(
         "symbol", F.lit("TimeoutError: no answer").alias("error"))

@@ -13,6 +13,7 @@ from barlab.plans import derived as D
 from barlab.plans.derived import PARAMS as P
 from barlab.plans.oracle_views import sql
 from barlab.plans.registry import query, tidy
+from barlab.session import materialize
 
 NOW = "2001-11-04 12:00:00"
 WINDOW, REQUIRED = 100, 80
@@ -27,12 +28,14 @@ def now():
     return F.lit(NOW).cast("timestamp")
 
 
-def last_closed(spark, sf):
-    return K.last_closed_session(D.weeks(spark, sf), now()).select("last_closed").scalar()
+def last_closed(spark, sf, weeks=None):
+    weeks = D.weeks(spark, sf) if weeks is None else weeks
+    return K.last_closed_session(weeks, now()).select("last_closed").scalar()
 
 
-def window(spark, sf):
-    return K.trailing_sessions(D.weeks(spark, sf), last_closed(spark, sf), WINDOW)
+def window(spark, sf, weeks=None):
+    weeks = D.weeks(spark, sf) if weeks is None else weeks
+    return K.trailing_sessions(weeks, last_closed(spark, sf, weeks), WINDOW)
 
 
 def sessions(spark, sf):
@@ -77,13 +80,15 @@ def cal05(spark, sf):
 
 @query("set02_calendar_differences", sql("select * from diffs", "diffs"))
 def set02(spark, sf):
-    return K.calendar_differences(D.vendor_dates(spark, sf), sessions(spark, sf), D.span(spark, sf))
+    open_days = materialize(sessions(spark, sf), "sessions")  # one row per day
+    return K.calendar_differences(materialize(D.vendor_dates(spark, sf), "vendor"), open_days, materialize(D.span(spark, sf), "span"))
 
 
 @query("jn16_reconciliation", sql("""
 select d.*, d.date in (select date from res) or (d.date, d.instrument) in (select date, instrument from gaps) as resolved from diffs d""", "diffs", "gaps"))
 def jn16(spark, sf):
-    return K.reconcile(D.vendor_dates(spark, sf), sessions(spark, sf), D.span(spark, sf), D.resolutions(spark, sf),
+    open_days = materialize(sessions(spark, sf), "sessions")  # one row per day
+    return K.reconcile(materialize(D.vendor_dates(spark, sf), "vendor"), open_days, materialize(D.span(spark, sf), "span"), D.resolutions(spark, sf),
                        D.vendor_gaps(spark, sf))
 
 
@@ -167,9 +172,13 @@ def cls01(spark, sf):
 
 
 def scan(spark, sf, daily=None):
+    """The calendar of weeks and its window are written once, a few hundred rows; the candles too."""
+    weeks = materialize(D.weeks(spark, sf), "weeks")
+    shown = materialize(window(spark, sf, weeks), "window")
+    candles = materialize(D.weekly_candles(spark, sf, daily), "candles")
     master = D.instrument_master(spark, sf)
     return C.scan(U.eligible(D.universe(spark, sf)), U.isin_keys(master, F.col("listed")), D.fetch_failures(spark, sf),
-                  D.weekly_candles(spark, sf, daily), D.reviews(spark, sf), window(spark, sf), last_closed(spark, sf),
+                  candles, D.reviews(spark, sf), shown, last_closed(spark, sf, weeks),
                   day(FETCHED[0]), day(FETCHED[1]), REQUIRED, P.break_low_ratio, P.break_high_ratio)
 
 
@@ -242,10 +251,17 @@ def run02(spark, sf):
     return R.feature_context(scans, runs).select("run_id", "run_session", "asof_date", "as_of_matches_run")
 
 
-@query("run03_run_summary", sql("""
-select run_id, status, case when symbols_filter_json is null then 'FULL' else 'SMOKE (2 symbols)' end as scan_label from runs""", "runs"))
+@query("run03_run_summary", """
+select concat('run', o_orderkey) as run_id, case o_orderstatus when 'F' then 'COMPLETE' when 'O' then 'RUNNING' else 'ABORTED' end as status,
+  case when o_orderpriority <> '1-URGENT' then 'FULL' else 'SMOKE (2 symbols)' end as scan_label, cast(floor(o_totalprice / 1000) as bigint) as valid, cast(o_custkey as bigint) as failed,
+  case when o_orderstatus <> 'P' then cast(o_custkey % 10 as bigint) end as history_gaps, case when o_orderpriority = '2-HIGH' then 'DUMMY1,DUMMY2' end as excluded,
+  case when o_orderstatus = 'P' then 'calendar: closed' end as errors, strftime(o_orderdate, '%Y-%m-%d') as calendar_date from orders""")
 def run03(spark, sf):
-    return R.summarize(D.scan_runs(spark, sf)).select("run_id", "status", "scan_label")
+    get = lambda column, key: F.try_element_at(column, F.lit(key))
+    return R.summarize(D.scan_runs(spark, sf)).select(
+        "run_id", "status", "scan_label", get("status_counts", "VALID").alias("valid"), get("status_counts", "FAILED").alias("failed"),
+        get("flag_counts", "history_gaps").alias("history_gaps"), F.array_join("excluded_symbols", ",").alias("excluded"), F.array_join("errors", ",").alias("errors"),
+        F.get("calendar_dates", F.lit(0)).alias("calendar_date"))
 
 
 @query("tk01_latest_complete_run", sql("""

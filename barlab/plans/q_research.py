@@ -115,10 +115,10 @@ def ml1(spark, sf):
 
 
 def judged(spark, sf, treat_membership=True):
-    candles = D.weekly_candles(spark, sf)
-    sessions = D.weeks(spark, sf).filter("year(trading_date) > 1995 or month(trading_date) > 3")
-    ca = D.reviews(spark, sf).filter("review_state = 'OPEN' and month(effective_date) = 1").select("symbol", F.col("effective_date").alias("date"))
-    odd = D.raw_candles(spark, sf).filter("close < 1 and month(trading_date) = 6").select("symbol", F.col("trading_date").alias("date"))
+    candles = materialize(D.weekly_candles(spark, sf), "candles")
+    sessions = materialize(D.weeks(spark, sf).filter("year(trading_date) > 1995 or month(trading_date) > 3"), "weeks")
+    ca = D.corporate_actions(spark, sf).filter("status = 'CONFIRMED'").select("symbol", F.col("effective_date").alias("date"))
+    odd = D.raw_candles(spark, sf).filter("close < 1 and volume > 45").select("symbol", F.col("trading_date").alias("date"))
     member = candles.filter("volume > 5").select("symbol", "trading_date")
     complete = candles.filter("volume > 8").select("symbol", "trading_date")
     return DS.eligibility(candles, DS.session_index(sessions), D.universe(spark, sf).filter("balance < 9500"),
@@ -126,8 +126,8 @@ def judged(spark, sf, treat_membership=True):
 
 
 view("eidx", "select trading_date, row_number() over (order by trading_date) - 1 as idx from weeks where year(trading_date) > 1995 or month(trading_date) > 3", "weeks")
-view("eca", "select distinct symbol, effective_date as date from rev where review_state = 'OPEN' and month(effective_date) = 1", "rev")
-view("eodd", "select distinct symbol, trading_date as date from raw where close < 1 and month(trading_date) = 6", "raw")
+view("eca", "select distinct concat('S', lpad(cast(o_custkey as varchar), 6, '0')) as symbol, cast(o_orderdate as date) as date from orders where o_orderpriority = '1-URGENT' and o_orderstatus = 'P'")
+view("eodd", "select distinct symbol, trading_date as date from raw where close < 1 and volume > 45", "raw")
 view("ecand", """
 select distinct symbol, trading_date from (select s.symbol, e.trading_date from (select symbol, min(trading_date) as a, max(trading_date) as b from wk group by 1) s, eidx e where e.trading_date between a and b
  union all select symbol, trading_date from wk)""", "wk", "eidx")
@@ -335,12 +335,118 @@ def ml13_shuffle(spark, sf):
     return tidy(DS.shuffled_labels(materialize(rows), "positive", "shuffle-v1"))
 
 
-@query("ml14_logistic_tier")
+PENALTIES = [0.01, 0.1, 1.0]
+# The objective is strictly convex in three numbers, so the twin takes Newton steps on the standardised columns.
+view("lrow", f"""
+select symbol, trading_date, positive, move, case when cast(volume as bigint) % 7 = 0 then null else volume end as volume, segment from
+ (select *, {SEG} as segment from smpl) where segment is not null and idx + 5 <= case segment when 'TRAIN' then 149 when 'VALIDATION' then 229 else (select max(idx) from widx) end""", "smpl", "widx")
+view("lstat", "select avg(move) as m1, stddev_samp(move) as s1, avg(volume) as m2, stddev_samp(volume) as s2 from lrow where segment = 'TRAIN' and volume is not null and move is not null", "lrow")
+view("lstd", "select lrow.*, (move - m1) / s1 as x1, (volume - m2) / s2 as x2 from lrow, lstat", "lrow", "lstat")
+view("newton", f"""
+select * from (with recursive nt(lam, i, b0, b1, b2) as (
+  select cast(l as double), 0, 0.0::double, 0.0::double, 0.0::double from (values {', '.join(f'({x})' for x in PENALTIES)}) v(l)
+  union all
+  select lam, i + 1, b0 - ((d * f - e * e) * g0 + (c * e - b * f) * g1 + (b * e - c * d) * g2) / det,
+    b1 - ((c * e - b * f) * g0 + (a * f - c * c) * g1 + (b * c - a * e) * g2) / det, b2 - ((b * e - c * d) * g0 + (b * c - a * e) * g1 + (a * d - b * b) * g2) / det
+  from (select *, a * (d * f - e * e) + b * (c * e - b * f) + c * (b * e - c * d) as det from
+   (select lam, i, b0, b1, b2, avg(p - positive) as g0, avg((p - positive) * x1) + lam * b1 as g1, avg((p - positive) * x2) + lam * b2 as g2,
+      avg(p * (1 - p)) as a, avg(p * (1 - p) * x1) as b, avg(p * (1 - p) * x2) as c, avg(p * (1 - p) * x1 * x1) + lam as d, avg(p * (1 - p) * x1 * x2) as e, avg(p * (1 - p) * x2 * x2) + lam as f
+    from (select nt.*, positive, x1, x2, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) as p from nt, lstd where segment = 'TRAIN' and x1 is not null and x2 is not null and i < 12)
+    group by lam, i, b0, b1, b2)))
+select * from nt where i = 12)""", "lstd")
+view("chosen", """
+select * from (select lam, b0, b1, b2, avg(-(positive * ln(least(greatest(p, 1e-6), 1 - 1e-6)) + (1 - positive) * ln(1 - least(greatest(p, 1e-6), 1 - 1e-6)))) as loss from
+ (select newton.*, positive, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) as p from newton, lstd where segment = 'VALIDATION' and x1 is not null and x2 is not null) group by 1, 2, 3, 4)
+order by loss, lam desc limit 1""", "newton", "lstd")
+
+
+@query("ml14_logistic_tier", sql("""
+select symbol, trading_date, positive, round(1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))), 4) as p, case when volume is null then 'MISSING_FEATURE:volume' end as p_reason, lam as regularization
+from lstd, chosen where segment = 'TEST'""", "lstd", "chosen"))
 def ml14(spark, sf):
     rows = usable(spark, sf).drop("p", "predicted").join(DS.split_table(index(spark, sf), 150, 10, 70), "idx")
-    rows = materialize(rows.filter(F.col("idx") + HORIZON <= F.col("last_idx")).select("symbol", "trading_date", "segment", "move", "volume", "positive"))
-    out = E.logistic_tier(rows.filter("segment = 'TRAIN'"), rows.filter("segment = 'TEST'"), ["move", "volume"], 0.1)
-    return tidy(out.select("symbol", "trading_date", "positive", "p"))
+    volume = F.when(F.col("volume").cast("bigint") % 7 == 0, F.lit(None)).otherwise(F.col("volume")).cast("double")
+    rows = materialize(rows.filter(F.col("idx") + HORIZON <= F.col("last_idx")).select(
+        "symbol", "trading_date", "segment", "move", volume.alias("volume"), "positive"))
+    part = lambda name: rows.filter(F.col("segment") == name)
+    out = E.logistic_tier(part("TRAIN"), part("VALIDATION"), part("TEST"), ["move", "volume"], PENALTIES, 200)
+    return tidy(out.select("symbol", "trading_date", "positive", F.round("p", 4).alias("p"), "p_reason", "regularization"))
+
+
+def drawn(seed, of):
+    """SQL: (r, trading_date) of every draw of the date bootstrap over a view's dates."""
+    return f"""dl as (select trading_date, row_number() over (order by trading_date) - 1 as i from {of} group by 1),
+t as (select count(*) as n from dl),
+dr as (select r, cast(concat('0x', substr(md5(concat('{seed}:', r, ':', k)), 1, 8)) as bigint) % t.n as i from t, (select unnest(range(200)) as r) a, (select unnest(range((select n from t))) as k) b),
+dd as (select r, trading_date, count(*) as times from dr join dl using (i) group by 1, 2)"""
+
+
+CELLS = """cell as (select trading_date, least(cast(floor(p * 100) as int), 99) as c, sum(positive) as n1, sum(1 - positive) as n0 from scored group by 1, 2),
+rc as (select r, c, sum(times * n1) as n1, sum(times * n0) as n0 from dd join cell using (trading_date) group by 1, 2),
+ra as (select r, sum(u) / (sum(n1) * sum(n0)) as estimate from (select *, n1 * (coalesce(sum(n0) over (partition by r order by c rows between unbounded preceding and 1 preceding), 0) + n0 / 2.0::double) as u from rc) group by 1)"""
+
+
+@query("ml11_auc_bootstrap", sql(f", {drawn('boot-v1', 'scored')}, {CELLS} select r as replicate, round(estimate, 6) as estimate from ra", "scored").replace("\n, dl as", ", dl as", 1))
+def ml11_auc(spark, sf):
+    return tidy(E.auc_bootstrap(materialize(scored(spark, sf)), 200, "boot-v1"))
+
+
+@query("ml11_r2_interval", sql(f""", {drawn('boot-v1', 'scored')},
+dy as (select trading_date, sum((forward_return - predicted) * (forward_return - predicted)) as a, sum((forward_return - base_return) * (forward_return - base_return)) as b from scored group by 1),
+re as (select r, 1 - sum(times * a) / sum(times * b) as e from dd join dy using (trading_date) group by 1)
+select round(quantile_cont(e, 0.025), 6) as low, round(quantile_cont(e, 0.975), 6) as high from re""", "scored").replace("\n, dl as", ", dl as", 1))
+def ml11_r2(spark, sf):
+    rows = materialize(scored(spark, sf))
+    error, base_error = F.col("forward_return") - F.col("predicted"), F.col("forward_return") - F.col("base_return")
+    left = E.ratio_bootstrap(rows, error * error, base_error * base_error, 200, "boot-v1")
+    return tidy(E.bootstrap_interval(left.withColumn("estimate", 1 - F.col("estimate"))))
+
+
+# The thresholds the study proposes for its gate.
+GATE = {"auc": 0.5, "improvement": 0.0, "folds_beaten": 0.7, "calibration_error": 0.1, "concentration": 0.5}
+
+
+@query("ml16_evidence_gate", sql(f""", {drawn('boot-v1', 'scored')}, {CELLS},
+im as (select trading_date, sum(improvement) as s, count(*) as n from scored group by 1),
+ri as (select r, sum(times * s) / sum(times * n) as e from dd join im using (trading_date) group by 1),
+fb as (select avg(case when a < b then 1.0 else 0.0 end) as v from (select fold, avg(loss) as a, avg(base_loss) as b from scored group by 1)),
+mc as (select max(abs(mp - my)) as v from (select bin, avg(p) as mp, avg(positive) as my from {BINS} group by 1)),
+w as (select count(*) as wn, sum(improvement) as d from scored),
+s as (select coalesce(sector, 'UNMAPPED') as g, count(*) as n, sum(improvement) as c from scored group by 1),
+u as (select 'SECTOR' as kind, case when n < greatest(500, 0.15 * wn) then 'SMALL_SECTORS' else g end as g, sum(c) as c from s, w group by 2
+ union all select 'FOLD', cast(fold as varchar), sum(improvement) from scored group by 2),
+cc as (select max(case when d > 0 then c / d end) as v, bool_and(coalesce(d > 0 and c / d <= 0.5, false)) and count(*) filter (where kind = 'FOLD') >= 3 as ok from u, w)
+select 'auc' as criterion, round(l, 6) as value, 0.5::double as "limit", coalesce(l > 0.5, false) as passes from (select quantile_cont(estimate, 0.025) as l from ra)
+union all select 'improvement', round(l, 6), 0.0, coalesce(l > 0, false) from (select quantile_cont(e, 0.025) as l from ri)
+union all select 'folds_beaten', round(cast(v as double), 6), 0.7, coalesce(v >= 0.7, false) from fb
+union all select 'calibration_error', round(v, 6), 0.1, coalesce(v <= 0.1, false) from mc
+union all select 'concentration', round(v, 6), 0.5, coalesce(ok, false) from cc""", "scored").replace("\n, dl as", ", dl as", 1))
+def ml16(spark, sf):
+    return tidy(E.evidence_gate(materialize(scored(spark, sf)), GATE, 200, "boot-v1", 500, 0.15))
+
+
+@query("ml13_leaking_features", sql("""
+select count(*) filter (where trading_date <= date '2000-06-30') as compared,
+  2 * (select count(*) from (select symbol from bars group by 1 having min(trading_date) <= date '2000-06-30' and max(trading_date) > date '2000-06-30')) as differing,
+  false as passes from bars""", "bars"))
+def ml13_leak(spark, sf):
+    """A feature that looks one bar ahead must be found: it differs on the last bar before the cut."""
+    from barlab.operators.bars import by_symbol
+    b = D.bars(spark, sf)
+    ahead = lambda rows: rows.select("symbol", "trading_date", F.lead("close").over(by_symbol()).alias("ahead"))
+    return DS.truncation_audit(ahead(b), ahead(b.filter(F.col("trading_date") <= day(CUTOFF))), day(CUTOFF))
+
+
+@query("ml13_shuffled_auc", sql("""
+, o as (select symbol, trading_date, p, positive, row_number() over (order by symbol, trading_date) as seat,
+  row_number() over (order by sha256(concat('shuffle-v1:', symbol, ':', cast(trading_date as varchar))), symbol, trading_date) as card from smpl),
+x as (select a.p, b.positive from o a join o b on a.seat = b.card)
+select round((sum(r) filter (where positive = 1) - n1 * (n1 + 1) / 2) / (n1 * n0), 6) as auc from
+(select positive, rank() over (order by p) + (count(*) over (partition by p) - 1) / 2.0::double as r, cast(sum(positive) over () as double) as n1, cast(sum(1 - positive) over () as double) as n0 from x) group by n1, n0""", "smpl").replace("\n, o as", ", o as", 1))
+def ml13_shuffled_auc(spark, sf):
+    rows = materialize(usable(spark, sf).select("symbol", "trading_date", "p", "positive"))
+    dealt = DS.shuffled_labels(rows, "positive", "shuffle-v1").withColumn("all", F.lit(1))
+    return tidy(E.auc(dealt, ["all"]).select("auc"))
 
 
 @query("ml15_data_gate", sql("""

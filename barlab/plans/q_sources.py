@@ -203,12 +203,16 @@ def src12(spark, sf):
 
 
 @query("src13_option_chain", """
-select concat('C', c_custkey) as underlying, k::double as strike_price, date '2024-01-25' as expiry, concat('CE', k) as ce_key, case when k = 100 then concat('PE', k) end as pe_key
+select concat('C', c_custkey) as underlying, (c_nationkey * 10 + k)::double as strike_price, date '2024-01-01' + cast(c_custkey % 300 as int) as expiry,
+  concat('CE', c_custkey, '-', c_nationkey * 10 + k) as ce_key, case when k = 100 then concat('PE', c_custkey, '-', c_nationkey * 10 + k) end as pe_key
 from customer, (values (100), (110)) s(k) where c_mktsegment <> 'FURNITURE'""")
 def src13(spark, sf):
-    expiry = F.when(F.col("c_mktsegment") == "FURNITURE", "25/01/2024").otherwise("2024-01-25")
-    text = F.concat(F.lit('{"data":{"expiry":"'), expiry, F.lit(
-        '","strikes":{"100":{"CE":{"instrument_key":"CE100"},"PE":{"instrument_key":"PE100"}},"110":{"CE":{"instrument_key":"CE110"},"PE":{}},"ATM":{"CE":{"instrument_key":"x"}}}}}'))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 300).cast("int"))
+    expiry = F.when(F.col("c_mktsegment") == "FURNITURE", F.date_format(day, "dd/MM/yyyy")).otherwise(day.cast("string"))
+    near, far = [(F.col("c_nationkey") * 10 + k).cast("string") for k in (100, 110)]
+    leg = lambda kind, strike: F.concat(F.lit(f'"{kind}":{{"instrument_key":"{kind}'), F.col("c_custkey").cast("string"), F.lit("-"), strike, F.lit('"}'))
+    text = F.concat(F.lit('{"data":{"expiry":"'), expiry, F.lit('","strikes":{"'), near, F.lit('":{'), leg("CE", near), F.lit(","), leg("PE", near),
+                    F.lit('},"'), far, F.lit('":{'), leg("CE", far), F.lit(',"PE":{}},"ATM":{"CE":{"instrument_key":"x"}}}}}'))
     return payloads.option_chain(D.table(spark, sf, "customer").select(
         F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("underlying"), text.alias("payload")))
 

@@ -344,8 +344,8 @@ def vw3(spark, sf):
 liv as (select symbol, list(close order by trading_date) as c from shown where break_date is null or trading_date >= break_date group by 1)
 select s.symbol, s.status, s.sector, s.instrument_key, s.isin, s.series, f.last_date, round(rsi, 6) as rsi, f.close, f.break_date,
   (select count(*) from warned w where w.symbol = s.symbol) as n_warnings, round({ema_sql('c', 20)}, 6) as chart_ema_short,
-  case when f.symbol is not null then 90 end as n_candles
-from scanned s left join feat f on f.symbol = s.symbol left join liv on liv.symbol = s.symbol""", "scanned", "feat", "warned", "brk").replace("\n, shown as", ", shown as", 1))
+  (select nullif(least(count(*), 90), 0) from raw where raw.symbol = s.symbol) as n_candles
+from scanned s left join feat f on f.symbol = s.symbol left join liv on liv.symbol = s.symbol""", "scanned", "feat", "warned", "brk", "raw").replace("\n, shown as", ", shown as", 1))
 def vw4(spark, sf):
     daily = D.stored_bars(spark, sf)
     f = materialize(D.feature_quality(spark, sf, daily))
@@ -358,3 +358,42 @@ def vw4(spark, sf):
     w = warned(spark, sf, daily).select("symbol", "status", "sector", "instrument_key", "isin", "series",
                                  F.size("warnings").alias("n_warnings"))
     return tidy(w.join(more, "symbol", "left").join(chart, "symbol", "left").join(candles, "symbol", "left"))
+
+
+@query("vw4_stock_candles", sql("""
+select symbol, trading_date, cast(open as varchar) as open, cast(high as varchar) as high, cast(low as varchar) as low, cast(close as varchar) as close, volume, status, errors, content_hash from
+ (select *, case when missing or found <> '' then 'INVALID' else 'VALID' end as status, case when missing then 'MISSING_FIELD' else found end as errors,
+   row_number() over (partition by symbol order by trading_date desc) as z from checked) where z <= 90""", "checked"))
+def vw4_candles(spark, sf):
+    shown = S.latest_snapshots(Q.snapshots(D.raw_candles(spark, sf)), 90)
+    return shown.select("symbol", "trading_date", "open", "high", "low", "close", "volume", "status", F.array_join("errors", ",").alias("errors"), "content_hash")
+
+
+@query("vw4_fetch_history", sql("""
+select symbol, run_id, trading_date, fetched_at, status from (select *, concat('y', year(trading_date)) as run_id, trading_date + 1 as fetched_at, case when missing or found <> '' then 'INVALID' else 'VALID' end as status,
+  row_number() over (partition by symbol order by trading_date desc) as z from checked) where z <= 20""", "checked"))
+def vw4_history(spark, sf):
+    kept = Q.snapshots(D.raw_candles(spark, sf)).withColumn("run_id", F.concat(F.lit("y"), F.year("trading_date").cast("string"))) \
+        .withColumn("fetched_at", F.date_add("trading_date", 1))
+    return S.fetch_history(kept, 20).select("symbol", "run_id", "trading_date", "fetched_at", "status")
+
+
+@query("vw4_stock_chart", sql(f"""
+, shown as (select b.*, break_date, row_number() over (partition by symbol order by trading_date) as i from (select *, row_number() over (partition by symbol order by trading_date desc) as z from bars) b join brk using (symbol) where z <= 400),
+liv as (select symbol, trading_date, row_number() over (partition by symbol order by trading_date) as j from shown where break_date is null or trading_date >= break_date),
+arr as (select symbol, list(close order by trading_date) as c from shown where break_date is null or trading_date >= break_date group by 1)
+select s.symbol, s.trading_date, s.close, round({ema_sql('c[1:j]', 20)}, 6) as ema_short from shown s left join liv using (symbol, trading_date) left join arr using (symbol)""", "bars", "brk").replace("\n, shown as", ", shown as", 1))
+def vw4_chart(spark, sf):
+    daily = D.stored_bars(spark, sf)
+    breaks = B.last_breaks(daily, P.break_low_ratio, P.break_high_ratio)
+    return tidy(I.chart_ema(daily, breaks, {"ema_short": P.ema_short}, 400).select("symbol", "trading_date", "close", "ema_short"))
+
+
+@query("vw4_provenance", sql("""
+, lr as (select * from runs where status = 'COMPLETE' and symbols_filter_json is null order by started_at desc, run_id limit 1)
+select s.symbol, s.instrument_key, s.isin, s.series, run_id, latest_closed_session, q.status as quality_status, q.reason as quality_reason from scanned s cross join lr left join quality q on q.symbol = s.symbol""",
+    "scanned", "runs", "quality").replace("\n, lr as", ", lr as", 1))
+def vw4_provenance(spark, sf):
+    daily = D.stored_bars(spark, sf)
+    quality = FT.mark_stale(D.feature_quality(spark, sf, daily), daily)
+    return S.provenance(scan(spark, sf, daily), R.latest_complete(D.scan_runs(spark, sf)), quality)

@@ -1,6 +1,7 @@
 """Session settings and the one place that decides where shared files go."""
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -53,9 +54,32 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+# Paths handed out, by application; the session owns them until it clears them or ends.
+_OWNED: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder for one written table or one stream."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    if app not in _OWNED:
+        _OWNED[app] = []
+        atexit.register(clear_scratch, spark)
+    _OWNED[app].append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this session, when a study or the session ends; says how
+    many paths there were. Results that are still to be read must be written or collected before."""
+    try:
+        paths = _OWNED.pop(spark.sparkContext.applicationId, [])
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        return len(paths)
+    except Exception:  # the engine is gone already
+        return 0
 
 
 def materialize(df: DataFrame, label: str = "kept") -> DataFrame:
