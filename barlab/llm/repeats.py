@@ -35,9 +35,9 @@ from barlab.session import materialize
 SPAN = 50
 HEAD = 24
 PLACES = SPAN - HEAD + 1  # of a head in a window
-BLOCK = 16_000_000  # bytes of a block; a longer document has one of its own
+BLOCK = 8_000_000  # bytes of a block; a longer document has one of its own
 STEP = 1 << 20  # bytes looked at at once
-BUCKET = 8_000_000  # bytes of text whose heads share a bucket
+BUCKET = 2_000_000  # bytes of text whose heads share a bucket
 LEAST_BUCKETS = 128
 SMALL = 64_000_000  # bytes of answers that are broadcast; more are joined by shuffle
 
@@ -273,12 +273,15 @@ def _block_runs(r: dict, buckets: int) -> list[dict]:
 def _merged(frame: pd.DataFrame) -> pd.DataFrame:
     """Merge the runs of a bucket; for each block the windows of its suffixes that a smaller id holds too."""
     parts = [_open(blob, "u1", "u1", "u1", "u1", "u1", "<i8", "<i8") for blob in frame["run"]]
+    blocks = frame["block"].to_numpy()
+    del frame
     runs = []
     for same, _, _, tails, *_ in parts:
         ends = np.cumsum(SPAN - same.astype(np.int64)).tolist()
         raw, begin = tails.tobytes(), [0, *ends[:-1]]
         runs.append((same.tolist(), [raw[x:y] for x, y in zip(begin, ends)]))
     order, common = merge(runs)
+    del runs
     sizes = np.array([len(p[0]) for p in parts])
     base = np.concatenate([[0], np.cumsum(sizes)])[:-1]
     order = np.array(order)
@@ -290,17 +293,15 @@ def _merged(frame: pd.DataFrame) -> pd.DataFrame:
     common = np.array(common)
     right, left = (np.concatenate([p[i] for p in parts])[at].astype(np.int64) for i in (1, 2))
     ids, first = (np.concatenate([p[i] for p in parts])[at] for i in (5, 6))
-    before = np.zeros((len(at), PLACES - 1), np.uint64)
-    unsorted = np.zeros_like(before)
     lefts = np.concatenate([p[2] for p in parts]).astype(np.int64)
-    unsorted[np.arange(PLACES - 1) < lefts[:, None]] = np.concatenate([p[4] for p in parts]) + np.uint64(1)
-    before[:] = unsorted[at]
-    del unsorted
+    before = np.zeros((len(at), PLACES - 1), np.uint8)
+    before[np.arange(PLACES - 1) < lefts[:, None]] = np.concatenate([p[4] for p in parts])
+    before = before[at]
     least = np.full((len(at), PLACES), _LAST)
     hashed = np.zeros(len(at), np.uint64)
     for place in range(PLACES):
         if place:
-            hashed = mix(hashed * _P + before[:, place - 1])
+            hashed = mix(hashed * _P + before[:, place - 1].astype(np.uint64) + np.uint64(1))
         has = np.flatnonzero((left >= place) & (right >= SPAN - place))
         if not len(has):
             continue
@@ -321,7 +322,7 @@ def _merged(frame: pd.DataFrame) -> pd.DataFrame:
     out = []
     for b in np.unique(block):
         mine = block == b
-        out.append((frame["block"].iloc[b], _squeeze(first[row[mine]], (left[row[mine]] - end[mine]).astype(np.uint8), (left[row[mine]] - begin[mine]).astype(np.uint8))))
+        out.append((blocks[b], _squeeze(first[row[mine]], (left[row[mine]] - end[mine]).astype(np.uint8), (left[row[mine]] - begin[mine]).astype(np.uint8))))
     return pd.DataFrame(out, columns=["block", "hits"])
 
 
