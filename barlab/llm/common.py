@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from itertools import count
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -39,9 +40,11 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[list[dict]], list[dict]
 
     `make` builds what a task needs once; its result turns one batch of rows into new rows.
     """
+    df_text = df.columns.index("text") if "text" in df.columns else None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in batches:
+        for batch in parts(batches, df_text) if df_text is not None else batches:
             out = step(batch.to_pylist())
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=arrow)
@@ -53,18 +56,27 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[list[dict]], list[dict]
     return df.mapInArrow(run, schema)
 
 
-def runs(texts: list[str], most: int):
-    """(start, end) of runs of texts of about `most` characters; a longer text is a run of its own."""
+def runs(sizes: list[int], most: int):
+    """(start, end) of runs of texts, given by their sizes, of about `most`; a larger one is a run of its own."""
     at = 0
-    while at < len(texts):
+    while at < len(sizes):
         end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end]) <= most):
-            size += len(texts[end])
+        while end < len(sizes) and (end == at or size + sizes[end] <= most):
+            size += sizes[end]
             end += 1
         yield at, end
         at = end
 
 
+def parts(batches: Iterator[pa.RecordBatch], text: int = 1, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches cut into pieces of about `most` bytes of the text column, so that what Python holds at once
+    does not depend on how many rows a batch has."""
+    for batch in batches:
+        sizes = [n or 0 for n in pc.binary_length(batch.column(text)).to_pylist()]
+        for at, end in runs(sizes, most):
+            yield batch.slice(at, end - at)
+
+
 def split_by_bytes(total_bytes: int, each: int, least: int = 1) -> int:
     """Into how many parts some bytes go, if a part is to hold about `each`."""
     return max(least, math.ceil(total_bytes / each))

@@ -18,7 +18,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from barlab.llm.common import need
+from barlab.llm.common import need, parts
 from barlab.llm.dom import Block, blocks
 
 SAMPLE_PAGES = 200  # given pages whose blocks fill the layouts
@@ -236,7 +236,7 @@ def extract(pages: DataFrame) -> DataFrame:
     chain = fit(pages)
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches, 2):
             texts = [main_text(h or "", chain) for h in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                                              names=["page_id", "url", "text", "n_chars"])

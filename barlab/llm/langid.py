@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from barlab.llm.common import need, runs
+from barlab.llm.common import need, parts
 from barlab.llm.pieces import NORMAL, PIECE_MODEL, SPACE, PieceModel, load
 
 # Expected characters of the sample that a language's piece probabilities are fitted on.
@@ -25,7 +25,7 @@ SMOOTH = 0.02  # added to every piece's expected count
 LONGEST = 16  # characters of the longest piece used
 UNKNOWN = 1e-7  # a character outside the vocabulary, in any language
 UNDECIDED = "und"
-CHUNK = 4_000_000  # characters worked on at once
+CHUNK = 3_000_000  # bytes of text worked on at once
 KEEP_SCORE = 0.5  # the pipeline keeps what is at least this sure
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -87,7 +87,7 @@ def by_width(words: list[str]):
     done = 0
     while done < len(words):
         rows = np.flatnonzero((sizes <= width) & (sizes > (width // 2 if width > 8 else 0)))
-        step = max(1, 4_000_000 // width)
+        step = max(1, 400_000 // width)  # what is worked on at once: a few dozen MB
         for at in range(0, len(rows), step):
             part = rows[at:at + step]
             wide = int(sizes[part].max())
@@ -175,7 +175,7 @@ def fit(docs: DataFrame, vocab: Vocabulary) -> LanguageModel:
     picked = train.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.element_at(cut, F.col("lang"))).select("lang", "text")
 
     def count(batches):
-        for batch in batches:
+        for batch in parts(batches):
             frame = batch.to_pandas()
             words = frame["text"].map(lambda t: [w[:63] for w in LETTERS.findall(t.lower())])
             flat = pd.DataFrame({"lang": frame["lang"], "word": words}).explode("word").dropna()
@@ -215,12 +215,8 @@ def totals(model: LanguageModel, vocab: Vocabulary, found: list[list[str]]) -> t
 
 def judged(model: LanguageModel, vocab: Vocabulary, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best language, its probability and the number of words of each text."""
-    parts = []
-    whole = [(t or "").lower() for t in texts]
-    for at, end in runs(whole, CHUNK):
-        found = [LETTERS.findall(t) for t in whole[at:end]]
-        parts.append((*totals(model, vocab, found), np.fromiter(map(len, found), np.int64, len(found))))
-    return tuple(np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, int), np.zeros(0), np.zeros(0, np.int64))
+    found = [LETTERS.findall((t or "").lower()) for t in texts]
+    return *totals(model, vocab, found), np.fromiter(map(len, found), np.int64, len(found))
 
 
 def predict(docs: DataFrame, model_path: str = PIECE_MODEL) -> DataFrame:
@@ -235,7 +231,7 @@ def predict(docs: DataFrame, model_path: str = PIECE_MODEL) -> DataFrame:
 
     def run(batches):
         vocab = Vocabulary(pieces)
-        for batch in batches:
+        for batch in parts(batches, 1, CHUNK):
             best, score, n = judged(model, vocab, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(2),
@@ -256,7 +252,7 @@ def keep_known(docs: DataFrame, model_path: str = PIECE_MODEL) -> DataFrame:
 
     def run(batches):
         vocab = Vocabulary(pieces)
-        for batch in batches:
+        for batch in parts(batches, at, CHUNK):
             best, score, _ = judged(model, vocab, batch.column(at).to_pylist())
             yield batch.filter(pa.array((best >= 0) & (score >= KEEP_SCORE)))
 

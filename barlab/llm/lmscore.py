@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barlab.llm.bilinear import END, OTHER, Bilinear, Tables
-from barlab.llm.common import UPPER, need, runs
+from barlab.llm.common import UPPER, need, parts
 from barlab.session import materialize
 
 VOCABULARY = 2_000  # words of the model
@@ -25,7 +25,7 @@ TRAIN_SHARE = 8  # every eighth run of RUN tokens of every training partition tr
 RUN = 64
 FIRST_CHARS = 2_000_000  # expected characters of the sample that the common start is trained on
 FAN_IN = 32  # models averaged at once
-CHUNK = 4_000_000  # characters worked on at once
+CHUNK = 4_000_000  # bytes of text worked on at once
 
 
 def held_out(doc_id: Column) -> Column:
@@ -128,10 +128,8 @@ def fit(docs: DataFrame) -> tuple[DataFrame, Words, Bilinear]:
 
     def run(batches):
         own, n = model.unpack(model.pack()), 0
-        for i, batch in enumerate(batches):
-            texts = batch.column(0).to_pylist()
-            for at, end in runs(texts, CHUNK):
-                n += _learn(own, words, texts[at:end], TRAIN_SHARE, at + i)
+        for i, batch in enumerate(parts(batches, 0, CHUNK)):
+            n += _learn(own, words, batch.column(0).to_pylist(), TRAIN_SHARE, i)
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([own.pack()], pa.binary())], names=["n", "model"])
 
@@ -172,36 +170,34 @@ def score(docs: DataFrame) -> DataFrame:
     def run(batches):
         tables = _tables(name, raw, shape)
         end_base = math.log10(words.texts + 0.5)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for at, stop in runs(texts, CHUNK):
-                codes, unique, n = split(texts[at:stop])
-                numbers = np.fromiter((words.number.get(w, OTHER) for w in unique), np.int32, len(unique))
-                count = np.fromiter((words.count.get(w, 0) for w in unique), np.float64, len(unique))
-                one, two, token = sequences(codes, numbers, n)
-                log = tables.log_prob(one, two, token) / math.log(10)
-                starts = np.concatenate([[0], np.cumsum(n + 1)[:-1]])
-                by_model = np.add.reduceat(log, starts)
-                # of each word: its count's part, if the list has it; joined later if not
-                listed = count > 0
-                part = np.where(listed, np.log10(np.maximum(count, 1) + 0.5), 0.0)
-                outside = numbers == OTHER
-                sums = np.zeros((3, len(n)))
-                some = np.flatnonzero(n)
-                if len(some):
-                    begin = np.concatenate([[0], np.cumsum(n[some])[:-1]])
-                    for row, value in enumerate((part, np.where(outside, part - words.rest_whole, 0.0), listed.astype(float))):
-                        sums[row, some] = np.add.reduceat(value[codes], begin)
-                base = sums[0] + end_base - (n + 1) * words.base_whole
-                rare = np.flatnonzero(~listed[codes])
-                owner = np.repeat(np.arange(len(n)), n)[rare]
-                offsets = np.searchsorted(owner, np.arange(len(n) + 1))
-                strings = pa.array([w.decode("utf-8", "surrogatepass") for w in unique], pa.string())
-                known = sums[2].astype(np.int64) + (words.texts > 0)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(at, stop - at), batch.column(2).slice(at, stop - at), pa.array(n + 1), pa.array(known), pa.array(base),
-                    pa.array(by_model + sums[1]), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), strings.take(pa.array(codes[rare])))],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "base", "model", "rare"])
+        for batch in parts(batches, 1, CHUNK):
+            codes, unique, n = split([t or "" for t in batch.column(1).to_pylist()])
+            numbers = np.fromiter((words.number.get(w, OTHER) for w in unique), np.int32, len(unique))
+            count = np.fromiter((words.count.get(w, 0) for w in unique), np.float64, len(unique))
+            one, two, token = sequences(codes, numbers, n)
+            log = tables.log_prob(one, two, token) / math.log(10)
+            starts = np.concatenate([[0], np.cumsum(n + 1)[:-1]])
+            by_model = np.add.reduceat(log, starts)
+            # of each word: its count's part, if the list has it; joined later if not
+            listed = count > 0
+            part = np.where(listed, np.log10(np.maximum(count, 1) + 0.5), 0.0)
+            outside = numbers == OTHER
+            sums = np.zeros((3, len(n)))
+            some = np.flatnonzero(n)
+            if len(some):
+                begin = np.concatenate([[0], np.cumsum(n[some])[:-1]])
+                for row, value in enumerate((part, np.where(outside, part - words.rest_whole, 0.0), listed.astype(float))):
+                    sums[row, some] = np.add.reduceat(value[codes], begin)
+            base = sums[0] + end_base - (n + 1) * words.base_whole
+            rare = np.flatnonzero(~listed[codes])
+            owner = np.repeat(np.arange(len(n)), n)[rare]
+            offsets = np.searchsorted(owner, np.arange(len(n) + 1))
+            strings = pa.array([w.decode("utf-8", "surrogatepass") for w in unique], pa.string())
+            known = sums[2].astype(np.int64) + (words.texts > 0)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(2), pa.array(n + 1), pa.array(known), pa.array(base),
+                pa.array(by_model + sums[1]), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), strings.take(pa.array(codes[rare])))],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "base", "model", "rare"])
 
     rows = need(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held_out"))
     rows = materialize(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from barlab.llm.common import need
+from barlab.llm.common import need, parts
 from barlab.llm.pieces import BPE, BYTE, NORMAL, SPACE, USER, PieceModel
 
 KEPT_WORDS = 1_000_000  # best paths a worker keeps before it starts afresh: about 200 MB
@@ -230,20 +230,17 @@ def encode(docs: DataFrame, model: PieceModel) -> DataFrame:
     def run(batches):
         machine = machine_of(model)
         is_byte = np.array([k == BYTE for k in model.kinds])
-        for batch in batches:
+        for batch in parts(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for at in range(0, len(texts), 500):  # what one output batch holds
-                part = texts[at:at + 500]
-                ids = [machine.encode(t) for t in part]
-                back = [machine.decode(i.tolist()) for i in ids]
-                flat = np.concatenate(ids)
-                offsets = np.fromiter(accumulate(map(len, ids), initial=0), np.int32, len(ids) + 1)
-                marked = np.concatenate([[0], np.cumsum(is_byte[flat])])
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(at, len(part)).cast(pa.int64()), pa.array(np.diff(offsets), pa.int64()),
-                    pa.array(np.diff(marked[offsets]), pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                    pa.array([hashlib.sha256(b.encode("utf-8", "surrogatepass")).hexdigest() for b in back]),
-                    pa.array([b == t for b, t in zip(back, part)])], schema=schema)
+            ids = [machine.encode(t) for t in texts]
+            back = [machine.decode(i.tolist()) for i in ids]
+            flat = np.concatenate(ids)
+            offsets = np.fromiter(accumulate(map(len, ids), initial=0), np.int32, len(ids) + 1)
+            marked = np.concatenate([[0], np.cumsum(is_byte[flat])])
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).cast(pa.int64()), pa.array(np.diff(offsets), pa.int64()), pa.array(np.diff(marked[offsets]), pa.int64()),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                pa.array([hashlib.sha256(b.encode("utf-8", "surrogatepass")).hexdigest() for b in back]),
+                pa.array([b == t for b, t in zip(back, texts)])], schema=schema)
 
     return need(docs, "doc_id", "text").mapInArrow(run, OUTPUT)
