@@ -184,3 +184,17 @@ def date_fingerprint(bars: DataFrame) -> DataFrame:
     return bars.groupBy("symbol").agg(
         F.min("trading_date").alias("first_bar"), F.max("trading_date").alias("last_bar"),
         F.size(days).alias("bars"), F.sha2(F.array_join(days, "\n"), 256).alias("dates_sha256"))
+
+
+def calendar_manifest(counts: DataFrame, findings: DataFrame, inputs: DataFrame) -> DataFrame:
+    """What a calendar's manifest says, one row per item: sessions in total, by type and year,
+    discrepancies found and unresolved, the status that follows, and the hash of every input
+    (SNK3). counts: calendar_counts; findings: reconcile; inputs: version."""
+    row = lambda df, item, key, value: df.select(F.lit(item).alias("item"), key.alias("key"), value.cast("string").alias("value"))
+    seen = findings.agg(F.count(F.lit(1)).alias("found"), F.count_if(~F.col("resolved")).alias("unresolved"))
+    status = F.when(F.col("unresolved") == 0, "VALIDATED").otherwise("FAILED")
+    out = counts.select(F.concat(F.lit("sessions_"), "scope").alias("item"), "key", F.col("sessions").cast("string").alias("value"))
+    for part in (row(seen, "discrepancies", F.lit("found"), F.col("found")), row(seen, "discrepancies", F.lit("unresolved"), F.col("unresolved")),
+                 row(seen, "status", F.lit(""), status), row(inputs, "input_sha256", F.col("version"), F.lit("1"))):
+        out = out.unionByName(part)
+    return out

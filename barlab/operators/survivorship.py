@@ -65,6 +65,21 @@ def samples_by_symbol(classed: DataFrame) -> DataFrame:
     return classed.groupBy("symbol").agg(*_class_counts(), F.count(F.lit(1)).alias("samples"))
 
 
+def symbol_audit(classed: DataFrame, coverage: DataFrame, intervals: DataFrame) -> DataFrame:
+    """Samples by class of every symbol, with its first bar and whether a failed check touches
+    its membership (AG17)."""
+    touched = intervals.groupBy("symbol").agg(F.bool_or("touched_by_anomaly").alias("touched_by_anomaly"))
+    return (samples_by_symbol(classed).join(coverage.select("symbol", "first_bar"), "symbol", "left").join(touched, "symbol", "left")
+            .withColumn("touched_by_anomaly", F.coalesce("touched_by_anomaly", F.lit(False))))
+
+
+def window_shares(classed: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Samples by class within [first, last] with the shares of those without evidence (AG17)."""
+    out = classed.filter(F.col("trading_date").between(first, last)).agg(*_class_counts(), F.count(F.lit(1)).alias("samples"))
+    return out.withColumn("not_member_pct", share_pct_or_zero(F.col(NOT_MEMBER.lower()), F.col("samples"))) \
+        .withColumn("uncertain_pct", share_pct_or_zero(F.col(UNCERTAIN.lower()), F.col("samples")))
+
+
 def not_full_period(symbols: DataFrame, pieces: DataFrame, sessions: DataFrame, first: Column, last: Column, end: Column) -> DataFrame:
     """Symbols without evidence of membership on all sessions of [first, last] (AG18).
 

@@ -100,6 +100,23 @@ def ag23(spark, sf):
     return K.calendar_counts(K.verified_calendar(D.span(spark, sf), D.holidays(spark, sf), D.resolutions(spark, sf)))
 
 
+@query("snk3_calendar_manifest", sql("""
+, f as (select count(*) as found, count(*) filter (where not (d.date in (select date from res) or (d.date, d.instrument) in (select date, instrument from gaps))) as unresolved from diffs d)
+select 'sessions_total' as item, '' as key, cast(count(*) as varchar) as value from cal where is_session
+union all select 'sessions_type', session_type, cast(count(*) as varchar) from cal where is_session group by 2
+union all select 'sessions_year', cast(year(date) as varchar), cast(count(*) as varchar) from cal where is_session group by 2
+union all select 'discrepancies', 'found', cast(found as varchar) from f union all select 'discrepancies', 'unresolved', cast(unresolved as varchar) from f
+union all select 'status', '', case when unresolved = 0 then 'VALIDATED' else 'FAILED' end from f
+union all select 'input_sha256', sha256(concat(coalesce(sector, 'none'), ',', count(*), ',', cast(sum(cast(balance as decimal(18,2))) as varchar), chr(10))), '1' from univ group by sector""",
+    "cal", "diffs", "gaps", "res", "univ").replace("\n, f as", ", f as", 1))
+def snk3_manifest(spark, sf):
+    from barlab.plans.q_sources import src7
+    cal = materialize(K.verified_calendar(D.span(spark, sf), D.holidays(spark, sf), D.resolutions(spark, sf)), "calendar")
+    open_days = cal.filter("is_session").select(F.col("date").alias("trading_date"))
+    found = K.reconcile(materialize(D.vendor_dates(spark, sf), "vendor"), open_days, materialize(D.span(spark, sf), "span"), D.resolutions(spark, sf), D.vendor_gaps(spark, sf))
+    return K.calendar_manifest(K.calendar_counts(cal), found, src7(spark, sf))
+
+
 @query("ag23_instrument_coverage", sql("""
 select instrument, count(*) filter (where trading_date between first and last) as bars_in_span,
   (select count(*) from sess) - count(*) filter (where trading_date in (select date from sess)) as sessions_without_bar

@@ -292,6 +292,23 @@ def ag17_symbol(spark, sf):
     return V.samples_by_symbol(classed(spark, sf))
 
 
+@query("ag17_symbol_audit", sql(f"""
+select s.*, first_bar, symbol in (select symbol from ivl where touched_by_anomaly) as touched_by_anomaly from (select symbol, {CLASS_SQL}, count(*) as samples from smpc group by 1) s left join mcov using (symbol)""", "smpc", "mcov", "ivl"))
+def ag17_audit(spark, sf):
+    s = study(spark, sf)
+    held = covered(spark, sf, s.snapshot)
+    found = s.intervals()
+    samples = V.classify_samples(V.candidate_samples(held, sessions(spark, sf), day(LAST)), found, s.anomaly_windows())
+    return V.symbol_audit(samples, held, found)
+
+
+@query("ag17_window_shares", sql(f"""
+select *, coalesce(round(not_member_reconstructed * 100.0::double / nullif(samples, 0), 2), 0.0) as not_member_pct, coalesce(round(uncertain_chain * 100.0::double / nullif(samples, 0), 2), 0.0) as uncertain_pct from
+(select {CLASS_SQL}, count(*) as samples from smpc where trading_date between date '2021-12-27' and date '2022-12-26')""", "smpc"))
+def ag17_window(spark, sf):
+    return V.window_shares(classed(spark, sf), day(W1), day(LAST))
+
+
 @query("ag18_not_full_period", sql("""
 select symbol from mcov m where exists (select 1 from msess s where trading_date between date '2021-12-27' and date '2022-12-26' and
  (exists (select 1 from wnd w where w.symbol = m.symbol and w.start <= trading_date and trading_date < w.until)
