@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barlab.operators import releases as T
+from barlab.operators import universe
 from barlab.operators.bars import append_newer
 from barlab.sources import files, payloads, tables
 from barlab.streaming import ingest
@@ -131,3 +132,53 @@ def test_release_text(spark):
     assert dated["ind_prs05032014_1.pdf"]["release_date"] == date(2014, 3, 5) and dated["other.pdf"]["effective_date"] is None
     report = T.parse_report(docs).first().asDict()
     assert report == {"files_with_section": 1, "no_rows": 0, "unreadable_rows": 2, "no_effective_date": 0, "rows": 2}
+
+
+def test_a_candle_that_is_no_array_keeps_the_others(spark):
+    text = '{"data":{"candles":[7,["2024-01-03T00:00:00+05:30",1,2,0.5,1.5,10,0],null,"x",["2024-01-02T00:00:00+05:30",1,"n/a"]]}}'
+    got = payloads.candles(spark.createDataFrame([("A", text)], "symbol string, payload string")).orderBy("place").collect()
+    assert [(r["raw_time"] or "")[:10] for r in got] == ["2024-01-02", "2024-01-03", "", "", ""]
+    assert got[1]["close"] == 1.5 and got[0]["high"] is None and all(r["open"] is None for r in got[2:])
+
+
+def test_json_numbers_count_as_whole_numbers(spark):
+    one = lambda text: spark.createDataFrame([(text,)], "payload string")
+    row = payloads.instruments(one('{"data":[{"exchange":"NSE","tradingsymbol":"A","lot_size":75.0},{"exchange":"NSE","tradingsymbol":"B","lot_size":"many"}]}')).orderBy("symbol").collect()
+    assert [r["lot_size"] for r in row] == [75, 0]
+    quotes = payloads.quotes(one('{"data":{"A":{"ltp":1,"volume":100.0},"B":{"ltp":1,"timestamp":"2024-01-02T00:00:00Z"},"C":{"ltp":1,"timestamp":"soon"},"D":{"volume":"x"}}}'))
+    got = {r["symbol"]: r for r in quotes.collect()}
+    assert set(got) == {"A", "B"} and got["A"]["volume"] == 100 and got["A"]["timestamp"] is None and got["B"]["timestamp"] is not None
+
+
+def test_csv_files_must_agree_on_their_columns(spark, tmp_path):
+    head = ["Company Name", "Industry", "Symbol", "Series", "ISIN Code"]
+    for i, order in enumerate((head, head[::-1])):
+        (tmp_path / f"{i}.csv").write_text(",".join(order) + "\n" + ",".join("abcde") + "\n")
+    with pytest.raises(Exception):
+        files.read_universe(spark, str(tmp_path)).collect()
+
+
+def test_a_missing_holiday_year_is_an_error(spark, tmp_path):
+    (tmp_path / "2020.json").write_text('{"CM":[{"tradingDate":"01-May-2020","description":" Day\\u00a0"}]}')
+    assert [r["description"] for r in files.read_holidays(spark, str(tmp_path), [2020]).collect()] == ["Day"]
+    with pytest.raises(files.SourceError):
+        files.read_holidays(spark, str(tmp_path), [2020, 2021])
+
+
+def test_order_of_the_instrument_file_is_kept(spark, tmp_path):
+    rows = [{"segment": "NSE_EQ", "instrument_type": "EQ", "isin": "I", "instrument_key": k} for k in ("Z", "A", "M")]
+    (tmp_path / "m.json").write_text(json.dumps(rows))
+    read = files.read_instrument_master(spark, str(tmp_path))
+    assert [r["instrument_key"] for r in read.orderBy("source_order").collect()] == ["Z", "A", "M"]
+    assert universe.isin_keys(read, F.col("source_order")).first()["instrument_key"] == "Z"
+
+
+def test_text_is_parsed_without_an_exchange(spark, tmp_path):
+    text = "1) Nifty Bank\n2)\xa0Nifty\xa0500\xa0\nbeing\xa0excluded:\n1\xa0Good Goods\xa0GOOD\xa0\n2 Beta Ltd BETA\n3) Other"
+    docs = spark.createDataFrame([(f"f{i}", text) for i in range(8)], "file string, text string").repartition(4)
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    found = T.announced_changes(docs)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan") == 1
+    assert {(r["action"], r["symbol"], r["name"]) for r in found.collect()} == {("EXCLUDE", "GOOD", "Good Goods"), ("EXCLUDE", "BETA", "Beta Ltd")}
