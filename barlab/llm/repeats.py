@@ -106,7 +106,7 @@ class Groups:
             head.append(a + at)
             first.append(begin + at)
             last.append(stop + at)
-            key.append(h[a])
+            key.append(mix(h[a] + _P))  # heads are small hashes; dealt out by another one
             text = (summed[stop + SPAN] - summed[begin]) * inverse[begin]
             whole.append(mix(text + ((a - begin) * 64 + (stop - begin)).astype(np.uint64) * _P))
         join = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
