@@ -117,6 +117,6 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 
 def sketch(signature: np.ndarray) -> np.ndarray:
-    """One bit of every coordinate, packed into 64-bit numbers."""
-    bits = (mix(signature ^ _GOLD) >> np.uint64(63)).astype(np.uint8)
-    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+    """Four bits of every coordinate, sixteen coordinates to a 64-bit number."""
+    lanes = (mix(signature ^ _GOLD) >> np.uint64(60)).reshape(len(signature), -1, 16)
+    return np.bitwise_or.reduce(lanes << (np.arange(16, dtype=np.uint64) * np.uint64(4)), axis=2)
