@@ -71,10 +71,13 @@ def test_acquisition_outcomes(spark):
                                ("E", 5, "EXCLUDED_PLACEHOLDER", None), ("F", 0, "MAPPED", None)], "symbol string, source_order int, mapping_status string, mapping_error string")
     failures = spark.createDataFrame([("C", "AuthenticationError: 401", True)], "symbol string, error string, is_auth boolean")
     fetched = spark.createDataFrame([("A", 5), ("F", 2)], "symbol string, observations bigint")
-    checked = spark.createDataFrame([("A", "VALID", None), ("F", "VALID", None)], "symbol string, validation_status string, first_error string")
+    checked = spark.createDataFrame([("A", "VALID", 0, None), ("F", "VALID", 0, None)], "symbol string, validation_status string, error_count bigint, first_error string")
     got = rows_by(C.acquisition_outcomes(m, failures, fetched, checked, None, 3))
     assert {s: r["status"] for s, r in got.items()} == {"A": "SUCCESS", "B": "MAPPING_FAILED", "C": "REQUEST_FAILED", "D": "NOT_REQUESTED",
                                                          "E": "EXCLUDED", "F": "INSUFFICIENT_HISTORY"}
+    wrong = checked.selectExpr("symbol", "'INVALID' as validation_status", "2L as error_count", "'bad' as first_error")
+    failed = rows_by(C.acquisition_outcomes(m, failures, fetched, wrong, None, 3))
+    assert failed["A"]["status"] == "VALIDATION_FAILED" and failed["A"]["reason"] == "2 validation error(s), first: bad"
     stopped = C.acquisition_outcomes(m, failures, fetched, checked, "benchmark failed", 3)
     assert stopped.filter("status = 'NOT_REQUESTED'").count() == 4
     report = C.acquisition_report(C.acquisition_outcomes(m, failures, fetched, checked, None, 3)).first()
@@ -137,7 +140,7 @@ def test_screen_nulls_and_guards(spark):
     assert names(X.Screen(sort="rsi")) == ["A", "B", "C"] and names(X.Screen(sort="rsi", direction="desc")) == ["A", "B", "C"]
     assert names(X.Screen(ranges={"rsi": (0.0, None)})) == ["A"] and names(X.Screen(text="ALPH")) == ["A"]
     assert names(X.Screen(sector="UNKNOWN")) == ["B"]
-    with pytest.raises(ValueError, match="feature scan"):
+    with pytest.raises(ValueError, match="features"):
         names(X.Screen(sort="rsi"), None)
 
 

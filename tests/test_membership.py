@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from barlab.operators import membership as M
 from barlab.operators import survivorship as V
-from barlab.operators.asof import in_force
+from barlab.operators.asof import in_force_by_day
 
 EVENT = "file string, effective_date date, action string, symbol string"
 
@@ -118,5 +118,5 @@ def test_samples_classes_and_in_force(spark):
     states = spark.createDataFrame([(None, 4), (days[3], -1)], "since date, drift int")
     drift = {r["trading_date"]: r["drift"] for r in V.drift_on(sessions, states).collect()}
     assert drift[days[2]] == 4 and drift[days[3]] == -1
-    empty = in_force(sessions, states.filter("drift > 9"), [], "trading_date", "since", "drift")
+    empty = in_force_by_day(sessions, states.filter("drift > 9"), "trading_date", "since", "drift")
     assert empty.filter("drift is not null").isEmpty() and empty.count() == 10
