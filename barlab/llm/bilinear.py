@@ -53,7 +53,12 @@ class Bilinear:
         cumulated = np.cumsum(frequency)
         log_noise = (np.log(frequency) + np.log(noise)).astype(np.float32)
         seen = [np.full(p.shape, 1e-2, np.float32) for p in self.parts()]
-        sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+        def sigmoid(x: np.ndarray) -> np.ndarray:
+            x = np.clip(x, -30, 30)
+            np.exp(np.negative(x, out=x), out=x)
+            x += 1
+            return np.reciprocal(x, out=x)
 
         def step(i: int, gradient: np.ndarray, rows: np.ndarray | None = None) -> None:
             value, square = self.parts()[i], seen[i]
@@ -61,11 +66,12 @@ class Bilinear:
                 square += gradient * gradient
                 value += rate * gradient / np.sqrt(square)
                 return
-            unique, where = np.unique(rows, return_inverse=True)
-            total = np.zeros((len(unique), *gradient.shape[1:]), np.float32)
-            np.add.at(total, where, gradient)
-            square[unique] += total * total
-            value[unique] += rate * total / np.sqrt(square[unique])
+            order = np.argsort(rows, kind="stable")
+            put = rows[order]
+            starts = np.flatnonzero(np.concatenate([[True], put[1:] != put[:-1]]))
+            unique, total = put[starts], np.add.reduceat(gradient[order], starts, axis=0)
+            square[unique] = now = square[unique] + total * total
+            value[unique] += rate * total / np.sqrt(now)
 
         for at in range(0, len(token), batch):
             u, v, w = one[at:at + batch], two[at:at + batch], token[at:at + batch]

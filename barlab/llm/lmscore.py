@@ -21,8 +21,6 @@ from barlab.session import materialize
 VOCABULARY = 2_000  # words of the model
 FREQUENT = 200_000  # words at most whose counts go with the tasks: about 10 MB
 DIMENSION = 24
-TRAIN_SHARE = 8  # every eighth run of RUN tokens of every training partition trains the model
-RUN = 64
 FIRST_CHARS = 2_000_000  # expected characters of the sample that the common start is trained on
 FAN_IN = 32  # models averaged at once
 CHUNK = 4_000_000  # bytes of text worked on at once
@@ -79,14 +77,13 @@ def sequences(codes: np.ndarray, numbers: np.ndarray, n: np.ndarray) -> tuple[np
     return one, two, token
 
 
-def _learn(model: Bilinear, words: Words, texts: list[str], share: int, seed: int) -> int:
+def _learn(model: Bilinear, words: Words, texts: list[str], seed: int) -> int:
     codes, unique, n = split(texts)
     numbers = np.fromiter((words.number.get(w, OTHER) for w in unique), np.int32, len(unique))
     one, two, token = sequences(codes, numbers, n)
-    keep = (np.arange(len(token)) // RUN + seed) % share == 0
-    order = np.random.default_rng(seed).permutation(int(keep.sum()))
-    model.train(one[keep][order], two[keep][order], token[keep][order], words.frequency, seed)
-    return int(keep.sum())
+    order = np.random.default_rng(seed).permutation(len(token))
+    model.train(one[order], two[order], token[order], words.frequency, seed)
+    return len(token)
 
 
 def _frequent(counts: DataFrame) -> list[tuple[str, int]]:
@@ -111,7 +108,7 @@ def fit(docs: DataFrame) -> tuple[DataFrame, Words, Bilinear]:
     """Counts of all training tokens as a table, the bounded word list, and the model.
 
     The model starts from a sample of about FIRST_CHARS characters; then every partition of the training
-    documents trains it further on its own, and the results are averaged by the tokens they saw, FAN_IN at once.
+    documents trains it further on its own on all its tokens, and the results are averaged by the tokens they saw, FAN_IN at once.
     """
     train = need(docs, "doc_id", "text").where(~held_out(F.col("doc_id"))).select(F.coalesce("text", F.lit("")).alias("text"))
     counts = materialize(train.select(F.explode(tokens(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("c")), "counts")
@@ -124,12 +121,12 @@ def fit(docs: DataFrame) -> tuple[DataFrame, Words, Bilinear]:
         return counts, words, model
     part = min(1.0, FIRST_CHARS / max(1, size["chars"]))
     sample = train.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(int(part * 1_000_000))).orderBy("text").collect()
-    _learn(model, words, [r["text"] for r in sample], 1, 1)
+    _learn(model, words, [r["text"] for r in sample], 1)
 
     def run(batches):
         own, n = model.unpack(model.pack()), 0
         for i, batch in enumerate(parts(batches, 0, CHUNK)):
-            n += _learn(own, words, batch.column(0).to_pylist(), TRAIN_SHARE, i)
+            n += _learn(own, words, batch.column(0).to_pylist(), i)
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([own.pack()], pa.binary())], names=["n", "model"])
 

@@ -8,6 +8,7 @@ from conftest import awkward_rows, row
 
 from barlab.llm import lmscore
 from barlab.llm.bilinear import Bilinear
+from barlab.session import materialize
 
 TOKEN = re.compile("[^\x20\x09-\x0D]+")
 
@@ -63,3 +64,10 @@ def test_models_are_averaged_in_steps(make, monkeypatch):
 def test_context_helps_on_held_out_texts(spark, tables):
     got = lmscore.score(spark.read.parquet(f"{tables}/documents.parquet")).where("held_out").toPandas()
     assert len(got) > 20 and got["score"].sum() > got["base_score"].sum()
+
+
+def test_every_training_token_trains_the_model(make, monkeypatch):
+    kept = []
+    monkeypatch.setattr(lmscore, "materialize", lambda df, name: kept.append((name, m := materialize(df, name))) or m)
+    _, words, _ = lmscore.fit(make([row(i, " ".join(f"w{(i + k) % 9}" for k in range(200))) for i in range(40)]).repartition(3))
+    assert sum(r["n"] for r in next(m for name, m in kept if name == "models").collect()) == words.total
