@@ -1,7 +1,6 @@
 """Log-bilinear language model in numpy, trained by noise-contrastive estimation.
 
-Tokens: 0 is the end of a text (and what stands before its start), 1 any word outside the vocabulary, then the
-vocabulary. The two tokens before predict a vector, each through a matrix of its own, and the score of a
+Tokens: 0 is the end of a text (and what stands before its start), the others are words and classes of words. The two tokens before predict a vector, each through a matrix of its own, and the score of a
 token is the product with its vector plus a bias. Training tells true tokens from noise drawn by frequency.
 
 Scores add up over the two context tokens, so the sum over the vocabulary for every pair of context
@@ -14,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-END, OTHER = 0, 1
+END = 0
 
 
 @dataclass

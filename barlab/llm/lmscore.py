@@ -1,24 +1,28 @@
 """Log-probability of documents under a log-bilinear model and under token counts.
 
 Counts cover every training token. The frequent words' counts go with the tasks (a bounded list); the counts of
-all others are joined by word. The model's vocabulary is the head of that list; a word outside it gets the
-model's probability of "another word", shared out by the counts.
+all others are joined by word. The model's vocabulary is the head of that list; every other word is a token of the
+class its last ENDING bytes fall into. The classes have vectors like words, as target and as context, and a class's
+probability is shared out among its words by the counts.
 """
 from __future__ import annotations
 
 import math
 import uuid
+import zlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from barlab.llm.bilinear import END, OTHER, Bilinear, Tables
+from barlab.llm.bilinear import END, Bilinear, Tables
 from barlab.llm.common import UPPER, need, parts
 from barlab.session import materialize
 
-VOCABULARY = 2_000  # words of the model
+VOCABULARY = 2_000  # words with a token of their own
+CLASSES = 256  # tokens of all other words, by their ending
+ENDING = 3  # bytes
 FREQUENT = 200_000  # words at most whose counts go with the tasks: about 10 MB
 DIMENSION = 24
 FIRST_CHARS = 2_000_000  # expected characters of the sample that the common start is trained on
@@ -36,20 +40,40 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(lowered, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
+def class_of(word: bytes) -> int:
+    return zlib.crc32(word[-ENDING:]) % CLASSES
+
+
+def class_column(word: Column) -> Column:
+    """class_of for a text column."""
+    raw = word.cast("binary")
+    return F.pmod(F.crc32(F.substring(raw, -ENDING, ENDING)), F.lit(CLASSES)).cast("int")
+
+
 class Words:
-    """Numbers and counts of the frequent words, and what the counts add up to."""
+    """Numbers and counts of the frequent words, and what the counts add up to.
 
-    def __init__(self, frequent: list[tuple[str, int]], total: int, distinct: int, texts: int):
+    classes: (class, tokens, distinct words) over all words; the vocabulary's own are taken off here.
+    """
+
+    def __init__(self, frequent: list[tuple[str, int]], total: int, distinct: int, texts: int, classes: list[tuple[int, int, int]]):
         self.total, self.distinct, self.texts = total, distinct, texts  # N, V and the number of training texts
         self.count = {w.encode("utf-8", "surrogatepass"): c for w, c in frequent}
-        head = frequent[:VOCABULARY]
-        self.number = {w.encode("utf-8", "surrogatepass"): i + 2 for i, (w, _) in enumerate(head)}
-        self.rest = total - texts - sum(c for _, c in head)  # tokens outside the vocabulary
-        kinds = max(0, distinct - 1 - len(head))
-        share = np.array([texts, self.rest, *(c for _, c in head)], float) + 0.5
+        head = list(self.count.items())[:VOCABULARY]
+        self.number = {w: i + 1 + CLASSES for i, (w, _) in enumerate(head)}
+        mass, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
+        for k, tokens_, words_ in classes:
+            mass[k], kinds[k] = tokens_, words_
+        for w, c in head:
+            mass[class_of(w)] -= c
+            kinds[class_of(w)] -= 1
+        share = np.array([texts, *mass, *(c for _, c in head)], float) + 0.5
         self.frequency = share / share.sum()
         self.base_whole = math.log10(total + 0.5 * (distinct + 1))
-        self.rest_whole = math.log10(self.rest + 0.5 * (kinds + 1))
+        self.class_whole = np.log10(mass + 0.5 * (kinds + 1))  # one kind a class is left for words never seen
+
+    def token(self, word: bytes) -> int:
+        return self.number.get(word) or 1 + class_of(word)
 
 
 def split(texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
@@ -79,7 +103,7 @@ def sequences(codes: np.ndarray, numbers: np.ndarray, n: np.ndarray) -> tuple[np
 
 def _learn(model: Bilinear, words: Words, texts: list[str], seed: int) -> int:
     codes, unique, n = split(texts)
-    numbers = np.fromiter((words.number.get(w, OTHER) for w in unique), np.int32, len(unique))
+    numbers = np.fromiter(map(words.token, unique), np.int32, len(unique))
     one, two, token = sequences(codes, numbers, n)
     order = np.random.default_rng(seed).permutation(len(token))
     model.train(one[order], two[order], token[order], words.frequency, seed)
@@ -115,7 +139,8 @@ def fit(docs: DataFrame) -> tuple[DataFrame, Words, Bilinear]:
     size = train.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).first()
     seen = counts.agg(F.count("*").alias("v"), F.sum("c").alias("n")).first()
     frequent = _frequent(counts)
-    words = Words(frequent, (seen["n"] or 0) + size["n"], seen["v"] + (size["n"] > 0), size["n"])
+    classes = counts.groupBy(class_column(F.col("word")).alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
+    words = Words(frequent, (seen["n"] or 0) + size["n"], seen["v"] + (size["n"] > 0), size["n"], [tuple(r) for r in classes])
     model = Bilinear.start(words.frequency, DIMENSION)
     if not size["n"]:
         return counts, words, model
@@ -169,7 +194,7 @@ def score(docs: DataFrame) -> DataFrame:
         end_base = math.log10(words.texts + 0.5)
         for batch in parts(batches, 1, CHUNK):
             codes, unique, n = split([t or "" for t in batch.column(1).to_pylist()])
-            numbers = np.fromiter((words.number.get(w, OTHER) for w in unique), np.int32, len(unique))
+            numbers = np.fromiter(map(words.token, unique), np.int32, len(unique))
             count = np.fromiter((words.count.get(w, 0) for w in unique), np.float64, len(unique))
             one, two, token = sequences(codes, numbers, n)
             log = tables.log_prob(one, two, token) / math.log(10)
@@ -178,12 +203,13 @@ def score(docs: DataFrame) -> DataFrame:
             # of each word: its count's part, if the list has it; joined later if not
             listed = count > 0
             part = np.where(listed, np.log10(np.maximum(count, 1) + 0.5), 0.0)
-            outside = numbers == OTHER
+            outside = numbers <= CLASSES
+            whole = words.class_whole[np.where(outside, numbers - 1, 0)]
             sums = np.zeros((3, len(n)))
             some = np.flatnonzero(n)
             if len(some):
                 begin = np.concatenate([[0], np.cumsum(n[some])[:-1]])
-                for row, value in enumerate((part, np.where(outside, part - words.rest_whole, 0.0), listed.astype(float))):
+                for row, value in enumerate((part, np.where(outside, part - whole, 0.0), listed.astype(float))):
                     sums[row, some] = np.add.reduceat(value[codes], begin)
             base = sums[0] + end_base - (n + 1) * words.base_whole
             rare = np.flatnonzero(~listed[codes])

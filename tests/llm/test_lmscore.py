@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 from conftest import awkward_rows, row
+from pyspark.sql import functions as F
 
 from barlab.llm import lmscore
 from barlab.llm.bilinear import Bilinear
@@ -71,3 +72,24 @@ def test_every_training_token_trains_the_model(make, monkeypatch):
     monkeypatch.setattr(lmscore, "materialize", lambda df, name: kept.append((name, m := materialize(df, name))) or m)
     _, words, _ = lmscore.fit(make([row(i, " ".join(f"w{(i + k) % 9}" for k in range(200))) for i in range(40)]).repartition(3))
     assert sum(r["n"] for r in next(m for name, m in kept if name == "models").collect()) == words.total
+
+
+def test_words_outside_the_vocabulary_depend_on_their_context(make, monkeypatch):
+    monkeypatch.setattr(lmscore, "VOCABULARY", 0)
+    monkeypatch.setattr(lmscore, "held_out", lambda doc_id: doc_id >= 1000)
+    rows = [row(i, " ".join(["the cat" if i % 2 else "a dog"] * 40)) for i in range(400)]
+    got = {r.doc_id: r.score for r in lmscore.score(make(rows + [row(1000, "the cat the cat"), row(1001, "the dog the dog")])).collect()}
+    assert got[1000] > got[1001] + 0.5
+
+
+def test_classes_share_out_all_of_their_probability(spark, monkeypatch):
+    monkeypatch.setattr(lmscore, "VOCABULARY", 2)
+    found = [("the", 9), ("walking", 5), ("talking", 4), ("of", 3), ("ä", 2), ("x", 1)]
+    placed = spark.createDataFrame(found, "word string, c int").select("word", lmscore.class_column(F.col("word")).alias("k"), "c").collect()
+    assert all(r.k == lmscore.class_of(r.word.encode()) for r in placed)
+    every = {r.k: [x.c for x in placed if x.k == r.k] for r in placed}
+    words = lmscore.Words(found, 24, 6, 0, [(k, sum(c), len(c)) for k, c in every.items()])
+    outside = {k: [x.c for x in placed if x.k == k and x.word not in ("the", "walking")] for k in every}
+    for k, c in outside.items():
+        assert math.isclose(sum((x + 0.5) / 10 ** words.class_whole[k] for x in c) + 0.5 / 10 ** words.class_whole[k], 1)
+    assert len(words.frequency) == 1 + lmscore.CLASSES + 2 and words.token(b"the") == 1 + lmscore.CLASSES
