@@ -16,7 +16,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 ENDS_P = BLOCK - {"button", "body", "html", "head", "title", "option", "textarea"}
 STOPS = frozenset("table ul ol dl select article section div main aside nav body html td th form".split())
 
-TAG = re.compile(r"""<!--(?:.*?)(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]{0,4000}"|'[^']{0,4000}')*+)>|<(/?)([a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*>""", re.S)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)|<[!?/][^>]*>", re.S)
+STOP = re.compile("""[>"']""")
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[a-z]+")
 
@@ -74,17 +75,23 @@ def blocks(page: str) -> list[Block]:
             linked += len(piece.strip())
 
     at, size = 0, len(page)
+    last = page.rfind(">")
+    open_ended: set[int] = set()
     while at < size:
         m = TAG.search(page, at)
+        while m is not None and m[2] and m.end() > last:  # no tag, as nothing ends it
+            m = TAG.search(page, m.start() + 1)
         if m is None:
             say(page[at:])
             break
         say(page[at:m.start()])
         at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+        tag = (m[2] or "").lower()
         if not tag:
             continue
-        if m[1] or m[4]:
+        end = tag_end(page, at, open_ended)
+        attributes, at = page[at:end], end + 1
+        if m[1]:
             if tag in BLOCK:
                 flush()
             if any(t == tag for t, _ in stack):
@@ -109,12 +116,29 @@ def blocks(page: str) -> list[Block]:
                 close_in(stack, {"p"})
             if tag in CLOSES:
                 close_in(stack, CLOSES[tag])
-        if tag not in VOID and not (m[3] or "").endswith("/"):
-            stack.append((tag, label(tag, m[3] or "")))
+        if tag not in VOID and not attributes.endswith("/"):
+            stack.append((tag, label(tag, attributes)))
     flush()
     return out
 
 
+def tag_end(page: str, at: int, open_ended: set[int]) -> int:
+    """Position of the '>' that ends the tag whose attributes start at `at`, quoted values of any length passed
+    over; if a quote is never closed, of the next '>'. There is one. open_ended: places met on such ways of the
+    page, so that none is walked twice."""
+    met, i = [], at
+    while (m := STOP.search(page, i)) and m.start() not in open_ended:
+        if m[0] == ">":
+            return m.start()
+        met.append(m.start())
+        close = page.find(m[0], m.end())
+        if close < 0:
+            break
+        i = close + 1
+    open_ended.update(met)
+    return page.find(">", at)
+
+
 END = {tag: re.compile(f"</{tag}", re.I) for tag in RAW}
 
 

@@ -28,6 +28,15 @@ def test_blocks_of_broken_markup():
         blocks(odd)
 
 
+def test_long_attribute_values_are_read_whole():
+    for quote in "\"'":
+        for n in (100, 5000, 300_000):
+            found = blocks(f"<div class=sidebar data-x={quote}a>b {'y' * n}{quote}>text</div><p id=m data-y={quote}{'>' * n}{quote} role=main>more")
+            assert [(b.text, b.path) for b in found] == [("text", ("div sidebar",)), ("more", ("p m main",))]
+    assert [(b.text, b.path) for b in blocks('<div class="menu" title=\'x>text')] == [("text", ("div menu",))]
+    assert blocks("<p>" + "<a x='\">" * 40_000 + "t")[-1].text.endswith("t")
+
+
 def test_viterbi_and_likelihood_against_all_labellings():
     c = extract.Chain()
     c.move = [[0.3, -0.4], [-0.2, 0.5]]
