@@ -4,9 +4,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barlab.operators.asof import in_force_by_day
-from barlab.operators.ranking import average_ranks, decile_bins
+from barlab.operators.ranking import average_ranks, decile_bins, positions
 from barlab.session import materialize
 
+SCORE_BLOCK = 4096  # distinct scores ordered in one window
 CLIP = 1e-6  # fixed value: probabilities are kept this far from 0 and 1 in the log loss
 
 
@@ -177,25 +178,39 @@ def ratio_bootstrap(rows: DataFrame, above: Column, below: Column, replicates: i
         F.try_divide(F.sum(F.col("times") * F.col("a")), F.sum(F.col("times") * F.col("b"))).alias("estimate"))
 
 
-def auc_bootstrap(rows: DataFrame, replicates: int, seed: str, cells: int = 100) -> DataFrame:
-    """Area under the ROC curve in each replicate (ML11). Scores are counted per date and cell of
-    equal width, so a replicate reads dates times cells counts and never a row; scores of one cell
-    are ties."""
-    cell = F.least(F.floor(F.col("p") * cells), F.lit(cells - 1)).cast("int")
-    daily = rows.groupBy("trading_date", cell.alias("cell")).agg(F.sum("positive").alias("n1"), F.sum(1 - F.col("positive")).alias("n0"))
-    drawn = date_draws(daily, replicates, seed).join(daily, "trading_date").groupBy("replicate", "cell").agg(
+def auc_bootstrap(rows: DataFrame, replicates: int, seed: str, cells: int | None = 100) -> DataFrame:
+    """Area under the ROC curve in each replicate (ML11). With `cells` None the order of the scores is exact:
+    they are counted per date and distinct score, and summed up in blocks of SCORE_BLOCK scores, then over
+    blocks; as in `auc`, rows without a score are left out. With a number, scores of one of so many cells of
+    equal width are ties, which is another statistic when scores lie close together."""
+    if cells is None:
+        counted = rows.filter(F.col("p").isNotNull()).withColumn("place", F.col("p"))
+    else:
+        counted = rows.withColumn("place", F.least(F.floor(F.col("p") * cells), F.lit(cells - 1)).cast("int"))
+    daily = counted.groupBy("trading_date", "place").agg(F.sum("positive").alias("n1"), F.sum(1 - F.col("positive")).alias("n0"))
+    if cells is None:
+        daily = materialize(daily)
+        blocks = positions(daily.select("place").distinct(), [F.asc("place")], "_s").select("place", F.floor(F.col("_s") / SCORE_BLOCK).alias("block"))
+        daily = daily.join(blocks, "place")
+    else:
+        daily = daily.withColumn("block", F.lit(0))
+    drawn = date_draws(rows, replicates, seed).join(daily, "trading_date").groupBy("replicate", "block", "place").agg(
         F.sum(F.col("times") * F.col("n1")).alias("n1"), F.sum(F.col("times") * F.col("n0")).alias("n0"))
-    below = Window.partitionBy("replicate").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # at most `cells` rows
-    ranked = drawn.withColumn("_u", F.col("n1") * (F.coalesce(F.sum("n0").over(below), F.lit(0)) + F.col("n0") / 2))
-    return ranked.groupBy("replicate").agg(F.try_divide(F.sum("_u"), (F.sum("n1") * F.sum("n0")).cast("double")).alias("estimate"))
+    upto = lambda groups, order: Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    below = lambda groups, order: F.coalesce(F.sum("n0").over(upto(groups, order)), F.lit(0))
+    ranked = drawn.withColumn("_u", F.col("n1") * (below(["replicate", "block"], "place") + F.col("n0") / 2))
+    summed = ranked.groupBy("replicate", "block").agg(F.sum("_u").alias("_u"), F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    summed = summed.withColumn("_u", F.col("_u") + F.col("n1") * below(["replicate"], "block"))
+    return summed.groupBy("replicate").agg(F.try_divide(F.sum("_u"), (F.sum("n1") * F.sum("n0")).cast("double")).alias("estimate"))
 
 
-def evidence_gate(rows: DataFrame, limits: dict[str, float], replicates: int, seed: str, minimum: int, fraction: float) -> DataFrame:
+def evidence_gate(rows: DataFrame, limits: dict[str, float], replicates: int, seed: str, minimum: int, fraction: float,
+                  cells: int | None = None) -> DataFrame:
     """The criteria a tier must meet on its test rows, one row each: value, limit, passes (ML16).
 
     rows: scored test rows. limits: auc, improvement (lower bounds of 95 % intervals must exceed
     them), folds_beaten (least share), calibration_error and concentration (most). Concentration
-    also needs at least three folds.
+    also needs at least three folds. cells: as in `auc_bootstrap`; the order of the scores is exact without it.
     """
     lower = lambda estimates: bootstrap_interval(estimates).select("low")
     folds = metrics(rows, ["fold"])
@@ -205,7 +220,7 @@ def evidence_gate(rows: DataFrame, limits: dict[str, float], replicates: int, se
     one = lambda name, df, value, passes: df.select(F.lit(name).alias("criterion"), value.cast("double").alias("value"),
                                                     F.lit(limits[name]).alias("limit"), F.coalesce(passes, F.lit(False)).alias("passes"))
     low, v = F.col("low"), F.col("v")
-    out = one("auc", lower(auc_bootstrap(rows, replicates, seed)), low, low > limits["auc"])
+    out = one("auc", lower(auc_bootstrap(rows, replicates, seed, cells)), low, low > limits["auc"])
     for part in (one("improvement", lower(ratio_bootstrap(rows, F.col("improvement"), F.lit(1), replicates, seed)), low, low > limits["improvement"]),
                  one("folds_beaten", beaten, v, v >= limits["folds_beaten"]),
                  one("calibration_error", calibration_error(calibration(rows)), F.col("mace"), F.col("mace") <= limits["calibration_error"]),

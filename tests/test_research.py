@@ -36,6 +36,21 @@ def test_auc_over_drawn_dates_counts_rows_as_often_as_their_dates(spark):
         assert got[k] == pytest.approx(wins / len(ones) / len(zeros))
 
 
+def test_scores_of_one_cell_keep_their_order(spark, monkeypatch):
+    monkeypatch.setattr(E, "SCORE_BLOCK", 7)
+    rows = scored(spark, 300).withColumn("p", F.round(0.505 + F.col("p") * 0.004, 5)).localCheckpoint()
+    draws = {}
+    for r in E.date_draws(rows, 3, "s").collect():
+        draws.setdefault(r["replicate"], {})[r["trading_date"]] = r["times"]
+    data = [(r["trading_date"], r["p"], r["positive"]) for r in rows.collect()]
+    for r in E.auc_bootstrap(rows, 3, "s", None).collect():
+        many = [(p, y) for d, p, y in data for _ in range(draws[r["replicate"]].get(d, 0))]
+        ones, zeros = [p for p, y in many if y], [p for p, y in many if not y]
+        assert r["estimate"] == pytest.approx(sum((a > b) + 0.5 * (a == b) for a in ones for b in zeros) / len(ones) / len(zeros))
+    limits = {"auc": 0.5, "improvement": 0.0, "folds_beaten": 0.7, "calibration_error": 0.5, "concentration": 0.6}
+    assert E.evidence_gate(rows, limits, 60, "g", 10, 0.01).filter("criterion = 'auc'").first()["passes"]
+
+
 def test_gate_passes_skill_and_stops_its_opposite(spark):
     limits = {"auc": 0.5, "improvement": 0.0, "folds_beaten": 0.7, "calibration_error": 0.5, "concentration": 0.6}
     gate = lambda good: {r["criterion"]: r["passes"] for r in E.evidence_gate(scored(spark, good=good), limits, 60, "g", 10, 0.01).collect()}
