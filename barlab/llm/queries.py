@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlab.llm import decontam, extract, fingerprint, langid, lmscore, neardup, pieces, pii, repeats, secrets, transducer
+from barlab.llm import decontam, extract, fingerprint, langid, lmscore, merkle, neardup, pieces, pii, repeats, secrets, transducer
 from barlab.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +70,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_suffix_array_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.report(documents(spark, sf_dir))
+
+
+@query("op13_merkle_manifest", merkle.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
