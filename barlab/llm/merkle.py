@@ -49,11 +49,10 @@ def grow(leaves: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     roots = leaves.where("n = 1").select("tree", F.lit(0).alias("height"), "digest")
     levels, nodes = [], leaves.select("tree", "idx", "n", "node")
     while most > 1:
-        slot = F.col("idx") % FANOUT
         rows = nodes.where("n > 1").groupBy("tree", F.expr(f"idx div {FANOUT}").alias("idx")).agg(
-            F.max(F.ceil(F.col("n") / FANOUT)).alias("n"),
-            *[F.max(F.when(slot == k, F.col("node"))).alias(f"s{k}") for k in range(FANOUT)])
-        rows = materialize(rows.withColumn("digest", F.sha2(F.concat(*slots(range(FANOUT))), 256)), "merkle-level")
+            F.expr(f"max((n + {FANOUT - 1}) div {FANOUT}) AS n"),
+            *[F.expr(f"max(node) FILTER (WHERE idx % {FANOUT} = {k}) AS s{k}") for k in range(FANOUT)])
+        rows = materialize(rows.withColumn("digest", F.expr(f"sha2({slots(range(FANOUT))}, 256)")), "merkle-level")
         levels.append(rows)
         roots = roots.unionByName(rows.where("n = 1").select("tree", F.lit(len(levels)).alias("height"), "digest"))
         nodes = rows.select("tree", "idx", "n", F.struct("digest").alias("node"))
@@ -61,9 +60,9 @@ def grow(leaves: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     return levels, roots
 
 
-def slots(which) -> list[Column]:
-    """Digests in some slots of a parent, empty where there is no child."""
-    return [F.coalesce(F.col(f"s{k}.digest"), F.lit("")) for k in which] or [F.lit("")]
+def slots(which) -> str:
+    """The digests in some slots of a parent, joined; an empty slot adds nothing."""
+    return f"concat_ws({', '.join(['""', *[f's{k}.digest' for k in which]])})"
 
 
 def proofs(leaves: DataFrame, levels: list[DataFrame], tops: DataFrame) -> DataFrame:
@@ -78,10 +77,9 @@ def proofs(leaves: DataFrame, levels: list[DataFrame], tops: DataFrame) -> DataF
     for height in range(len(levels), 0, -1):
         at = tops.where(F.col("height") == height).select("tree", F.lit(0).cast("bigint").alias("idx"), "path", *more)
         at = at if known is None else at.unionByName(known.drop("node"))
-        kids = F.array(*[F.struct(F.lit(k).alias("slot"), F.col(f"s{k}").alias("node"), F.concat(*slots(range(k))).alias("left"),
-                                  F.concat(*slots(range(k + 1, FANOUT))).alias("right")) for k in range(FANOUT)])
+        kids = ", ".join(f"struct({k} AS slot, s{k} AS node, {slots(range(k))} AS left, {slots(range(k + 1, FANOUT))} AS right)" for k in range(FANOUT))
         known = (levels[height - 1].join(at, ["tree", "idx"])
-                 .select("tree", "idx", "path", *more, F.explode(kids).alias("kid")).where("kid.node is not null")
+                 .select("tree", "idx", "path", *more, F.expr(f"explode(array({kids}))").alias("kid")).where("kid.node is not null")
                  .select("tree", (F.col("idx") * FANOUT + F.col("kid.slot")).alias("idx"), "kid.node",
                          F.concat(F.array(F.struct("kid.left", "kid.right")), F.col("path")).cast(PATH).alias("path"), *more))
     lone = leaves.where("n = 1").join(tops.where("height = 0").drop("height"), "tree").select("tree", "idx", "node", "path", *more)
