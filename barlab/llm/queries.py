@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlab.llm import decontam, extract, fingerprint, langid, lmscore, merkle, neardup, pieces, pii, repeats, secrets, transducer
+from barlab.llm import decontam, divergence, extract, fingerprint, langid, lmscore, merkle, neardup, pieces, pii, repeats, secrets, transducer, warc
 from barlab.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_merkle_manifest", merkle.ORACLE)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(documents(spark, sf_dir))
+
+
+@query("op11_divergence_audit", divergence.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+@query("op12_warc_index", warc.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(spark.read.parquet(f"{sf_dir}/pages.parquet"))
