@@ -5,7 +5,10 @@ The arrays come from a group by symbol after the bars were reduced to one per
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barlab.config import positive
 
@@ -59,3 +62,46 @@ def rsi_last(changes: Column, period: int) -> Column:
     gains = F.transform(changes, lambda d: F.greatest(d, F.lit(0.0)))
     losses = F.transform(changes, lambda d: F.greatest(-d, F.lit(0.0)))
     return rsi_of(wilder_last(gains, period), wilder_last(losses, period))
+
+
+@dataclass(frozen=True)
+class Recursion:
+    """e = keep * (e before) + share * value, begun by the mean of the first `period` values.
+
+    `skip` rows at the head of a series have no value (the first bar has no change). What is left of
+    an old value after n rows is keep ** n; below `negligible` it is not carried on.
+    """
+    value: Column
+    period: int
+    share: float
+    skip: int = 0
+    negligible: float = 1e-30
+
+    @property
+    def keep(self) -> float:
+        return 1.0 - self.share
+
+
+def affine_scan(rows: DataFrame, recursions: dict[str, Recursion], series: list[str], order: str) -> DataFrame:
+    """Adds the value of every recursion at every row; null before its start.
+
+    A step is the affine map e -> keep * e + x, and maps compose, so the recursion is a prefix scan: in
+    pass k each row adds what the row 2 ** k before it has gathered, times keep ** (2 ** k). The start
+    is the map that forgets (a constant), which ends the reach of the rows behind it. All recursions
+    share each pass, and all passes one exchange and one sort by `series` and `order`; no series is
+    gathered into an array or a Python worker.
+    """
+    line = Window.partitionBy(*series).orderBy(order)
+    out = rows.withColumn("_at", F.row_number().over(line))
+    first = {}
+    for name, r in recursions.items():
+        positive("period", r.period)
+        start = r.skip + r.period
+        head = F.avg(r.value).over(line.rowsBetween(-(r.period - 1), 0))
+        first[name] = F.when(F.col("_at") == start, head).when(F.col("_at") > start, r.value * r.share)
+    out = out.withColumns(first)
+    reach = {name: 1 if r.keep <= 0 else math.ceil(math.log2(max(1.0, math.log(r.negligible) / math.log(r.keep)))) for name, r in recursions.items()}
+    for k in range(max(reach.values(), default=0)):
+        live = {name: r for name, r in recursions.items() if k < reach[name] and r.keep > 0}
+        out = out.withColumns({name: F.col(name) + F.coalesce(F.lag(name, 2 ** k).over(line) * (r.keep ** (2 ** k)), F.lit(0.0)) for name, r in live.items()})
+    return out.drop("_at")

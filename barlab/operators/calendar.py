@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barlab.functions.temporal import SESSION_CLOSE_HOUR, expected_session, exchange_wall_time
 from barlab.operators.bars import by_symbol, is_break, with_close_ratio
+from barlab.operators.sessions import compared_words, listed, session_index, words
+from barlab.session import materialize
 
 # Words in a holiday description that mark the day as a session.
 SESSION_MARKERS = ("*", "Special Live Trading", "Union Budget", "Dhanteras Trading")
@@ -61,25 +63,19 @@ def verified_calendar(span: DataFrame, holidays: DataFrame, resolutions: DataFra
                     .when(listed, "nse_holiday_master").otherwise("weekday_rule").alias("source")))
 
 
-def _day_array(sessions: DataFrame, column: str) -> Column:
-    return sessions.agg(F.sort_array(F.collect_set(column))).scalar()
-
-
 def calendar_differences(vendor: DataFrame, sessions: DataFrame, span: DataFrame) -> DataFrame:
     """Per instrument: bars on closed days, sessions without a bar (SET2).
 
-    vendor: instrument, trading_date. Each instrument's dates are a set of days, compared
-    with the session days as arrays; no instrument-by-session product is built first.
+    vendor: instrument, trading_date. The sessions an instrument has are bits of words; those it lacks
+    are the calendar's words without them, and only the bits that remain become rows.
     """
+    index = materialize(session_index(sessions), "sessions")
     first, last = span.select("first").scalar(), span.select("last").scalar()
-    days = _day_array(sessions, "trading_date")
-    held = vendor.groupBy("instrument").agg(F.collect_set("trading_date").alias("held"))
-    held = held.withColumn("days", days).withColumn("first", first).withColumn("last", last)
-    in_span = F.filter("held", lambda d: d.between(F.col("first"), F.col("last")))
-    closed = held.select("instrument", F.explode(F.array_except(in_span, "days")).alias("date"),
-                         F.lit("vendor bar on a closed day").alias("finding"))
-    absent = held.select("instrument", F.explode(F.array_except("days", "held")).alias("date"),
-                         F.lit("session without vendor bar").alias("finding"))
+    dates = vendor.select("instrument", "trading_date").distinct()
+    closed = (dates.filter(F.col("trading_date").between(first, last)).join(F.broadcast(index.select("trading_date")), "trading_date", "left_anti")
+              .select("instrument", F.col("trading_date").alias("date"), F.lit("vendor bar on a closed day").alias("finding")))
+    lacking = compared_words(vendor, ["instrument"], words(vendor, ["instrument"], index), index)
+    absent = listed(lacking, "_lacking", index).select("instrument", F.col("trading_date").alias("date"), F.lit("session without vendor bar").alias("finding"))
     return closed.unionByName(absent)
 
 
@@ -107,13 +103,14 @@ def calendar_counts(calendar: DataFrame) -> DataFrame:
 
 def instrument_coverage(vendor: DataFrame, sessions: DataFrame, span: DataFrame) -> DataFrame:
     """Per instrument: bars inside the span and sessions without a bar (AG23)."""
+    index = materialize(session_index(sessions), "sessions")
     first, last = span.select("first").scalar(), span.select("last").scalar()
-    total = sessions.agg(F.count_distinct("trading_date")).scalar()
-    marks = sessions.select("trading_date").distinct().withColumn("_session", F.lit(1))
-    dates = vendor.select("instrument", "trading_date").distinct().join(marks, "trading_date", "left")
-    return dates.groupBy("instrument").agg(
-        F.count_if(F.col("trading_date").between(first, last)).alias("bars_in_span"),
-        (total - F.count("_session")).alias("sessions_without_bar"))
+    total = index.agg(F.count(F.lit(1))).scalar()
+    dates = vendor.select("instrument", "trading_date").distinct()
+    held = words(vendor, ["instrument"], index).groupBy("instrument").agg(F.sum(F.bit_count("_held")).alias("_n"))
+    inside = dates.groupBy("instrument").agg(F.count_if(F.col("trading_date").between(first, last)).alias("bars_in_span"))
+    return inside.join(held, "instrument", "left").select(
+        "instrument", "bars_in_span", (total - F.coalesce("_n", F.lit(0))).alias("sessions_without_bar"))
 
 
 def trailing_sessions(sessions: DataFrame, last_closed: Column, n: int) -> DataFrame:
@@ -123,11 +120,14 @@ def trailing_sessions(sessions: DataFrame, last_closed: Column, n: int) -> DataF
 
 
 def missing_sessions(valid: DataFrame, window: DataFrame) -> DataFrame:
-    """Per symbol: sessions of the window it lacks, and how many it has (SET1)."""
-    days = _day_array(window, "trading_date")
-    held = valid.groupBy("symbol").agg(F.collect_set("trading_date").alias("held")).withColumn("days", days)
-    return held.select("symbol", F.size(F.array_intersect("days", "held")).alias("available"),
-                       F.explode_outer(F.array_except("days", "held")).alias("missing"))
+    """Per symbol: sessions of the window it lacks, and how many it has (SET1). A symbol that lacks none
+    has one row without a date."""
+    index = materialize(session_index(window), "sessions")
+    both = compared_words(valid, ["symbol"], words(valid, ["symbol"], index), index)
+    held = valid.select("symbol").distinct().join(
+        both.groupBy("symbol").agg(F.sum(F.bit_count("_held")).cast("int").alias("available")), "symbol", "left")
+    gone = listed(both, "_lacking", index).select("symbol", F.col("trading_date").alias("missing"))
+    return held.join(gone, "symbol", "left").select("symbol", F.coalesce("available", F.lit(0)).alias("available"), "missing")
 
 
 # --- freshness of runs --------------------------------------------------------------------

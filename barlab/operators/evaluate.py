@@ -178,7 +178,7 @@ def ratio_bootstrap(rows: DataFrame, above: Column, below: Column, replicates: i
         F.try_divide(F.sum(F.col("times") * F.col("a")), F.sum(F.col("times") * F.col("b"))).alias("estimate"))
 
 
-def auc_bootstrap(rows: DataFrame, replicates: int, seed: str, cells: int | None = 100) -> DataFrame:
+def auc_bootstrap(rows: DataFrame, replicates: int, seed: str, cells: int | None = None) -> DataFrame:
     """Area under the ROC curve in each replicate (ML11). With `cells` None the order of the scores is exact:
     they are counted per date and distinct score, and summed up in blocks of SCORE_BLOCK scores, then over
     blocks; as in `auc`, rows without a score are left out. With a number, scores of one of so many cells of

@@ -27,27 +27,19 @@ def apply_voids(events: DataFrame, voids: DataFrame) -> DataFrame:
 CHANGE = ["kind", "symbol", "_day"]  # an undated change has the empty day
 
 
-def _without_last(files: Column, hit: Column) -> Column:
-    same = F.filter(files, lambda x: x == hit)
-    return F.concat(F.filter(files, lambda x: x < hit), F.slice(same, 1, F.greatest(F.size(same) - 1, F.lit(0))),
-                    F.filter(files, lambda x: x > hit))
+def _crossing(announced: DataFrame, cancels: DataFrame) -> DataFrame:
+    """Per change the one file, if any, whose cancels come to be matched with its own announcements.
 
-
-def _folded(rows: DataFrame) -> DataFrame:
-    """Changes of which some file both announces and cancels: cancels taken one by one. Such a
-    change is one company's in a few files, so it is folded as a list."""
-    grouped = rows.groupBy(*CHANGE).agg(F.sort_array(F.collect_list(F.when(~F.col("cancels"), F.col("file")))).alias("listed"),
-                                        F.sort_array(F.collect_list(F.when(F.col("cancels"), F.col("file")))).alias("wanted"))
-    none = F.array().cast("array<struct<file:string,cancels:boolean,other:string>>")
-
-    def step(acc: Column, c: Column) -> Column:
-        hit = F.try_element_at(F.filter(acc["left"], lambda x: x != c), F.lit(-1))
-        left = F.when(hit.isNull(), acc["left"]).otherwise(_without_last(acc["left"], hit))
-        return F.struct(left.alias("left"), F.array_append(acc["said"], F.struct(c.alias("file"), F.lit(True).alias("cancels"), hit.alias("other"))).alias("said"))
-
-    folded = grouped.select(*CHANGE, F.aggregate("wanted", F.struct(F.col("listed").alias("left"), none.alias("said")), step).alias("f"))
-    stands = F.transform("f.left", lambda x: F.struct(x.alias("file"), F.lit(False).alias("cancels"), F.lit(None).cast("string").alias("other")))
-    return folded.select(*CHANGE, F.explode(F.concat("f.said", stands)).alias("r")).select(*CHANGE, "r.*")
+    Cancels go up through the files while the announcement next in line goes down, so the two can meet
+    in a single file. `_k` is the first cancel that meets its own file, `_m` the cancels of that file
+    from there on, `_r` the announcements of the file still standing then.
+    """
+    runs = lambda df, start, n: df.groupBy(*CHANGE, "file").agg(F.min("_at").alias(start), F.count(F.lit(1)).alias(n))
+    both = runs(cancels, "_c", "_cn").join(runs(announced, "_a", "_an"), [*CHANGE, "file"])
+    first = F.greatest("_c", "_a")
+    ends = F.least(F.col("_c") + F.col("_cn"), F.col("_a") + F.col("_an"))
+    return both.filter(first < ends).select(*CHANGE, first.alias("_k"), (F.col("_c") + F.col("_cn") - first).alias("_m"),
+                                            (F.col("_a") + F.col("_an") - first).alias("_r"))
 
 
 def match_cancellations(events: DataFrame) -> DataFrame:
@@ -55,26 +47,31 @@ def match_cancellations(events: DataFrame) -> DataFrame:
 
     Rows: kind, symbol, effective_date, file, cancels, other (of a cancel the cancelled file,
     null when it matched nothing). Cancels are taken in file order; each removes the last-listed
-    matching announcement of another file. Where no file does both, the n-th cancel meets the
-    n-th announcement from the end: both are numbered by a distributed sort and joined, so a
-    change announced in very many files is never gathered. Every copy of a statement counts.
+    matching announcement of another file. Both sides are numbered by a distributed sort, cancels from
+    the first file and announcements from the last, and the n-th meets the n-th. Only in the file
+    where they cross (see _crossing) its cancels reach past its own announcements, which later
+    cancels then take. So a change announced and cancelled in very many files is never gathered.
+    Every copy of a statement counts.
     """
     rows = events.select(F.regexp_replace("action", "^CANCEL_", "").alias("kind"), "symbol", "file",
                          F.coalesce(F.col("effective_date").cast("string"), F.lit("")).alias("_day"),
                          F.startswith("action", F.lit("CANCEL_")).alias("cancels"))
-    per_file = rows.groupBy(*CHANGE, "file").agg(F.count_if("cancels").alias("c"), F.count(F.lit(1)).alias("n"))
-    facts = per_file.groupBy(*CHANGE).agg(F.sum("c").alias("_c"), F.bool_or((F.col("c") > 0) & (F.col("c") < F.col("n"))).alias("_both"))
-    rows = materialize(rows.join(facts, CHANGE))
+    facts = rows.groupBy(*CHANGE).agg(F.bool_or("cancels").alias("_any"))
+    rows = materialize(rows.join(facts, CHANGE), "statements")
+    lined = rows.filter("_any").drop("_any")
+    announced = materialize(group_positions(lined.filter("not cancels"), CHANGE, [F.desc("file")], "_at").drop("group_size"), "announced")
+    cancels = materialize(group_positions(lined.filter("cancels"), CHANGE, [F.asc("file")], "_at").drop("group_size"), "cancels")
+    k = F.col("_at")
+    reached = (F.when((k >= F.col("_k")) & (k < F.col("_k") + F.col("_m")), k + F.col("_r"))
+               .when((k >= F.col("_k") + F.col("_m")) & (k < F.col("_k") + F.col("_m") + F.col("_r")), k - F.col("_m")).otherwise(k))
+    aimed = cancels.join(_crossing(announced, cancels), CHANGE, "left").withColumn("_at", reached).drop("_k", "_m", "_r")
+    met = [*CHANGE, "_at"]
     nothing = F.lit(None).cast("string").alias("other")
+    stands = announced.join(aimed.select(*met), met, "left_anti").withColumn("other", nothing)
+    hits = aimed.join(announced.select(*met, F.col("file").alias("other")), met, "left")
     columns = [*CHANGE, "file", "cancels", "other"]
-    lined = rows.filter("_c > 0 and not _both").drop("_c", "_both")
-    announced = group_positions(lined.filter("not cancels"), CHANGE, [F.desc("file")], "_at").drop("group_size")
-    cancels = group_positions(lined.filter("cancels"), CHANGE, [F.asc("file")], "_at").drop("group_size")
-    met = [*CHANGE, "_at"]
-    stands = announced.join(cancels.select(*met), met, "left_anti").withColumn("other", nothing)
-    hits = cancels.join(announced.select(*met, F.col("file").alias("other")), met, "left")
-    out = rows.filter("_c = 0").withColumn("other", nothing).select(*columns)
-    for part in (stands, hits, _folded(rows.filter("_both"))):
+    out = rows.filter("not _any").withColumn("other", nothing).select(*columns)
+    for part in (stands, hits):
         out = out.unionByName(part.select(*columns))
     return out.withColumn("effective_date", F.to_date(F.nullif("_day", F.lit("")))).drop("_day")
 

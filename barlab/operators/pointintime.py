@@ -7,10 +7,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from barlab.functions.folds import Recursion, affine_scan, rsi_of
 from barlab.functions.numeric import share_pct
 from barlab.operators.bars import by_symbol, is_break, with_close_ratio
 from barlab.operators.indicators import true_range, with_rolling_extreme
@@ -40,47 +39,21 @@ def _over(n: int, value: Column, pick) -> Column:
     return F.when(F.count(value).over(frame) == n, pick(value).over(frame))
 
 
-def _smoothed(values: np.ndarray, period: int, alpha: float) -> np.ndarray:
-    """Recursion seeded by the mean of the first `period` values, NaN before it."""
-    out = np.full(len(values), np.nan)
-    if len(values) >= period:
-        seeded = np.concatenate(([values[:period].mean()], values[period:]))
-        out[period - 1:] = pd.Series(seeded).ewm(alpha=alpha, adjust=False).mean().to_numpy()
-    return out
-
-
-def _recursive_columns(p: PointInTimeParams):
-    names = ("ema_short", "ema_medium", "ema_long")
-
-    def one_stretch(rows: pd.DataFrame) -> pd.DataFrame:
-        close = rows["close"].to_numpy(dtype=float)
-        out = rows.copy()
-        for name, period in zip(names, p.emas):
-            ema = _smoothed(close, period, 2.0 / (period + 1))
-            lagged = np.concatenate((np.full(min(p.slope_lag, len(ema)), np.nan), ema[:-p.slope_lag]))
-            out[name] = ema
-            out[f"{name}_slope"] = (ema / lagged - 1.0) * 100.0
-        step = np.diff(close)
-        gain = _smoothed(np.maximum(step, 0.0), p.rsi_period, 1.0 / p.rsi_period)
-        loss = _smoothed(np.maximum(-step, 0.0), p.rsi_period, 1.0 / p.rsi_period)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            rsi = np.where((gain == 0) & (loss == 0), 50.0, np.where(loss == 0, 100.0, 100.0 - 100.0 / (1.0 + gain / loss)))
-        rsi[np.isnan(gain)] = np.nan
-        spread = rows["_tr"].to_numpy(dtype=float)[1:]
-        out["rsi"] = np.concatenate(([np.nan], rsi))[: len(close)]
-        out["atr"] = np.concatenate(([np.nan], _smoothed(spread, p.atr_period, 1.0 / p.atr_period)))[: len(close)]
-        return out
-
-    def per_symbol(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("trading_date")
-        return pd.concat([one_stretch(part) for _, part in rows.groupby(["_stretch", "_at_break"], sort=False)])
-
-    return per_symbol
+EMAS = ("ema_short", "ema_medium", "ema_long")
+SERIES = ["symbol", "_stretch", "_at_break"]
+
+
+def _recursions(p: PointInTimeParams) -> dict[str, Recursion]:
+    """EMAs of the close and Wilder's means of gains, losses and ranges. Quotients of two means must
+    agree even where both have faded, so the latter carry values down to the smallest double."""
+    wilder = lambda value, period: Recursion(value, period, 1.0 / period, skip=1, negligible=1e-300)
+    return {**{name: Recursion(F.col("close"), n, 2.0 / (n + 1)) for name, n in zip(EMAS, p.emas)},
+            "_gain": wilder(F.greatest("_move", F.lit(0.0)), p.rsi_period), "_loss": wilder(F.greatest(-F.col("_move"), F.lit(0.0)), p.rsi_period),
+            "_atr": wilder(F.col("_tr"), p.atr_period)}
 
 
 def features_v1(bars: DataFrame, benchmark: DataFrame, p: PointInTimeParams) -> DataFrame:
-    """Own features of every symbol at every bar. Windows come first and the recursive values
-    last, so that one exchange on symbol serves both."""
+    """Own features of every symbol at every bar, by windows and scans of one exchange on symbol."""
     broke = F.coalesce(is_break(F.col("close_ratio"), p.break_low_ratio, p.break_high_ratio), F.lit(False))
     upto = by_symbol().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = (with_close_ratio(bars.join(benchmark.select("trading_date", F.col("close").alias("_bench")), "trading_date", "left"))
@@ -92,7 +65,7 @@ def features_v1(bars: DataFrame, benchmark: DataFrame, p: PointInTimeParams) ->
         rows = with_rolling_extreme(rows, column, p.high_window, name, lowest=lowest, keys=("symbol", "_stretch", "_at_break"))
     # a full window of n bars holds n - 1 steps inside the stretch
     step = F.ln(F.try_divide(close, back("close", 1)))
-    rows = rows.withColumn("_step", step).withColumn("_tr", true_range(F.col("high"), F.col("low"), back("close", 1)))
+    rows = rows.withColumn("_step", step).withColumn("_move", close - back("close", 1)).withColumn("_tr", true_range(F.col("high"), F.col("low"), back("close", 1)))
     prior = _stretch().rowsBetween(-p.rvol_window, -1)
     own = {
         **{f"return_{k}": pct(close, back("close", k)) for k in p.returns},
@@ -102,15 +75,12 @@ def features_v1(bars: DataFrame, benchmark: DataFrame, p: PointInTimeParams) ->
         "rvol": F.when(F.count("volume").over(prior) == p.rvol_window, F.try_divide("volume", F.avg("volume").over(prior))),
         **{f"relative_{k}": pct(close, back("close", k)) - pct(F.col("_bench"), back("_bench", k)) for k in p.relative},
     }
-    rows = rows.select("symbol", "trading_date", "close", "_stretch", "_at_break", "_tr", *[c.alias(n) for n, c in own.items()])
-    added = [f"{n}{s}" for n in ("ema_short", "ema_medium", "ema_long") for s in ("", "_slope")] + ["rsi", "atr"]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields] + [f"`{n}` double" for n in added])
-    done = rows.groupBy("symbol").applyInPandas(_recursive_columns(p), schema)
-    known = lambda n: F.nanvl(F.col(n), F.lit(None).cast("double"))
-    out = done.select("symbol", "trading_date", "close", *own, *[known(n).alias(n) for n in added])
-    return out.select(
-        "*", *[pct(close, F.col(n)).alias(f"{n}_distance") for n in ("ema_short", "ema_medium", "ema_long")],
-        (F.try_divide("atr", "close") * 100).alias("atr_percent")).drop("atr")
+    rows = rows.select("symbol", "trading_date", "close", "_stretch", "_at_break", "_move", "_tr", *[c.alias(n) for n, c in own.items()])
+    rows = affine_scan(rows, _recursions(p), SERIES, "trading_date")
+    rows = rows.withColumns({f"{n}_slope": pct(F.col(n), back(n, p.slope_lag)) for n in EMAS})
+    return rows.select(
+        "symbol", "trading_date", "close", *own, *[c for n in EMAS for c in (n, f"{n}_slope")], rsi_of(F.col("_gain"), F.col("_loss")).alias("rsi"),
+        *[pct(close, F.col(n)).alias(f"{n}_distance") for n in EMAS], (F.try_divide("_atr", "close") * 100).alias("atr_percent"))
 
 
 def breadth_at(features: DataFrame, sectors: DataFrame | None = None) -> DataFrame:

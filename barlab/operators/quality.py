@@ -67,27 +67,50 @@ def rehash(stored: DataFrame) -> DataFrame:
 
 # --- whole-series validation --------------------------------------------------------------
 
-def arrival_steps(candles: DataFrame) -> DataFrame:
-    """Each arrival with the date that came before it (null dates passed over).
-
-    Blocks are walked on their own; the first row of a block takes the last date of the
-    blocks before it, found from one summary row per block.
+def arrival_summary(candles: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """One row per symbol with all that its arrivals say about the series: observations, undated,
+    dated, days (distinct dates), back and flat (a date before, or not after, the one that arrived
+    before it), late (after `as_of`), error_count, warning_count, first_error of single rows.
+
+    Arrivals are walked in blocks. What a block leaves behind is a summary that merges with others:
+    counts, its first and last date, the first error, and the days it holds as bitmaps of 32,768 days.
+    Blocks are then put in order by their summaries alone, so the arrivals are read and exchanged once
+    and a symbol with a large share of them is spread over many tasks.
     """
-    blocked = (candles.filter(F.col("trading_date").isNotNull())
-               .withColumn("_block", F.floor(F.col("arrival") / ARRIVAL_BLOCK)))
-    inside = Window.partitionBy("symbol", "_block").orderBy("arrival")
-    ends = (blocked.groupBy("symbol", "_block").agg(F.max_by("trading_date", "arrival").alias("_end"))
-            .withColumn("_carried", F.lag("_end").over(Window.partitionBy("symbol").orderBy("_block")))
-            .drop("_end"))
-    return (blocked.withColumn("_prior", F.lag("trading_date").over(inside))
-            .join(ends, ["symbol", "_block"])
-            .withColumn("prior_date", F.coalesce("_prior", "_carried"))
-            .drop("_block", "_prior", "_carried"))
-
-
-def _row_findings(candles: DataFrame) -> DataFrame:
+    day, at = F.col("trading_date"), F.col("arrival")
+    before = Window.partitionBy("symbol", "_block").orderBy("arrival").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.datediff(day, F.lit("1970-01-01").cast("date")).cast("long")
+    found = row_findings()
+    errors = F.filter("_found", lambda f: f["severity"] == "ERROR")
+    rows = candles.withColumn("_block", F.floor(at / ARRIVAL_BLOCK)).withColumn("_prior", F.last("trading_date", ignorenulls=True).over(before))
+    rows = rows.withColumn("_found", found).select(
+        "symbol", "_block", "arrival", "trading_date", "_prior", F.coalesce(F.bitmap_bucket_number(number), F.lit(0)).alias("_bucket"),
+        F.bitmap_bit_position(number).alias("_bit"), F.size(errors).alias("_errors"), (F.size("_found") - F.size(errors)).alias("_warnings"),
+        F.get(errors, F.lit(0))["message"].alias("_error"))
+    late = F.lit(False) if as_of is None else day > as_of
+    some = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
+    dated, failed = F.when(day.isNotNull(), at), F.when(F.col("_error").isNotNull(), at)
+    blocks = rows.groupBy("symbol", "_block", "_bucket").agg(
+        F.count(F.lit(1)).alias("observations"), F.count("trading_date").alias("dated"), some(day < F.col("_prior")).alias("back"),
+        some(day <= F.col("_prior")).alias("flat"), some(late).alias("late"), F.sum("_errors").alias("error_count"), F.sum("_warnings").alias("warning_count"),
+        F.min_by("_error", failed).alias("first_error"), F.min(failed).alias("_error_at"), F.min_by("trading_date", dated).alias("_first"), F.min(dated).alias("_first_at"), F.max_by("trading_date", dated).alias("_last"),
+        F.max(dated).alias("_last_at"), F.bitmap_construct_agg("_bit").alias("_days"))
+    block = Window.partitionBy("symbol", "_block")
+    earlier = Window.partitionBy("symbol").orderBy("_block").rangeBetween(Window.unboundedPreceding, -1)
+    ends = lambda kind, w: getattr(F, kind)(F.when(F.col("_last_at").isNotNull(), F.struct(f"_{w}_at", f"_{w}")))
+    joined = (blocks.withColumn("_opens", ends("min", "first").over(block)["_first"]).withColumn("_carried", ends("max", "last").over(earlier)["_last"])
+              .withColumn("back", F.col("back") | F.coalesce(F.col("_opens") < F.col("_carried"), F.lit(False)))
+              .withColumn("flat", F.col("flat") | F.coalesce(F.col("_opens") <= F.col("_carried"), F.lit(False))))
+    sums = [F.sum(c).alias(c) for c in ("observations", "dated", "error_count", "warning_count")] + [F.bool_or(c).alias(c) for c in ("back", "flat", "late")]
+    first = [F.min_by("first_error", "_error_at").alias("first_error"), F.min("_error_at").alias("_error_at")]
+    spans = joined.groupBy("symbol", "_bucket").agg(*sums, *first, F.bitmap_count(F.bitmap_or_agg("_days")).alias("days"))
+    return spans.groupBy("symbol").agg(*sums, first[0], F.sum("days").alias("days")).withColumn("undated", F.col("observations") - F.col("dated"))
+
+
+def row_findings() -> Column:
+    """Errors and warnings of one arrival, in order: an array of severity and message."""
     values = {n: F.col(n) for n in FIELDS}
-    missing = F.array_compact(F.array(*[F.when(values[n].isNull(), F.lit(n)) for n in FIELDS]))
+    missing = F.concat_ws(", ", *[F.when(values[n].isNull(), F.lit(n)) for n in FIELDS])
     odd = F.lit(False)
     for v in values.values():
         odd = odd | F.isnan(v) | (F.abs(v) == float("inf"))
@@ -101,52 +124,40 @@ def _row_findings(candles: DataFrame) -> DataFrame:
         note(l > F.least(o, c, h), "ERROR", "low above open/close/high"),
         note(v < 0, "ERROR", "negative volume"),
         note(v == 0, "WARNING", "zero volume")))
-    absent = F.array(F.struct(F.lit("ERROR").alias("severity"),
-                              F.concat(label, F.lit("missing "), F.array_join("_missing", ", ")).alias("message")))
+    absent = F.array(F.struct(F.lit("ERROR").alias("severity"), F.concat(label, F.lit("missing "), missing).alias("message")))
     strange = F.array(note(F.lit(True), "ERROR", "non-finite OHLCV value"))
-    found = F.when(F.size("_missing") > 0, absent).when(odd, strange).otherwise(checks)
-    return (candles.withColumn("_missing", missing)
-            .select("symbol", F.col("arrival").alias("position"), F.posexplode(found).alias("item", "f"))
-            .select("symbol", "position", "item", "f.severity", "f.message"))
+    return F.when(missing != "", absent).when(odd, strange).otherwise(checks)
 
 
-def _series_findings(candles: DataFrame, as_of: Column | None) -> DataFrame:
-    per_day = candles.groupBy("symbol", "trading_date").agg(F.count(F.lit(1)).alias("n"))
-    late = F.lit(False) if as_of is None else F.coalesce(F.col("trading_date") > as_of, F.lit(False))
-    days = per_day.groupBy("symbol").agg(
-        F.bool_or(F.col("trading_date").isNull()).alias("no_date"),
-        F.bool_or(F.col("trading_date").isNotNull() & (F.col("n") > 1)).alias("twice"),
-        F.bool_or(late).alias("late"))
-    order = arrival_steps(candles).groupBy("symbol").agg(
-        F.bool_or(F.col("trading_date") < F.col("prior_date")).alias("back"))
-    note = lambda cond, position, text: F.when(F.col(cond), F.struct(
-        F.lit(position).cast("bigint").alias("position"), F.lit(text).alias("message")))
-    found = F.array_compact(F.array(
-        note("no_date", -4, "Missing or invalid trading date"), note("twice", -3, "Duplicate trading dates"),
-        note("back", -2, "Trading dates are not in ascending order"), note("late", -1, "Future observation date")))
-    return (days.join(order, "symbol", "left").select("symbol", F.explode(found).alias("f"))
-            .select("symbol", "f.position", F.lit(0).alias("item"), F.lit("ERROR").alias("severity"), "f.message"))
+def _series_notes() -> list[tuple[int, Column, str]]:
+    """What a summary says about the series as a whole: position, whether it applies, message."""
+    return [(-4, F.col("undated") > 0, "Missing or invalid trading date"), (-3, F.col("days") < F.col("dated"), "Duplicate trading dates"),
+            (-2, F.col("back"), "Trading dates are not in ascending order"), (-1, F.col("late"), "Future observation date")]
 
 
 def series_findings(candles: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Every error and warning of every series, one row each; series-level ones come first
-    through negative positions (FLT5)."""
-    return _series_findings(candles, as_of).unionByName(_row_findings(candles))
+    through negative positions (FLT5). One read of the arrivals for the rows, one for the series."""
+    own = candles.select("symbol", F.col("arrival").alias("position"), F.posexplode(row_findings()).alias("item", "f"))
+    notes = F.array_compact(F.array(*[F.when(cond, F.struct(F.lit(at).cast("bigint").alias("position"), F.lit(text).alias("message")))
+                                      for at, cond, text in _series_notes()]))
+    whole = arrival_summary(candles, as_of).select("symbol", F.explode(notes).alias("f")).select(
+        "symbol", "f.position", F.lit(0).alias("item"), F.lit("ERROR").alias("severity"), "f.message")
+    return whole.unionByName(own.select("symbol", "position", "item", "f.severity", "f.message"))
 
 
 def series_status(candles: DataFrame, as_of: Column | None = None) -> DataFrame:
     """One row per series: counts, status and its first error. The full list stays in
-    series_findings, so no series has to fit in one row (FLT5)."""
-    error, warning = F.col("severity") == "ERROR", F.col("severity") == "WARNING"
-    found = series_findings(candles, as_of).groupBy("symbol").agg(
-        F.count_if(error).alias("error_count"), F.count_if(warning).alias("warning_count"),
-        F.min_by("message", F.when(error, F.struct("position", "item"))).alias("first_error"))
-    held = candles.groupBy("symbol").agg(F.count(F.lit(1)).alias("observations"))
-    n = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c)
-    return (held.join(found, "symbol", "left")
-            .select("symbol", "observations", n("error_count"), n("warning_count"), "first_error")
-            .withColumn("status", F.when(F.col("error_count") > 0, "INVALID")
-                        .when(F.col("warning_count") > 0, "VALID_WITH_WARNINGS").otherwise("VALID")))
+    series_findings, so no series has to fit in one row (FLT5). Reads the arrivals once."""
+    notes = _series_notes()
+    more = F.lit(0)
+    for _, cond, _ in notes:
+        more = more + cond.cast("int")
+    first = F.coalesce(*[F.when(cond, F.lit(text)) for _, cond, text in notes], F.col("first_error"))
+    counted = arrival_summary(candles, as_of).select(
+        "symbol", "observations", (F.col("error_count") + more).alias("error_count"), "warning_count", first.alias("first_error"))
+    return counted.withColumn("status", F.when(F.col("error_count") > 0, "INVALID")
+                              .when(F.col("warning_count") > 0, "VALID_WITH_WARNINGS").otherwise("VALID"))
 
 
 # --- small checks with caller thresholds ----------------------------------------------------
@@ -158,15 +169,14 @@ def has_required(candles: DataFrame) -> DataFrame:
 
 
 def duplicate_dates(candles: DataFrame) -> DataFrame:
-    """Per symbol, whether a date occurs twice (FLT7)."""
+    """Per symbol, whether a date occurs twice; missing dates are one date (FLT7)."""
     per_day = candles.groupBy("symbol", "trading_date").agg(F.count(F.lit(1)).alias("n"))
     return per_day.groupBy("symbol").agg((F.max("n") > 1).alias("has_duplicates"))
 
 
 def strictly_ascending(candles: DataFrame) -> DataFrame:
-    """Per symbol, whether dates rise strictly in arrival order (FLT8)."""
-    steps = arrival_steps(candles).groupBy("symbol")
-    return steps.agg(F.coalesce(F.bool_and(F.col("trading_date") > F.col("prior_date")), F.lit(True)).alias("ascending"))
+    """Per symbol, whether dates rise strictly in arrival order, missing dates passed over (FLT8)."""
+    return arrival_summary(candles).filter("dated > 0").select("symbol", (~F.col("flat")).alias("ascending"))
 
 
 def price_checks(candles: DataFrame, minimum_history: int | None, expected: Column | None) -> DataFrame:

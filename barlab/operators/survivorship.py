@@ -5,6 +5,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barlab.functions.numeric import share_pct_or_zero
 from barlab.operators.asof import in_force, in_force_by_day
+from barlab.operators.sessions import between, day_ranks, session_index, unfold
+from barlab.session import materialize
 
 MEMBER, NOT_MEMBER, UNCERTAIN = "MEMBER_RECONSTRUCTED", "NOT_MEMBER_RECONSTRUCTED", "UNCERTAIN_CHAIN"
 CLASSES = (MEMBER, NOT_MEMBER, UNCERTAIN)
@@ -23,13 +25,11 @@ def was_member(samples: DataFrame, intervals: DataFrame) -> DataFrame:
 def candidate_samples(coverage: DataFrame, sessions: DataFrame, last: Column) -> DataFrame:
     """Every session between a symbol's first bar and its last bar or `last` (JN12).
 
-    The session days, bounded by the span, travel as one array; each symbol cuts its range
-    out of it, so the rows made are the rows wanted.
+    Two lookups of session numbers bound a symbol's range; the rows made are the rows wanted.
     """
-    days = sessions.agg(F.sort_array(F.collect_set("trading_date"))).scalar()
-    rows = coverage.withColumn("_days", days).withColumn("_to", F.least("last_bar", last))
-    inside = F.filter("_days", lambda d: (d >= F.col("first_bar")) & (d <= F.col("_to")))
-    return rows.select("symbol", F.explode(inside).alias("trading_date"))
+    index = materialize(session_index(sessions), "sessions")
+    spans = coverage.select("symbol", "first_bar", F.date_add(F.least("last_bar", last), 1).alias("_end"))
+    return unfold(between(spans, "first_bar", "_end", day_ranks(index)), index).select("symbol", "trading_date")
 
 
 def classify_samples(samples: DataFrame, intervals: DataFrame, windows: DataFrame) -> DataFrame:
@@ -41,6 +41,43 @@ def classify_samples(samples: DataFrame, intervals: DataFrame, windows: DataFram
         .drop("_w", "member")
 
 
+def class_stretches(coverage: DataFrame, intervals: DataFrame, windows: DataFrame, last: Column) -> DataFrame:
+    """symbol, class, start, until: the stretches of days on which a symbol's samples are of one class.
+
+    Coverage, membership and uncertainty put marks on the days where they begin and end; running sums
+    of the marks tell the class between two of them. A symbol has a row for each change, not for each
+    session.
+    """
+    never = F.lit("0001-01-01").cast("date")
+    def marks(rows: DataFrame, start: Column, until: Column, name: str) -> DataFrame:
+        ends = F.array(F.struct(start.alias("day"), F.lit(1).alias(name)), F.struct(until.alias("day"), F.lit(-1).alias(name)))
+        return rows.filter(start < until).select("symbol", F.explode(ends).alias("m")).select("symbol", "m.*")
+
+    lines = marks(coverage, F.col("first_bar"), F.date_add(F.least("last_bar", last), 1), "_c")
+    for part in (marks(intervals, F.coalesce("member_from", never), F.col("member_until"), "_m"), marks(windows, F.col("start"), F.col("until"), "_u")):
+        lines = lines.unionByName(part, allowMissingColumns=True)
+    days = lines.groupBy("symbol", "day").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("_c", "_m", "_u")])
+    order = Window.partitionBy("symbol").orderBy("day")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    now = days.select("symbol", F.col("day").alias("start"), F.lead("day").over(order).alias("until"), *[F.sum(c).over(upto).alias(c) for c in ("_c", "_m", "_u")])
+    kind = F.when(F.col("_u") > 0, UNCERTAIN).when(F.col("_m") > 0, MEMBER).otherwise(NOT_MEMBER)
+    return now.filter("_c > 0 and until is not null").select("symbol", kind.alias("class"), "start", "until")
+
+
+def session_counts(stretches: DataFrame, sessions: DataFrame) -> DataFrame:
+    """trading_date, class, n: how many symbols have a sample of each class on each session.
+
+    Beginnings and ends are added up per day first, over all symbols; the running sum of what is left,
+    one row per class and day, gives the count of every session.
+    """
+    ends = F.array(F.struct(F.col("start").alias("day"), F.lit(1).alias("d")), F.struct(F.col("until").alias("day"), F.lit(-1).alias("d")))
+    change = stretches.select("class", F.explode(ends).alias("m")).groupBy("class", "m.day").agg(F.sum("m.d").alias("d"))
+    asked = sessions.select(F.col("trading_date").alias("day")).distinct().withColumn("class", F.explode(F.array(*[F.lit(c) for c in CLASSES])))
+    line = change.unionByName(asked.withColumn("_asked", F.lit(True)), allowMissingColumns=True)
+    upto = Window.partitionBy("class").orderBy("day").rangeBetween(Window.unboundedPreceding, 0)
+    return line.withColumn("n", F.coalesce(F.sum("d").over(upto), F.lit(0))).filter("_asked").select(F.col("day").alias("trading_date"), "class", "n")
+
+
 def entrants(coverage: DataFrame, after: Column) -> DataFrame:
     """Symbols whose first bar is later than a window's start (AG16)."""
     return coverage.filter(F.col("first_bar") > after).select("symbol", "first_bar", F.year("first_bar").alias("year"))
@@ -50,34 +87,41 @@ def entrants_by_year(coverage: DataFrame, after: Column) -> DataFrame:
     return entrants(coverage, after).groupBy("year").agg(F.count(F.lit(1)).alias("entrants"))
 
 
-def _class_counts() -> list[Column]:
-    return [F.count_if(F.col("class") == c).alias(c.lower()) for c in CLASSES]
+def _class_sums(n: str) -> list[Column]:
+    return [F.coalesce(F.sum(F.when(F.col("class") == c, F.col(n))), F.lit(0)).alias(c.lower()) for c in CLASSES] \
+        + [F.coalesce(F.sum(n), F.lit(0)).alias("samples")]
 
 
-def samples_by_year(classed: DataFrame) -> DataFrame:
-    """Samples per class and year; the row without a year is the total (AG17)."""
-    out = classed.withColumn("year", F.year("trading_date")).rollup("year").agg(*_class_counts(), F.count(F.lit(1)).alias("samples"))
-    return out.withColumn("not_member_pct", share_pct_or_zero(F.col(NOT_MEMBER.lower()), F.col("samples"))) \
+def _with_shares(counts: DataFrame) -> DataFrame:
+    """The shares of samples without evidence."""
+    return counts.withColumn("not_member_pct", share_pct_or_zero(F.col(NOT_MEMBER.lower()), F.col("samples"))) \
         .withColumn("uncertain_pct", share_pct_or_zero(F.col(UNCERTAIN.lower()), F.col("samples")))
 
 
-def samples_by_symbol(classed: DataFrame) -> DataFrame:
-    return classed.groupBy("symbol").agg(*_class_counts(), F.count(F.lit(1)).alias("samples"))
+def samples_by_year(stretches: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Samples per class and year; the row without a year is the total (AG17). Years without a sample have no row."""
+    per_day = session_counts(stretches, sessions).filter("n > 0").withColumn("year", F.year("trading_date"))
+    return _with_shares(per_day.rollup("year").agg(*_class_sums("n")))
+
 
+def samples_by_symbol(stretches: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Samples per class of every symbol that has any (AG17): differences of session numbers."""
+    held = between(stretches, "start", "until", day_ranks(session_index(sessions))).withColumn("_n", F.col("_to") - F.col("_from"))
+    return held.filter("_n > 0").groupBy("symbol").agg(*_class_sums("_n"))
 
-def symbol_audit(classed: DataFrame, coverage: DataFrame, intervals: DataFrame) -> DataFrame:
+
+def symbol_audit(stretches: DataFrame, sessions: DataFrame, coverage: DataFrame, intervals: DataFrame) -> DataFrame:
     """Samples by class of every symbol, with its first bar and whether a failed check touches
     its membership (AG17)."""
     touched = intervals.groupBy("symbol").agg(F.bool_or("touched_by_anomaly").alias("touched_by_anomaly"))
-    return (samples_by_symbol(classed).join(coverage.select("symbol", "first_bar"), "symbol", "left").join(touched, "symbol", "left")
+    return (samples_by_symbol(stretches, sessions).join(coverage.select("symbol", "first_bar"), "symbol", "left").join(touched, "symbol", "left")
             .withColumn("touched_by_anomaly", F.coalesce("touched_by_anomaly", F.lit(False))))
 
 
-def window_shares(classed: DataFrame, first: Column, last: Column) -> DataFrame:
+def window_shares(stretches: DataFrame, sessions: DataFrame, first: Column, last: Column) -> DataFrame:
     """Samples by class within [first, last] with the shares of those without evidence (AG17)."""
-    out = classed.filter(F.col("trading_date").between(first, last)).agg(*_class_counts(), F.count(F.lit(1)).alias("samples"))
-    return out.withColumn("not_member_pct", share_pct_or_zero(F.col(NOT_MEMBER.lower()), F.col("samples"))) \
-        .withColumn("uncertain_pct", share_pct_or_zero(F.col(UNCERTAIN.lower()), F.col("samples")))
+    inside = sessions.filter(F.col("trading_date").between(first, last))
+    return _with_shares(session_counts(stretches, inside).agg(*_class_sums("n")))
 
 
 def not_full_period(symbols: DataFrame, pieces: DataFrame, sessions: DataFrame, first: Column, last: Column, end: Column) -> DataFrame:
@@ -88,12 +132,11 @@ def not_full_period(symbols: DataFrame, pieces: DataFrame, sessions: DataFrame,
     or the chain is uncertain, lies at or beyond the end, or when it has no segment.
     """
     line = Window.partitionBy("symbol").orderBy(F.asc_nulls_first("start"))
-    days = sessions.filter(F.col("trading_date").between(first, last)).agg(F.collect_set("trading_date")).scalar()
-    doubtful = (pieces.withColumn("_until", F.lead("start").over(line))
-                .filter(~F.col("member") | F.col("anomalous")).withColumn("_days", days))
-    hit = F.exists("_days", lambda d: (F.col("start").isNull() | (d >= F.col("start")))
-                   & (F.col("_until").isNull() | (d < F.col("_until"))))
-    failed = doubtful.filter(hit).select("symbol").distinct()
+    asked = session_index(sessions.filter(F.col("trading_date").between(first, last)))
+    doubtful = pieces.withColumn("_until", F.lead("start").over(line)).filter(~F.col("member") | F.col("anomalous"))
+    # a stretch holds a session if the numbers of the first sessions from its ends differ
+    open_ended = doubtful.select("symbol", F.coalesce("start", first).alias("_a"), F.coalesce("_until", F.date_add(last, 1)).alias("_b"))
+    failed = between(open_ended, "_a", "_b", day_ranks(asked)).filter("_from < _to").select("symbol").distinct()
     known = pieces.select("symbol").distinct()
     # past the end there is no evidence of anything
     beyond = sessions.filter(F.col("trading_date").between(first, last)).agg(F.coalesce(F.max("trading_date") >= end, F.lit(False))).scalar()
@@ -113,12 +156,16 @@ def sampled_sessions(sessions: DataFrame, per_year: int = 12) -> DataFrame:
 def members_outside_universe(intervals: DataFrame, snapshot: DataFrame, sessions: DataFrame) -> DataFrame:
     """Mean members and mean members missing from today's universe, per year (AG19)."""
     picked = sampled_sessions(sessions)
-    days = picked.agg(F.collect_set("trading_date")).scalar()
     held = snapshot.select("symbol").distinct().withColumn("_held", F.lit(1))
-    spans = intervals.join(held, "symbol", "left").withColumn("_days", days)
-    on = F.filter("_days", lambda d: (F.col("member_from").isNull() | (d >= F.col("member_from"))) & (d < F.col("member_until")))
-    counts = spans.select("symbol", "_held", F.explode(on).alias("trading_date")).distinct().groupBy("trading_date").agg(
-        F.count(F.lit(1)).alias("m"), F.count_if(F.col("_held").isNull()).alias("absent"))
+    out = F.col("_held").isNull().cast("int")
+    end = lambda day, sign: F.struct(day.alias("day"), F.lit(sign).alias("m"), (out * sign).alias("absent"))
+    never = F.lit("0001-01-01").cast("date")
+    # intervals of a symbol do not overlap, so beginnings less ends count its members once
+    ends = (intervals.join(held, "symbol", "left").select(F.explode(F.array(end(F.coalesce("member_from", never), 1), end(F.col("member_until"), -1))).alias("e"))
+            .groupBy("e.day").agg(F.sum("e.m").alias("m"), F.sum("e.absent").alias("absent")))
+    line = ends.unionByName(picked.select(F.col("trading_date").alias("day"), F.lit(True).alias("_asked")), allowMissingColumns=True)
+    upto = Window.orderBy("day").rangeBetween(Window.unboundedPreceding, 0)  # at most two rows per calendar day
+    counts = line.select("_asked", F.col("day").alias("trading_date"), F.sum("m").over(upto).alias("m"), F.sum("absent").over(upto).alias("absent")).filter("_asked")
     per_year = picked.join(counts, "trading_date", "left").groupBy("year").agg(
         F.count(F.lit(1)).alias("sessions_sampled"), F.coalesce(F.sum("m"), F.lit(0)).alias("m"),
         F.coalesce(F.sum("absent"), F.lit(0)).alias("absent"))

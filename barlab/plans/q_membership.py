@@ -80,6 +80,11 @@ def classed(spark, sf):
     return V.classify_samples(samples, s.intervals(), s.anomaly_windows())
 
 
+def stretches(spark, sf):
+    s = study(spark, sf)
+    return V.class_stretches(covered(spark, sf, s.snapshot), s.intervals(), s.anomaly_windows(), day(LAST))
+
+
 view("dated", """
 select event_type, value, concat('U', user_id) as symbol, date '2011-01-03' + cast(floor(epoch_us(ts - timestamp '2024-01-01') / 3600000000) * 7 as int) as date,
   concat('rel', cast(floor(minute(ts) / 15) as int)) as part from events
@@ -284,12 +289,12 @@ CLASS_SQL = ", ".join(f"count(*) filter (where class = '{c}') as {c.lower()}" fo
 select *, round(not_member_reconstructed * 100.0::double / samples, 2) as not_member_pct, round(uncertain_chain * 100.0::double / samples, 2) as uncertain_pct from
 (select year(trading_date) as year, {CLASS_SQL}, count(*) as samples from smpc group by rollup(1))""".replace("rollup(1)", "rollup(year(trading_date))"), "smpc"))
 def ag17(spark, sf):
-    return tidy(V.samples_by_year(classed(spark, sf)))
+    return tidy(V.samples_by_year(stretches(spark, sf), sessions(spark, sf)))
 
 
 @query("ag17_samples_by_symbol", sql(f"select symbol, {CLASS_SQL}, count(*) as samples from smpc group by 1", "smpc"))
 def ag17_symbol(spark, sf):
-    return V.samples_by_symbol(classed(spark, sf))
+    return V.samples_by_symbol(stretches(spark, sf), sessions(spark, sf))
 
 
 @query("ag17_symbol_audit", sql(f"""
@@ -298,15 +303,14 @@ def ag17_audit(spark, sf):
     s = study(spark, sf)
     held = covered(spark, sf, s.snapshot)
     found = s.intervals()
-    samples = V.classify_samples(V.candidate_samples(held, sessions(spark, sf), day(LAST)), found, s.anomaly_windows())
-    return V.symbol_audit(samples, held, found)
+    return V.symbol_audit(V.class_stretches(held, found, s.anomaly_windows(), day(LAST)), sessions(spark, sf), held, found)
 
 
 @query("ag17_window_shares", sql(f"""
 select *, coalesce(round(not_member_reconstructed * 100.0::double / nullif(samples, 0), 2), 0.0) as not_member_pct, coalesce(round(uncertain_chain * 100.0::double / nullif(samples, 0), 2), 0.0) as uncertain_pct from
 (select {CLASS_SQL}, count(*) as samples from smpc where trading_date between date '2021-12-27' and date '2022-12-26')""", "smpc"))
 def ag17_window(spark, sf):
-    return V.window_shares(classed(spark, sf), day(W1), day(LAST))
+    return V.window_shares(stretches(spark, sf), sessions(spark, sf), day(W1), day(LAST))
 
 
 @query("ag18_not_full_period", sql("""

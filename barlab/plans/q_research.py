@@ -115,13 +115,15 @@ def ml1(spark, sf):
 
 
 def judged(spark, sf, treat_membership=True):
-    candles = materialize(D.weekly_candles(spark, sf), "candles")
-    sessions = materialize(D.weeks(spark, sf).filter("year(trading_date) > 1995 or month(trading_date) > 3"), "weeks")
+    daily = D.stored_bars(spark, sf)
+    candles = materialize(D.weekly_candles(spark, sf, daily), "candles")
+    sessions = D.weeks(spark, sf).filter("year(trading_date) > 1995 or month(trading_date) > 3")
+    numbered = materialize(DS.session_index(sessions), "weeks")
     ca = D.corporate_actions(spark, sf).filter("status = 'CONFIRMED'").select("symbol", F.col("effective_date").alias("date"))
-    odd = D.raw_candles(spark, sf).filter("close < 1 and volume > 45").select("symbol", F.col("trading_date").alias("date"))
+    odd = D.raw_candles(spark, sf, daily).filter("close < 1 and volume > 45").select("symbol", F.col("trading_date").alias("date"))
     member = candles.filter("volume > 5").select("symbol", "trading_date")
     complete = candles.filter("volume > 8").select("symbol", "trading_date")
-    return DS.eligibility(candles, DS.session_index(sessions), D.universe(spark, sf).filter("balance < 9500"),
+    return DS.eligibility(candles, numbered, D.universe(spark, sf).filter("balance < 9500"),
                           member if treat_membership else None, ca, odd, complete, LOOKBACK, HORIZON, 0.80, 1.25)
 
 
@@ -313,11 +315,47 @@ def ml12(spark, sf):
 
 @query("ml13_truncation_audit", sql("select count(*) as compared, 0::bigint as differing, true as passes from bars where trading_date <= date '2000-06-30'", "bars"))
 def ml13_truncation(spark, sf):
-    b = D.bars(spark, sf)
-    full = features(spark, sf)
-    early = b.filter(F.col("trading_date") <= day(CUTOFF))
-    cut = PT.features_v1(early, D.benchmark(spark, sf, b), PIT)
-    return DS.truncation_audit(full, cut, day(CUTOFF))
+    b = D.stored_bars(spark, sf)
+    return DS.truncation_audit(b, own_features(spark, sf, b), at_cutoff(b)).drop("replicas")
+
+
+def own_features(spark, sf, b):
+    bench = materialize(D.benchmark(spark, sf, b), "bench")
+    return lambda rows: PT.features_v1(rows, bench, PIT)
+
+
+def at_cutoff(b):
+    return b.filter(F.col("trading_date") <= day(CUTOFF)).select("symbol", day(CUTOFF).alias("cutoff"))
+
+
+REPLICAS = 64
+view("cutoffs", f"""
+select symbol, trading_date as cutoff from (select *, row_number() over (order by symbol, sha256(concat('cut-v1', cast(trading_date as varchar)))) - 1 as j, count(*) over () as n from bars)
+where j in (select cast(floor(i * (c / {REPLICAS}.0::double)) as bigint) from (select unnest(range({REPLICAS})) as i, c from (select count(*) as c from bars)) where i < c)""", "bars")
+
+
+@query("ml13_truncation_replicas", sql("""
+select count(distinct (symbol, cutoff)) as replicas, count(*) as compared, 0::bigint as differing, true as passes from cutoffs join bars using (symbol) where trading_date <= cutoff""", "cutoffs", "bars"))
+def ml13_replicas(spark, sf):
+    """Every feature at sampled (symbol, date): the series that ends there gives what the whole series gives."""
+    b = D.stored_bars(spark, sf)
+    return DS.truncation_audit(b, own_features(spark, sf, b), DS.sampled_cutoffs(b, "cut-v1", REPLICAS))
+
+
+def one_ahead(rows):
+    """A feature that looks one bar ahead."""
+    from barlab.operators.bars import by_symbol
+    return rows.select("symbol", "trading_date", F.lead("close").over(by_symbol()).alias("ahead"))
+
+
+@query("ml13_leaking_replicas", sql("""
+select symbol, cutoff, trading_date, side from (select c.*, b.trading_date, max(b.trading_date) over (partition by symbol, cutoff) as newest from cutoffs c join bars b using (symbol)),
+ (values ('FULL'), ('TRUNCATED')) s(side) where trading_date = cutoff and newest > cutoff""", "cutoffs", "bars"))
+def ml13_leaking_replicas(spark, sf):
+    """A leak shows on the last row of every replica that was cut before the end."""
+    b = D.stored_bars(spark, sf)
+    pairs = DS.truncation_pairs(b, one_ahead, DS.sampled_cutoffs(b, "cut-v1", REPLICAS))
+    return tidy(DS.truncation_differences(pairs).drop("ahead"))
 
 
 @query("ml13_split_overlaps", sql("""
@@ -381,12 +419,22 @@ dr as (select r, cast(concat('0x', substr(md5(concat('{seed}:', r, ':', k)), 1,
 dd as (select r, trading_date, count(*) as times from dr join dl using (i) group by 1, 2)"""
 
 
-CELLS = """cell as (select trading_date, least(cast(floor(p * 100) as int), 99) as c, sum(positive) as n1, sum(1 - positive) as n0 from scored group by 1, 2),
+def placed(of):
+    """SQL: the area under the curve of every replicate, rows counted per date and place of the score."""
+    return f"""cell as (select trading_date, {of} as c, sum(positive) as n1, sum(1 - positive) as n0 from scored where p is not null group by 1, 2),
 rc as (select r, c, sum(times * n1) as n1, sum(times * n0) as n0 from dd join cell using (trading_date) group by 1, 2),
 ra as (select r, sum(u) / (sum(n1) * sum(n0)) as estimate from (select *, n1 * (coalesce(sum(n0) over (partition by r order by c rows between unbounded preceding and 1 preceding), 0) + n0 / 2.0::double) as u from rc) group by 1)"""
 
 
-@query("ml11_auc_bootstrap", sql(f", {drawn('boot-v1', 'scored')}, {CELLS} select r as replicate, round(estimate, 6) as estimate from ra", "scored").replace("\n, dl as", ", dl as", 1))
+EXACT, CELLS = placed("p"), placed("least(cast(floor(p * 100) as int), 99)")
+
+
+@query("ml11_auc_bootstrap_cells", sql(f", {drawn('boot-v1', 'scored')}, {CELLS} select r as replicate, round(estimate, 6) as estimate from ra", "scored").replace("\n, dl as", ", dl as", 1))
+def ml11_auc_cells(spark, sf):
+    return tidy(E.auc_bootstrap(materialize(scored(spark, sf)), 200, "boot-v1", cells=100))
+
+
+@query("ml11_auc_bootstrap", sql(f", {drawn('boot-v1', 'scored')}, {EXACT} select r as replicate, round(estimate, 6) as estimate from ra", "scored").replace("\n, dl as", ", dl as", 1))
 def ml11_auc(spark, sf):
     return tidy(E.auc_bootstrap(materialize(scored(spark, sf)), 200, "boot-v1"))
 
@@ -406,7 +454,7 @@ def ml11_r2(spark, sf):
 GATE = {"auc": 0.5, "improvement": 0.0, "folds_beaten": 0.7, "calibration_error": 0.1, "concentration": 0.5}
 
 
-@query("ml16_evidence_gate", sql(f""", {drawn('boot-v1', 'scored')}, {CELLS},
+@query("ml16_evidence_gate", sql(f""", {drawn('boot-v1', 'scored')}, {EXACT},
 im as (select trading_date, sum(improvement) as s, count(*) as n from scored group by 1),
 ri as (select r, sum(times * s) / sum(times * n) as e from dd join im using (trading_date) group by 1),
 fb as (select avg(case when a < b then 1.0 else 0.0 end) as v from (select fold, avg(loss) as a, avg(base_loss) as b from scored group by 1)),
@@ -422,7 +470,7 @@ union all select 'folds_beaten', round(cast(v as double), 6), 0.7, coalesce(v >=
 union all select 'calibration_error', round(v, 6), 0.1, coalesce(v <= 0.1, false) from mc
 union all select 'concentration', round(v, 6), 0.5, coalesce(ok, false) from cc""", "scored").replace("\n, dl as", ", dl as", 1))
 def ml16(spark, sf):
-    return tidy(E.evidence_gate(materialize(scored(spark, sf)), GATE, 200, "boot-v1", 500, 0.15, cells=100))  # the cells of its SQL
+    return tidy(E.evidence_gate(materialize(scored(spark, sf)), GATE, 200, "boot-v1", 500, 0.15))
 
 
 @query("ml13_leaking_features", sql("""
@@ -431,10 +479,8 @@ select count(*) filter (where trading_date <= date '2000-06-30') as compared,
   false as passes from bars""", "bars"))
 def ml13_leak(spark, sf):
     """A feature that looks one bar ahead must be found: it differs on the last bar before the cut."""
-    from barlab.operators.bars import by_symbol
-    b = D.bars(spark, sf)
-    ahead = lambda rows: rows.select("symbol", "trading_date", F.lead("close").over(by_symbol()).alias("ahead"))
-    return DS.truncation_audit(ahead(b), ahead(b.filter(F.col("trading_date") <= day(CUTOFF))), day(CUTOFF))
+    b = D.stored_bars(spark, sf)
+    return DS.truncation_audit(b, one_ahead, at_cutoff(b)).drop("replicas")
 
 
 @query("ml13_shuffled_auc", sql("""

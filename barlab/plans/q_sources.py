@@ -8,12 +8,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barlab.plans import derived as D
-from barlab.plans.oracle_views import sql
+from barlab.plans.oracle_views import sql, view
 from barlab.plans.registry import query, tidy
 from barlab.session import scratch_path
 from barlab.operators import universe
 from barlab.sources import files, payloads, tables
 from barlab.streaming import ingest
+from barlab.streaming.ledger import BatchLedger
 
 
 def universe_file(spark, sf):
@@ -267,6 +268,55 @@ def st1(spark, sf):
     return spark.read.parquet(out)
 
 
+# Three deliveries: an old part of the history, a refetch that overlaps it and reaches further for even numbers, and everything.
+view("deliveries", """
+select 1 as part, symbol, trading_date, close from bars where trading_date <= date '1998-06-30'
+union all select 2, symbol, trading_date, close + 1 from bars where trading_date between date '1997-01-01' and case when cast(right(symbol, 1) as int) % 2 = 0 then date '2000-06-30' else date '1999-12-31' end
+union all select 3, symbol, trading_date, close + 2 from bars where cast(right(symbol, 1) as int) < 8""", "bars")
+
+
+@query("st1_newer_only", sql("""
+, one as (select symbol, trading_date, close from deliveries where part = 1),
+two as (select * from one union all select symbol, trading_date, close from deliveries d where part = 2 and trading_date > coalesce((select max(trading_date) from one where one.symbol = d.symbol), date '0001-01-01'))
+select * from two union all select symbol, trading_date, close from deliveries d where part = 3 and trading_date > coalesce((select max(trading_date) from two where two.symbol = d.symbol), date '0001-01-01')""", "deliveries").replace("\n, one as", ", one as", 1))
+def st1_newer(spark, sf):
+    source, out, mark = (scratch_path(spark, n) for n in ("st1-in", "st1-out", "st1-mark"))
+    b = D.stored_bars(spark, sf).select("symbol", "trading_date", "close")
+    digit, at = F.substring("symbol", -1, 1).cast("int"), F.col("trading_date")
+    upto = F.when(digit % 2 == 0, "2000-06-30").otherwise("1999-12-31").cast("date")
+    second = b.filter((at >= "1997-01-01") & (at <= upto)).withColumn("close", F.col("close") + 1)
+    for part in (b.filter(at <= "1998-06-30"), second, b.filter(digit < 8).withColumn("close", F.col("close") + 2)):
+        part.write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(b.schema).parquet(source)
+        # one batch a delivery; what was held is found again by the next run of the stream
+        ingest.append_available(ingest.newer_only(arriving, 4000), out, mark).awaitTermination()
+    return spark.read.schema(b.schema).parquet(out)
+
+
+@query("snk2_batch_ledger", sql("""
+select 0::bigint as batch, 'STORED' as why, count(*) as n from bars where trading_date < date '2000-01-01'
+union all select 1, case when trading_date between date '1999-01-01' and date '1999-12-31' then 'ALREADY_STORED' when volume > 50 then 'TWICE_IN_BATCH' else 'STORED' end, count(*) from bars where trading_date >= date '1999-01-01' group by 2
+union all select 1, 'TWICE_IN_BATCH', count(*) from bars where trading_date between date '1999-01-01' and date '1999-12-31' and volume > 50
+union all select 2, 'ALREADY_STORED', count(*) from bars where not (volume > 50 and trading_date >= date '2000-01-01')
+union all select 2, 'STORED', count(*) from bars where volume > 50 and trading_date >= date '2000-01-01'""", "bars").replace("select 0::bigint as batch", "select batch, why, cast(sum(n) as bigint) as n from (select 0::bigint as batch") + ") group by 1, 2 having sum(n) > 0")
+def snk2_ledger(spark, sf):
+    """Three batches by a stream, the second with rows that come twice, and two of them delivered again."""
+    source, mark, path = (scratch_path(spark, n) for n in ("ledger-in", "ledger-mark", "ledger"))
+    b = D.stored_bars(spark, sf).select("symbol", "trading_date", "close", "volume")
+    at, often = F.col("trading_date"), F.col("volume") > 50
+    later = b.filter(at >= "1999-01-01")
+    batches = [b.filter(at < "2000-01-01"), later.unionByName(later.filter(often)), b]
+    ledger = BatchLedger(path, ["symbol", "trading_date"])
+    for batch in batches:
+        batch.write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(b.schema).parquet(source)
+        arriving.writeStream.foreachBatch(ledger.writer()).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
+    for number in (0, 1):
+        ledger.store(batches[number], number)
+    rows = ledger.stored(spark, b.schema).select("batch", F.lit("STORED").alias("why"))
+    return rows.unionByName(ledger.refused(spark, b.schema).select("batch", "why")).groupBy("batch", "why").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("st2_stream_validated", sql("""
 select symbol, trading_date, case when missing or found <> '' then 'INVALID' else 'VALID' end as status,
   case when missing then 'MISSING_FIELD' else found end as errors, content_hash from checked""", "checked"))

@@ -1,7 +1,9 @@
 """Stored tables: per-run replacement, append-only snapshots, exports with a manifest."""
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from barlab.operators.bars import latest_copy
 from barlab.session import materialize
@@ -11,9 +13,16 @@ class AlreadyStored(ValueError):
     """A row whose key is held already, or twice in one batch."""
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+def held_table(spark: SparkSession, schema: StructType | str, path: str) -> DataFrame | None:
+    """A stored table, or None where nothing has been stored yet."""
+    try:
+        found = spark.read.schema(schema).parquet(path)
+        found.schema  # a remote session looks for the path only now
+        return found
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def replace_rows(rows: DataFrame, path: str, key: list[str], order: Column) -> None:
@@ -23,8 +32,8 @@ def replace_rows(rows: DataFrame, path: str, key: list[str], order: Column) -> N
     """
     spark = rows.sparkSession
     merged = latest_copy(rows, key, order).withColumn("_new", F.lit(1))
-    if _exists(spark, path):
-        held = spark.read.schema(rows.schema).parquet(path)
+    held = held_table(spark, rows.schema, path)
+    if held is not None:
         touched = held.join(rows.select("run_id").distinct(), "run_id", "left_semi")
         both = merged.unionByName(touched.withColumn("_new", F.lit(0)))
         # the table is read and rewritten, so the merged rows are put down first
@@ -47,7 +56,7 @@ def append_snapshots(incoming: DataFrame, path: str, key: list[str]) -> None:
     """Append a batch, or nothing at all when any key is refused (SNK2)."""
     spark = incoming.sparkSession
     batch = materialize(incoming)
-    held = spark.read.schema(batch.schema).parquet(path) if _exists(spark, path) else None
+    held = held_table(spark, batch.schema, path)
     if not refused(batch, held, key).isEmpty():
         raise AlreadyStored(f"{path}: some keys {key} are stored already or repeated")
     batch.write.mode("append").parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from barlab.operators import membership as M
 from barlab.operators import survivorship as V
 from barlab.operators.asof import in_force_by_day
+from helpers import rows_by
 
 EVENT = "file string, effective_date date, action string, symbol string"
 
@@ -87,6 +88,59 @@ def test_a_change_in_very_many_files(spark):
     assert hits == {f"c{i}": f"f{19_999 - i:06d}" for i in range(5)}
 
 
+def test_files_that_announce_and_cancel_are_crossed_in_order(spark):
+    """Against the plain walk, with few files so that cancels often meet their own announcements."""
+    rng = random.Random(3)
+    pool = [(f"f{rng.randrange(n % 7 + 1)}", None, rng.choice(["INCLUDE", "CANCEL_INCLUDE"]), f"S{n}") for n in range(120) for _ in range(rng.randrange(1, 25))]
+    cancelled = walk(pool, set(), date(2020, 1, 1))[0]
+    matched = M.match_cancellations(spark.createDataFrame(pool, EVENT))
+    assert sorted(map(str, (tuple(r) for r in M.cancellations(matched).collect()))) == sorted(map(str, cancelled))
+    said, hits = len(pool) - len(cancelled), sum(c[1] is not None for c in cancelled)
+    assert M.standing_events(matched).count() == said - hits
+
+
+def test_an_undated_change_in_very_many_files(spark):
+    """10^5 files, all of which announce and cancel: file n cancels the last file that is left and is not itself."""
+    n = 100_000
+    both = F.explode(F.array(F.lit("INCLUDE"), F.lit("CANCEL_INCLUDE")))
+    events = spark.range(n).select(F.format_string("f%06d", "id").alias("file"), F.lit(None).cast("date").alias("effective_date"), both.alias("action"), F.lit("X").alias("symbol"))
+    matched = M.match_cancellations(events)
+    assert M.standing_events(matched).count() == 0
+    wrong = M.cancellations(matched).withColumn("c", F.substring("cancelling_file", 2, 6).cast("int")).withColumn("h", F.substring("cancelled_file", 2, 6).cast("int"))
+    assert wrong.filter(F.col("c") + F.col("h") != n - 1).count() == 0 and wrong.count() == n
+
+
+def test_stretches_count_what_the_samples_count(spark):
+    rng = random.Random(8)
+    days = [date(2020, 1, 1) + timedelta(days=i) for i in range(0, 900, 3)]
+    names = [f"S{i}" for i in range(12)]
+    some = lambda: sorted(rng.sample(days, 4))
+    coverage = spark.createDataFrame([(s, *rng.sample(sorted(rng.sample(days, 2)), 2)) if s == "S3" else (s, *sorted(rng.sample(days, 2))) for s in names], "symbol string, first_bar date, last_bar date")
+    ivl, wnd = [], []
+    for s in names:
+        a, b, c, d = some()
+        ivl += [(s, None if rng.random() < 0.3 else a, b, False), (s, c, date(9999, 12, 31) if rng.random() < 0.5 else d, True)]
+        e, f, *_ = some()
+        wnd += [(s, e, f)] if rng.random() < 0.7 else []
+    intervals = spark.createDataFrame(ivl, "symbol string, member_from date, member_until date, touched_by_anomaly boolean")
+    windows = spark.createDataFrame(wnd, "symbol string, start date, until date")
+    sessions = spark.createDataFrame([(d,) for d in days if d.weekday() < 5], "trading_date date")
+    last = F.lit(days[-40])
+    rows = V.classify_samples(V.candidate_samples(coverage, sessions, last), intervals, windows).collect()
+    stretches = V.class_stretches(coverage, intervals, windows, last)
+    count = lambda rows, key: {k: [sum(key(r) == k and r["class"] == c for r in rows) for c in V.CLASSES] for k in {key(r) for r in rows}}
+    got = {r["symbol"]: [r[c.lower()] for c in V.CLASSES] for r in V.samples_by_symbol(stretches, sessions).collect()}
+    assert got == count(rows, lambda r: r["symbol"])
+    got = {r["year"]: [r[c.lower()] for c in V.CLASSES] for r in V.samples_by_year(stretches, sessions).collect()}
+    assert got.pop(None) == [sum(r["class"] == c for r in rows) for c in V.CLASSES]
+    assert got == count(rows, lambda r: r["trading_date"].year)
+    a, b = days[60], days[200]
+    one = V.window_shares(stretches, sessions, F.lit(a), F.lit(b)).first()
+    assert [one[c.lower()] for c in V.CLASSES] == [sum(r["class"] == c and a <= r["trading_date"] <= b for r in rows) for c in V.CLASSES]
+    audit = rows_by(V.symbol_audit(stretches, sessions, coverage, intervals))
+    assert all(r["touched_by_anomaly"] for r in audit.values())
+
+
 def test_a_void_without_a_date_meets_undated_announcements(spark):
     d = date(2020, 1, 1)
     events = spark.createDataFrame([("a", None, "INCLUDE", "X"), ("a", d, "INCLUDE", "X"), ("b", None, "INCLUDE", "Y")], EVENT)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from barlab.functions.numeric import money2
 from barlab.operators import asof, bars, evaluate as E, ranking
+from barlab.session import materialize
 
 DAYS = [date(2024, 1, 1) + timedelta(days=i) for i in range(30)]
 
@@ -27,7 +28,7 @@ def test_auc_over_drawn_dates_counts_rows_as_often_as_their_dates(spark):
     for r in E.date_draws(rows, 3, "s").collect():
         draws.setdefault(r["replicate"], {})[r["trading_date"]] = r["times"]
     assert all(sum(d.values()) == 30 for d in draws.values())
-    got = {r["replicate"]: r["estimate"] for r in E.auc_bootstrap(rows, 3, "s").collect()}
+    got = {r["replicate"]: r["estimate"] for r in E.auc_bootstrap(rows, 3, "s", cells=100).collect()}
     data = [(r["trading_date"], int(min(99, r["p"] * 100)), r["positive"]) for r in rows.collect()]
     for k, times in draws.items():
         many = [(c, y) for d, c, y in data for _ in range(times.get(d, 0))]
@@ -38,7 +39,8 @@ def test_auc_over_drawn_dates_counts_rows_as_often_as_their_dates(spark):
 
 def test_scores_of_one_cell_keep_their_order(spark, monkeypatch):
     monkeypatch.setattr(E, "SCORE_BLOCK", 7)
-    rows = scored(spark, 300).withColumn("p", F.round(0.505 + F.col("p") * 0.004, 5)).localCheckpoint()
+    rows = scored(spark, 300).withColumn("p", F.round(0.505 + F.col("p") * 0.004, 5))
+    rows = materialize(rows, "rows")
     draws = {}
     for r in E.date_draws(rows, 3, "s").collect():
         draws.setdefault(r["replicate"], {})[r["trading_date"]] = r["times"]

@@ -10,6 +10,7 @@ from barlab.operators import universe
 from barlab.operators.bars import append_newer
 from barlab.sources import files, payloads, tables
 from barlab.streaming import ingest
+from barlab.streaming.ledger import BatchLedger
 
 
 def write(path, text):
@@ -182,3 +183,40 @@ def test_text_is_parsed_without_an_exchange(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("FileScan") == 1
     assert {(r["action"], r["symbol"], r["name"]) for r in found.collect()} == {("EXCLUDE", "GOOD", "Good Goods"), ("EXCLUDE", "BETA", "Beta Ltd")}
+
+
+def test_a_ledger_takes_a_batch_once(spark, tmp_path, monkeypatch):
+    rows = lambda *r: spark.createDataFrame(list(r), "symbol string, day int, v int")
+    ledger = BatchLedger(str(tmp_path / "t"), ["symbol", "day"])
+    assert ledger.stored(spark, rows(("A", 1, 1)).schema) is None and ledger.lines(spark).count() == 0
+    first, second = rows(("A", 1, 1), ("B", 1, 1)), rows(("A", 1, 9), ("A", 2, 2), ("C", 1, 3), ("C", 1, 4), ("B", 1, 5), ("B", 1, 6))
+    held = lambda: sorted(tuple(r) for r in ledger.stored(spark, first.schema).select("symbol", "day", "v", "batch").collect())
+    down = lambda: sorted(tuple(r) for r in ledger.refused(spark, first.schema).select("symbol", "day", "why", "batch").collect())
+    assert ledger.store(first, 0) and not ledger.store(first, 0) and not ledger.store(second, 0)
+    assert held() == [("A", 1, 1, 0), ("B", 1, 1, 0)]
+    # interrupted after its rows were written, before its line
+    with monkeypatch.context() as m:
+        m.setattr(ledger, "lines_path", str(tmp_path / "elsewhere"))
+        ledger.store(first, 0)
+        ledger.store(second, 1)
+    assert held() == [("A", 1, 1, 0), ("B", 1, 1, 0)] and down() == []
+    for _ in range(2):
+        ledger.store(second, 1)
+    assert held() == [("A", 1, 1, 0), ("A", 2, 2, 1), ("B", 1, 1, 0)]
+    assert down() == [("A", 1, "ALREADY_STORED", 1), ("B", 1, "ALREADY_STORED", 1), ("B", 1, "TWICE_IN_BATCH", 1), ("C", 1, "TWICE_IN_BATCH", 1)]
+    assert sorted(tuple(r) for r in ledger.lines(spark).collect()) == [(0, 2, 0), (1, 1, 4)]
+
+
+def test_only_newer_bars_pass_from_batch_to_batch(spark, tmp_path):
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    schema = "symbol string, trading_date date, close double"
+    d = lambda n: date(2024, 1, n)
+    batches = [[("A", d(5), 1.0), ("A", d(3), 2.0), ("B", d(9), 3.0), ("A", None, 0.0)],
+               [("A", d(5), 4.0), ("A", d(4), 5.0), ("A", d(7), 6.0), ("A", d(6), 7.0), ("A", d(6), 8.0), ("C", d(1), 9.0)],
+               [("A", d(6), 10.0), ("B", d(10), 11.0), ("C", d(1), 12.0)]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(schema).parquet(source)
+        ingest.append_available(ingest.newer_only(arriving, 4000), out, mark).awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(out).collect())
+    assert got == [("A", d(3), 2.0), ("A", d(5), 1.0), ("A", d(6), 7.0), ("A", d(7), 6.0), ("B", d(9), 3.0), ("B", d(10), 11.0), ("C", d(1), 9.0)]
