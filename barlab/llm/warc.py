@@ -28,7 +28,7 @@ ARCHIVE_BYTES = 64_000_000  # an archive file is closed after so many
 BLOCK_LINES = 500
 INDEX_LINES = 50_000  # lines of an index file, while there are fewer files than this:
 INDEX_FILES = 5_000  # bounds of so many files, some 200 bytes each, are all that a lookup task holds
-CHUNK = 8_000_000  # ranges of an archive that one reading task sorts together
+CHUNK = 8_000_000  # compressed bytes that a task reads back
 READ_AHEAD = 1_000_000
 # A row costs about 150 bytes when broadcast; beyond so many the rows are joined by shuffle.
 BROADCAST_FIRSTS = 200_000
@@ -297,9 +297,12 @@ def lookup(index: DataFrame, root: str, keys: DataFrame) -> DataFrame:
 def read_records(captures: DataFrame, root: str, payloads: bool = True) -> DataFrame:
     """Read the captures' ranges of the archives and parse them (RECORD; without payloads it is null).
 
-    Ranges are put in the order of the files, so neighbours come with one read. A damaged record fails.
+    Ranges are put in the order of the files, so neighbours come with one read. A row is small but its
+    record is not, so as many tasks read as there are chunks to read. A damaged record fails.
     """
     schema = arrow_schema(RECORD)
+    captures = materialize(captures.select("file", "offset", "length"), "warc-ranges")
+    tasks = max(captures.sparkSession.sparkContext.defaultParallelism, -(-(captures.agg(F.sum("length")).first()[0] or 0) // CHUNK))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, folder = opened(root)
@@ -324,7 +327,7 @@ def read_records(captures: DataFrame, root: str, payloads: bool = True) -> DataF
         if file is not None:
             file.close()
 
-    return (captures.select("file", "offset", "length").repartition("file", F.expr(f"offset div {CHUNK}L"))
+    return (captures.repartition(tasks, "file", F.expr(f"offset div {CHUNK // 4}L"))
             .sortWithinPartitions("file", "offset").mapInArrow(read, RECORD))
 
 
