@@ -1,13 +1,16 @@
 """Small helpers that the operators share."""
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from itertools import count
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Fixed value: everything in ASCII that is neither a digit nor a lower-case letter.
@@ -53,7 +56,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[list[dict]], list[dict]
     from pyspark.sql.types import _parse_datatype_string
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def runs(sizes: list[int], most: int):
@@ -81,3 +84,74 @@ def split_by_bytes(total_bytes: int, each: int, least: int = 1) -> int:
     """Into how many parts some bytes go, if a part is to hold about `each`."""
     return max(least, math.ceil(total_bytes / each))
 
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function over batches that gives its spare memory back when a task is done: the worker process
+    stays, and what it held would be missing in the stages that follow."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # not this C library
+                pass
+
+    return task
+
+
+def hash_below(column: str, share: float) -> Column:
+    """Whether the hash of a column lies in a share of all hashes, in steps of 2 ** -64."""
+    if share >= 1:
+        return F.lit(True)
+    return F.xxhash64(column) < F.lit(int(share * 2.0 ** 64) - 2 ** 63)
+
+
+def clear_of(spans: list[tuple[int, int]], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans that overlap none of those taken, in their order."""
+    ends: list[int] = []
+    starts: list[int] = []
+    for s, e in sorted(taken):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    out = []
+    for s, e in spans:
+        i = bisect_left(starts, e) - 1  # the last one that begins before this ends
+        if i < 0 or ends[i] <= s:
+            out.append((s, e))
+    return out
+
+
+PIECE = 16_384  # code points
+
+
+def sampled_pieces(rows: DataFrame, chars: int) -> DataFrame:
+    """(g, piece): of each group g distinct pieces of its texts, about `chars` characters and at least one piece.
+
+    rows: g, text. Texts are cut into pieces, so one long text is not taken or left as a whole, and equal
+    pieces count once, so copies do not fill the sample. A piece's level is the number of zeros its hash
+    begins with, which halves what is left with every step: per group the level is taken down until
+    about twice the wanted characters are there, and of these the smallest hashes up to `chars` stay.
+    """
+    cut = F.expr(f"transform(sequence(0, (char_length(text) - 1) div {PIECE}), i -> substring(text, i * {PIECE} + 1, {PIECE}))")
+    pieces = rows.select("g", F.explode(cut).alias("piece")).where("piece <> ''").withColumn("h", F.xxhash64("piece"))
+    pieces = pieces.withColumn("level", 64 - F.length(F.bin("h")))
+    found = pieces.groupBy("g", "level").agg(F.approx_count_distinct("h").alias("n"), F.avg(F.length("piece")).alias("size")).collect()  # 64 rows a group
+    least: dict[str, int] = {}
+    room: dict[str, float] = {}
+    for r in sorted(found, key=lambda r: -r["level"]):
+        if room.setdefault(r["g"], 2.0 * chars) > 0:
+            room[r["g"]] -= r["n"] * r["size"]
+            least[r["g"]] = r["level"]
+    if not least:
+        return pieces.select("g", "piece").limit(0)
+    wanted = F.element_at(F.create_map(*[F.lit(x) for pair in least.items() for x in pair]), F.col("g"))
+    some = pieces.where(F.col("level") >= wanted).dropDuplicates(["g", "piece"])
+    before = F.sum(F.length("piece")).over(Window.partitionBy("g").orderBy("h", "piece").rowsBetween(Window.unboundedPreceding, -1))  # a few times `chars`
+    return some.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < chars).select("g", "piece")

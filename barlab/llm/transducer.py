@@ -26,11 +26,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from barlab.llm.common import need, parts
+from barlab.llm.common import lean, need, parts
 from barlab.llm.pieces import BPE, BYTE, NORMAL, SPACE, USER, PieceModel
 
-KEPT_WORDS = 1_000_000  # best paths a worker keeps before it starts afresh: about 200 MB
-KEPT_PAIRS = 2_000_000  # likewise for pairs of pieces
+KEPT_BYTES = 32_000_000  # of best paths that a task keeps before it starts afresh
+ENTRY = 220  # bytes of a kept path beside its word and ids: two objects and their place
+KEPT_PAIRS = 300_000  # pairs of pieces a worker keeps, about 100 bytes each
 SHORT = 40  # longer words are not kept
 UNKNOWN_COST = 10.0  # unigram models: below the worst score by this
 
@@ -49,6 +50,7 @@ class Transducer:
         self.unit = re.compile(".+" if crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.S)
         self.merges = model.model == BPE
         self.words: dict[str, bytes] = {}
+        self.held = 0
         self.pairs: dict[int, bool] = {}
         self.spines: dict[str, tuple[list, list]] = {}
         self.floor = min((model.scores[i] for i in real), default=0.0) - UNKNOWN_COST
@@ -181,12 +183,18 @@ class Transducer:
             if got is None:
                 got = array("i", [k for p in self.path(unit) for k in self._ids(p)]).tobytes()
                 if len(unit) <= SHORT:
-                    if len(words) >= KEPT_WORDS:
-                        words.clear()
+                    self.held += ENTRY + 2 * len(unit) + len(got)
+                    if self.held > KEPT_BYTES:
+                        self.forget()
                     words[unit] = got
             found.append(got)
         return np.frombuffer(b"".join(found), np.int32)
 
+    def forget(self) -> None:
+        """Drop the kept paths."""
+        self.words.clear()
+        self.held = 0
+
     # -- the machine read backwards -----------------------------------------------------------
 
     def _emit(self, i: int) -> bytes:
@@ -209,7 +217,7 @@ class Transducer:
 
 @lru_cache(maxsize=2)
 def machine_of(model: PieceModel) -> Transducer:
-    """One machine a worker process, with the words it has seen."""
+    """One machine a worker process."""
     return Transducer(model)
 
 
@@ -229,6 +237,7 @@ def encode(docs: DataFrame, model: PieceModel) -> DataFrame:
 
     def run(batches):
         machine = machine_of(model)
+        machine.forget()
         is_byte = np.array([k == BYTE for k in model.kinds])
         for batch in parts(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -242,5 +251,6 @@ def encode(docs: DataFrame, model: PieceModel) -> DataFrame:
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                 pa.array([hashlib.sha256(b.encode("utf-8", "surrogatepass")).hexdigest() for b in back]),
                 pa.array([b == t for b, t in zip(back, texts)])], schema=schema)
+        machine.forget()
 
-    return need(docs, "doc_id", "text").mapInArrow(run, OUTPUT)
+    return need(docs, "doc_id", "text").mapInArrow(lean(run), OUTPUT)
