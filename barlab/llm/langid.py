@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from barlab.llm.common import need, parts
+from barlab.llm.common import lean, need, parts, sampled_pieces
 from barlab.llm.pieces import NORMAL, PIECE_MODEL, SPACE, PieceModel, load
 
 # Expected characters of the sample that a language's piece probabilities are fitted on.
@@ -25,6 +25,7 @@ SMOOTH = 0.02  # added to every piece's expected count
 LONGEST = 16  # characters of the longest piece used
 UNKNOWN = 1e-7  # a character outside the vocabulary, in any language
 UNDECIDED = "und"
+WORD_PART = 63  # longest run of letters that is fitted as one word
 CHUNK = 3_000_000  # bytes of text worked on at once
 KEEP_SCORE = 0.5  # the pipeline keeps what is at least this sure
 
@@ -163,26 +164,25 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, vocab: Vocabulary) -> LanguageModel:
     """Piece probabilities of every language, from documents that are not held out and have text and lang.
 
-    A sample of about SAMPLE_CHARS characters a language is chosen by a hash of the text; its word counts
-    come to the driver. Without any such document there is no language.
+    Distinct pieces of text of about SAMPLE_CHARS characters a language are chosen by a hash (every language
+    has some, however few or long its texts are); their word counts come to the driver. Words are cut
+    into parts of WORD_PART characters. Without any such document there is no language.
     """
     train = need(docs, "doc_id", "text", "lang").where(~held_out(F.col("doc_id")) & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = {r["lang"]: r for r in train.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"), F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: r for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return LanguageModel([], np.zeros(0), np.zeros((0, vocab.size)))
-    share = {lang: min(1.0, SAMPLE_CHARS / max(1, r["chars"])) for lang, r in sizes.items()}
-    cut = F.create_map(*[x for lang, s in share.items() for x in (F.lit(lang), F.lit(int(s * 1_000_000)))])
-    picked = train.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.element_at(cut, F.col("lang"))).select("lang", "text")
+    picked = sampled_pieces(train.select(F.col("lang").alias("g"), "text"), SAMPLE_CHARS).select(F.col("g").alias("lang"), F.col("piece").alias("text"))
 
     def count(batches):
         for batch in parts(batches):
             frame = batch.to_pandas()
-            words = frame["text"].map(lambda t: [w[:63] for w in LETTERS.findall(t.lower())])
+            words = frame["text"].map(lambda t: [w[i:i + WORD_PART] for w in LETTERS.findall(t.lower()) for i in range(0, len(w), WORD_PART)])
             flat = pd.DataFrame({"lang": frame["lang"], "word": words}).explode("word").dropna()
             yield pa.RecordBatch.from_pandas(flat.groupby(["lang", "word"]).size().rename("n").reset_index(),
                                              schema=pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]), preserve_index=False)
 
-    counts = picked.mapInArrow(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n")).toPandas()
+    counts = picked.mapInArrow(lean(count), "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(sizes)
     pieces = np.empty((len(languages), vocab.size))
     for row, lang in enumerate(languages):
@@ -238,7 +238,7 @@ def predict(docs: DataFrame, model_path: str = PIECE_MODEL) -> DataFrame:
                 pa.array([model.languages[b] if b >= 0 else UNDECIDED for b in best], pa.string()), pa.array(score), pa.array(n)], names=["doc_id", "held_out", "lang_pred", "score", "n_words"])
 
     rows = need(docs, "doc_id", "text").withColumn("held_out", held_out(F.col("doc_id")))
-    return rows.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double, n_words bigint")
+    return rows.mapInArrow(lean(run), "doc_id bigint, held_out boolean, lang_pred string, score double, n_words bigint")
 
 
 def keep_known(docs: DataFrame, model_path: str = PIECE_MODEL) -> DataFrame:
@@ -256,4 +256,4 @@ def keep_known(docs: DataFrame, model_path: str = PIECE_MODEL) -> DataFrame:
             best, score, _ = judged(model, vocab, batch.column(at).to_pylist())
             yield batch.filter(pa.array((best >= 0) & (score >= KEEP_SCORE)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

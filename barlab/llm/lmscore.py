@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barlab.llm.bilinear import END, Bilinear, Tables
-from barlab.llm.common import UPPER, need, parts
+from barlab.llm.common import UPPER, lean, need, parts, sampled_pieces
 from barlab.session import materialize
 
 VOCABULARY = 2_000  # words with a token of their own
@@ -103,6 +103,8 @@ def sequences(codes: np.ndarray, numbers: np.ndarray, n: np.ndarray) -> tuple[np
 
 def _learn(model: Bilinear, words: Words, texts: list[str], seed: int) -> int:
     codes, unique, n = split(texts)
+    if not len(n):
+        return 0
     numbers = np.fromiter(map(words.token, unique), np.int32, len(unique))
     one, two, token = sequences(codes, numbers, n)
     order = np.random.default_rng(seed).permutation(len(token))
@@ -131,12 +133,12 @@ def _frequent(counts: DataFrame) -> list[tuple[str, int]]:
 def fit(docs: DataFrame) -> tuple[DataFrame, Words, Bilinear]:
     """Counts of all training tokens as a table, the bounded word list, and the model.
 
-    The model starts from a sample of about FIRST_CHARS characters; then every partition of the training
+    The model starts from distinct pieces of texts of about FIRST_CHARS characters; then every partition of the training
     documents trains it further on its own on all its tokens, and the results are averaged by the tokens they saw, FAN_IN at once.
     """
     train = need(docs, "doc_id", "text").where(~held_out(F.col("doc_id"))).select(F.coalesce("text", F.lit("")).alias("text"))
     counts = materialize(train.select(F.explode(tokens(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("c")), "counts")
-    size = train.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).first()
+    size = train.agg(F.count("*").alias("n")).first()
     seen = counts.agg(F.count("*").alias("v"), F.sum("c").alias("n")).first()
     frequent = _frequent(counts)
     classes = counts.groupBy(class_column(F.col("word")).alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
@@ -144,9 +146,8 @@ def fit(docs: DataFrame) -> tuple[DataFrame, Words, Bilinear]:
     model = Bilinear.start(words.frequency, DIMENSION)
     if not size["n"]:
         return counts, words, model
-    part = min(1.0, FIRST_CHARS / max(1, size["chars"]))
-    sample = train.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(int(part * 1_000_000))).orderBy("text").collect()
-    _learn(model, words, [r["text"] for r in sample], 1)
+    sample = sampled_pieces(train.select(F.lit("").alias("g"), "text"), FIRST_CHARS).orderBy("piece").collect()  # FIRST_CHARS and one piece at most
+    _learn(model, words, [r["piece"] for r in sample], 1)
 
     def run(batches):
         own, n = model.unpack(model.pack()), 0
@@ -159,7 +160,7 @@ def fit(docs: DataFrame) -> tuple[DataFrame, Words, Bilinear]:
         total = sum(np.frombuffer(m, np.float32).astype(float) * n for n, m in zip(frame["n"], frame["model"]))
         return pd.DataFrame({"n": [frame["n"].sum()], "model": [(total / frame["n"].sum()).astype(np.float32).tobytes()]})
 
-    models = materialize(train.mapInArrow(run, "n bigint, model binary").withColumn("id", F.monotonically_increasing_id()), "models")
+    models = materialize(train.mapInArrow(lean(run), "n bigint, model binary").withColumn("id", F.monotonically_increasing_id()), "models")
     while (left := models.count()) > FAN_IN:
         groups = math.ceil(left / FAN_IN)
         models = materialize(models.groupBy(F.pmod(F.xxhash64("id"), F.lit(groups)).alias("g")).applyInPandas(average, "n bigint, model binary")
@@ -223,7 +224,7 @@ def score(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "held_out", "n_tokens", "n_known", "base", "model", "rare"])
 
     rows = need(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held_out"))
-    rows = materialize(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
+    rows = materialize(rows.mapInArrow(lean(run), schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = rows.select("row", F.explode("rare").alias("word")).join(counts, "word", "left")
     rare = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("more"), F.count("c").alias("also"))
     more = F.coalesce("more", F.lit(0.0))

@@ -71,3 +71,19 @@ def test_held_out_accuracy(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     got = langid.predict(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert len(got) > 30 and np.mean([r.lang == r.lang_pred for r in got]) > 0.95
+
+
+def test_samples_of_few_long_texts_and_of_copies(spark):
+    from pyspark.sql import functions as F
+
+    from barlab.llm.common import PIECE, sampled_pieces
+    words = lambda seed, n: " ".join(f"w{(seed * 7919 + i * 31) % 10007}" for i in range(n))
+    long = words(1, 900_000)  # 5 MB
+    rows = [("one", long)] + [("copies", "the same text " * 300)] * 400 + [("copies", words(i + 2, 60)) for i in range(800)] + [("short", "a b"), ("none", "")]
+    df = spark.createDataFrame(rows, "g string, text string")
+    got = sampled_pieces(df, 100_000).groupBy("g").agg(F.sum(F.length("piece")).alias("n"), F.count("*").alias("pieces"), F.count_distinct("piece").alias("d")).collect()
+    by = {r.g: r for r in got}
+    assert set(by) == {"one", "copies", "short"} and by["short"].n == 3
+    assert 100_000 <= by["one"].n <= 100_000 + PIECE and by["copies"].pieces == by["copies"].d > 100
+    assert sampled_pieces(df, 10).groupBy("g").count().count() == 3  # a share far below a millionth of "one"
+    assert sampled_pieces(df.limit(0), 10).count() == 0

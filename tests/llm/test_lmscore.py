@@ -4,7 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
-from conftest import awkward_rows, row
+from conftest import awkward_rows, prose, row
 from pyspark.sql import functions as F
 
 from barlab.llm import lmscore
@@ -93,3 +93,13 @@ def test_classes_share_out_all_of_their_probability(spark, monkeypatch):
     for k, c in outside.items():
         assert math.isclose(sum((x + 0.5) / 10 ** words.class_whole[k] for x in c) + 0.5 / 10 ** words.class_whole[k], 1)
     assert len(words.frequency) == 1 + lmscore.CLASSES + 2 and words.token(b"the") == 1 + lmscore.CLASSES
+
+
+def test_one_long_training_text_and_a_third_of_copies(make):
+    free = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 != 1]
+    long = " ".join(f"w{i * 31 % 5003}" for i in range(700_000))  # 4 MB
+    one = lmscore.score(make([row(free[0], long), row(free[1], None)])).collect()
+    assert len(one) == 2 and all(r.score < 0 for r in one)
+    rows = [row(i, "the same text again and again") for i in free[:40]] + [row(i, prose(i, 30)) for i in free[40:120]]
+    got = {r.doc_id: r for r in lmscore.score(make(rows)).collect()}
+    assert len(got) == 120 and all(r.score < 0 and r.n_known == r.n_tokens for r in got.values())
