@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from barlab.llm.automata import Automaton
 from barlab.llm.boosting import calibrated
-from barlab.llm.common import map_rows, need
+from barlab.llm.common import clear_of, hash_below, map_rows, need
 
 KINDS = ("assign", "access", "hex")
 # Bounds of the fitted sample: documents looked at (expected), strings of each class, symbols of a string.
@@ -56,11 +56,9 @@ def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int,
     out = []
     for m in TOKEN.finditer(text):
         token = m[0].rstrip(".=-")
-        s, e = m.start(), m.start() + len(token)
-        if len(token) >= 12 and not token.isalpha() and any("0" <= c <= "9" for c in token) and any(c.isalpha() for c in token) \
-                and not any(s < b and a < e for _, a, b in taken):
-            out.append((s, e))
-    return out
+        if len(token) >= 12 and not token.isalpha() and any("0" <= c <= "9" for c in token) and any(c.isalpha() for c in token):
+            out.append((m.start(), m.start() + len(token)))
+    return clear_of(out, [(s, e) for _, s, e in taken])
 
 
 class Formats:
@@ -92,7 +90,7 @@ def fit(docs: DataFrame) -> Formats | None:
     """
     texts = need(docs, "text").where("text is not null")
     share = min(1.0, TRAIN_DOCS / max(1, texts.count()))
-    picked = texts.where(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < F.lit(int(share * 1_000_003)))
+    picked = texts.where(hash_below("text", share))
 
     def step(batch):
         out = []

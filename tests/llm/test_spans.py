@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from conftest import awkward_rows, prose, row
 
 from barlab.llm import pii, secrets
@@ -127,3 +128,38 @@ def test_boosted_trees_learn_and_thresholds_hold():
     cut = calibrated(p, y[2000:], 0.99, 10)
     assert y[2000:][p >= cut].mean() >= 0.99
     assert calibrated(np.array([0.1]), np.array([0.0]), 0.9, 1) == float("inf")
+
+
+def test_spans_clear_of_others_against_all_pairs():
+
+    from barlab.llm.common import clear_of
+    rng = random.Random(1)
+    some = lambda n: [(s, s + rng.randint(1, 9)) for s in (rng.randrange(200) for _ in range(n))]
+    for _ in range(200):
+        spans, taken = some(20), some(rng.randrange(12))
+        assert clear_of(spans, taken) == [(s, e) for s, e in spans if not any(s < b and a < e for a, b in taken)]
+
+
+@pytest.mark.parametrize("piece", ["mail a{0}@example.org or call +49 30 {0:07d}, ", "password = abcdefgh{0:08d} and key{0:05d}abcdefgh99 "])
+def test_a_long_text_with_very_many_spans_takes_time_in_proportion(piece):
+    import time
+    text = "".join(piece.format(i) for i in range(50_000))
+    assert len(text) > 2_000_000
+    start = time.process_time()
+    if "mail" in piece:
+        base, every = pii.all_spans([text], {})[0]
+    else:
+        base = secrets.base_spans(text)
+        every = secrets.candidates(text, base)
+    assert len(base) >= 50_000 and len(every) >= 50_000 and time.process_time() - start < 20
+
+
+def test_pii_keeps_the_best_of_overlapping_spans_in_a_text_of_many():
+    class Model:  # the longer the span the likelier
+        def predict(self, x):
+            return np.minimum(x[:, 0] / 100, 0.99)
+
+    text = " ".join(f"{i % 900 + 100} {i % 7}{i % 9}{i % 8}-{i % 9}{i % 7}" for i in range(3000))
+    every = pii.all_spans([text], {"phone": (Model(), 0.01)})[0][1]
+    spans = sorted((s, e) for _, s, e in every)
+    assert len(spans) >= 1000 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
