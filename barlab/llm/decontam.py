@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from barlab.llm.common import NOT_WORD, need, words
+from barlab.llm.common import NOT_WORD, free_name, need, words
 
 WINDOW = 10
 # A window row costs about 200 bytes when broadcast (hash, text, item names).
@@ -85,16 +85,17 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     left as the source's figure). A hit word goes with the separator after it.
     """
     found = find_hits(docs, benchmark, window)
+    th, id_, ih, new, was = (free_name(docs, n) for n in ("__th", "__id", "__ih", "__new", "__hit"))
     hit = found.where(F.size("__hits") > 0).select(
         "doc_id", F.xxhash64("text").alias("__th"), F.col("text").alias("__text"), covered(F.col("__hits")).alias("__gone")).distinct()
     lead = F.regexp_extract("__text", f"^{NOT_WORD_CASED}", 0)
     parts = F.regexp_extract_all("__text", F.lit(f"{WORD_CASED}(?:{NOT_WORD_CASED})?"), F.lit(0))
     kept = F.filter(parts, lambda p, i: ~F.array_contains("__gone", i))
-    hit = hit.select(F.col("doc_id").alias("__id"), F.col("__th").alias("__ih"), F.when(F.size(kept) > 0, F.concat(lead, F.array_join(kept, ""))).alias("__new"),
-                     F.lit(True).alias("__hit"))
-    base = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.xxhash64("text").alias("__th"))
-    both = base.join(hit, F.expr("doc_id <=> __id and __th = __ih"), "left").where("__hit is null or __new is not null")
-    text = F.when(F.col("__hit"), F.col("__new")).otherwise(F.col("text"))
+    hit = hit.select(F.col("doc_id").alias(id_), F.col("__th").alias(ih), F.when(F.size(kept) > 0, F.concat(lead, F.array_join(kept, ""))).alias(new),
+                     F.lit(True).alias(was))
+    base = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.xxhash64("text").alias(th))
+    both = base.join(hit, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(th) == F.col(ih)), "left").where(F.col(was).isNull() | F.col(new).isNotNull())
+    text = F.when(F.col(was), F.col(new)).otherwise(F.col("text"))
     return both.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -61,3 +61,14 @@ def test_spans_are_removed(make, spark):
     left = decontam.remove_spans(make(rows), bench)
     assert left.columns == make(rows).columns
     assert {r.doc_id: r.text for r in left.collect()} == {1: "Keep this. And this!", 3: "nothing here", 4: None, 5: ""}
+
+
+def test_columns_that_clash_with_working_names(spark):
+    item = prose(9, 12)
+    docs = spark.createDataFrame([(1, "Keep. " + item, 5, True, "x", 7, "y"), (2, "clean", 6, False, "x", 8, "z")],
+                                 "doc_id bigint, text string, __th int, __hit boolean, __new string, __id int, __ih string")
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    got = decontam.remove_spans(docs, bench)
+    assert got.columns == docs.columns
+    assert {r.doc_id: (r.text, r["__th"], r["__hit"], r["__id"]) for r in got.collect()} == {1: ("Keep. ", 5, True, 7), 2: ("clean", 6, False, 8)}
+    assert decontam.report(docs, bench).where("contaminated").count() == 1
