@@ -164,6 +164,50 @@ def warning_totals(warned: DataFrame) -> DataFrame:
                       F.count_if(n == 0).alias("symbols_without_warning"))
 
 
+# --- one table for all views ------------------------------------------------------------------
+
+MEDIANS = ("rsi", "roc", "distance_from_high", "relative_return")
+
+
+def _feature_facts(periods: dict[str, int]) -> Column:
+    """What a feature row counts for: an array of (view, item)."""
+    fact = lambda cond, view, item="": F.when(cond, F.struct(F.lit(view).alias("view"), F.lit(item).alias("item")))
+    d = F.col("distance_from_high")
+    found = [fact(F.lit(True), "symbols"), fact(F.col("rsi").isNotNull(), "rsi_of"), fact(F.col("roc").isNotNull(), "roc_of"),
+             fact(F.col("roc") > 0, "roc_positive"), fact(d.isNotNull(), "distance_of"), fact(d <= 0, "at_high"), fact(d.isNull(), "no_distance"),
+             F.when(F.col("rsi").isNotNull(), F.struct(F.lit("rsi_bin").alias("view"), (F.least(F.floor(F.col("rsi") / 10), F.lit(9)) * 10).cast("string").alias("item")))]
+    for label in periods:
+        both = F.col(f"ema_{label}").isNotNull() & F.col("close").isNotNull()
+        found += [fact(both, "breadth_of", label), fact(both & (F.col("close") > F.col(f"ema_{label}")), "breadth_above", label)]
+    found += [fact((d >= lo) if hi is None else (d >= lo) & (d < hi), "distance_bucket", str(lo)) for lo, hi in DISTANCE_EDGES]
+    return F.array_compact(F.array(*found))
+
+
+def summary_table(rows: DataFrame, warned: DataFrame, periods: dict[str, int]) -> DataFrame:
+    """sector, view, item, value: every count the summaries show, over all symbols (sector null) and per
+    sector, and the exact medians.
+
+    rows: feature rows with sector and close (JN4); warned: scan results with their warnings (AG11). Each
+    row names the counts it belongs to, and one aggregate with two grouping sets adds them up, so
+    however many views there are the rows are read once. Zero counts have no row.
+    """
+    one = lambda df, facts: df.select(named_sector().alias("sector"), F.explode(facts).alias("f")).select("sector", "f.view", "f.item")
+    tell = lambda view, item: F.struct(F.lit(view).alias("view"), item.alias("item"))
+    results = F.concat(F.array(tell("status", F.col("status"))), F.transform("warnings", lambda w: tell("warning", w["code"])))
+    facts = one(rows, _feature_facts(periods)).unionByName(one(warned, results))
+    counts = facts.groupingSets([["view", "item"], ["sector", "view", "item"]], "sector", "view", "item").agg(F.count(F.lit(1)).cast("double").alias("value"))
+    scopes = rows.withColumn("scope", F.explode(F.array(F.lit(None).cast("string"), named_sector()))).withColumn("scope", F.coalesce(F.concat(F.lit("="), "scope"), F.lit("")))
+    middle = exact_medians(scopes, ["scope"], list(MEDIANS))
+    medians = middle.select(F.nullif(F.expr("substring(scope, 2)"), F.lit("")).alias("sector"), F.explode(F.array(*[
+        F.struct(F.lit("median").alias("view"), F.lit(m).alias("item"), F.col(f"median_{m}").alias("value")) for m in MEDIANS])).alias("m"))
+    return counts.unionByName(medians.select("sector", "m.view", "m.item", "m.value").filter("value is not null"))
+
+
+def overall(table: DataFrame, view: str) -> DataFrame:
+    """item, value of a view over all symbols."""
+    return table.filter(F.col("sector").isNull() & (F.col("view") == view)).select("item", "value")
+
+
 def acquisition_status(runs: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Status counts of the latest COMPLETE acquisition (AG14). outcomes: run_id, symbol, status."""
     latest = runs.filter("status = 'COMPLETE'").agg(F.max_by("run_id", F.struct("started_at", "run_id"))).scalar()

@@ -104,10 +104,10 @@ def universe(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("INE"), key).alias("isin"), bal.alias("balance"))
 
 
-def instrument_master(spark: SparkSession, sf: str) -> DataFrame:
+def instrument_master(spark: SparkSession, sf: str, members: DataFrame | None = None) -> DataFrame:
     """Equity rows for most members, some listed twice under two keys, trade-for-trade rows for
     some, a future for each. `listed` is a row's place in the file."""
-    u = universe(spark, sf).withColumn("n", F.substring("isin", 4, 9).cast("bigint") * 8)
+    u = (universe(spark, sf) if members is None else members).withColumn("n", F.substring("isin", 4, 9).cast("bigint") * 8)
     bal = F.col("balance")
     eq = u.filter(bal < 8000).select(
         F.lit("NSE_EQ").alias("segment"), F.lit("NSE").alias("exchange"), F.lit("EQ").alias("instrument_type"),
@@ -250,8 +250,8 @@ def corporate_actions(spark: SparkSession, sf: str) -> DataFrame:
         F.when(confirmed, "CONFIRMED").otherwise("RUMOURED").alias("status"))
 
 
-def fetch_failures(spark: SparkSession, sf: str) -> DataFrame:
-    return universe(spark, sf).filter("balance >= 6000 and balance < 6500").select(
+def fetch_failures(spark: SparkSession, sf: str, members: DataFrame | None = None) -> DataFrame:
+    return (universe(spark, sf) if members is None else members).filter("balance >= 6000 and balance < 6500").select(
         "symbol", F.lit("TimeoutError: no answer").alias("error"))
 
 

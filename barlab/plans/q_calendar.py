@@ -189,12 +189,14 @@ def cls01(spark, sf):
 
 
 def scan(spark, sf, daily=None):
-    """The calendar of weeks and its window are written once, a few hundred rows; the candles too."""
+    """The calendar of weeks and its window are written once, a few hundred rows; the candles and the
+    members of the universe too."""
     weeks = materialize(D.weeks(spark, sf), "weeks")
     shown = materialize(window(spark, sf, weeks), "window")
     candles = materialize(D.weekly_candles(spark, sf, daily), "candles")
-    master = D.instrument_master(spark, sf)
-    return C.scan(U.eligible(D.universe(spark, sf)), U.isin_keys(master, F.col("listed")), D.fetch_failures(spark, sf),
+    members = materialize(D.universe(spark, sf), "members")
+    master = D.instrument_master(spark, sf, members)
+    return C.scan(U.eligible(members), U.isin_keys(master, F.col("listed")), D.fetch_failures(spark, sf, members),
                   candles, D.reviews(spark, sf), shown, last_closed(spark, sf, weeks),
                   day(FETCHED[0]), day(FETCHED[1]), REQUIRED, P.break_low_ratio, P.break_high_ratio)
 

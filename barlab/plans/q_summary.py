@@ -136,9 +136,10 @@ where hit""".replace("coalesce(concat('; E4 break on ', nullif(bon, '')), '')",
      "scanned", "quality")
 
 
-def warned(spark, sf, daily=None):
+def warned(spark, sf, daily=None, features=None):
+    """features: the feature rows, where the caller has them already."""
     daily = D.stored_bars(spark, sf) if daily is None else daily
-    quality = FT.mark_stale(D.feature_quality(spark, sf, daily), daily)
+    quality = FT.mark_stale(D.feature_quality(spark, sf, daily) if features is None else features, daily)
     return S.warnings(scan(spark, sf, daily), quality, "v1", P.high_window)
 
 
@@ -313,21 +314,45 @@ def vw1(spark, sf):
     latest = R.latest_complete(D.scan_runs(spark, sf))
     at = F.lit("2001-08-01 20:00:00").cast("timestamp")
     daily = D.stored_bars(spark, sf)
-    rows_ = materialize(plain_rows(spark, sf, daily))
+    table = materialize(summed(spark, sf, daily), "summary")
     depth = K.history_depth(daily, D.benchmark(spark, sf, daily))
-    parts = [
-        item(latest, "run", F.col("run_id"), F.col("requested")),
-        item(latest, "outdated", F.lit("outdated"), K.outdated(F.col("latest_closed_session"), at).cast("int")),
-        item(S.breadth(rows_, PERIODS), "breadth", F.col("label"), F.col("count")),
-        item(S.rsi_summary(rows_), "median", F.lit("rsi"), F.col("median")),
-        item(S.high_proximity(rows_), "median", F.lit("distance_from_high"), F.col("median")),
-        item(depth, "history", F.lit("sessions"), F.col("sessions")),
-        item(depth, "history", F.lit("symbols"), F.col("symbols")),
-        item(S.warning_counts(warned(spark, sf, daily)), "warnings", F.col("code"), F.col("n"))]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    sessions, symbols = F.struct(F.lit("sessions").alias("item"), F.col("sessions").alias("n")), F.struct(F.lit("symbols").alias("item"), F.col("symbols").alias("n"))
+    shown = F.col("view").isin("breadth_above", "warning") | ((F.col("view") == "median") & F.col("item").isin("rsi", "distance_from_high"))
+    section = F.when(F.col("view") == "breadth_above", "breadth").when(F.col("view") == "warning", "warnings").otherwise(F.col("view"))
+    run = F.struct(F.lit("run").alias("section"), F.col("run_id").alias("item"), F.col("requested").cast("double").alias("value"))
+    old = F.struct(F.lit("outdated").alias("section"), F.lit("outdated").alias("item"), K.outdated(F.col("latest_closed_session"), at).cast("double").alias("value"))
+    counted = table.filter(F.col("sector").isNull() & shown).select(section.alias("section"), "item", "value")
+    none = spark.range(1).select(F.explode(F.array(*[F.lit(k) for k in PERIODS])).alias("item")).join(counted.filter("section = 'breadth'"), "item", "left_anti")
+    return (latest.select(F.explode(F.array(run, old)).alias("x")).select("x.*").unionByName(counted)
+            .unionByName(item(none, "breadth", F.col("item"), F.lit(0)))
+            .unionByName(item(depth.select(F.explode(F.array(sessions, symbols)).alias("x")), "history", F.col("x.item"), F.col("x.n"))))
+
+
+def summed(spark, sf, daily):
+    """The summary table of the scan and the features, both computed once."""
+    features = materialize(D.feature_quality(spark, sf, daily), "features")
+    results = materialize(warned(spark, sf, daily, features), "warned")
+    return S.summary_table(materialize(S.feature_rows(features, results, daily), "rows"), results, PERIODS)
+
+
+_SCOPED = "(select f.*, coalesce(nullif(s.sector, ''), 'UNKNOWN') as sec from feat f left join scanned s using (symbol))"
+_COUNTED = [("symbols", "''", "true"), ("rsi_of", "''", "rsi is not null"), ("roc_of", "''", "roc is not null"), ("roc_positive", "''", "roc > 0"),
+            ("distance_of", "''", "distance_from_high is not null"), ("at_high", "''", "distance_from_high <= 0"), ("no_distance", "''", "distance_from_high is null"),
+            ("rsi_bin", "cast(cast(least(floor(rsi / 10), 9) as int) * 10 as varchar)", "rsi is not null"),
+            *[(v, f"'{k}'", c.format(k)) for k in PERIODS for v, c in (("breadth_of", "ema_{0} is not null and close is not null"), ("breadth_above", "close > ema_{0}"))],
+            *[("distance_bucket", f"'{lo}'", f"distance_from_high >= {lo}" + ("" if hi is None else f" and distance_from_high < {hi}")) for lo, hi in S.DISTANCE_EDGES]]
+
+
+@query("vw1_summary_table", sql(f"""
+, f as {_SCOPED},
+facts as ({' union all '.join(f"select sec, '{v}' as view, {i} as item from f where {c}" for v, i, c in _COUNTED)}
+ union all select coalesce(nullif(sector, ''), 'UNKNOWN'), 'status', status from scanned union all select coalesce(nullif(sector, ''), 'UNKNOWN'), 'warning', code from warned),
+m as (unpivot (select sec, median(rsi) as rsi, median(roc) as roc, median(distance_from_high) as distance_from_high, median(relative_return) as relative_return from f group by grouping sets ((), (sec)))
+ on rsi, roc, distance_from_high, relative_return into name item value value)
+select sec as sector, view, item, cast(count(*) as double) as value from facts group by grouping sets ((view, item), (sec, view, item))
+union all select sec, 'median', item, round(value, 4) from m where value is not null""", "feat", "scanned", "warned").replace("\n, f as", ", f as", 1))
+def vw1_table(spark, sf):
+    return tidy(summed(spark, sf, D.stored_bars(spark, sf)))
 
 
 @query("vw3_sector_overview", sql(f"""
@@ -355,7 +380,7 @@ def vw4(spark, sf):
     candles = S.latest_snapshots(Q.snapshots(D.raw_candles(spark, sf, daily)), 90).groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n_candles"))
     more = S.features_of(f, f.drop("break_date", "break_ratio"), f, daily).select("symbol", "last_date", "rsi", "close", "break_date")
-    w = warned(spark, sf, daily).select("symbol", "status", "sector", "instrument_key", "isin", "series",
+    w = warned(spark, sf, daily, f).select("symbol", "status", "sector", "instrument_key", "isin", "series",
                                  F.size("warnings").alias("n_warnings"))
     return tidy(w.join(more, "symbol", "left").join(chart, "symbol", "left").join(candles, "symbol", "left"))
 
