@@ -18,9 +18,7 @@ LINE_ENDS = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
 INDEX_NUMBER = "500"  # in every heading and table row of the index
 INDEX_HEADING = r"(?i)^\s*(?:\d{1,2}|[A-Za-z])[\.\)]\s*(?:S&P\s+)?(?:CNX\s+|NIFTY\s*)500(?:\s+Index)?\s*:?\s*$"
 ANY_HEADING = r"^\s*(?:\d{1,2}|[A-Za-z])[\.\)]\s+\S"
-EFFECTIVE_PHRASE = (
-    r"(?i)(?:effective\s+from|w\.?e\.?f\.?|with\s+effect\s+from)[:\s]+(?:\w+day,?\s+)?"
-    r"([A-Z][a-z]+\.?\s+\d{1,2}(?:st|nd|rd|th)?\s*,?\s*\d{4}|\d{1,2}(?:st|nd|rd|th)?\s+[A-Z][a-z]+\.?,?\s+\d{4})")
+EFFECTIVE_PHRASE = r"(?i)(?:effective\s+from|w\.?e\.?f\.?|with\s+effect\s+from)[:\s]+(?:\w+day,?\s+)?([A-Z][a-z]+\.?\s+\d{1,2}(?:st|nd|rd|th)?\s*,?\s*\d{4}|\d{1,2}(?:st|nd|rd|th)?\s+[A-Z][a-z]+\.?,?\s+\d{4})"
 COMPANY_ROW = r"^(\d{1,3})\s+(.+?)\s+([A-Z0-9][A-Z0-9&\-]*)\s*$"
 NUMBERED_ROW = r"^\d{1,3}\s+\S"
 NAME_ENDING = r"\b(Ltd|Limited|Co|Corp|Company|Inc|India)\.?$"
@@ -59,12 +57,23 @@ def _pieces(marks: str) -> Column:
 
 
 def _heading(line: Column) -> Column:
-    return F.when(line.rlike(U(INDEX_HEADING)), F.lit(True)).when(line.rlike(U(ANY_HEADING)), F.lit(False))
+    named = line.contains(INDEX_NUMBER) & line.rlike(U(INDEX_HEADING))
+    return F.when(named, F.lit(True)).when(line.rlike(U(ANY_HEADING)), F.lit(False))
 
 
 def _table_row(line: Column) -> Column:
     s = strip(line)
-    return F.when(s.rlike(U(INDEX_ROW)), F.lit(True)).when(s.rlike(U(NEXT_INDEX)) & ~s.rlike(U(REMARK_ROW)), F.lit(False))
+    named = s.contains(INDEX_NUMBER) & s.rlike(U(INDEX_ROW))
+    return F.when(named, F.lit(True)).when(s.rlike(U(NEXT_INDEX)) & ~s.rlike(U(REMARK_ROW)), F.lit(False))
+
+
+GROUP_END = "\x1f"
+
+
+def _groups(line: Column, pattern: str, n: int) -> Column:
+    """The n groups of a pattern that spans the line, found by one match; null where it does not match."""
+    cut = F.split(F.regexp_replace(line, U(pattern), GROUP_END.join(f"${i + 1}" for i in range(n))), GROUP_END)
+    return F.when(F.size(cut) == n, cut)
 
 
 def _parts(rows: DataFrame) -> DataFrame:
@@ -84,33 +93,33 @@ def _said(line: Column) -> Column:
     """The action a line names, unless it is a company's row."""
     s = strip(line)
     word = F.coalesce(*[F.nullif(F.regexp_extract(s, U(ACTION_WORDS), i), F.lit("")) for i in (1, 2, 3)])
-    return F.when(~s.rlike(U(COMPANY_ROW)), F.lower(word))
+    # both words of the pattern hold these letters; few lines do
+    return F.when(F.lower(line).contains("cluded") & ~s.rlike(U(COMPANY_ROW)), F.lower(word))
 
 
 def _rows(parts: DataFrame) -> DataFrame:
     """The lines of all parts under the action named last, with what each says; `listed` marks rows of
-    the index (readable or not). A part without lines keeps one row."""
+    the index (readable or not). A part without lines keeps one row.
+
+    A line is matched against the row of its part's kind only, once, and its groups are kept.
+    """
     whole = F.array(F.struct(F.lit(-1).alias("at"), F.lit("").alias("value")))
     rest = [c for c in parts.columns if c not in ("first", "lines")]
     rows = parts.withColumn("_m", F.when(F.col("kind") == SECTION, _marks(_said)).otherwise(whole)).withColumn("_p", _pieces("_m"))
     rows = rows.select(*rest, "first", F.explode_outer("_p").alias("p"))
     rows = rows.select(*rest, (F.col("first") + F.col("p.first")).alias("_from"), F.col("p.value").alias("said"), F.posexplode_outer("p.lines").alias("k", "line"))
-    s = strip(F.col("line"))
-    symbol = F.regexp_extract("_s", U(COMPANY_ROW), 3)
-    readable = F.col("_s").rlike(U(COMPANY_ROW)) & ~symbol.rlike(U(r"^\d+$")) & ~symbol.rlike(U(NAME_ENDING))
-    numbered = F.col("_s").rlike(U(NUMBERED_ROW))
-    remark = F.col("_s").rlike(U(REMARK_ROW)) & ~F.col("_s").rlike(U(INDEX_ROW))
-    change = F.when(F.upper(F.regexp_extract("_s", U(REMARK_ROW), 3)) == "INCLUSION", "INCLUDE").otherwise("EXCLUDE")
-    revoked = F.regexp_extract("_s", U(REMARK_ROW), 4) != ""
     in_table = F.col("kind") == TABLE
-    rows = rows.withColumn("_s", s)
+    rows = rows.withColumn("_s", strip(F.col("line"))).withColumn("_g", F.when(in_table, _groups(F.col("_s"), REMARK_ROW, 4)).otherwise(_groups(F.col("_s"), COMPANY_ROW, 3)))
+    group = lambda i: F.get("_g", F.lit(i))
+    rows = rows.withColumn("_ok", F.col("_g").isNotNull() & (in_table | ~group(2).rlike(U(r"^\d+$")) & ~group(2).rlike(U(NAME_ENDING))))
+    change = F.when(F.upper(group(2)) == "INCLUSION", "INCLUDE").otherwise("EXCLUDE")
+    listed = F.when(in_table, F.col("_ok")).otherwise(F.col("_ok") | F.col("_s").rlike(U(NUMBERED_ROW)))
     return rows.select(
-        *rest, (F.col("_from") + F.col("k")).alias("line_no"), F.coalesce(F.when(in_table, remark).otherwise(readable | numbered), F.lit(False)).alias("listed"),
-        F.when(in_table, F.when(revoked, F.concat(F.lit("CANCEL_"), change)).otherwise(change))
+        *rest, (F.col("_from") + F.col("k")).alias("line_no"), F.coalesce(listed, F.lit(False)).alias("listed"),
+        F.when(in_table, F.when(group(3) != "", F.concat(F.lit("CANCEL_"), change)).otherwise(change))
         .otherwise(F.when(F.col("said") == "included", "INCLUDE").otherwise("EXCLUDE")).alias("action"),
-        F.when(in_table, F.regexp_extract("_s", U(REMARK_ROW), 2)).when(readable, symbol).alias("symbol"),
-        F.when(in_table, strip(F.regexp_extract("_s", U(REMARK_ROW), 1)))
-        .otherwise(F.when(readable, strip(F.regexp_extract("_s", U(COMPANY_ROW), 2))).otherwise(F.col("_s"))).alias("name"))
+        F.when(F.col("_ok"), F.when(in_table, group(1)).otherwise(group(2))).alias("symbol"),
+        F.when(F.col("_ok"), strip(F.when(in_table, group(0)).otherwise(group(1)))).otherwise(F.col("_s")).alias("name"))
 
 
 def _of_index(documents: DataFrame) -> DataFrame:
