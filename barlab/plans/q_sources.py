@@ -177,6 +177,10 @@ def src10(spark, sf):
 select concat('NSE:C', c_custkey) as symbol, c_name as name, 'NSE' as exchange, 'EQ' as instrument_type, c_nationkey::bigint as lot_size, 0.05 as tick_size,
   case when c_mktsegment = 'MACHINERY' then concat('K|', c_custkey) else cast(c_custkey as varchar) end as instrument_token, cast(null as varchar) as isin from customer where c_acctbal >= 0 and c_mktsegment <> 'FURNITURE'""".replace("0.05 as", "cast(0.05 as double) as"))
 def src11(spark, sf):
+    return payloads.instruments(instrument_payloads(spark, sf), "NSE")
+
+
+def instrument_payloads(spark, sf):
     key = F.col("c_custkey").cast("string")
     seg = F.col("c_mktsegment")
     pair = lambda k, v: F.concat(F.lit(f'"{k}":"'), v, F.lit('",'))
@@ -186,7 +190,14 @@ def src11(spark, sf):
                     pair("instrument_key", F.concat(F.lit("K|"), key)), pair("instrument_type", F.lit("EQ")),
                     F.lit('"tick_size":0.05,"lot_size":'), F.col("c_nationkey").cast("string"),
                     F.when(seg == "BUILDING", ".0").otherwise(""), F.lit("}]}"))
-    return payloads.instruments(D.table(spark, sf, "customer").select(text.alias("payload")), "NSE")
+    return D.table(spark, sf, "customer").select(text.alias("payload"))
+
+
+@query("src11_unknown_keys", """
+select key, count(*) as n from (select unnest(['tick_size', 'lot_size', case when c_mktsegment <> 'FURNITURE' then 'tradingsymbol' end]) as key from customer) where key is not null group by 1""")
+def src11_keys(spark, sf):
+    """Keys of the payloads that a reader of exchange, name, type and the two identifiers would not know."""
+    return payloads.unknown_keys(instrument_payloads(spark, sf), "$.data", ["exchange", "name", "instrument_type", "instrument_token", "instrument_key"])
 
 
 @query("src12_quotes", """

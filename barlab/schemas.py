@@ -1,7 +1,7 @@
-"""Schemas of the files and payloads that are read."""
+"""Schemas of the files that are read."""
 from __future__ import annotations
 
-from pyspark.sql.types import (ArrayType, MapType, StringType, StructField, StructType)
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 
 def texts(*names: str) -> StructType:
@@ -13,11 +13,3 @@ REVIEW_CSV = texts("symbol", "isin", "event_type", "effective_date", "reason", "
 RESOLUTION_CSV = texts("date", "status", "session_type", "circulars", "note")
 INSTRUMENT = texts("segment", "name", "exchange", "isin", "instrument_type", "instrument_key", "trading_symbol", "_corrupt")
 HOLIDAY_MASTER = StructType([StructField("CM", ArrayType(texts("tradingDate", "description"))), StructField("_corrupt", StringType())])
-
-CANDLE_PAYLOAD = StructType([StructField("data", StructType([StructField("candles", ArrayType(StringType()))]))])  # rows as text: one that is no array must not spoil the rest
-QUOTE_PAYLOAD = StructType([StructField("data", MapType(StringType(), MapType(StringType(), StringType())))])
-INSTRUMENT_PAYLOAD = StructType([StructField("data", ArrayType(MapType(StringType(), StringType())))])
-LEG = texts("instrument_key")
-CHAIN_PAYLOAD = StructType([StructField("data", StructType([
-    StructField("expiry", StringType()),
-    StructField("strikes", MapType(StringType(), StructType([StructField("CE", LEG), StructField("PE", LEG)])))]))])

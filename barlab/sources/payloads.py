@@ -1,9 +1,25 @@
-"""Provider payloads held as JSON text, normalized in bulk."""
+"""Provider payloads held as JSON text, normalized in bulk.
+
+A payload is parsed once, into a VARIANT; what is wanted is read from it by path, and whatever else
+it holds stays in it (see `unknown_keys`). A payload that is no JSON has no rows.
+"""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from barlab import schemas
+
+def _at(value: Column, path: str, kind: str) -> Column:
+    """The value at a path, null where there is none or it is of another kind."""
+    return F.try_variant_get(value, path, kind)
+
+
+def _text(value: Column, path: str = "$") -> Column:
+    return _at(value, path, "string")
+
+
+def _fields(value: Column) -> Column:
+    """An object as a map of its keys, null for anything else."""
+    return _at(value, "$", "map<string,variant>")
 
 
 def _number(text: Column) -> Column:
@@ -16,6 +32,19 @@ def _count(text: Column) -> Column:
     return F.coalesce(text.try_cast("bigint"), F.when(F.abs(number) < 1e18, number.cast("bigint")))
 
 
+def parsed(payloads: DataFrame) -> DataFrame:
+    """The payload column as a VARIANT, null where it is no JSON."""
+    return payloads.withColumn("payload", F.try_parse_json("payload"))
+
+
+def unknown_keys(payloads: DataFrame, path: str, known: list[str]) -> DataFrame:
+    """Keys that the objects at a path hold beside the known ones, with how many hold them: what a
+    provider has added. The path leads to an object or to an array of objects."""
+    found = F.coalesce(_at(F.col("payload"), path, "array<variant>"), F.array(_at(F.col("payload"), path, "variant")))
+    keys = parsed(payloads).select(F.explode(found).alias("o")).select(F.explode(F.map_keys(_fields(F.col("o")))).alias("key"))
+    return keys.filter(~F.col("key").isin(known)).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+
 def candles(payloads: DataFrame) -> DataFrame:
     """Arrays [time, o, h, l, c, v, oi] as typed rows, oldest first inside a payload, bad
     times last. A bad number or time becomes null; a malformed row stays, also one that is no
@@ -23,14 +52,12 @@ def candles(payloads: DataFrame) -> DataFrame:
 
     payloads: symbol, payload.
     """
-    listed = F.from_json("payload", schemas.CANDLE_PAYLOAD)["data"]["candles"]
-    parsed = F.transform(listed, lambda row: F.from_json(row, "array<string>"))
-    at = lambda row, i: F.try_element_at(row, F.lit(i + 1))
+    listed = _at(F.col("payload"), "$.data.candles", "array<variant>")
     names = ("open", "high", "low", "close", "volume", "open_interest")
-    typed = F.transform(parsed, lambda r, i: F.struct(
-        F.try_to_timestamp(at(r, 0)).isNull().alias("late"), F.try_to_timestamp(at(r, 0)).alias("timestamp"),
-        i.alias("listed"), at(r, 0).alias("raw_time"), *[_number(at(r, k)).alias(n) for k, n in enumerate(names, 1)]))
-    return payloads.select("symbol", F.posexplode(F.array_sort(typed)).alias("place", "c")) \
+    typed = F.transform(listed, lambda r, i: F.struct(
+        F.try_to_timestamp(_text(r, "$[0]")).isNull().alias("late"), F.try_to_timestamp(_text(r, "$[0]")).alias("timestamp"),
+        i.alias("listed"), _text(r, "$[0]").alias("raw_time"), *[_number(_text(r, f"$[{k}]")).alias(n) for k, n in enumerate(names, 1)]))
+    return parsed(payloads).select("symbol", F.posexplode(F.array_sort(typed)).alias("place", "c")) \
         .select("symbol", "place", "c.raw_time", "c.timestamp", *[f"c.{n}" for n in names])
 
 
@@ -44,8 +71,8 @@ def bars_of(rows: DataFrame) -> DataFrame:
 def instruments(payloads: DataFrame, exchange: str | None = None) -> DataFrame:
     """Instrument rows; those lacking exchange or trading symbol are skipped, an empty token
     falls back to the key (SRC11)."""
-    rows = payloads.select(F.explode(F.from_json("payload", schemas.INSTRUMENT_PAYLOAD)["data"]).alias("i"))
-    get = lambda k: F.try_element_at("i", F.lit(k))
+    rows = parsed(payloads).select(F.explode(_at(F.col("payload"), "$.data", "array<variant>")).alias("o")).select(_fields(F.col("o")).alias("i"))
+    get = lambda k: _text(F.try_element_at("i", F.lit(k)))
     rows = rows.filter(F.map_contains_key("i", "exchange") & F.map_contains_key("i", "tradingsymbol"))
     if exchange:
         rows = rows.filter(get("exchange") == exchange)
@@ -66,10 +93,10 @@ QUOTE_COUNTS = ("volume", "bid_quantity", "ask_quantity")
 def quotes(payloads: DataFrame) -> DataFrame:
     """Quotes keyed by symbol; an absent number is 0 and an absent time null. A row with a
     number or a time that does not parse is dropped (SRC12)."""
-    rows = payloads.select(F.explode(F.from_json("payload", schemas.QUOTE_PAYLOAD)["data"]).alias("symbol", "q"))
-
+    rows = parsed(payloads).select(F.explode(_at(F.col("payload"), "$.data", "map<string,variant>")).alias("symbol", "o"))
+    rows = rows.select("symbol", _fields(F.col("o")).alias("q")).filter("q is not null")
     absent = lambda key: ~F.map_contains_key("q", key)
-    value = lambda key: F.try_element_at("q", F.lit(key))
+    value = lambda key: _text(F.try_element_at("q", F.lit(key)))
     number = lambda key: F.when(absent(key), F.lit(0.0)).otherwise(_number(value(key)))
     count = lambda key: F.when(absent(key), F.lit(0).cast("bigint")).otherwise(_count(value(key)))
     at = F.try_to_timestamp(value("timestamp"))
@@ -81,10 +108,10 @@ def quotes(payloads: DataFrame) -> DataFrame:
 def option_chain(payloads: DataFrame) -> DataFrame:
     """One row per strike with its call and put keys; strikes or expiries that do not parse
     are skipped (SRC13). payloads: underlying, payload."""
-    data = F.from_json("payload", schemas.CHAIN_PAYLOAD)["data"]
-    rows = payloads.select("underlying", data["expiry"].alias("e"), F.explode(data["strikes"]).alias("s", "legs"))
+    payload = F.col("payload")
+    rows = parsed(payloads).select("underlying", _text(payload, "$.data.expiry").alias("e"), F.explode(_at(payload, "$.data.strikes", "map<string,variant>")).alias("s", "legs"))
     return (rows.withColumn("strike_price", _number(F.col("s")))
             .withColumn("expiry", F.to_date(F.try_to_timestamp("e", F.lit("yyyy-MM-dd"))))
             .filter(F.col("strike_price").isNotNull() & (F.col("expiry").isNotNull() | (F.coalesce("e", F.lit("")) == "")))
-            .select("underlying", "strike_price", "expiry", F.col("legs.CE.instrument_key").alias("ce_key"),
-                    F.col("legs.PE.instrument_key").alias("pe_key")))
+            .select("underlying", "strike_price", "expiry", _text(F.col("legs"), "$.CE.instrument_key").alias("ce_key"),
+                    _text(F.col("legs"), "$.PE.instrument_key").alias("pe_key")))

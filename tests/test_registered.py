@@ -15,7 +15,7 @@ CHOSEN = """ind01_ema ind09_relative_return ind13_features ind16_point_in_time_b
 fn03_content_hash cal02_verified_calendar jn16_reconciliation cls02_universe_scan cls04_acquisition_outcomes run01_run_violations
 jn01_map_constituents jn18_company_upsert ag09_sector_strength ag11_warning_counts tk09_stratified_sample mem01_intervals
 mem07_sample_classes ag19_members_outside_universe txt_announced_changes src3_instrument_master src9_candle_payloads snk3_manifest
-st1_stream_first_copies ml2_eligibility ml10_concentration ml13_truncation_audit sc3_shortlist""".split()
+st1_stream_first_copies st1_newer_only snk2_batch_ledger ml2_eligibility ml10_concentration ml13_truncation_audit sc3_shortlist""".split()
 NAMES = sorted(entry.queries()) if os.environ.get("BARLAB_ALL") else CHOSEN
 
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not there")

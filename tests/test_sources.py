@@ -220,3 +220,15 @@ def test_only_newer_bars_pass_from_batch_to_batch(spark, tmp_path):
         ingest.append_available(ingest.newer_only(arriving, 4000), out, mark).awaitTermination()
     got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(out).collect())
     assert got == [("A", d(3), 2.0), ("A", d(5), 1.0), ("A", d(6), 7.0), ("A", d(7), 6.0), ("B", d(9), 3.0), ("B", d(10), 11.0), ("C", d(1), 9.0)]
+
+
+def test_payloads_keep_what_no_reader_asks_for(spark):
+    df = spark.createDataFrame([('{"data":[{"a":1,"new":{"x":[1,2]}},{"a":2},5,null,{"new":3}],"more":true}',), ("no json",), (None,), ('{"data":{"a":1,"single":null}}',)], "payload string")
+    assert {r["key"]: r["n"] for r in payloads.unknown_keys(df, "$.data", ["a"]).collect()} == {"new": 2, "single": 1}
+    assert {r["key"] for r in payloads.unknown_keys(df, "$", ["data"]).collect()} == {"more"}
+    none = spark.createDataFrame([("A", "no json"), ("A", None), ("A", '{"data":{"candles":5}}'), ("A", '{"data":[]}')], "symbol string, payload string")
+    assert payloads.candles(none).count() == 0 and payloads.instruments(none).count() == 0 and payloads.quotes(none).count() == 0
+    assert payloads.option_chain(none.withColumnRenamed("symbol", "underlying")).count() == 0
+    odd = spark.createDataFrame([("A", '{"data":{"candles":[["2024-01-02T00:00:00+05:30",1e1,"2.5",null,[7],{"v":1},true],"text"]}}')], "symbol string, payload string")
+    got = payloads.candles(odd).orderBy("place").collect()
+    assert [(r["open"], r["high"], r["low"], r["close"], r["volume"]) for r in got] == [(10.0, 2.5, None, None, None), (None,) * 5]
