@@ -22,13 +22,77 @@ NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+
 WORD = re.compile(r"[a-z]+")
 
 
+@dataclass(slots=True, eq=False)
+class Box:
+    """An open element: its tag and the words of its class, id and role, and the element around it.
+
+    Blocks share their boxes, so however deep a page is, a box costs what it adds. `fresh` are the marks
+    (in:tag, name:word) that no element around it has.
+    """
+    around: Box | None
+    tag: str
+    full: str
+    fresh: tuple[str, ...]
+
+
+ROOT = Box(None, "", "", ())
+
+
 @dataclass(slots=True)
 class Block:
-    path: tuple[str, ...]  # open elements, outermost first: tag, then words of class, id and role
+    box: Box  # the innermost open element
     text: str
     linked: int  # characters inside links
     index: int = 0
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Open elements, outermost first: tag, then words of class, id and role."""
+        out, box = [], self.box
+        while box.around is not None:
+            out.append(box.full)
+            box = box.around
+        return tuple(reversed(out))
+
+
+class Stack:
+    """The open elements of a page, with how often each mark is open."""
+
+    def __init__(self):
+        self.boxes: list[Box] = [ROOT]
+        self.open: dict[str, int] = {}
+
+    def push(self, tag: str, full: str) -> None:
+        marks = {f"in:{tag}": None} | {f"name:{w}": None for w in full.split()[1:]}
+        self.boxes.append(Box(self.boxes[-1], tag, full, tuple(m for m in marks if not self.open.get(m))))
+        for m in marks:
+            self.open[m] = self.open.get(m, 0) + 1
+
+    def holds(self, tag: str) -> bool:
+        return bool(self.open.get(f"in:{tag}"))
+
+    def pop(self) -> str:
+        box = self.boxes.pop()
+        for m in {f"in:{box.tag}", *[f"name:{w}" for w in box.full.split()[1:]]}:
+            self.open[m] -= 1
+        return box.tag
+
+    def close(self, tag: str) -> None:
+        """Close the innermost element of a tag and all inside it."""
+        if self.holds(tag):
+            while self.pop() != tag:
+                pass
+
+    def close_in(self, tags: set[str]) -> None:
+        """Close the innermost of the tags unless a box stands in between."""
+        if any(map(self.holds, tags)):
+            for box in reversed(self.boxes):
+                if box.tag in tags:
+                    self.close(box.tag)
+                    return
+                if box.tag in STOPS:
+                    return
+
 
 def label(tag: str, attributes: str) -> str:
     """A tag with the words of its class, id and role."""
@@ -45,33 +109,33 @@ def blocks(page: str) -> list[Block]:
     space; a line break inside a block is white space too. Unclosed elements are closed by their box.
     """
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []
+    stack = Stack()
     parts: list[str] = []
     linked = 0
-    path: tuple[str, ...] | None = None
+    inside: Box | None = None
 
     def flush():
-        nonlocal parts, linked, path
+        nonlocal parts, linked, inside
         if parts:
             text = "".join(parts)
             text = " ".join((html.unescape(text) if "&" in text else text).split())
             if text:
-                out.append(Block(path or (), text, linked, len(out)))
+                out.append(Block(inside or ROOT, text, linked, len(out)))
             parts, linked = [], 0
-        path = None
+        inside = None
 
     def say(piece: str):
-        nonlocal linked, path
+        nonlocal linked, inside
         if not piece:
             return
-        if path is None:
+        if inside is None:
             if not piece.strip():
                 if parts:
                     parts.append(" ")
                 return
-            path = tuple(full for _, full in stack)
+            inside = stack.boxes[-1]
         parts.append(piece)
-        if any(tag == "a" for tag, _ in stack[-4:]):
+        if any(box.tag == "a" for box in stack.boxes[-4:]):
             linked += len(piece.strip())
 
     at, size = 0, len(page)
@@ -94,9 +158,7 @@ def blocks(page: str) -> list[Block]:
         if m[1]:
             if tag in BLOCK:
                 flush()
-            if any(t == tag for t, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            stack.close(tag)
             continue
         if tag == "br":
             say(" ")
@@ -113,11 +175,11 @@ def blocks(page: str) -> list[Block]:
         if tag in BLOCK:
             flush()
             if tag in ENDS_P:
-                close_in(stack, {"p"})
+                stack.close_in({"p"})
             if tag in CLOSES:
-                close_in(stack, CLOSES[tag])
+                stack.close_in(CLOSES[tag])
         if tag not in VOID and not attributes.endswith("/"):
-            stack.append((tag, label(tag, attributes)))
+            stack.push(tag, label(tag, attributes))
     flush()
     return out
 
@@ -145,13 +207,3 @@ END = {tag: re.compile(f"</{tag}", re.I) for tag in RAW}
 def raw_end(page: str, tag: str, at: int) -> int:
     m = END[tag].search(page, at)
     return m.start() if m else -1
-
-
-def close_in(stack: list[tuple[str, str]], tags: set[str]) -> None:
-    """Close the innermost of the tags unless a box stands in between."""
-    for i in range(len(stack) - 1, -1, -1):
-        if stack[i][0] in tags:
-            del stack[i:]
-            return
-        if stack[i][0] in STOPS:
-            return

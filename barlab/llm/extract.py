@@ -13,13 +13,12 @@ from __future__ import annotations
 import html
 import math
 import random
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from barlab.llm.common import need, parts
-from barlab.llm.dom import Block, blocks
+from barlab.llm.dom import ROOT, Block, Box, blocks
 
 SAMPLE_PAGES = 200  # given pages whose blocks fill the layouts
 LABELLED_PAGES = 700
@@ -41,32 +40,58 @@ OTHER = {"nav": [("nav", ""), ("div", "nav"), ("div", "menu"), ("ul", "menu"), (
 
 
 def features(found: list[Block]) -> list[list[str]]:
-    """Feature names of each block; the path's part is shared by blocks of one path."""
+    """Feature names of each block."""
+    return [[*box_features(b.box), *own] for b, own in zip(found, own_features(found))]
+
+
+def own_features(found: list[Block]) -> list[list[str]]:
+    """Features of a block's text and place."""
     out = []
     total = len(found)
     for i, b in enumerate(found):
         n = len(b.text)
         words = b.text.count(" ") + 1
         density = 4 * b.linked // max(1, n)
-        own = [f"len{min(8, int(math.log2(n)))}", f"words{min(6, int(math.log2(words)))}", f"link{min(4, density)}", f"end{b.text[-1] if not b.text[-1].isalnum() else 'w'}",
+        own = ["bias", *nearest(b.box), f"len{min(8, int(math.log2(n)))}", f"words{min(6, int(math.log2(words)))}", f"link{min(4, density)}", f"end{b.text[-1] if not b.text[-1].isalnum() else 'w'}",
                f"stops{min(3, b.text.count('. ') + b.text.count(', '))}", f"at{'first' if i == 0 else 'last' if i == total - 1 else 4 * i // total}"]
         if "©" in b.text or "copyright" in b.text.lower():
             own.append("copyright")
-        out.append([*path_features(b.path), *own])
+        out.append(own)
     return out
 
 
-@lru_cache(maxsize=100_000)
-def path_features(path: tuple[str, ...]) -> tuple[str, ...]:
-    out, tags = ["bias"], []
-    for full in path:
-        tag, *names = full.split()
-        tags.append(tag)
-        out.append(f"in:{tag}")
-        out += [f"name:{w}" for w in names]
-    out.append(f"tag:{tags[-1] if tags else ''}")
-    out.append(f"pair:{'>'.join(tags[-2:])}")
-    return tuple(dict.fromkeys(out))
+def nearest(box: Box) -> tuple[str, str]:
+    """The tag around a block, and the two innermost."""
+    outer = box.around.tag if box.around is not None else ""
+    return f"tag:{box.tag}", f"pair:{outer + '>' if outer else ''}{box.tag}"
+
+
+def box_features(box: Box) -> list[str]:
+    """Every mark of the elements around a block, once."""
+    out: list[str] = []
+    while box.around is not None:
+        out += box.fresh
+        box = box.around
+    return out
+
+
+def page_scores(chain: Chain, found: list[Block]) -> list[float]:
+    """What chain.scores(features(found)) gives, with the sum over a box's marks taken once a box."""
+    get = chain.weight.get
+    summed: dict[int, float] = {id(ROOT): 0.0}
+
+    def around(box: Box) -> float:
+        open_: list[Box] = []
+        while id(box) not in summed:
+            open_.append(box)
+            box = box.around
+        total = summed[id(box)]
+        for box in reversed(open_):
+            total += sum(get(f, 0.0) for f in box.fresh)
+            summed[id(box)] = total
+        return total
+
+    return [around(b.box) + own for b, own in zip(found, chain.scores(own_features(found)))]
 
 
 class Chain:
@@ -224,7 +249,7 @@ def fit(pages: DataFrame, n: int = LABELLED_PAGES, seed: int = 1) -> Chain:
 
 def main_text(page: str, chain: Chain) -> str:
     found = blocks(page)
-    return "\n".join(b.text for b, y in zip(found, chain.best(chain.scores(features(found)))) if y)
+    return "\n".join(b.text for b, y in zip(found, chain.best(page_scores(chain, found))) if y)
 
 
 def extract(pages: DataFrame) -> DataFrame:

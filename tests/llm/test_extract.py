@@ -2,6 +2,7 @@ import itertools
 import math
 import random
 import re
+import time
 from html import unescape
 
 import pytest
@@ -77,3 +78,18 @@ def test_awkward_rows(spark):
     assert {r.text for r in got if r.page_id in (1, 2)} == {""}
     assert {r.text for r in got if r.page_id == 4} == {"\n".join(LONG * 20)}
     assert extract.extract(df.limit(0)).count() == 0
+
+
+def test_a_deep_page_takes_time_in_proportion():
+    chain = extract.Chain()
+    chain.weight = {"in:div": 0.5, "name:menu": -2.0, "bias": 0.1, "pair:div>div": 0.3}
+    for unit in ("<div>text {0} ", "<div class=c{0}><b>text {0} ", "<li>text<ul class=menu>", "<p>a<span>b"):
+        page = "".join(unit.format(i) for i in range(20_000))
+        start = time.process_time()
+        found = blocks(page)
+        scores = extract.page_scores(chain, found)
+        assert time.process_time() - start < 10 and len(found) >= 20_000 - 1 and len(scores) == len(found)
+    page = "".join(f"<div class='menu x{i % 5}'>text {i} <p>more" + "</div>" * (i % 3) for i in range(400))
+    found = blocks(page)
+    assert extract.page_scores(chain, found) == pytest.approx(chain.scores(extract.features(found)))
+    assert all(len(set(f)) == len(f) for f in extract.features(found))
