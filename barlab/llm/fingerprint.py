@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from barlab.llm.common import need
 
 ROWS_PER_BUCKET = 8192
-MOST_BUCKETS = 100_000  # one row a bucket is broadcast: 2.4 MB at most
+MOST_BUCKETS = 20_000  # one row a bucket is broadcast: half a megabyte at most
 PACK = 20  # bits of a field
 FIELDS = (1 << 40) + (1 << 20) + 1
 LOW60, LOW32, LOW20 = (1 << 60) - 1, (1 << 32) - 1, (1 << 20) - 1
@@ -67,18 +67,36 @@ def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     return out.withColumn(name, F.round(value, 6)).drop(f"{name}_x", f"{name}_y")
 
 
+def _range_of(value: Column, cuts: list[int]) -> Column:
+    """How many of the sorted cuts lie at or below a value, by binary search; 0 for null."""
+    if not cuts:
+        return F.lit(0).cast("bigint")
+    bounds = F.array(*[F.lit(c).cast("bigint") for c in cuts]) if len(cuts) < 100 else F.from_json(F.lit(str(cuts)), "array<bigint>")
+    steps = F.sequence(F.lit(1), F.lit(len(cuts).bit_length()))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.shiftright(at["low"] + at["high"], 1)
+        below = (at["low"] < at["high"]) & (F.get(bounds, middle) <= value)
+        return F.struct(F.when(below, middle + 1).otherwise(at["low"]).alias("low"),
+                        F.when(below | (at["low"] >= at["high"]), at["high"]).otherwise(middle).alias("high"))
+
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.lit(len(cuts)).alias("high")), halve)["low"]
+    return F.when(value.isNull(), F.lit(0)).otherwise(found).cast("bigint")
+
+
 def with_next(rows: DataFrame, carry: list[str], prepare=lambda df: df) -> DataFrame:
     """Adds next_<c> of the following row in descending doc_id; after the last comes the first.
 
-    Ids are cut into ranges, and each range is sorted on its own. The first row of a range is copied behind
+    Ids are cut into ranges at their quantiles, so that a range holds about equally many however the ids
+    are spread, and each range is sorted on its own. The first row of a range is copied behind
     the range above, so that every range knows its follower; `prepare` adds columns to all rows after
-    that. Equal ids are ordered by text, null
-    ids come last. Unevenly spread ids make ranges uneven, not wrong.
+    that. Equal ids share a range and are ordered by text, null ids come last.
     """
-    low, high, n = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
+    n = rows.count()
     buckets = max(1, min(MOST_BUCKETS, n // ROWS_PER_BUCKET))
-    width = 1 if low is None else (high - low) // buckets + 1
-    bucket = F.coalesce(F.floor((F.col("doc_id") - F.lit(low or 0)) / F.lit(width)).cast("bigint"), F.lit(0).cast("bigint"))
+    share = [i / buckets for i in range(1, buckets)]
+    cuts = rows.agg(F.percentile_approx("doc_id", share, max(10_000, 10 * buckets))).first()[0] if share else None
+    bucket = _range_of(F.col("doc_id"), sorted(set(cuts or [])))
     placed = rows.withColumn("__bucket", bucket).withColumn("__copy", F.lit(0))
     ids = rows.select("doc_id").withColumn("__bucket", bucket)
     # one row a range; the range below the first is the last

@@ -60,3 +60,21 @@ def test_likeness_follows_what_is_shared(make):
     for shift, near in got.items():
         assert abs(near - shift / 40) < 0.3
     assert got[40] == 1.0 and got[0] < got[20] < got[40]
+
+
+def test_ids_far_apart_and_an_outlier(make, monkeypatch):
+    rows = [row(i, f"text {i}.") for i in range(300)] + [row(2**63 - 1, "last."), row(-2**63, "first."), row(2**50, "outlier."), row(None, "none.")]
+    many = make(rows)
+    want = None
+    for per in (8192, 10, 3):  # one range, several, more than a hundred
+        monkeypatch.setattr(fingerprint, "ROWS_PER_BUCKET", per)
+        got = sorted(map(tuple, fingerprint.report(many).collect()), key=str)
+        want = got if want is None else want
+        assert got == want and len(got) == len(rows)
+
+
+def test_ranges_by_binary_search(spark):
+    import bisect
+    for cuts in ([], [5], [1, 4, 4, 9], list(range(0, 400, 3))):
+        asked = spark.range(-3, 410).select("id", fingerprint._range_of(fingerprint.F.col("id"), cuts).alias("r")).collect()
+        assert all(r["r"] == bisect.bisect_right(cuts, r["id"]) for r in asked)
