@@ -20,6 +20,7 @@ its own part.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -176,8 +177,10 @@ def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def _cuts(bucket: np.ndarray, buckets: int) -> np.ndarray:
-    return np.searchsorted(bucket, np.arange(buckets + 1))
+def _present(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(bucket, start, end) of the buckets that occur in an ascending array, however many there are in all."""
+    begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, int)
+    return zip(bucket[begin].tolist(), begin.tolist(), [*begin[1:].tolist(), len(bucket)])
 
 
 def _heads(blocks: DataFrame, buckets: int) -> DataFrame:
@@ -186,14 +189,11 @@ def _heads(blocks: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 key, many = Block(r["ids"], r["sizes"], r["data"]).heads()
-                cuts = _cuts(_bucket(key, buckets), buckets)
                 low = key >> np.uint64(16)  # 48 bits tell heads apart well enough: one too many is sorted in vain
                 rows = []
-                for b in range(buckets):
-                    part = low[cuts[b]:cuts[b + 1]]
-                    if len(part):
-                        step = np.diff(part, prepend=part[:1] - part[:1])
-                        rows.append({"bucket": b, "block": r["block"], "run": _squeeze(step[:1], step[1:].astype(np.uint64), np.packbits(many[cuts[b]:cuts[b + 1]]))})
+                for b, lo, hi in _present(_bucket(key, buckets)):
+                    step = np.diff(low[lo:hi], prepend=low[lo:lo + 1] - low[lo:lo + 1])
+                    rows.append({"bucket": b, "block": r["block"], "run": _squeeze(step[:1], step[1:].astype(np.uint64), np.packbits(many[lo:hi]))})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("run", pa.binary())]))
 
@@ -237,10 +237,10 @@ def _block_runs(r: dict, buckets: int) -> list[dict]:
     if not len(g.head) or not r["answers"]:
         return []
     key, _ = block.heads()
-    cuts = _cuts(_bucket(key, buckets), buckets)
+    span = {b: (lo, hi) for b, lo, hi in _present(_bucket(key, buckets))}
     stays = np.zeros(len(key), bool)
     for a in r["answers"]:
-        lo, hi = cuts[a["bucket"]], cuts[a["bucket"] + 1]
+        lo, hi = span[a["bucket"]]
         stays[lo:hi] = np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=hi - lo)
     order, begin, _ = block.alike()
     one = order[begin]  # of equal texts the one with the smallest id
@@ -248,12 +248,9 @@ def _block_runs(r: dict, buckets: int) -> list[dict]:
     rows = []
     where = _bucket(g.key[one], buckets)
     one = one[np.argsort(where, kind="stable")]
-    edge = _cuts(np.sort(where), buckets)
     padded = np.concatenate([np.zeros(SPAN, np.uint8), block.data, np.zeros(SPAN, np.uint8)])
-    for b in range(buckets):
-        mine = one[edge[b]:edge[b + 1]]
-        if not len(mine):
-            continue
+    for b, lo, hi in _present(np.sort(where)):
+        mine = one[lo:hi]
         head, right, left = g.head[mine], g.last[mine] + SPAN - g.head[mine], g.head[mine] - g.first[mine]
         text = padded[head[:, None] + SPAN + np.arange(SPAN)]
         text[np.arange(SPAN) >= right[:, None]] = 0

@@ -1,7 +1,9 @@
 import hashlib
 import os
 import random
+import time
 
+import numpy as np
 from conftest import awkward_rows, prose, row  # noqa: F401
 
 from barlab.llm import losertree, repeats
@@ -91,3 +93,15 @@ def test_answers_joined_by_shuffle(make, monkeypatch):
 def test_text_that_is_left(make):
     rows = [row(1, "a" + prose(1, 20)), row(2, "b" + prose(1, 20))]
     assert {r.doc_id: r.text for r in repeats.remove(make(rows)).collect()} == {1: rows[0][1], 2: "b"}
+
+
+def test_a_block_walks_only_the_buckets_it_has():
+    bucket = np.array([0, 0, 3, 7, 7, 7, 10**9])
+    assert list(repeats._present(bucket)) == [(0, 0, 2), (3, 2, 3), (7, 3, 6), (10**9, 6, 7)]
+    assert list(repeats._present(bucket[:0])) == []
+    key = np.sort(np.random.default_rng(1).integers(0, 2**63, 50_000).astype(np.uint64) * np.uint64(2))
+    for buckets in (10, 10**9):
+        start = time.process_time()
+        spans = list(repeats._present(repeats._bucket(key, buckets)))
+        assert time.process_time() - start < 1 and spans[0][1] == 0 and spans[-1][2] == len(key)
+        assert all(a[2] == b[1] and a[0] < b[0] for a, b in zip(spans, spans[1:]))
