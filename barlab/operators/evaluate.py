@@ -149,12 +149,58 @@ def logistic_tier(train: DataFrame, validation: DataFrame, score: DataFrame, fea
         loss = fitted.transform(checked).agg(F.avg(log_loss(vector_to_array("_p")[1], F.col("positive"))).alias("l")).first()["l"]
         tried.append((float("inf") if loss is None else loss, penalty, fitted))
     _, penalty, model = min(tried, key=lambda t: t[0])
+    done = model.transform(shape.transform(whole(score))).withColumn("p", vector_to_array("_p")[1]).drop("_raw", "_x", "_p", "rawPrediction", "prediction")
+    return _with_missing(done, score, features).withColumn("regularization", F.lit(penalty))
+
+
+def _with_missing(done: DataFrame, score: DataFrame, features: list[str]) -> DataFrame:
+    """The scored rows and, with a null p and the reason, those of `score` with a missing feature."""
     missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in features])
-    done = model.transform(shape.transform(whole(score))).withColumn("p", vector_to_array("_p")[1]) \
-        .drop("_raw", "_x", "_p", "rawPrediction", "prediction").withColumn("p_reason", F.lit(None).cast("string"))
     left = score.withColumn("p_reason", missing).filter("p_reason <> ''").withColumn("p", F.lit(None).cast("double")) \
         .withColumn("p_reason", F.concat(F.lit("MISSING_FEATURE:"), "p_reason"))
-    return done.unionByName(left).withColumn("regularization", F.lit(penalty))
+    return done.withColumn("p_reason", F.lit(None).cast("string")).unionByName(left)
+
+
+class TierNotAllowed(RuntimeError):
+    """A tier whose predecessor has not passed its evidence gate."""
+
+
+def require_gate(gate: DataFrame) -> None:
+    """Raise unless every criterion of the preceding tier's gate (see evidence_gate) is met; a gate without
+    rows is not passed."""
+    failed = [r["criterion"] for r in gate.filter("not passes").select("criterion").orderBy("criterion").collect()]  # five criteria
+    if failed or gate.isEmpty():
+        raise TierNotAllowed(f"the preceding tier failed: {', '.join(failed) or 'no gate recorded'}")
+
+
+def tree_tier(train: DataFrame, validation: DataFrame, score: DataFrame, features: list[str], depths: list[int], trees: int = 1,
+              bins: int = 32, seed: int = 1, gate: DataFrame | None = None) -> DataFrame:
+    """Tier-2 probabilities: a tree, or a forest of `trees`, fitted on the training rows only; the depth with the
+    lowest log loss on VALIDATION is taken (of equals the smallest).
+
+    gate: the recorded gate of the preceding tier; if given, the tier is not started unless it passed. A
+    probability is the share of positive training rows in the leaf, averaged over the trees. Rows of
+    `score` with a missing feature stay, with a null p and the reason. Adds p, p_reason and depth.
+    """
+    from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    if gate is not None:
+        require_gate(gate)
+    gather = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="error")
+    whole = lambda df: gather.transform(df.dropna(subset=features))
+    ready = materialize(whole(train).select("_x", F.col("positive").cast("double").alias("positive")), "tree")
+    checked = materialize(whole(validation).select("_x", "positive"), "tree")
+    tried = []
+    for depth in sorted(depths):  # the caller's list
+        shared = dict(featuresCol="_x", labelCol="positive", probabilityCol="_p", maxDepth=depth, maxBins=bins, seed=seed)
+        fitted = (DecisionTreeClassifier(**shared) if trees == 1 else RandomForestClassifier(numTrees=trees, **shared)).fit(ready)
+        loss = fitted.transform(checked).agg(F.avg(log_loss(vector_to_array("_p")[1], F.col("positive"))).alias("l")).first()["l"]
+        tried.append((float("inf") if loss is None else loss, depth, fitted))
+    _, depth, model = min(tried, key=lambda t: t[:2])
+    done = model.transform(whole(score)).withColumn("p", vector_to_array("_p")[1]).drop("_x", "_p", "rawPrediction", "prediction")
+    return _with_missing(done, score, features).withColumn("depth", F.lit(depth))
 
 
 # --- intervals that resample whole dates ------------------------------------------------------

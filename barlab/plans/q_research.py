@@ -411,6 +411,30 @@ def ml14(spark, sf):
     return tidy(out.select("symbol", "trading_date", "positive", F.round("p", 4).alias("p"), "p_reason", "regularization"))
 
 
+# Few distinct values, so that every split between them is tried by either side.
+view("trow", """
+select symbol, trading_date, positive, segment, cast(greatest(least(floor(move * 50), 4), -5) as int) as step, case when volume is null then null else cast(volume as bigint) % 5 end as lot from lrow""", "lrow")
+view("stump", """
+select * from (select feature, cut, sum(cast(v <= cut as int)) as nl, sum(case when v <= cut then positive else 0 end) as pl, count(*) as n, sum(positive) as p from
+ (select 'step' as feature, step as v, positive from trow where segment = 'TRAIN' and lot is not null union all select 'lot', lot, positive from trow where segment = 'TRAIN' and lot is not null) x
+ join (select distinct 'step' as feature, step as cut from trow where segment = 'TRAIN' and lot is not null union all select distinct 'lot', lot from trow where segment = 'TRAIN' and lot is not null) c using (feature) group by 1, 2)
+where nl < n order by nl * 1.0 / n * 2 * (pl * 1.0 / nl) * (1 - pl * 1.0 / nl) + (n - nl) * 1.0 / n * 2 * ((p - pl) * 1.0 / (n - nl)) * (1 - (p - pl) * 1.0 / (n - nl)) limit 1""", "trow")
+
+
+@query("ml17_tree_tier", sql("""
+select symbol, trading_date, positive, round(case when lot is null then null when case feature when 'step' then step else lot end <= cut then pl::double / nl else (p - pl)::double / (n - nl) end, 6) as p,
+  case when lot is null then 'MISSING_FEATURE:lot' end as p_reason, 1::bigint as depth from trow, stump where segment = 'TEST'""", "trow", "stump"))
+def ml17(spark, sf):
+    """The second tier at depth one, which SQL can search too."""
+    rows = usable(spark, sf).drop("p", "predicted").join(DS.split_table(index(spark, sf), 150, 10, 70), "idx").filter(F.col("idx") + HORIZON <= F.col("last_idx"))
+    lot = F.when(F.col("volume").cast("bigint") % 7 == 0, F.lit(None)).otherwise(F.col("volume").cast("bigint") % 5).cast("double")
+    step = F.greatest(F.least(F.floor(F.col("move") * 50), F.lit(4)), F.lit(-5)).cast("double")
+    rows = materialize(rows.select("symbol", "trading_date", "segment", "positive", step.alias("step"), lot.alias("lot")))
+    part = lambda name: rows.filter(F.col("segment") == name)
+    out = E.tree_tier(part("TRAIN"), part("VALIDATION"), part("TEST"), ["step", "lot"], [1])
+    return tidy(out.select("symbol", "trading_date", "positive", "p", "p_reason", "depth"))
+
+
 def drawn(seed, of):
     """SQL: (r, trading_date) of every draw of the date bootstrap over a view's dates."""
     return f"""dl as (select trading_date, row_number() over (order by trading_date) - 1 as i from {of} group by 1),

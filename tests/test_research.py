@@ -95,3 +95,31 @@ def test_exact_median_of_one_large_group(spark):
     rows = spark.range(200_001).select(F.lit("g").alias("g"), ((F.col("id") * 7919) % 200_003).cast("double").alias("v"))
     values = sorted(float(i * 7919 % 200_003) for i in range(200_001))
     assert ranking.exact_medians(rows, ["g"], ["v"]).first()["median_v"] == values[100_000]
+
+
+def test_a_tree_takes_the_depth_that_validation_asks_for(spark):
+    rng = random.Random(6)
+    def rows(n):
+        out = []
+        for i in range(n):
+            a, b = rng.randrange(6), rng.randrange(6)
+            y = int(((a > 2) != (b > 2)) != (rng.random() < 0.1))  # one split says nothing
+            out.append((f"S{i}", float(a), float(b) if i % 50 else None, y))
+        return spark.createDataFrame(out, "symbol string, a double, b double, positive int")
+    train, check, test = rows(1500), rows(500), rows(400)
+    got = E.tree_tier(train, check, test, ["a", "b"], [1, 3]).collect()
+    assert len(got) == 400 and {r["depth"] for r in got} == {3}
+    known = [r for r in got if r["p"] is not None]
+    assert len(known) == 392 and all(r["p_reason"] == "MISSING_FEATURE:b" for r in got if r["p"] is None)
+    assert sum((r["p"] > 0.5) == bool(r["positive"]) for r in known) / len(known) > 0.8
+    forest = E.tree_tier(train, check, test, ["a", "b"], [4], trees=8, seed=3).filter("p is not null").collect()
+    assert sum((r["p"] > 0.5) == bool(r["positive"]) for r in forest) / len(forest) > 0.75
+
+
+def test_a_tier_waits_for_the_gate_before_it(spark):
+    limits = {"auc": 0.5, "improvement": 0.0, "folds_beaten": 0.7, "calibration_error": 0.5, "concentration": 0.6}
+    E.require_gate(E.evidence_gate(scored(spark), limits, 60, "g", 10, 0.01))
+    wrong = materialize(E.evidence_gate(scored(spark, good=-1), limits, 60, "g", 10, 0.01), "gate")
+    for gate in (wrong, wrong.limit(0)):
+        with pytest.raises(E.TierNotAllowed):
+            E.require_gate(gate)
