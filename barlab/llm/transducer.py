@@ -29,9 +29,12 @@ from pyspark.sql import DataFrame
 from barlab.llm.common import lean, need, parts
 from barlab.llm.pieces import BPE, BYTE, NORMAL, SPACE, USER, PieceModel
 
-KEPT_BYTES = 32_000_000  # of best paths that a task keeps before it starts afresh
-ENTRY = 220  # bytes of a kept path beside its word and ids: two objects and their place
-KEPT_PAIRS = 300_000  # pairs of pieces a worker keeps, about 100 bytes each
+# What a worker keeps lies in two generations: when the young one is full it becomes the old one, and what is
+# asked for again comes back from there, so frequent words and pairs stay.
+KEPT_BYTES = 64_000_000  # of best paths in a generation
+MET = 1 << 22  # places to note words met once; only a word met again is kept
+ENTRY = 150  # bytes of a kept path beside its word and ids: two objects and their place
+KEPT_PAIRS = 350_000  # pairs of pieces in a generation, about 100 bytes each
 SHORT = 40  # longer words are not kept
 UNKNOWN_COST = 10.0  # unigram models: below the worst score by this
 
@@ -50,8 +53,11 @@ class Transducer:
         self.unit = re.compile(".+" if crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.S)
         self.merges = model.model == BPE
         self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         self.held = 0
+        self.met = bytearray(MET)
         self.pairs: dict[int, bool] = {}
+        self.old_pairs: dict[int, bool] = {}
         self.spines: dict[str, tuple[list, list]] = {}
         self.floor = min((model.scores[i] for i in real), default=0.0) - UNKNOWN_COST
         self.text_of = [self._emit(i) for i in range(len(model.pieces))]
@@ -102,11 +108,15 @@ class Transducer:
 
     def _arc(self, before: int, k: int) -> bool:
         """Whether the arc from piece `before` (-1: none) to piece k weighs 0; remembered in pairs."""
-        if len(self.pairs) > KEPT_PAIRS:
-            self.pairs.clear()
-        piece = self.model.pieces[k]
-        ok = bool(self._spine(piece)[0]) and (before < 0 or self._stands(self.model.pieces[before], piece))
-        self.pairs[before * self.size + k] = ok
+        key = before * self.size + k
+        ok = self.old_pairs.get(key)
+        if ok is None:
+            piece = self.model.pieces[k]
+            ok = bool(self._spine(piece)[0]) and (before < 0 or self._stands(self.model.pieces[before], piece))
+        if len(self.pairs) >= KEPT_PAIRS:
+            self.old_pairs = dict(self.pairs)
+            self.pairs.clear()  # the same object: _merged holds its lookup
+        self.pairs[key] = ok
         return ok
 
     # -- composition and shortest path --------------------------------------------------------
@@ -181,19 +191,25 @@ class Transducer:
         for unit in self.unit.findall(self.normalise(text)):
             got = words.get(unit)
             if got is None:
-                got = array("i", [k for p in self.path(unit) for k in self._ids(p)]).tobytes()
-                if len(unit) <= SHORT:
+                got = self.old_words.get(unit)
+                again = got is not None
+                if not again:
+                    got = array("i", [k for p in self.path(unit) for k in self._ids(p)]).tobytes()
+                    place = hash(unit) % MET
+                    again, self.met[place] = self.met[place], 1
+                if again and len(unit) <= SHORT:
                     self.held += ENTRY + 2 * len(unit) + len(got)
                     if self.held > KEPT_BYTES:
-                        self.forget()
+                        self.old_words, self.held = words, 0
+                        self.words = words = {}
+                        self.met = bytearray(MET)
                     words[unit] = got
             found.append(got)
         return np.frombuffer(b"".join(found), np.int32)
 
     def forget(self) -> None:
         """Drop the kept paths."""
-        self.words.clear()
-        self.held = 0
+        self.words, self.old_words, self.held = {}, {}, 0
 
     # -- the machine read backwards -----------------------------------------------------------
 
@@ -237,7 +253,6 @@ def encode(docs: DataFrame, model: PieceModel) -> DataFrame:
 
     def run(batches):
         machine = machine_of(model)
-        machine.forget()
         is_byte = np.array([k == BYTE for k in model.kinds])
         for batch in parts(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
