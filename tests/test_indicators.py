@@ -154,3 +154,25 @@ def test_one_hot_symbol_keeps_one_bar_per_day(spark):
     rows = [("HOT", weekdays(3)[i % 3], 1.0, 2.0, 0.5, float(i), 10.0) for i in range(3000)] + bar_rows("COLD", [5.0])
     got = B.one_per_day(spark.createDataFrame(rows, BAR_SCHEMA))
     assert got.count() == 4 and got.filter("symbol = 'HOT'").agg(F.max("close")).first()[0] == 2999.0
+
+
+def test_prefix_scan_equals_the_loop(spark):
+    """Seeds, periods of one, a skipped head, series of every length, and one longer than all old values reach."""
+    from barlab.functions.folds import Recursion, affine_scan
+    rng = random.Random(12)
+    data = {f"s{n}": [rng.uniform(0, 100) for _ in range(n)] for n in (1, 2, 4, 5, 6, 17, 300, 1500)}
+    rows = [(s, i, v) for s, values in data.items() for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "s string, i int, v double")
+    asked = {"one": Recursion(F.col("v"), 1, 1.0), "short": Recursion(F.col("v"), 5, 2 / 6), "wilder": Recursion(F.col("v"), 14, 1 / 14, skip=1, negligible=1e-300),
+             "slow": Recursion(F.col("v"), 200, 2 / 201)}
+    got = {}
+    for r in affine_scan(df, asked, ["s"], "i").collect():
+        got.setdefault(r["s"], {})[r["i"]] = r
+    for s, values in data.items():
+        for name, r in asked.items():
+            e = None
+            for i, v in enumerate(values):
+                start = r.skip + r.period - 1
+                e = None if i < start else sum(values[r.skip:start + 1]) / r.period if i == start else r.keep * e + r.share * v
+                found = got[s][i][name]
+                assert (found is None) == (e is None) and (e is None or found == pytest.approx(e, rel=1e-9)), (s, name, i)
