@@ -93,8 +93,9 @@ def arrival_summary(candles: DataFrame, as_of: Column | None = None) -> DataFram
     blocks = rows.groupBy("symbol", "_block", "_bucket").agg(
         F.count(F.lit(1)).alias("observations"), F.count("trading_date").alias("dated"), some(day < F.col("_prior")).alias("back"),
         some(day <= F.col("_prior")).alias("flat"), some(late).alias("late"), F.sum("_errors").alias("error_count"), F.sum("_warnings").alias("warning_count"),
-        F.min_by("_error", failed).alias("first_error"), F.min(failed).alias("_error_at"), F.min_by("trading_date", dated).alias("_first"), F.min(dated).alias("_first_at"), F.max_by("trading_date", dated).alias("_last"),
-        F.max(dated).alias("_last_at"), F.bitmap_construct_agg("_bit").alias("_days"))
+        F.min_by("_error", failed).alias("first_error"), F.min(failed).alias("_error_at"),
+        F.min_by("trading_date", dated).alias("_first"), F.min(dated).alias("_first_at"),
+        F.max_by("trading_date", dated).alias("_last"), F.max(dated).alias("_last_at"), F.bitmap_construct_agg("_bit").alias("_days"))
     block = Window.partitionBy("symbol", "_block")
     earlier = Window.partitionBy("symbol").orderBy("_block").rangeBetween(Window.unboundedPreceding, -1)
     ends = lambda kind, w: getattr(F, kind)(F.when(F.col("_last_at").isNotNull(), F.struct(f"_{w}_at", f"_{w}")))

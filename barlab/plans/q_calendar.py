@@ -188,13 +188,14 @@ def cls01(spark, sf):
     return C.classify(symbols, valid, window(spark, sf), last_closed(spark, sf), REQUIRED)
 
 
-def scan(spark, sf, daily=None):
+def scan(spark, sf, daily=None, symbol=None):
     """The calendar of weeks and its window are written once, a few hundred rows; the candles and the
-    members of the universe too."""
+    members of the universe too. With a symbol only its rows are read."""
+    own = lambda df: df if symbol is None else df.filter(F.col("symbol") == symbol)
     weeks = materialize(D.weeks(spark, sf), "weeks")
     shown = materialize(window(spark, sf, weeks), "window")
-    candles = materialize(D.weekly_candles(spark, sf, daily), "candles")
-    members = materialize(D.universe(spark, sf), "members")
+    candles = materialize(own(D.weekly_candles(spark, sf, daily)), "candles")
+    members = materialize(own(D.universe(spark, sf)), "members")
     master = D.instrument_master(spark, sf, members)
     return C.scan(U.eligible(members), U.isin_keys(master, F.col("listed")), D.fetch_failures(spark, sf, members),
                   candles, D.reviews(spark, sf), shown, last_closed(spark, sf, weeks),

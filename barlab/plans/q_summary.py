@@ -364,27 +364,43 @@ def vw3(spark, sf):
     return S.sector_status(results).join(strength.select("sector", "n", "above_pct", "median_roc"), "sector", "left")
 
 
-@query("vw4_stock_detail", sql(f"""
+DETAIL = f"""
 , shown as (select b.*, break_date from (select *, row_number() over (partition by symbol order by trading_date desc) as z from bars) b join brk using (symbol) where z <= 400),
 liv as (select symbol, list(close order by trading_date) as c from shown where break_date is null or trading_date >= break_date group by 1)
 select s.symbol, s.status, s.sector, s.instrument_key, s.isin, s.series, f.last_date, round(rsi, 6) as rsi, f.close, f.break_date,
   (select count(*) from warned w where w.symbol = s.symbol) as n_warnings, round({ema_sql('c', 20)}, 6) as chart_ema_short,
   (select nullif(least(count(*), 90), 0) from raw where raw.symbol = s.symbol) as n_candles
-from scanned s left join feat f on f.symbol = s.symbol left join liv on liv.symbol = s.symbol""", "scanned", "feat", "warned", "brk", "raw").replace("\n, shown as", ", shown as", 1))
-def vw4(spark, sf):
-    daily = D.stored_bars(spark, sf)
-    f = materialize(D.feature_quality(spark, sf, daily))
+from scanned s left join feat f on f.symbol = s.symbol left join liv on liv.symbol = s.symbol"""
+NEEDS = ("scanned", "feat", "warned", "brk", "raw")
+
+
+def detail(spark, sf, symbol=None):
+    """The rows of the detail view; of one symbol only its bars are read after the benchmark and the run's last day."""
+    every = D.stored_bars(spark, sf)
+    daily = every if symbol is None else materialize(every.filter(F.col("symbol") == symbol), "bars")
+    f = materialize(FT.compute_features(daily, D.benchmark(spark, sf, every), P), "features")
     breaks = B.last_breaks(daily, P.break_low_ratio, P.break_high_ratio)
     chart = I.chart_ema(daily, breaks, {"chart_ema_short": P.ema_short}, 400)
     chart = chart.groupBy("symbol").agg(F.max_by("chart_ema_short", "trading_date").alias("chart_ema_short"))
     candles = S.latest_snapshots(Q.snapshots(D.raw_candles(spark, sf, daily)), 90).groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n_candles"))
     more = S.features_of(f, f.drop("break_date", "break_ratio"), f, daily).select("symbol", "last_date", "rsi", "close", "break_date")
-    w = warned(spark, sf, daily, f).select("symbol", "status", "sector", "instrument_key", "isin", "series",
-                                 F.size("warnings").alias("n_warnings"))
+    quality = FT.mark_stale(f, every)
+    w = S.warnings(scan(spark, sf, daily, symbol), quality, "v1", P.high_window).select(
+        "symbol", "status", "sector", "instrument_key", "isin", "series", F.size("warnings").alias("n_warnings"))
     return tidy(w.join(more, "symbol", "left").join(chart, "symbol", "left").join(candles, "symbol", "left"))
 
 
+@query("vw4_stock_detail", sql(DETAIL, *NEEDS).replace("\n, shown as", ", shown as", 1))
+def vw4(spark, sf):
+    return detail(spark, sf)
+
+
+@query("vw4_one_stock", sql(DETAIL + " where s.symbol = 'S000007'", *NEEDS).replace("\n, shown as", ", shown as", 1))
+def vw4_one(spark, sf):
+    return detail(spark, sf, "S000007")
+
+
 @query("vw4_stock_candles", sql("""
 select symbol, trading_date, cast(open as varchar) as open, cast(high as varchar) as high, cast(low as varchar) as low, cast(close as varchar) as close, volume, status, errors, content_hash from
  (select *, case when missing or found <> '' then 'INVALID' else 'VALID' end as status, case when missing then 'MISSING_FIELD' else found end as errors,
