@@ -31,8 +31,7 @@ from barlab.llm.pieces import BPE, BYTE, NORMAL, SPACE, USER, PieceModel
 
 # What a worker keeps lies in two generations: when the young one is full it becomes the old one, and what is
 # asked for again comes back from there, so frequent words and pairs stay.
-KEPT_BYTES = 64_000_000  # of best paths in a generation
-MET = 1 << 22  # places to note words met once; only a word met again is kept
+KEPT_BYTES = 70_000_000  # of best paths in a generation
 ENTRY = 150  # bytes of a kept path beside its word and ids: two objects and their place
 KEPT_PAIRS = 350_000  # pairs of pieces in a generation, about 100 bytes each
 SHORT = 40  # longer words are not kept
@@ -55,7 +54,6 @@ class Transducer:
         self.words: dict[str, bytes] = {}
         self.old_words: dict[str, bytes] = {}
         self.held = 0
-        self.met = bytearray(MET)
         self.pairs: dict[int, bool] = {}
         self.old_pairs: dict[int, bool] = {}
         self.spines: dict[str, tuple[list, list]] = {}
@@ -192,17 +190,13 @@ class Transducer:
             got = words.get(unit)
             if got is None:
                 got = self.old_words.get(unit)
-                again = got is not None
-                if not again:
+                if got is None:
                     got = array("i", [k for p in self.path(unit) for k in self._ids(p)]).tobytes()
-                    place = hash(unit) % MET
-                    again, self.met[place] = self.met[place], 1
-                if again and len(unit) <= SHORT:
+                if len(unit) <= SHORT:
                     self.held += ENTRY + 2 * len(unit) + len(got)
                     if self.held > KEPT_BYTES:
                         self.old_words, self.held = words, 0
                         self.words = words = {}
-                        self.met = bytearray(MET)
                     words[unit] = got
             found.append(got)
         return np.frombuffer(b"".join(found), np.int32)
@@ -266,6 +260,5 @@ def encode(docs: DataFrame, model: PieceModel) -> DataFrame:
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                 pa.array([hashlib.sha256(b.encode("utf-8", "surrogatepass")).hexdigest() for b in back]),
                 pa.array([b == t for b, t in zip(back, texts)])], schema=schema)
-        machine.forget()
 
     return need(docs, "doc_id", "text").mapInArrow(lean(run), OUTPUT)
