@@ -6,8 +6,8 @@ similarity of SIMILAR or more over five-word shingles, computed on the texts. A
 No group is expanded into pairs. Of every bucket first only the pairs with its leader are compared, which joins
 most of a large group of copies to one class. What the classes found so far leave apart within a
 bucket is compared pair by pair in small buckets, and in large ones with other leaders in further bands of the
-sketch, turn by turn until nothing new is found (see _links). A link between two classes of a large bucket can
-only be lost if its texts meet neither each other nor a common leader in any side band of any turn.
+sketch, turn by turn until nothing new is found; then all pairs of different classes that share one of the rare
+shingles that texts of a link must share are compared (see _links).
 """
 from __future__ import annotations
 
@@ -28,7 +28,8 @@ SKETCH_SIMILAR = 0.66
 LANES = 0x1111111111111111  # lowest bit of each four
 BROADCAST_KEYS = 500_000  # 40 bytes each when broadcast; more are joined by shuffle
 FEW = 12  # members of a bucket that are compared pair by pair
-SEATS = 2  # nodes of a larger one, beside its leader, that all its members are compared with
+SEATS = 2  # nodes of a larger one, beside its leader, that all its members are compared with in a turn
+SLOTS = 2 ** 20  # counts of cells, which only order them
 
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _SKETCH = dart.COORDINATES // 16
@@ -136,21 +137,80 @@ def _side_bands(node: str) -> Column:
     return F.array(*[F.xxhash64(F.lit(i), h) for i, h in enumerate(low + high)])
 
 
+def _merged(state: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The classes (id, class) after further links (a, b). What is joined are classes, once per pair of them, so
+    links inside a class cost nothing from here on."""
+    if state is None:
+        ends = links.select("a", "b")
+    else:
+        known = state.select(F.col("id").alias("i"), F.col("class").alias("c"))
+        one = links.join(known, F.col("a") == F.col("i"), "left").select(F.coalesce("c", "a").alias("p"), F.col("b").alias("q"))
+        ends = one.join(known, F.col("q") == F.col("i"), "left").select(F.col("p").alias("a"), F.coalesce("c", "q").alias("b")).where("a <> b")
+        ends = ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    both = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    tops = components(materialize(ends.select(both.alias("l")).select("l.a", "l.b"), "links"))
+    if state is None:
+        return tops
+    named = tops.select(F.col("id").alias("i"), F.col("class").alias("c"))
+    old = state.join(named, F.col("class") == F.col("i"), "left").select("id", F.coalesce("c", "class").alias("class"))
+    return materialize(old.unionByName(tops.join(state.select("id"), "id", "left_anti")), "classes")
+
+
+def _prefixes(texts: DataFrame) -> DataFrame:
+    """(id, cell): of every text the cells of which two texts of similarity SIMILAR share at least one.
+
+    Such texts share at least SIMILAR of the cells of either, so in any order common to all texts the first
+    (1 - SIMILAR) of them and one more cannot all be missing in the other. Cells in few texts come first, by a
+    count over all texts in SLOTS slots and then by the cell, so what many texts have in common is in no prefix.
+    """
+    def count(batches):
+        total = np.zeros(SLOTS, np.int64)
+        for batch in parts(batches, 1):
+            total += np.bincount(_slots(_folded(batch)[0]), minlength=SLOTS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["slot", "n"])
+
+    rows = texts.select("id", "text")
+    found = rows.mapInArrow(lean(count), "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    held = np.zeros(SLOTS, np.int64)
+    held[found["slot"].to_numpy()] = found["n"].to_numpy()
+
+    def run(batches):
+        for batch in parts(batches, 1):
+            cell, doc = _folded(batch)
+            order = np.lexsort((cell, held[_slots(cell)], doc))
+            cell, doc = cell[order], doc[order]
+            size = np.bincount(doc, minlength=batch.num_rows)
+            place = np.arange(len(cell)) - (np.cumsum(size) - size)[doc]
+            keep = place <= (size - np.ceil(SIMILAR * size - 1e-9))[doc]
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[doc[keep]]), pa.array(cell[keep].view(np.int64))], names=["id", "cell"])
+
+    return rows.mapInArrow(lean(run), "id bigint, cell bigint")
+
+
+def _folded(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return dart.cells([t.encode("utf-8", "surrogatepass").lower() for t in batch.column(1).to_pylist()])
+
+
+def _slots(cell: np.ndarray) -> np.ndarray:
+    return (cell % np.uint64(SLOTS)).astype(np.int64)
+
+
 def _links(members: DataFrame, texts: DataFrame) -> DataFrame:
     """(id, class) of the nodes that have links; members: (v, n, node) of every bucket of two or more.
 
     node is (id, sketch). The leader of a bucket is the node whose buckets hold most members: the text that
-    the others are copies of, if it is there. What the leaders leave in different classes is compared pair
-    by pair in buckets of FEW members or fewer. The nodes of larger ones are dealt out again by side bands: a pair
-    of similarity SIMILAR shares one with probability 0.99. There each is compared with the leader and with
-    SEATS nodes of other classes picked by a hash, or with all others where they are few, until a turn
-    finds no link. So the pairs looked at grow with the nodes, not with the square of a group.
+    the others are copies of, if it is there. Every node is compared with the first of its leaders, then with
+    those of another class. What they leave in different classes is compared pair by pair in buckets of FEW
+    members or fewer. The nodes of larger ones are dealt out again by side bands, where each is compared with the
+    leader and with SEATS nodes of other classes picked by a hash, or with all others where they are few, until
+    a turn finds no link. All pairs of different classes that are left then, and whose texts can be links at all,
+    meet by a rare cell they share (see _prefixes). So no link within a bucket is left out, and the pairs looked
+    at grow with the nodes, not with the square of a group.
     """
     def compared(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.where(_alike(F.col("p"), F.col("q"))).select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b"))
-        found = _verified(pairs.distinct(), texts)
-        either = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
-        return found.select(either.alias("l")).select("l.a", "l.b")
+        return _verified(pairs.select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b")).distinct(), texts)
 
     def met(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
         """Pairs of nodes of different classes that share a key; left: key, node, class; right: key, node, class."""
@@ -159,20 +219,32 @@ def _links(members: DataFrame, texts: DataFrame) -> DataFrame:
         return one.join(two, (F.col("k") == F.col("w")) & (F.col("cp") != F.col("cq")) & _alike(F.col("p"), F.col("q"))).select("p", "q")
 
     def others(rows: DataFrame, key: str) -> DataFrame:
-        """All pairs, from one side: for keys of FEW rows."""
+        """All pairs, from one side."""
         return met(rows, rows, key).where("p.id < q.id")
 
+    def still_open(rows: DataFrame, state: DataFrame) -> DataFrame:
+        """The rows (v, n, node) of buckets that hold several classes, with the class of the node."""
+        placed = rows.join(state, F.col("node.id") == F.col("id"), "left").select("v", "n", "node", F.coalesce("class", "node.id").alias("class"))
+        several = placed.groupBy("v").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("v")
+        return placed.join(several, "v")
+
     weight = materialize(members.groupBy(F.col("node.id").alias("id")).agg(F.sum("n").alias("w")), "weights")
-    heads = members.join(weight, F.col("node.id") == F.col("id")).groupBy("v").agg(F.max_by("node", F.struct("w", "id")).alias("p"))
-    links = materialize(compared(members.join(heads, "v").select("p", F.col("node").alias("q")).where("p.id <> q.id")), "links")
-    turn, scope = 0, members
+    heads = members.join(weight, F.col("node.id") == F.col("id")).groupBy("v").agg(F.max_by("node", F.struct("w", "id")).alias("p"), F.max("w").alias("w"))
+    led = members.join(heads, "v").withColumn("q", F.col("node")).where("p.id <> q.id").where(_alike(F.col("p"), F.col("q")))
+    led = materialize(led.groupBy(F.col("p.id").alias("a"), F.col("q.id").alias("b")).agg(F.max("w").alias("w")), "led")
+    state = _merged(None, _verified(led.groupBy("b").agg(F.max_by("a", F.struct("w", "a")).alias("a")).select("a", "b"), texts))
+    known = state.select(F.col("id").alias("i"), F.col("class").alias("c"))
+    rest = led.join(known, F.col("a") == F.col("i"), "left").select("a", "b", F.coalesce("c", "a").alias("ca"))
+    rest = rest.join(known, F.col("b") == F.col("i"), "left").where(F.col("ca") != F.coalesce("c", "b"))
+    state = _merged(state, _verified(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), texts))
+    mine = materialize(still_open(members, state), "mine")
+    state = _merged(state, compared(others(mine.where(F.col("n") <= FEW), "v")))
+    scope, turn = mine.where(F.col("n") > FEW).select("v", "n", "node"), 0
     while True:
-        state = components(links)
-        placed = scope.join(state, F.col("node.id") == F.col("id"), "left").select("v", "n", "node", F.coalesce("class", "node.id").alias("class"))
-        open_ = placed.groupBy("v").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("v")
-        mine = materialize(placed.join(open_, "v"), "mine")
-        few = others(mine.where(F.col("n") <= FEW), "v") if turn == 0 else None
-        many = mine.where(F.col("n") > FEW).select("node", "class", F.col("node.id").alias("id")).dropDuplicates(["id"]).join(weight, "id")
+        mine = materialize(still_open(scope, state), "mine")  # a bucket of one class stays so
+        if mine.isEmpty():
+            return state
+        many = mine.select("node", "class", F.col("node.id").alias("id")).dropDuplicates(["id"]).join(weight, "id")
         dealt = many.select("node", "class", "w", F.explode(_side_bands("node")).alias("u"))
         shared = dealt.groupBy("u").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("u", "n")
         dealt = materialize(dealt.join(shared, "u"), "dealt")
@@ -182,15 +254,16 @@ def _links(members: DataFrame, texts: DataFrame) -> DataFrame:
         seats = crowd.groupBy("u", F.pmod(F.xxhash64("node.id", F.lit(turn)), F.lit(SEATS)).alias("seat")).agg(
             F.min_by(named, F.xxhash64("node.id", "u", F.lit(turn))).alias("h")).drop("seat")
         pairs = met(crowd, first.unionByName(seats).select("u", "h.node", "h.class"), "u").unionByName(others(dealt.where(F.col("n") <= FEW), "u"))
-        fresh = materialize(compared(pairs), "links")
-        done = fresh.isEmpty()
-        if done and few is None:
-            return state
-        links = materialize(links.union(fresh) if few is None else links.union(fresh).union(compared(few)), "links")
-        if done:  # small buckets are compared in full, so they need no further turn
-            return components(links)
-        # a bucket of one class stays so, and small ones are done
-        turn, scope = turn + 1, mine.where(F.col("n") > FEW).select("v", "n", "node")
+        fresh = materialize(compared(pairs), "fresh")
+        if fresh.isEmpty():
+            break
+        state, scope, turn = _merged(state, fresh), mine.select("v", "n", "node"), turn + 1
+    left = materialize(mine.select("node", "class", F.col("node.id").alias("id")).dropDuplicates(["id"]), "left")
+    rare = _prefixes(texts.join(left.select("id"), "id")).join(left.select("id", "class"), "id")
+    rare = materialize(rare, "rare")
+    several = rare.groupBy("cell").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("cell")
+    rare = rare.join(several, "cell").select("cell", "id").join(left, "id")
+    return _merged(state, compared(others(rare, "cell")))
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import itertools
 import numpy as np
 import pytest
 from conftest import awkward_rows, prose, row
+from pyspark.sql import functions as F
 
 from barlab.llm import dartminhash, neardup
 
@@ -106,6 +107,27 @@ def test_a_large_group_whose_middle_pair_is_no_link(make):
     assert len({(named[i], top[i]) for i in range(len(texts))}) == len(set(named.values()))
 
 
+@pytest.mark.parametrize("changes", [10, 20])
+def test_links_that_no_leader_finds(make, monkeypatch, changes):
+    """Large buckets alone and no meeting in side bands: the exact way finds every link of the texts left."""
+    monkeypatch.setattr(neardup, "FEW", 1)
+    monkeypatch.setattr(neardup, "_side_bands", lambda node: F.array(F.col(f"{node}.id")))
+    texts = [t for s in range(3) for t in family(20 + s, 40, 150, changes)]
+    rows = [row(i, t) for i, t in enumerate(texts)]
+    assert got(make(rows)) == brute(rows)
+
+
+def test_texts_of_a_link_share_a_prefix_cell(make):
+    texts = [*family(8, 60, 100, 12), "one two three", "a b c d e f", ""]
+    table = make([row(i, t) for i, t in enumerate(texts)]).select(F.col("doc_id").alias("id"), "text")
+    cells = {}
+    for r in neardup._prefixes(table).collect():
+        cells.setdefault(r.id, set()).add(r.cell)
+    for a, b in itertools.combinations(range(60), 2):
+        assert neardup.likeness(texts[a], texts[b]) < neardup.SIMILAR or cells[a] & cells[b]
+    assert len(cells[0]) == 96 - 77 + 1 and len(cells[60]) == 1 and 62 not in cells
+
+
 def test_one_of_each_class_stays(make):
     texts = list(family(3, 10)) + [prose(1, 30), prose(1, 30), prose(2, 30)]
     rows = [row(50 - i, t) for i, t in enumerate(texts)] + [row(38, prose(2, 30))]
