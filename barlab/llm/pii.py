@@ -1,7 +1,7 @@
 """Personal data: high-recall candidate spans, boosted trees on format and context, calibrated thresholds.
 
 Base spans of four kinds (email, ip, card, phone) are found by fixed patterns and always kept. Generators
-propose further, overlapping spans; one tree model per kind, fitted on a bounded sample, decides on them.
+propose further, overlapping spans; one tree model per kind, fitted on all documents, decides on them.
 """
 from __future__ import annotations
 
@@ -12,13 +12,11 @@ from bisect import bisect_right
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from barlab.llm.boosting import Boosted, calibrated
-from barlab.llm.common import clear_of, hash_below, map_rows, need
+from barlab.llm.boosting import Boosted, binned, calibrated, fit_all, held_cells, quantile_cuts
+from barlab.llm.common import clear_of, map_rows, need
+from barlab.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-# Bounds of the fitted sample: documents looked at (expected) and candidate rows kept.
-TRAIN_DOCS = 20_000
-TRAIN_ROWS = 20_000
 PRECISION = 0.995  # on held-out candidates, for a span beyond the base ones
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -136,26 +134,22 @@ def labelled(text: str) -> list[dict]:
 def fit(docs: DataFrame) -> dict[str, tuple[Boosted, float]]:
     """A tree model and its threshold per kind; a kind without enough labelled spans gets none.
 
-    The sample is chosen by a hash of the text: about TRAIN_DOCS documents, at most TRAIN_ROWS
-    distinct candidate rows (the smallest hashes). Nulls are left out; an empty table gives no model.
+    Every document counts: bins, trees and thresholds come from all distinct candidate rows, a third of them,
+    by hash, held out for the threshold. Nulls are left out; an empty table gives no model.
     """
     texts = need(docs, "text").where("text is not null")
-    share = min(1.0, TRAIN_DOCS / max(1, texts.count()))
-    picked = texts.where(hash_below("text", share))
-    rows = map_rows(picked, lambda: lambda batch: [r for d in batch for r in labelled(d["text"])], "kind string, x array<double>")
-    rows = rows.distinct().withColumn("h", F.xxhash64("kind", "x")).orderBy("h").limit(TRAIN_ROWS).collect()
-    models: dict[str, tuple[Boosted, float]] = {}
-    if not rows:
-        return models
-    x = np.array([r["x"] for r in rows], float)
-    held = np.array([r["h"] % 3 == 0 for r in rows])
-    for kind in KINDS:
-        y = np.array([r["kind"] == kind for r in rows], float)
-        if y[~held].sum() < 20 or y[held].sum() < 10 or y.all():
-            continue
-        model = Boosted().fit(x[~held], y[~held])
-        models[kind] = (model, max(0.5, calibrated(model.predict(x[held]), y[held], PRECISION, 10)))
-    return models
+    rows = map_rows(texts, lambda: lambda batch: [r for d in batch for r in labelled(d["text"])], "kind string, x array<double>")
+    rows = materialize(rows.distinct().withColumn("held", F.xxhash64("kind", "x") % 3 == 0), "labelled")
+    train, held = rows.where("not held"), rows.where("held")
+    count = lambda k: F.struct(*[F.count_if((F.col("kind") == k) & w).alias(n) for n, w in (("train", ~F.col("held")), ("held", F.col("held")))]).alias(k)
+    found = rows.agg(F.count(F.lit(1)).alias("n"), *[count(k) for k in KINDS]).first()
+    labels = [i for i, k in enumerate(KINDS) if found[k]["train"] >= 20 and found[k]["held"] >= 10 and sum(found[k]) < found["n"]]
+    if not labels:
+        return {}
+    cuts = quantile_cuts(train, WIDTH)
+    models = fit_all(materialize(binned(train, cuts, list(KINDS)), "binned"), cuts, labels)
+    cells = held_cells(held.withColumn("k", F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")) - 1), models)
+    return {KINDS[i]: (m, max(0.5, calibrated(*cells[i][:2], PRECISION, 10, cells[i][2]))) for i, m in models.items()}
 
 
 def all_spans(texts: list[str], models: dict) -> list[tuple[list, list]]:

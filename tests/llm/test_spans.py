@@ -7,7 +7,9 @@ import numpy as np
 import pytest
 from conftest import awkward_rows, prose, row
 
-from barlab.llm import pii, secrets
+from pyspark.sql import functions as F
+
+from barlab.llm import boosting, pii, secrets
 from barlab.llm.automata import Automaton
 from barlab.llm.boosting import Boosted, calibrated
 
@@ -130,6 +132,33 @@ def test_boosted_trees_learn_and_thresholds_hold():
     assert calibrated(np.array([0.1]), np.array([0.0]), 0.9, 1) == float("inf")
 
 
+@pytest.mark.parametrize("local", [20_000, 0])
+def test_trees_of_a_table_are_those_of_its_rows(spark, monkeypatch, local):
+    monkeypatch.setattr(boosting, "LOCAL_ROWS", local)
+    monkeypatch.setattr(boosting, "TASK_ROWS", 150)
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 40, (600, 3)).astype(float)
+    y = (x[:, 0] > 20) ^ (x[:, 1] > 30)
+    rows = spark.createDataFrame([(a.tolist(), "yes" if b else "no", False) for a, b in zip(x, y)], "x array<double>, kind string, held boolean")
+    cuts = boosting.quantile_cuts(rows, 3)
+    model = boosting.fit_all(boosting.binned(rows, cuts, ["yes"]).cache(), cuts, [0], trees=6)[0]
+    assert np.allclose(model.predict(x), Boosted(trees=6).fit(x, y.astype(float)).predict(x), atol=1e-5)
+    score, hits, n = boosting.held_cells(rows.withColumn("k", F.when(F.col("kind") == "yes", 0).otherwise(-1)), {0: model})[0]
+    assert n.sum() == 600 and hits.sum() == y.sum()
+    assert abs(calibrated(score, hits, 0.9, 10, n) - calibrated(model.predict(x), y.astype(float), 0.9, 10)) <= 1 / boosting.CELLS
+
+
+def test_every_candidate_is_learned_from(make, spark):
+    """More distinct candidate rows than a sample of 20,000: the share a model starts from is that of all rows."""
+    texts = [" ".join(f"{'a' * i}{'1' * j}@b{'.d' * m}" for i in range(1, 41) for j in range(1, 21)) for m in range(1, 13)]
+    models = pii.fit(make([row(i, t) for i, t in enumerate(texts)]))
+    every = {(r["kind"], tuple(r["x"])) for t in texts for r in pii.labelled(t)}
+    assert len(every) > 20_000
+    known = spark.createDataFrame([(k, list(x)) for k, x in every], "kind string, x array<double>").where("xxhash64(kind, x) % 3 <> 0")
+    share = known.agg(F.avg((F.col("kind") == "email").cast("double"))).first()[0]
+    assert models["email"][0].start == pytest.approx(np.log(share / (1 - share)), abs=1e-9)
+
+
 def test_spans_clear_of_others_against_all_pairs():
 
     from barlab.llm.common import clear_of
