@@ -1,13 +1,17 @@
 """Scores of predictions: baseline, losses, calibration, concentration, date bootstrap."""
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barlab.operators.asof import in_force_by_day
-from barlab.operators.ranking import average_ranks, decile_bins, positions
+from barlab.operators.ranking import average_ranks, decile_bins
 from barlab.session import materialize
 
-SCORE_BLOCK = 4096  # distinct scores ordered in one window
+SCORE_BLOCK = 4096  # sorted counts walked at once, with a number per replicate each
 CLIP = 1e-6  # fixed value: probabilities are kept this far from 0 and 1 in the log loss
 
 
@@ -225,29 +229,61 @@ def ratio_bootstrap(rows: DataFrame, above: Column, below: Column, replicates: i
 
 
 def auc_bootstrap(rows: DataFrame, replicates: int, seed: str, cells: int | None = None) -> DataFrame:
-    """Area under the ROC curve in each replicate (ML11). With `cells` None the order of the scores is exact:
-    they are counted per date and distinct score, and summed up in blocks of SCORE_BLOCK scores, then over
-    blocks; as in `auc`, rows without a score are left out. With a number, scores of one of so many cells of
-    equal width are ties, which is another statistic when scores lie close together."""
-    if cells is None:
-        counted = rows.filter(F.col("p").isNotNull()).withColumn("place", F.col("p"))
-    else:
-        counted = rows.withColumn("place", F.least(F.floor(F.col("p") * cells), F.lit(cells - 1)).cast("int"))
-    daily = counted.groupBy("trading_date", "place").agg(F.sum("positive").alias("n1"), F.sum(1 - F.col("positive")).alias("n0"))
+    """Area under the ROC curve in each replicate (ML11). With `cells` None the order of the scores is exact; as in
+    `auc`, rows without a score are left out. With a number, scores of one of so many cells of equal width are
+    ties, which is another statistic when scores lie close together.
+
+    Scores are counted per date and place and sorted over all tasks once. A task walks its places with all
+    replicates side by side and gives one row for each, so replicates are never shuffled; how often each
+    date is drawn is one small table, replicates times dates, that every task gets.
+    """
     if cells is None:
-        daily = materialize(daily)
-        blocks = positions(daily.select("place").distinct(), [F.asc("place")], "_s").select("place", F.floor(F.col("_s") / SCORE_BLOCK).alias("block"))
-        daily = daily.join(blocks, "place")
+        counted = rows.filter(F.col("p").isNotNull()).withColumn("place", F.col("p").cast("double"))
     else:
-        daily = daily.withColumn("block", F.lit(0))
-    drawn = date_draws(rows, replicates, seed).join(daily, "trading_date").groupBy("replicate", "block", "place").agg(
-        F.sum(F.col("times") * F.col("n1")).alias("n1"), F.sum(F.col("times") * F.col("n0")).alias("n0"))
-    upto = lambda groups, order: Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    below = lambda groups, order: F.coalesce(F.sum("n0").over(upto(groups, order)), F.lit(0))
-    ranked = drawn.withColumn("_u", F.col("n1") * (below(["replicate", "block"], "place") + F.col("n0") / 2))
-    summed = ranked.groupBy("replicate", "block").agg(F.sum("_u").alias("_u"), F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-    summed = summed.withColumn("_u", F.col("_u") + F.col("n1") * below(["replicate"], "block"))
-    return summed.groupBy("replicate").agg(F.try_divide(F.sum("_u"), (F.sum("n1") * F.sum("n0")).cast("double")).alias("estimate"))
+        counted = rows.withColumn("place", F.least(F.floor(F.col("p") * cells), F.lit(cells - 1)).cast("double"))
+    drawn = materialize(date_draws(rows, replicates, seed).groupBy("trading_date").agg(F.collect_list(F.struct("replicate", "times")).alias("t")), "drawn")
+    drawn = drawn.withColumn("_d", F.row_number().over(Window.orderBy("trading_date")) - 1).collect()  # one row per day
+    times = np.zeros((len(drawn), replicates), np.int64)
+    for r in drawn:
+        for replicate, n in r["t"]:
+            times[r["_d"], replicate] = n
+    days = rows.sparkSession.createDataFrame([(r["trading_date"], r["_d"]) for r in drawn], counted.select("trading_date", F.lit(0).alias("_d")).schema)
+    whole = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    daily = counted.groupBy("trading_date", "place").agg(whole(F.col("positive")).alias("n1"), whole(1 - F.col("positive")).alias("n0"))
+    daily = materialize(daily.join(F.broadcast(days), "trading_date").select("place", "_d", "n1", "n0"), "daily")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Twice the pairs in order, positives and negatives per replicate, of places in ascending order."""
+        pairs, n1, n0 = (np.zeros(replicates, np.int64) for _ in range(3))
+        first = last = None
+        open_ = np.zeros((2, replicates), np.int64)  # of the place that may go on in the next batch
+        for rows in batches:
+            for at in range(0, rows.num_rows, SCORE_BLOCK):
+                batch = rows.slice(at, SCORE_BLOCK)
+                place, day, pos, neg = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+                often = times[day]
+                starts = np.flatnonzero(np.concatenate([[True], ~((place[1:] == place[:-1]) | np.isnan(place[1:]) & np.isnan(place[:-1]))]))
+                y1, y0 = (np.add.reduceat(often * c[:, None], starts) for c in (pos, neg))
+                if last is not None and (place[0] == last or np.isnan(place[0]) and np.isnan(last)):
+                    y1[0], y0[0] = y1[0] + open_[0], y0[0] + open_[1]
+                else:
+                    y1, y0 = np.vstack([open_[:1], y1]), np.vstack([open_[1:], y0])
+                first, last, open_ = place[0] if first is None else first, place[-1], np.stack([y1[-1], y0[-1]])
+                y1, y0 = y1[:-1], y0[:-1]
+                pairs += (y1 * (2 * (n0 + np.cumsum(y0, 0) - y0) + y0)).sum(0)
+                n1, n0 = n1 + y1.sum(0), n0 + y0.sum(0)
+        if first is not None:
+            pairs += open_[0] * (2 * n0 + open_[1])
+            n1, n0 = n1 + open_[0], n0 + open_[1]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(replicates, first)), *[pa.array(c) for c in (np.arange(replicates), pairs, n1, n0)]],
+                                             names=["first", "replicate", "u", "n1", "n0"])
+
+    walked = daily.repartitionByRange(F.col("place")).sortWithinPartitions("place").select("place", "_d", "n1", "n0") \
+        .mapInArrow(walk, "first double, replicate bigint, u bigint, n1 bigint, n0 bigint")
+    before = Window.partitionBy("replicate").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    summed = walked.withColumn("_b", F.coalesce(F.sum("n0").over(before), F.lit(0))).groupBy("replicate").agg(
+        F.sum(F.col("u") / 2 + F.col("n1") * F.col("_b")).alias("_u"), F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    return summed.filter("n1 + n0 > 0").select("replicate", F.try_divide("_u", (F.col("n1") * F.col("n0")).cast("double")).alias("estimate"))
 
 
 def evidence_gate(rows: DataFrame, limits: dict[str, float], replicates: int, seed: str, minimum: int, fraction: float,

@@ -53,6 +53,20 @@ def test_scores_of_one_cell_keep_their_order(spark, monkeypatch):
     assert E.evidence_gate(rows, limits, 60, "g", 10, 0.01).filter("criterion = 'auc'").first()["passes"]
 
 
+def test_replicates_are_not_multiplied_with_the_scores(spark, monkeypatch):
+    """No step of the plan holds a row per replicate and score, and places that go on in the next piece are one."""
+    monkeypatch.setattr(E, "SCORE_BLOCK", 5)
+    rows = materialize(scored(spark, 200).withColumn("p", F.round("p", 1)), "rows")
+    out = E.auc_bootstrap(rows, 4, "s")
+    assert "place" not in out._jdf.queryExecution().optimizedPlan().toString().partition("MapInArrow")[0]
+    often = {(r["replicate"], r["trading_date"]): r["times"] for r in E.date_draws(rows, 4, "s").collect()}
+    data = [(r["trading_date"], r["p"], r["positive"]) for r in rows.collect()]
+    for r in out.collect():
+        cells = [(p, y, often.get((r["replicate"], d), 0)) for d, p, y in data]
+        wins = sum(n * m * ((p > q) + 0.5 * (p == q)) for p, y, n in cells if y for q, z, m in cells if not z)
+        assert r["estimate"] == pytest.approx(wins / sum(n for _, y, n in cells if y) / sum(n for _, y, n in cells if not y))
+
+
 def test_gate_passes_skill_and_stops_its_opposite(spark):
     limits = {"auc": 0.5, "improvement": 0.0, "folds_beaten": 0.7, "calibration_error": 0.5, "concentration": 0.6}
     gate = lambda good: {r["criterion"]: r["passes"] for r in E.evidence_gate(scored(spark, good=good), limits, 60, "g", 10, 0.01).collect()}
