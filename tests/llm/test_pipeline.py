@@ -62,4 +62,4 @@ def test_query_equals_its_sql(spark, tables, name):
 def test_all_are_registered():
     names = set(entry.queries())
     assert {"pipeline", *(n for n in names if n.startswith("op"))} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 14))
