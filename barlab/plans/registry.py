@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barlab.session import prepare
+from barlab.session import bound_tasks, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,7 +16,7 @@ def query(name: str, oracle: str | None = None):
     def add(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = lambda spark, sf_dir: fn(prepare(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: fn(bound_tasks(prepare(spark)), sf_dir)
         if oracle:
             ORACLES[name] = oracle
         return fn
