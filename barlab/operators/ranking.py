@@ -3,12 +3,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barlab.session import materialize
+from barlab.session import materialize, small
 
 # Sketch resolution for medians, and the share of rows kept on either side of the middle.
 # The margin is ten times the sketch's own rank error.
 SKETCH_ACCURACY = 10_000
 MARGIN = 10 / SKETCH_ACCURACY
+BROADCAST_GROUPS = 100_000  # one row a group and metric when broadcast; more are joined by shuffle
 
 
 def positions(df: DataFrame, keys: list[Column], name: str = "position") -> DataFrame:
@@ -83,7 +84,8 @@ def exact_medians(df: DataFrame, groups: list[str], values: list[str], digits: i
     keys = [*groups, "metric"]
     sketch = long.groupBy(*keys).agg(
         F.percentile_approx("v", [0.5 - MARGIN, 0.5 + MARGIN], SKETCH_ACCURACY).alias("_b"), F.count("v").alias("_n"))
-    tally = (long.join(sketch, keys).filter(F.col("v") <= F.col("_b")[1])
+    sketch = materialize(sketch, "sketch")
+    tally = (long.join(small(sketch, BROADCAST_GROUPS), keys).filter(F.col("v") <= F.col("_b")[1])
              .groupBy(*keys, "_n", F.when(F.col("v") >= F.col("_b")[0], F.col("v")).alias("at"))
              .agg(F.count(F.lit(1)).alias("c")))
     # a prefix sum over range-sorted tasks, as in average_ranks: no task orders a whole group
