@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from barlab.operators.bars import latest_copy
-from barlab.session import materialize
+from barlab.session import materialize, small
+
+BROADCAST_RUNS = 100_000  # names of runs; more are joined by shuffle
 
 
 class AlreadyStored(ValueError):
@@ -34,7 +36,8 @@ def replace_rows(rows: DataFrame, path: str, key: list[str], order: Column) -> N
     merged = latest_copy(rows, key, order).withColumn("_new", F.lit(1))
     held = held_table(spark, rows.schema, path)
     if held is not None:
-        touched = held.join(rows.select("run_id").distinct(), "run_id", "left_semi")
+        runs = materialize(rows.select("run_id").distinct(), "runs")
+        touched = held.join(small(runs, BROADCAST_RUNS), "run_id", "left_semi")
         both = merged.unionByName(touched.withColumn("_new", F.lit(0)))
         # the table is read and rewritten, so the merged rows are put down first
         merged = materialize(latest_copy(both, key, F.col("_new")))
