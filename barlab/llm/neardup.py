@@ -6,8 +6,8 @@ similarity of SIMILAR or more over five-word shingles, computed on the texts. A
 No group is expanded into pairs. Of every bucket first only the pairs with its leader are compared, which joins
 most of a large group of copies to one class. What the classes found so far leave apart within a
 bucket is compared pair by pair in small buckets, and in large ones with other leaders in further bands of the
-sketch, turn by turn until nothing new is found; then all pairs of different classes that share one of the rare
-shingles that texts of a link must share are compared (see _links).
+sketch; then all pairs of different classes that share one of the rare shingles that texts of a link must share
+are compared, block by block (see _links and _across).
 """
 from __future__ import annotations
 
@@ -16,11 +16,12 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barlab.llm import dartminhash as dart
 from barlab.llm.common import free_name, lean, need, parts
-from barlab.session import materialize
+from barlab.session import materialize, small
 
 SIMILAR = 0.8
 # Pairs whose four-bit sketches put them below this are not compared: 4.6 standard deviations under SIMILAR.
@@ -28,8 +29,11 @@ SKETCH_SIMILAR = 0.66
 LANES = 0x1111111111111111  # lowest bit of each four
 BROADCAST_KEYS = 500_000  # 40 bytes each when broadcast; more are joined by shuffle
 FEW = 12  # members of a bucket that are compared pair by pair
-SEATS = 2  # nodes of a larger one, beside its leader, that all its members are compared with in a turn
+SEATS = 2  # nodes of a larger one, beside its leader, that all its members are compared with
 SLOTS = 2 ** 20  # counts of cells, which only order them
+BLOCK, BLOCK_CELLS = 512, 2_000_000  # texts and their cells that are compared at once with as many others
+COLUMNS = 4096  # cells of a block looked at in one product
+BROADCAST_BLOCKS = 100_000  # pairs of blocks when broadcast; more are joined by shuffle
 
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _SKETCH = dart.COORDINATES // 16
@@ -156,8 +160,9 @@ def _merged(state: DataFrame | None, links: DataFrame) -> DataFrame:
     return materialize(old.unionByName(tops.join(state.select("id"), "id", "left_anti")), "classes")
 
 
-def _prefixes(texts: DataFrame) -> DataFrame:
-    """(id, cell): of every text the cells of which two texts of similarity SIMILAR share at least one.
+def _ordered(texts: DataFrame) -> DataFrame:
+    """(id, cells, prefix): of every text with words all its cells, packed, and those of which two texts of
+    similarity SIMILAR share at least one.
 
     Such texts share at least SIMILAR of the cells of either, so in any order common to all texts the first
     (1 - SIMILAR) of them and one more cannot all be missing in the other. Cells in few texts come first, by a
@@ -181,12 +186,96 @@ def _prefixes(texts: DataFrame) -> DataFrame:
             order = np.lexsort((cell, held[_slots(cell)], doc))
             cell, doc = cell[order], doc[order]
             size = np.bincount(doc, minlength=batch.num_rows)
-            place = np.arange(len(cell)) - (np.cumsum(size) - size)[doc]
-            keep = place <= (size - np.ceil(SIMILAR * size - 1e-9))[doc]
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[doc[keep]]), pa.array(cell[keep].view(np.int64))], names=["id", "cell"])
+            start = np.cumsum(size) - size
+            front = np.where(size > 0, size - np.ceil(SIMILAR * size - 1e-9).astype(np.int64) + 1, 0)
+            some, ids = np.flatnonzero(size), batch.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(ids[some]), pa.array([cell[start[i]:start[i] + size[i]].tobytes() for i in some], pa.binary()),
+                pa.array([cell[start[i]:start[i] + front[i]].view(np.int64) for i in some], pa.list_(pa.int64()))], names=["id", "cells", "prefix"])
+
+    return rows.mapInArrow(lean(run), "id bigint, cells binary, prefix array<bigint>")
 
-    return rows.mapInArrow(lean(run), "id bigint, cell bigint")
+
+def _prefixes(texts: DataFrame) -> DataFrame:
+    """(id, cell): the prefix cells of every text (see _ordered)."""
+    return _ordered(texts).select("id", F.explode("prefix").alias("cell"))
+
+
+def _shared(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many cells each of the first texts has in common with each of the second."""
+    (va, ka), (vb, kb) = (np.unique(np.concatenate(side), return_inverse=True) for side in (one, two))
+    at_a, at_b = np.intersect1d(va, vb, assume_unique=True, return_indices=True)[1:]
+    sides = []
+    for side, value, key, at in ((one, va, ka, at_a), (two, vb, kb, at_b)):
+        column = np.full(len(value), -1)
+        column[at] = np.arange(len(at))
+        column, text = column[key], np.repeat(np.arange(len(side)), [len(c) for c in side])
+        order = np.argsort(column, kind="stable")
+        order = order[np.searchsorted(column[order], 0):]
+        sides.append((column[order], text[order], len(side)))
+    both = np.zeros((len(one), len(two)), np.float32)
+    for begin in range(0, len(at_a), COLUMNS):
+        marks = []
+        for column, text, n in sides:
+            lo, hi = np.searchsorted(column, [begin, begin + COLUMNS])
+            mark = np.zeros((n, min(COLUMNS, len(at_a) - begin)), np.float32)
+            mark[text[lo:hi], column[lo:hi] - begin] = 1
+            marks.append(mark)
+        both += marks[0] @ marks[1].T
+    return both
+
+
+def _forest(frame: pa.Table) -> pa.Table:
+    """Links (a, b) between the texts of two blocks, or within one: as many as connect all classes that links connect."""
+    rows = {}
+    for side in (False, True):
+        mine = frame.filter(pc.equal(frame["other"], side))
+        rows[side] = (mine["id"].to_numpy(), mine["class"].to_numpy(), [np.frombuffer(c, np.uint64) for c in mine["cells"].to_pylist()])
+    alone = not len(rows[True][0])
+    (a, ca, cells_a), (b, cb, cells_b) = rows[False], rows[not alone]
+    links = []
+    if len(a) and len(b):
+        x, y = (np.array([len(c) for c in cells])[shape] for cells, shape in ((cells_a, np.s_[:, None]), (cells_b, np.s_[None, :])))
+        both = _shared(cells_a, cells_b).astype(float)
+        ok = (both >= SIMILAR * (x + y - both) - 1e-9) & (ca[:, None] != cb[None, :])
+        up: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while (above := up.get(c, c)) != c:
+                up[c] = c = up.get(above, above)
+            return c
+
+        for i, j in np.argwhere(ok).tolist():
+            p, q = top(int(ca[i])), top(int(cb[j]))
+            if p != q:
+                up[p] = q
+                links.append((int(a[i]), int(b[j])))
+    return pa.table({"a": pa.array([min(l) for l in links], pa.int64()), "b": pa.array([max(l) for l in links], pa.int64())})
+
+
+def _across(left: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all classes which links between the given texts connect; left: id, class, family.
+
+    Texts that can be links share a prefix cell. The texts of a family, those of its first class and the others
+    apart, are dealt out in blocks of about BLOCK. Two blocks that share a prefix cell and hold several classes
+    are compared as a whole in one task, from the cells, so every pair is looked at once however many cells it
+    shares, and what is joined are blocks.
+    """
+    first = left.select(F.col("id").alias("family"), F.col("class").alias("_c"))
+    named = left.join(first, "family", "left").withColumn("own", F.coalesce(F.col("class") == F.col("_c"), F.lit(False))).drop("_c")
+    rows = materialize(_ordered(texts.join(left.select("id"), "id")).join(named, "id"), "cells")
+    sizes = rows.groupBy("family", "own").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.length("cells")) / (8 * BLOCK_CELLS))).alias("n"))
+    seat = F.xxhash64("family", "own", F.pmod(F.xxhash64("id"), F.col("n")))
+    rows = rows.join(sizes, ["family", "own"]).select("id", "class", "cells", "prefix", seat.alias("block"))
+    blocks = rows.groupBy("block").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    held = rows.select("block", F.explode("prefix").alias("cell")).distinct().join(blocks, "block")
+    p, q = (held.select("cell", F.struct("block", "low", "high").alias(name)) for name in "pq")
+    several = (F.col("p.low") != F.col("q.high")) | (F.col("p.high") != F.col("q.low"))
+    meet = p.join(q, "cell").where((F.col("p.block") < F.col("q.block")) & several).select(F.col("p.block").alias("x"), F.col("q.block").alias("y")).distinct()
+    meet = materialize(meet.unionByName(blocks.where("low <> high").select(F.col("block").alias("x"), F.col("block").alias("y"))), "meet")
+    sides = F.explode(F.array(F.struct(F.col("x").alias("block"), F.lit(False).alias("other")), F.struct(F.col("y").alias("block"), F.lit(True).alias("other"))))
+    seats = materialize(meet.select("x", "y", sides.alias("s")).select("x", "y", "s.block", "s.other").where("x <> y or not other"), "seats")
+    return rows.drop("prefix").join(small(seats, BROADCAST_BLOCKS), "block").groupBy("x", "y").applyInArrow(_forest, "a bigint, b bigint")
 
 
 def _folded(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -204,10 +293,9 @@ def _links(members: DataFrame, texts: DataFrame) -> DataFrame:
     the others are copies of, if it is there. Every node is compared with the first of its leaders, then with
     those of another class. What they leave in different classes is compared pair by pair in buckets of FEW
     members or fewer. The nodes of larger ones are dealt out again by side bands, where each is compared with the
-    leader and with SEATS nodes of other classes picked by a hash, or with all others where they are few, until
-    a turn finds no link. All pairs of different classes that are left then, and whose texts can be links at all,
-    meet by a rare cell they share (see _prefixes). So no link within a bucket is left out, and the pairs looked
-    at grow with the nodes, not with the square of a group.
+    leader and with SEATS nodes of other classes picked by a hash, or with all others where they are few. All
+    pairs of different classes that are left then, and whose texts can be links at all, share a rare cell; they
+    are compared block by block (see _across). So no link within a bucket is left out, and no pair is a row there.
     """
     def compared(pairs: DataFrame) -> DataFrame:
         return _verified(pairs.select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b")).distinct(), texts)
@@ -239,31 +327,25 @@ def _links(members: DataFrame, texts: DataFrame) -> DataFrame:
     state = _merged(state, _verified(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), texts))
     mine = materialize(still_open(members, state), "mine")
     state = _merged(state, compared(others(mine.where(F.col("n") <= FEW), "v")))
-    scope, turn = mine.where(F.col("n") > FEW).select("v", "n", "node"), 0
-    while True:
-        mine = materialize(still_open(scope, state), "mine")  # a bucket of one class stays so
-        if mine.isEmpty():
-            return state
-        many = mine.select("node", "class", F.col("node.id").alias("id")).dropDuplicates(["id"]).join(weight, "id")
-        dealt = many.select("node", "class", "w", F.explode(_side_bands("node")).alias("u"))
-        shared = dealt.groupBy("u").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("u", "n")
-        dealt = materialize(dealt.join(shared, "u"), "dealt")
-        crowd = dealt.where(F.col("n") > FEW)
-        named = F.struct("node", "class")
-        first = crowd.groupBy("u").agg(F.max_by(named, F.struct("w", "node.id")).alias("h"))
-        seats = crowd.groupBy("u", F.pmod(F.xxhash64("node.id", F.lit(turn)), F.lit(SEATS)).alias("seat")).agg(
-            F.min_by(named, F.xxhash64("node.id", "u", F.lit(turn))).alias("h")).drop("seat")
-        pairs = met(crowd, first.unionByName(seats).select("u", "h.node", "h.class"), "u").unionByName(others(dealt.where(F.col("n") <= FEW), "u"))
-        fresh = materialize(compared(pairs), "fresh")
-        if fresh.isEmpty():
-            break
-        state, scope, turn = _merged(state, fresh), mine.select("v", "n", "node"), turn + 1
-    left = materialize(mine.select("node", "class", F.col("node.id").alias("id")).dropDuplicates(["id"]), "left")
-    rare = _prefixes(texts.join(left.select("id"), "id")).join(left.select("id", "class"), "id")
-    rare = materialize(rare, "rare")
-    several = rare.groupBy("cell").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("cell")
-    rare = rare.join(several, "cell").select("cell", "id").join(left, "id")
-    return _merged(state, compared(others(rare, "cell")))
+    mine = materialize(still_open(mine.where(F.col("n") > FEW).select("v", "n", "node"), state), "mine")  # a bucket of one class stays so
+    if mine.isEmpty():
+        return state
+    crowded = mine.select("v", F.col("node.id").alias("id")).join(weight, "id")
+    tops = crowded.groupBy("v").agg(F.max(F.struct("w", "id")).alias("h"))
+    family = crowded.join(tops, "v").groupBy("id").agg(F.max("h").getField("id").alias("family"))
+    many = materialize(mine.select("node", "class", F.col("node.id").alias("id")).dropDuplicates(["id"]).join(weight, "id").join(family, "id"), "many")
+    dealt = many.select("node", "class", "w", F.explode(_side_bands("node")).alias("u"))
+    shared = dealt.groupBy("u").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("u", "n")
+    dealt = materialize(dealt.join(shared, "u"), "dealt")
+    crowd = dealt.where(F.col("n") > FEW)
+    named = F.struct("node", "class")
+    first = crowd.groupBy("u").agg(F.max_by(named, F.struct("w", "node.id")).alias("h"))
+    seats = crowd.groupBy("u", F.pmod(F.xxhash64("node.id"), F.lit(SEATS)).alias("seat")).agg(
+        F.min_by(named, F.xxhash64("node.id", "u")).alias("h")).drop("seat")
+    pairs = met(crowd, first.unionByName(seats).select("u", "h.node", "h.class"), "u").unionByName(others(dealt.where(F.col("n") <= FEW), "u"))
+    state = _merged(state, compared(pairs))
+    left = many.select("id", "family").join(state, "id", "left").select("id", "family", F.coalesce("class", "id").alias("class"))
+    return _merged(state, _across(materialize(left, "left"), texts))
 
 
 def classes(docs: DataFrame) -> DataFrame:

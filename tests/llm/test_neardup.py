@@ -134,3 +134,35 @@ def test_one_of_each_class_stays(make):
     assert left.columns == make(rows).columns
     classes = {c for _, c in brute(rows)}
     assert sorted(r.doc_id for r in left.collect()) == sorted(classes)
+
+
+@pytest.mark.parametrize("most", [neardup.BROADCAST_BLOCKS, 0])
+def test_blocks_find_every_link(make, monkeypatch, most):
+    """Blocks of a few texts, families named badly, and texts without words among them."""
+    monkeypatch.setattr(neardup, "BLOCK", 7)
+    monkeypatch.setattr(neardup, "BLOCK_CELLS", 500)
+    monkeypatch.setattr(neardup, "COLUMNS", 64)
+    monkeypatch.setattr(neardup, "BROADCAST_BLOCKS", most)
+    texts = [t for s in range(3) for t in family(30 + s, 20, 90, 9)] + ["", "!", "one two", "one two"] + [prose(60 + i, 30) for i in range(5)]
+    rows = [row(i, t) for i, t in enumerate(texts)]
+    given = make(rows).select(F.col("doc_id").alias("id"), "text")
+    left = given.select("id", F.col("id").alias("class"), (F.col("id") % 4 * 15).alias("family"))
+    named = list(range(len(texts)))
+    for r in neardup._across(left, given).collect():
+        assert r.a < r.b and neardup.likeness(texts[r.a], texts[r.b]) >= neardup.SIMILAR
+        low, high = sorted((named[r.a], named[r.b]))
+        named = [low if c == high else c for c in named]
+    assert sorted(enumerate(named), key=str) == brute(rows)
+    # links inside a class are none to tell
+    assert not neardup._across(left.withColumn("class", F.lit(1)), given).count()
+
+
+def test_no_group_is_expanded_into_pairs(make, monkeypatch):
+    """300 texts of one group, hardly any two of them a link: what is looked at pair by pair grows with the texts."""
+    looked, verified = [], neardup._verified
+    monkeypatch.setattr(neardup, "_verified", lambda pairs, texts: (looked.append(pairs.count()), verified(pairs, texts))[1])
+    rows = [row(i, t) for i, t in enumerate(family(44, 300, 150, 20))]
+    nodes = neardup._sign(make(rows)).select(F.lit(1).alias("v"), F.lit(len(rows)).alias("n"), F.struct(F.col("doc_id").alias("id"), *neardup._MARKS).alias("node"))
+    found = dict(map(tuple, neardup._links(nodes, make(rows).select(F.col("doc_id").alias("id"), "text")).select("id", "class").collect()))
+    assert sorted(((r[0], found.get(r[0], r[0])) for r in rows), key=str) == brute(rows)
+    assert sum(looked) < 20 * len(rows)
