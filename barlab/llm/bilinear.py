@@ -53,40 +53,62 @@ class Bilinear:
         log_noise = (np.log(frequency) + np.log(noise)).astype(np.float32)
         seen = [np.full(p.shape, 1e-2, np.float32) for p in self.parts()]
 
+        # numbers of two bytes are sorted by digits
+        short = np.int16 if len(frequency) <= 1 << 15 else np.int64
+
         def sigmoid(x: np.ndarray) -> np.ndarray:
-            x = np.clip(x, -30, 30)
+            np.clip(x, -30, 30, out=x)
             np.exp(np.negative(x, out=x), out=x)
             x += 1
             return np.reciprocal(x, out=x)
 
-        def step(i: int, gradient: np.ndarray, rows: np.ndarray | None = None) -> None:
-            value, square = self.parts()[i], seen[i]
-            if rows is None:
+        def groups(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Order by token, where each token begins, and the tokens."""
+            rows = rows.astype(short)
+            order = rows.argsort(kind="stable")
+            put = rows[order]
+            first = np.empty(len(put), bool)
+            first[0] = True
+            np.not_equal(put[1:], put[:-1], out=first[1:])
+            starts = first.nonzero()[0]
+            return order, starts, put[starts]
+
+        def step(i: int, gradient: np.ndarray, by: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> None:
+            value, square = parts[i], seen[i]
+            if by is None:
                 square += gradient * gradient
                 value += rate * gradient / np.sqrt(square)
                 return
-            order = np.argsort(rows, kind="stable")
-            put = rows[order]
-            starts = np.flatnonzero(np.concatenate([[True], put[1:] != put[:-1]]))
-            unique, total = put[starts], np.add.reduceat(gradient[order], starts, axis=0)
-            square[unique] = now = square[unique] + total * total
-            value[unique] += rate * total / np.sqrt(now)
-
+            order, starts, unique = by
+            total = np.add.reduceat(gradient.take(order, axis=0), starts, axis=0)
+            now = square.take(unique, axis=0)
+            now += total * total
+            square[unique] = now
+            total *= rate
+            total /= np.sqrt(now, out=now)
+            value[unique] += total
+
+        parts = self.parts()
         for at in range(0, len(token), batch):
             u, v, w = one[at:at + batch], two[at:at + batch], token[at:at + batch]
             drawn = np.minimum(np.searchsorted(cumulated, rng.random(noise) * cumulated[-1], side="right"), len(frequency) - 1)
-            ru, rv = self.context[u], self.context[v]
-            said = ru @ self.near + rv @ self.far
-            true = 1 - sigmoid((said * self.target[w]).sum(1) + self.bias[w] - log_noise[w])
-            false = -sigmoid(said @ self.target[drawn].T + self.bias[drawn] - log_noise[drawn])
-            back = true[:, None] * self.target[w] + false @ self.target[drawn]
+            ru, rv, tw, td = self.context.take(u, axis=0), self.context.take(v, axis=0), self.target.take(w, axis=0), self.target.take(drawn, axis=0)
+            said = ru @ self.near
+            said += rv @ self.far
+            true = 1 - sigmoid((said * tw).sum(1) + self.bias[w] - log_noise[w])
+            false = said @ td.T
+            false += self.bias[drawn]
+            false -= log_noise[drawn]
+            false = np.negative(sigmoid(false), out=false)
+            back = true[:, None] * tw
+            back += false @ td
             near, far = self.near.copy(), self.far.copy()
-            rows = np.concatenate([w, drawn])
-            step(3, np.concatenate([true[:, None] * said, false.T @ said]).astype(np.float32), rows)
-            step(4, np.concatenate([true, false.sum(0)]).astype(np.float32), rows)
+            by = groups(np.concatenate([w, drawn]))
+            step(3, np.concatenate([true[:, None] * said, false.T @ said]), by)
+            step(4, np.concatenate([true, false.sum(0)]), by)
             step(1, ru.T @ back)
             step(2, rv.T @ back)
-            step(0, np.concatenate([back @ near.T, back @ far.T]).astype(np.float32), np.concatenate([u, v]))
+            step(0, np.concatenate([back @ near.T, back @ far.T]), groups(np.concatenate([u, v])))
 
     def tables(self) -> "Tables":
         a = (self.context @ self.near) @ self.target.T + self.bias

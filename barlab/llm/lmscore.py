@@ -14,6 +14,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barlab.llm.bilinear import END, Bilinear, Tables
@@ -35,9 +36,10 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 1
 
 
-def tokens(text: Column) -> Column:
-    lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
-    return F.filter(F.split(lowered, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+def word_counts(rows: DataFrame) -> DataFrame:
+    """(word, c) over the texts. Words are lowered after they are counted as they stand: there are fewer of them."""
+    raw = rows.select(F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("raw")).where("raw <> ''").groupBy("raw").agg(F.count("*").alias("c"))
+    return raw.groupBy(F.translate("raw", UPPER, UPPER.lower()).alias("word")).agg(F.sum("c").alias("c"))
 
 
 def class_of(word: bytes) -> int:
@@ -75,15 +77,23 @@ class Words:
     def token(self, word: bytes) -> int:
         return self.number.get(word) or 1 + class_of(word)
 
+    def tokens(self, words: list[bytes]) -> np.ndarray:
+        number, crc = self.number.get, zlib.crc32
+        return np.fromiter((number(w) or 1 + crc(w[-ENDING:]) % CLASSES for w in words), np.int32, len(words))
 
-def split(texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-    """(code of each word, distinct words, words per text)."""
-    found = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
-    n = np.fromiter(map(len, found), np.int64, len(found))
-    flat = np.empty(int(n.sum()), object)
-    flat[:] = [w for d in found for w in d]
-    codes, unique = pd.factorize(flat)
-    return codes, list(unique), n
+
+def split(texts: pa.Array | list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """(code of each word, distinct words, words per text); a null text is empty."""
+    if isinstance(texts, list):
+        texts = pa.array([t.encode("utf-8", "surrogatepass") for t in texts], pa.binary()).view(pa.string())
+    found = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    n, flat = pc.list_value_length(found).to_numpy().astype(np.int64), found.flatten()
+    some = pc.binary_length(flat).to_numpy() > 0  # white space at either end leaves an empty word
+    if not some.all():
+        n -= np.bincount(np.repeat(np.arange(len(n)), n)[~some], minlength=len(n))
+        flat = flat.filter(pa.array(some))
+    coded = flat.dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary.cast(pa.binary()).to_pylist(), n
 
 
 def sequences(codes: np.ndarray, numbers: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,11 +111,11 @@ def sequences(codes: np.ndarray, numbers: np.ndarray, n: np.ndarray) -> tuple[np
     return one, two, token
 
 
-def _learn(model: Bilinear, words: Words, texts: list[str], seed: int) -> int:
+def _learn(model: Bilinear, words: Words, texts: pa.Array | list[str], seed: int) -> int:
     codes, unique, n = split(texts)
     if not len(n):
         return 0
-    numbers = np.fromiter(map(words.token, unique), np.int32, len(unique))
+    numbers = words.tokens(unique)
     one, two, token = sequences(codes, numbers, n)
     order = np.random.default_rng(seed).permutation(len(token))
     model.train(one[order], two[order], token[order], words.frequency, seed)
@@ -137,7 +147,7 @@ def fit(docs: DataFrame) -> tuple[DataFrame, Words, Bilinear]:
     documents trains it further on its own on all its tokens, and the results are averaged by the tokens they saw, FAN_IN at once.
     """
     train = need(docs, "doc_id", "text").where(~held_out(F.col("doc_id"))).select(F.coalesce("text", F.lit("")).alias("text"))
-    counts = materialize(train.select(F.explode(tokens(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("c")), "counts")
+    counts = materialize(word_counts(train), "counts")
     size = train.agg(F.count("*").alias("n")).first()
     seen = counts.agg(F.count("*").alias("v"), F.sum("c").alias("n")).first()
     frequent = _frequent(counts)
@@ -152,7 +162,7 @@ def fit(docs: DataFrame) -> tuple[DataFrame, Words, Bilinear]:
     def run(batches):
         own, n = model.unpack(model.pack()), 0
         for i, batch in enumerate(parts(batches, 0, CHUNK)):
-            n += _learn(own, words, batch.column(0).to_pylist(), i)
+            n += _learn(own, words, batch.column(0), i)
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([own.pack()], pa.binary())], names=["n", "model"])
 
@@ -194,8 +204,8 @@ def score(docs: DataFrame) -> DataFrame:
         tables = _tables(name, raw, shape)
         end_base = math.log10(words.texts + 0.5)
         for batch in parts(batches, 1, CHUNK):
-            codes, unique, n = split([t or "" for t in batch.column(1).to_pylist()])
-            numbers = np.fromiter(map(words.token, unique), np.int32, len(unique))
+            codes, unique, n = split(batch.column(1))
+            numbers = words.tokens(unique)
             count = np.fromiter((words.count.get(w, 0) for w in unique), np.float64, len(unique))
             one, two, token = sequences(codes, numbers, n)
             log = tables.log_prob(one, two, token) / math.log(10)

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from conftest import awkward_rows, prose, row
 from pyspark.sql import functions as F
 
@@ -103,3 +104,22 @@ def test_one_long_training_text_and_a_third_of_copies(make):
     rows = [row(i, "the same text again and again") for i in free[:40]] + [row(i, prose(i, 30)) for i in free[40:120]]
     got = {r.doc_id: r for r in lmscore.score(make(rows)).collect()}
     assert len(got) == 120 and all(r.score < 0 and r.n_known == r.n_tokens for r in got.values())
+
+
+def test_words_of_a_chunk(make):
+    """White space of ASCII parts words, only A-Z are lowered, and codes follow the first occurrence; column or list."""
+    texts = ["", "  a B\tc ", "\x0b x\x0cy\r\n", "É ß\x1c1 A", " ", "Ünï cödé X", "a\x85b c d"]
+    codes, unique, n = lmscore.split(texts)
+    found = [re.findall(rb"[^\x20\x09-\x0D]+", t.encode().lower()) for t in texts]
+    assert n.tolist() == [len(f) for f in found]
+    assert [unique[c] for c in codes] == [w for f in found for w in f] and unique == list(dict.fromkeys(w for f in found for w in f))
+    again = lmscore.split(pa.array([None, *texts])[1:])
+    assert [x.tolist() if hasattr(x, "tolist") else x for x in again] == [codes.tolist(), unique, n.tolist()]
+    assert lmscore.split(pa.array([None, ""]))[2].tolist() == [0, 0]
+    assert {r.word: r.c for r in lmscore.word_counts(make([row(i, t) for i, t in enumerate(texts)])).collect()} == Counter(w.decode() for f in found for w in f)
+
+
+def test_many_words_are_numbered_as_one_is():
+    words = lmscore.Words([("the", 5), ("of", 3)], 10, 3, 1, [(k, 10, 3) for k in range(lmscore.CLASSES)])
+    some = [b"of", b"rare", b"x", "Ünï".encode(), b"the"]
+    assert words.tokens(some).tolist() == [words.token(w) for w in some]
