@@ -161,8 +161,13 @@ def test_no_group_is_expanded_into_pairs(make, monkeypatch):
     """300 texts of one group, hardly any two of them a link: what is looked at pair by pair grows with the texts."""
     looked, verified = [], neardup._verified
     monkeypatch.setattr(neardup, "_verified", lambda pairs, texts: (looked.append(pairs.count()), verified(pairs, texts))[1])
-    rows = [row(i, t) for i, t in enumerate(family(44, 300, 150, 20))]
+    rng, rows = np.random.default_rng(44), []
+    for i in range(300):  # three words of a common text changed, far apart: pairs are 0.73 to 0.77 alike
+        one = [f"w{k}" for k in range(200)]
+        for at in (5, 70, 140):
+            one[rng.integers(at, at + 50)] = f"x{at}y{i}"
+        rows.append(row(i, " ".join(one)))
     nodes = neardup._sign(make(rows)).select(F.lit(1).alias("v"), F.lit(len(rows)).alias("n"), F.struct(F.col("doc_id").alias("id"), *neardup._MARKS).alias("node"))
     found = dict(map(tuple, neardup._links(nodes, make(rows).select(F.col("doc_id").alias("id"), "text")).select("id", "class").collect()))
     assert sorted(((r[0], found.get(r[0], r[0])) for r in rows), key=str) == brute(rows)
-    assert sum(looked) < 20 * len(rows)
+    assert sum(looked) < 40 * len(rows)
