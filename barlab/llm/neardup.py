@@ -257,9 +257,9 @@ def _across(left: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) that connect all classes which links between the given texts connect; left: id, class, family.
 
     Texts that can be links share a prefix cell. The texts of a family, those of its first class and the others
-    apart, are dealt out in blocks of about BLOCK. Two blocks that share a prefix cell and hold several classes
-    are compared as a whole in one task, from the cells, so every pair is looked at once however many cells it
-    shares, and what is joined are blocks.
+    apart, are dealt out in blocks of about BLOCK. Two blocks in which texts of different classes hold the same
+    prefix cell are compared as a whole in one task, from the cells, so every pair is looked at once however many
+    cells it shares, and what is joined are blocks.
     """
     first = left.select(F.col("id").alias("family"), F.col("class").alias("_c"))
     named = left.join(first, "family", "left").withColumn("own", F.coalesce(F.col("class") == F.col("_c"), F.lit(False))).drop("_c")
@@ -267,12 +267,13 @@ def _across(left: DataFrame, texts: DataFrame) -> DataFrame:
     sizes = rows.groupBy("family", "own").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.length("cells")) / (8 * BLOCK_CELLS))).alias("n"))
     seat = F.xxhash64("family", "own", F.pmod(F.xxhash64("id"), F.col("n")))
     rows = rows.join(sizes, ["family", "own"]).select("id", "class", "cells", "prefix", seat.alias("block"))
-    blocks = rows.groupBy("block").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    held = rows.select("block", F.explode("prefix").alias("cell")).distinct().join(blocks, "block")
+    held = rows.select("block", "class", F.explode("prefix").alias("cell")).groupBy("cell", "block").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    held = materialize(held, "held")
     p, q = (held.select("cell", F.struct("block", "low", "high").alias(name)) for name in "pq")
     several = (F.col("p.low") != F.col("q.high")) | (F.col("p.high") != F.col("q.low"))
     meet = p.join(q, "cell").where((F.col("p.block") < F.col("q.block")) & several).select(F.col("p.block").alias("x"), F.col("q.block").alias("y")).distinct()
-    meet = materialize(meet.unionByName(blocks.where("low <> high").select(F.col("block").alias("x"), F.col("block").alias("y"))), "meet")
+    within = held.where("low <> high").select(F.col("block").alias("x"), F.col("block").alias("y")).distinct()
+    meet = materialize(meet.unionByName(within), "meet")
     sides = F.explode(F.array(F.struct(F.col("x").alias("block"), F.lit(False).alias("other")), F.struct(F.col("y").alias("block"), F.lit(True).alias("other"))))
     seats = materialize(meet.select("x", "y", sides.alias("s")).select("x", "y", "s.block", "s.other").where("x <> y or not other"), "seats")
     return rows.drop("prefix").join(small(seats, BROADCAST_BLOCKS), "block").groupBy("x", "y").applyInArrow(_forest, "a bigint, b bigint")

@@ -157,6 +157,19 @@ def test_blocks_find_every_link(make, monkeypatch, most):
     assert not neardup._across(left.withColumn("class", F.lit(1)), given).count()
 
 
+def test_blocks_meet_in_cells_of_several_classes(make, monkeypatch):
+    """Two blocks of several classes each that share cells of one class only, and one with two classes of one cell."""
+    written, kept = {}, neardup.materialize
+    monkeypatch.setattr(neardup, "materialize", lambda df, label="kept": written.setdefault(label, kept(df, label)))
+    base, again = prose(70, 60), "again " + prose(71, 60)
+    texts = [base, prose(72, 50), base + " more", prose(73, 50), again, again + " more"]
+    given = make([row(i, t) for i, t in enumerate(texts)]).select(F.col("doc_id").alias("id"), "text")
+    left = given.select("id", F.element_at(F.array(*map(F.lit, [90, 1, 90, 3, 4, 5])), F.col("id").cast("int") + 1).cast("bigint").alias("class"),
+                        F.element_at(F.array(*map(F.lit, [70, 70, 80, 80, 60, 60])), F.col("id").cast("int") + 1).cast("bigint").alias("family"))
+    assert [(r.a, r.b) for r in neardup._across(left, given).collect()] == [(4, 5)]
+    assert written["meet"].count() == 1
+
+
 def test_no_group_is_expanded_into_pairs(make, monkeypatch):
     """300 texts of one group, hardly any two of them a link: what is looked at pair by pair grows with the texts."""
     looked, verified = [], neardup._verified
